@@ -48,7 +48,7 @@ def stg_events(events: DataFrame) -> DataFrame:
     )
 
 
-def stg_orders(orders: DataFrame) -> DataFrame:
+def stg_orders(orders: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     ordered_type = orders.schema["ordered_at"].dataType
     if ordered_type.typeName() == "string":
         ordered_at = parse_datetime_best_effort(to_string("ordered_at"))
@@ -59,6 +59,7 @@ def stg_orders(orders: DataFrame) -> DataFrame:
         to_int64("customer_id").alias("customer_id"),
         to_decimal("amount").alias("amount"),
         ordered_at.alias("ordered_at"),
+        *[F.col(c) for c in extra],
     )
 
 

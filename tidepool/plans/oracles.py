@@ -135,3 +135,107 @@ ORACLES["card_total_orders_unknown_segment"] = _over_mart(
 ORACLES["card_lifetime_value_unknown_segment"] = _over_mart(
     CARD_BODIES["card_lifetime_value"], UNKNOWN_SEGMENT
 )
+
+
+# -- scenarios: scans, ingestion, loads, normalization, ad-hoc SQL -----------------
+
+_O = (
+    "SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_totalprice AS amount, "
+    "o_orderdate AS ordered_at FROM orders"
+)
+_FIRST = "o_orderdate < TIMESTAMP '1998-01-01'"
+_SECOND = "o_orderdate >= TIMESTAMP '1997-01-01'"
+_THIRD = "o_orderdate >= TIMESTAMP '1999-01-01'"
+
+SCENARIO_ORACLES = {
+    "scan_csv": STG_CUSTOMERS,
+    "scan_csv_gz": STG_CUSTOMERS,
+    "scan_json": STG_EVENTS,
+    "scan_json_records_path": STG_EVENTS,
+    "scan_jsonl": STG_EVENTS,
+    "scan_parquet": STG_ORDERS,
+    "scan_glob_recursive": STG_EVENTS,
+    "ingest_multi_table": MART,
+    "ingest_api_pages": (
+        "SELECT CAST(o_orderkey AS BIGINT) AS order_id, CAST(o_custkey AS BIGINT) AS customer_id, "
+        "CAST(o_totalprice AS DECIMAL(18,2)) AS amount, date_trunc('second', o_orderdate) AS ordered_at, "
+        "o_orderkey // 1000 AS _page, "
+        "CAST(row_number() OVER (PARTITION BY o_orderkey // 1000 ORDER BY o_orderkey) - 1 AS BIGINT) "
+        "AS _page_pos FROM orders"
+    ),
+    "load_append": f"{_O} WHERE {_FIRST} UNION ALL {_O} WHERE {_SECOND}",
+    "load_replace": f"{_O} WHERE {_SECOND}",
+    "load_merge": f"""
+        WITH v AS (
+          SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_totalprice AS amount,
+                 o_orderdate AS ordered_at, 1 AS seq FROM orders WHERE {_FIRST}
+          UNION ALL SELECT o_orderkey, o_custkey, o_totalprice + 1, o_orderdate, 2 FROM orders WHERE {_SECOND}
+          UNION ALL SELECT o_orderkey, o_custkey, o_totalprice + 2, o_orderdate, 3 FROM orders WHERE {_THIRD})
+        SELECT order_id, customer_id, amount, ordered_at, seq FROM (
+          SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY seq DESC) AS rn FROM v) WHERE rn = 1
+    """,
+    "load_insert_ignore": f"""
+        {_O} WHERE {_FIRST}
+        UNION ALL SELECT o_orderkey, o_custkey, o_totalprice + 1, o_orderdate FROM orders
+        WHERE {_SECOND} AND o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE {_FIRST})
+    """,
+    "load_schema_evolution": f"""
+        SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_totalprice AS amount,
+               o_orderdate AS ordered_at, CAST(NULL AS VARCHAR) AS priority FROM orders WHERE {_FIRST}
+        UNION ALL SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority
+        FROM orders WHERE {_SECOND}
+    """,
+    "load_type_conflict": f"""
+        SELECT o_orderkey AS order_id, o_totalprice AS amount, CAST(NULL AS VARCHAR) AS amount__v_string
+        FROM orders WHERE {_FIRST}
+        UNION ALL SELECT o_orderkey,
+               CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_totalprice END,
+               CASE WHEN o_orderpriority = '5-LOW' THEN 'unknown' END
+        FROM orders WHERE {_SECOND}
+    """,
+    "load_incremental_cursor": _O,
+    "load_incremental_files": _O,
+    "load_audit": f"""
+        WITH n1 AS (SELECT count(*) AS n FROM orders WHERE {_FIRST}),
+             n2 AS (SELECT count(*) AS n FROM orders WHERE {_SECOND})
+        SELECT CAST(1 AS BIGINT) AS load_seq, 'orders' AS table_name, 'append' AS disposition,
+               n1.n AS rows_in, n1.n AS rows_loaded FROM n1
+        UNION ALL SELECT 2, 'orders', 'append', n2.n, n2.n FROM n2
+        UNION ALL SELECT 3, 'orders', 'replace', n2.n, n2.n FROM n2
+        UNION ALL SELECT 4, 'orders', 'merge', n1.n, n1.n FROM n1
+    """,
+    "mart_materialized": MART,
+    "normalize_names": (
+        "SELECT c_custkey AS cust_key, c_name AS customer_name, c_nationkey AS nation_key, "
+        "c_acctbal AS account_balance, c_mktsegment AS mkt_segment FROM customer"
+    ),
+    "normalize_flatten": (
+        "SELECT event_id, ts, user_id, event_type, value, "
+        "CAST(json_extract(props, '$.k') AS BIGINT) AS props__k FROM events"
+    ),
+    "normalize_child_table": """
+        WITH c AS (SELECT conv_id, turn, string_split(text, chr(10)) AS parts FROM conversations),
+             e AS (SELECT conv_id, turn, parts, unnest(generate_series(1, len(parts))) AS i FROM c)
+        SELECT conv_id, turn, CAST(i - 1 AS BIGINT) AS _idx, parts[i] AS value,
+               sha256(concat_ws('|', CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR),
+                                CAST(i - 1 AS VARCHAR))) AS _row_key
+        FROM e
+    """,
+    "adhoc_sum": (
+        "SELECT count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS custkey_sum, "
+        "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total FROM orders"
+    ),
+    "adhoc_preview": "SELECT * FROM customer ORDER BY c_custkey LIMIT 20",
+    "adhoc_sum_by_customer": (
+        "SELECT o_custkey AS customer_id, "
+        "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS amount "
+        "FROM orders GROUP BY o_custkey"
+    ),
+    "adhoc_param_sql": (
+        f"WITH mart AS ({MART}) SELECT segment, count(*) AS customers, "
+        "CAST(sum(lifetime_value) AS DOUBLE) AS lifetime_value FROM mart "
+        "WHERE segment = 'BUILDING' GROUP BY segment"
+    ),
+    "fn_parse_datetime": "SELECT o_orderkey, o_orderpriority, o_orderdate AS parsed_at FROM orders",
+}
+ORACLES.update(SCENARIO_ORACLES)

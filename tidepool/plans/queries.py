@@ -134,3 +134,9 @@ QUERIES: dict[str, QueryFn] = {
     "dq_unique": q_dq_unique,
     "dq_suite": q_dq_suite,
 }
+
+
+def _all_queries() -> dict[str, QueryFn]:
+    from tidepool.plans.scenarios import SCENARIOS
+
+    return {**QUERIES, **SCENARIOS}

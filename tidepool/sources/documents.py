@@ -42,11 +42,15 @@ def _variant_path(records_path: str | None) -> str:
 
 
 def document_records(
-    spark: SparkSession, pattern: str, records_path: str | None = None
+    spark: SparkSession,
+    pattern: str,
+    records_path: str | None = None,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Lazy records with per-row validity flags (not yet validated)."""
     sel = select_files(pattern)
-    reader = spark.read.options(**sel.options).option("wholetext", "true")
+    reader = spark.read.options(**sel.options).options(**(options or {}))
+    reader = reader.option("wholetext", "true")
     docs = reader.text(sel.path)
     if sel.path_regex is not None:
         docs = docs.where(F.col("_metadata.file_path").rlike(sel.path_regex))
@@ -107,13 +111,14 @@ def read_json_documents(
     records_path: str | None = None,
     schema: StructType | str | None = None,
     extra_columns: dict[str, Column] | None = None,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Read JSON documents as a typed DataFrame, one row per record.
 
     ``extra_columns`` are expressions over the document (``doc``), the file
     (``_file``) and the record position (``_pos``), e.g. a page number.
     """
-    flagged = document_records(spark, pattern, records_path)
+    flagged = document_records(spark, pattern, records_path, options)
     extra = extra_columns or {}
     valid = flagged.where(F.col("_pos").isNotNull())
     if schema is not None:
