@@ -246,10 +246,12 @@ class Warehouse:
         row = self.audit().agg(F.max("load_seq").alias("m")).first()
         return (row.m or 0) + 1
 
-    def _write(self, df: DataFrame, path: str, mode: str, bucketed: bool, obs: Observation):
+    def _write(self, df: DataFrame, path: str, mode: str, buckets: int | None, obs: Observation):
+        if buckets:  # whole buckets per task: one file per bucket, not per task
+            df = df.repartition(buckets, BUCKET)
         observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         writer = observed.write.mode(mode)
-        if bucketed:
+        if buckets:
             writer = writer.partitionBy(BUCKET)
         writer.parquet(path)
         return obs.get["rows"]
@@ -296,10 +298,10 @@ class Warehouse:
         out_obs = Observation(f"out_{load_id}")
         if st is None or disposition == "replace":
             version = self._new_version(dataset, table, load_id)
-            rows = self._write(aligned, version, "errorifexists", bool(buckets), out_obs)
+            rows = self._write(aligned, version, "errorifexists", buckets, out_obs)
         elif disposition == "append":
             version = st.version_path
-            rows = self._write(aligned, version, "append", bool(buckets), out_obs)
+            rows = self._write(aligned, version, "append", buckets, out_obs)
         else:
             version = st.version_path
             rows = self._merge(st, schema, aligned, disposition, out_obs, buckets)
@@ -330,34 +332,54 @@ class Warehouse:
     def _merge(self, st, schema, batch, disposition, obs, buckets) -> int:
         """Rewrite only the buckets the batch touches.
 
-        The batch and then the merged buckets are written to staging folders (which
-        also cuts the lineage to the files being replaced), then swapped into the
-        table with a dynamic partition overwrite.
+        1. The deduplicated batch is staged (one file per bucket).  The same job
+           observes its row count and the set of buckets it touches (at most
+           ``buckets`` small ints).  Staging also cuts the lineage to the source.
+        2. The touched buckets of the table are read (partition pruning) and joined
+           with the staged batch; both sides are hash-partitioned on the bucket, so
+           the join on ``(key, bucket)`` needs no further exchange and each task
+           produces whole buckets.
+        3. The result replaces those buckets with a dynamic partition overwrite.
+           Output is staged by Spark and swapped in at job commit; the files being
+           read stay in place until then, so retried tasks re-read intact input.
         """
+        with_bucket = StructType(list(schema.fields) + [StructField(BUCKET, IntegerType(), True)])
         batch_obs = Observation(f"batch_{uuid.uuid4().hex[:8]}")
         staged_batch_path = scratch_dir(self.spark, "merge-batch")
-        batch.observe(batch_obs, F.count(F.lit(1)).alias("rows")).write.partitionBy(
-            BUCKET
-        ).parquet(staged_batch_path)
-        batch_rows = int(batch_obs.get["rows"])
+        (
+            batch.repartition(buckets, BUCKET)
+            .observe(batch_obs, F.count(F.lit(1)).alias("rows"), F.collect_set(BUCKET).alias("touched"))
+            .write.partitionBy(BUCKET)
+            .parquet(staged_batch_path)
+        )
+        metrics = batch_obs.get
+        batch_rows, touched = int(metrics["rows"]), sorted(metrics["touched"] or [])
         if batch_rows == 0:
             return 0
-        with_bucket = StructType(list(schema.fields) + [StructField(BUCKET, IntegerType(), True)])
-        staged_batch = self.spark.read.schema(with_bucket).parquet(staged_batch_path)
-        # at most `buckets` small ints: bounded, fine to bring to the driver
-        touched = [r[0] for r in staged_batch.select(BUCKET).distinct().collect()]
-        _, target = evolve(schema, self._read_version(st).where(F.col(BUCKET).isin(touched)))
-        keys = list(st.primary_key)
+        staged = self.spark.read.schema(with_bucket).parquet(staged_batch_path).repartition(buckets, BUCKET)
+        current = self._read_version(st).where(F.col(BUCKET).isin(touched))
+        _, target = evolve(schema, current)
+        target = target.repartition(buckets, BUCKET)
+        on = [*st.primary_key, BUCKET]
         if disposition == "insert_ignore":
-            fresh = staged_batch.join(target.select(*keys, BUCKET), [*keys, BUCKET], "left_anti")
-            return self._write(fresh, st.version_path, "append", True, obs)
-        kept = target.join(staged_batch.select(*keys, BUCKET), [*keys, BUCKET], "left_anti")
-        merged = kept.unionByName(staged_batch)
-        staged_path = scratch_dir(self.spark, "merge-buckets")
-        merged.write.partitionBy(BUCKET).parquet(staged_path)
+            fresh = staged.join(target.select(*on), on, "left_anti")
+            return self._write(fresh, st.version_path, "append", buckets, obs)
+        values = [c for c in schema.fieldNames() if c not in st.primary_key]
+        incoming = staged.select(
+            *[_q(c) for c in on],
+            *[_q(c).alias(f"__new_{c}") for c in values],
+            F.lit(True).alias("__new"),
+        )
+        merged = target.join(incoming, on, "full_outer").select(
+            *[_q(c) for c in st.primary_key],
+            *[
+                F.when(F.col("__new").isNotNull(), F.col(f"`__new_{c}`")).otherwise(_q(c)).alias(c)
+                for c in values
+            ],
+            F.col(BUCKET),
+        )
         (
-            self.spark.read.schema(with_bucket)
-            .parquet(staged_path)
+            merged.observe(obs, F.count(F.lit(1)).alias("rows"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(BUCKET)
