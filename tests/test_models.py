@@ -129,3 +129,12 @@ def test_customer_without_events_or_orders_and_null_keys(spark):
         (1, 0, 0, "0.00"),
         (None, 0, 0, "0.00"),
     ]
+
+
+def test_views_for_sql_users(spark, demo_mart):
+    from tidepool.plans.models import register_views
+    from tidepool.sources.tables import raw_tables
+
+    register_views(spark, raw_tables(spark, "/root/testdata/sf0.001"))
+    n = spark.sql("SELECT count(*) AS n FROM customer_activity").first().n
+    assert n == spark.sql("SELECT count(*) AS n FROM stg_customers").first().n > 0

@@ -40,7 +40,6 @@ from tidepool.session import scratch_dir
 
 DISPOSITIONS = ("append", "replace", "merge", "insert_ignore")
 BUCKET = "_bucket"
-DEFAULT_BUCKETS = 64
 
 AUDIT_SCHEMA = StructType(
     [
@@ -164,10 +163,13 @@ def evolve(target: StructType | None, batch: DataFrame) -> tuple[StructType, Dat
 class Warehouse:
     """Parquet tables under ``root`` with versioned replace and an audit table."""
 
-    def __init__(self, spark: SparkSession, root: str | None = None, buckets: int = DEFAULT_BUCKETS):
+    def __init__(self, spark: SparkSession, root: str | None = None, buckets: int | None = None):
+        """``buckets``: bucket count given to new keyed tables (fixed for the table's
+        life); by default the session's shuffle parallelism.  Size it so one bucket of
+        the full table is a comfortable task (~0.5-1 GB)."""
         self.spark = spark
         self.root = (root or scratch_dir(spark, "warehouse")).rstrip("/")
-        self.buckets = buckets
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     # -- catalog ------------------------------------------------------------------
 

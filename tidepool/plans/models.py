@@ -108,3 +108,19 @@ def build_mart(raw: dict[str, DataFrame]) -> DataFrame:
         stg_events(raw["events"]),
         stg_orders(raw["orders"]),
     )
+
+
+def register_views(spark, raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Staging models and the mart as temp views (``stg_customers``, ``stg_events``,
+    ``stg_orders``, ``customer_activity``) for SQL users; all stay lazy."""
+    views = {
+        "stg_customers": stg_customers(raw["customers"]),
+        "stg_events": stg_events(raw["events"]),
+        "stg_orders": stg_orders(raw["orders"]),
+    }
+    views["customer_activity"] = customer_activity(
+        views["stg_customers"], views["stg_events"], views["stg_orders"]
+    )
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return views
