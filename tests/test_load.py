@@ -109,3 +109,15 @@ def test_landing_files_load_once(spark, wh, tmp_path):
     third = ingest_new_files(spark, f"{inbox}/**/*.parquet", "parquet", SCHEMA, wh, "ds", "land", ckpt)
     assert third.rows_loaded == 2
     assert wh.read("ds", "land").count() == 3
+
+
+def test_bucket_count_is_a_table_property_and_vacuum(spark, wh):
+    b = spark.createDataFrame([(i, "n", 1.0, 1) for i in range(20)], SCHEMA)
+    wh.load(b, "ds", "v", "replace", primary_key=["id"], buckets=3)
+    wh.load(b, "ds", "v", "merge")
+    assert wh.state("ds", "v").buckets == 3
+    wh.load(b, "ds", "v", "replace")
+    wh.load(b, "ds", "v", "replace")
+    removed = wh.vacuum("ds", "v", keep=1)
+    assert len(removed) == 2
+    assert wh.read("ds", "v").count() == 20

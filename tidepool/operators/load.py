@@ -178,9 +178,7 @@ class Warehouse:
         return f"{self.root}/_loads"
 
     def _path_exists(self, path: str) -> bool:
-        jvm = self.spark._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = jpath.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs, jpath = self._fs(path)
         return fs.exists(jpath)
 
     def audit(self) -> DataFrame:
@@ -239,6 +237,34 @@ class Warehouse:
             names.append(name)
         return names
 
+    def _fs(self, path: str):
+        jvm = self.spark._jvm
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        return jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()), jpath
+
+    def vacuum(self, dataset: str, table: str, keep: int = 2) -> list[str]:
+        """Delete versions of a table older than its ``keep`` most recent ones.
+
+        Only folders that the audit table names as versions of this table are
+        touched (a bounded list of paths; metadata operations on the driver).
+        """
+        versions = [
+            r.version_path
+            for r in self.audit()
+            .where((F.col("dataset") == dataset) & (F.col("table_name") == table))
+            .groupBy("version_path")
+            .agg(F.max("load_seq").alias("seq"))
+            .orderBy(F.desc("seq"))
+            .collect()
+        ]
+        removed = []
+        for path in versions[keep:]:
+            fs, jpath = self._fs(path)
+            if fs.exists(jpath):
+                fs.delete(jpath, True)
+                removed.append(path)
+        return removed
+
     # -- writes -------------------------------------------------------------------
 
     def _new_version(self, dataset: str, table: str, load_id: str) -> str:
@@ -274,7 +300,15 @@ class Warehouse:
         order_by: tuple[str, ...] | list[str] = (),
         cursor_column: str | None = None,
         source: str | None = None,
+        buckets: int | None = None,
     ) -> LoadResult:
+        """Load ``df`` into ``dataset.table``.
+
+        ``buckets`` applies when a keyed table is created (or replaced); later loads
+        keep the table's bucket count.  ``rows_in`` is observed before
+        de-duplication (a map-stage retry after an executor loss may over-count it);
+        ``rows_loaded`` is observed in the writing stage and is exact.
+        """
         if disposition not in DISPOSITIONS:
             raise LoadError(f"write_disposition must be one of {', '.join(DISPOSITIONS)}")
         pk = tuple(primary_key or ())
@@ -289,7 +323,12 @@ class Warehouse:
         cursor_aggs = [F.max(_q(cursor_column)).cast("string").alias("cursor_max")] if cursor_column else []
         batch = df.observe(batch_obs, F.count(F.lit(1)).alias("rows_in"), *cursor_aggs)
 
-        buckets = (st.buckets if st is not None else None) or (self.buckets if pk else None)
+        if not pk:
+            buckets = None
+        elif st is not None and st.buckets and disposition != "replace":
+            buckets = st.buckets
+        else:
+            buckets = buckets or (st.buckets if st is not None else None) or self.buckets
         target_schema = None if (st is None or disposition == "replace") else st.schema
         schema, aligned = evolve(target_schema, batch)
         if disposition in ("merge", "insert_ignore"):

@@ -39,6 +39,7 @@ def ingest(
                 order_by=read.order_by,
                 cursor_column=read.cursor,
                 source=spec.name,
+                buckets=read.buckets,
             )
         )
     return IngestReport(spec.name, spec.type, spec.dataset_name, loads)

@@ -27,6 +27,7 @@ class TableRead:
     primary_key: tuple[str, ...] = ()
     order_by: tuple[str, ...] = ()
     cursor: str | None = None
+    buckets: int | None = None
 
 
 ReaderFn = Callable[[SparkSession, SourceSpec], dict[str, TableRead]]
@@ -69,6 +70,7 @@ def _hints(spec: SourceSpec, table: dict) -> dict:
         "primary_key": tuple([pk] if isinstance(pk, str) else pk),
         "order_by": tuple([order] if isinstance(order, str) else order),
         "cursor": table.get("cursor", spec.options.get("cursor")),
+        "buckets": table.get("buckets", spec.options.get("buckets")),
     }
 
 
@@ -126,6 +128,8 @@ def database_reader(spark: SparkSession, spec: SourceSpec) -> dict[str, TableRea
         raise ConfigurationError(f"{spec.name}.table_names must be a non-empty list")
     connection = jdbc.jdbc_connection(engine, os.environ[env])
     chunk = int(opts.get("chunk_size", jdbc.DEFAULT_CHUNK_SIZE))
+    if not isinstance(opts.get("include_views", False), bool):
+        raise ConfigurationError(f"{spec.name}.include_views must be true or false")
     partitioning = opts.get("partitioning") or {}
     out = {}
     for name in names:
