@@ -121,3 +121,16 @@ def test_bucket_count_is_a_table_property_and_vacuum(spark, wh):
     removed = wh.vacuum("ds", "v", keep=1)
     assert len(removed) == 2
     assert wh.read("ds", "v").count() == 20
+
+
+def test_catalog_tables_follow_versions(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "cat"), buckets=2, catalog=True)
+    b = spark.createDataFrame([(1, "a", 1.0, 1), (2, "b", 2.0, 1)], SCHEMA)
+    wh.load(b, "raw_cat", "keyed", "replace", primary_key=["id"])
+    wh.load(b.limit(1), "raw_cat", "plain", "replace")
+    assert spark.sql("SELECT count(*) AS n FROM raw_cat.keyed").first().n == 2
+    wh.load(spark.createDataFrame([(3, "c", 3.0, 1)], SCHEMA), "raw_cat", "keyed", "merge")
+    assert spark.sql("SELECT count(*) AS n FROM raw_cat.keyed").first().n == 3
+    wh.load(b, "raw_cat", "plain", "replace")
+    assert spark.sql("SELECT count(*) AS n FROM raw_cat.plain").first().n == 2
+    assert sorted(wh.register_catalog()) == ["raw_cat.keyed", "raw_cat.plain"]

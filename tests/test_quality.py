@@ -36,3 +36,13 @@ def test_build_stops_before_dependents(spark):
     assert built == ["raw"]
     report = quality.run_build(steps, fail_fast=False)
     assert [(r["test"], r["passed"]) for r in report.results] == [("not_null", False), ("unique", True)]
+
+
+def test_project_build_stops_on_failing_source(spark):
+    from tidepool.plans.build import build_project
+
+    customers = spark.createDataFrame([(None, "x", "s")], "customer_id long, name string, segment string")
+    events = spark.createDataFrame([], "event_id long, customer_id long, event_name string, occurred_at timestamp_ntz")
+    orders = spark.createDataFrame([], "order_id long, customer_id long, amount double, ordered_at string")
+    with pytest.raises(quality.DataTestFailure, match="customers.customer_id"):
+        build_project({"customers": customers, "events": events, "orders": orders})

@@ -163,13 +163,20 @@ def evolve(target: StructType | None, batch: DataFrame) -> tuple[StructType, Dat
 class Warehouse:
     """Parquet tables under ``root`` with versioned replace and an audit table."""
 
-    def __init__(self, spark: SparkSession, root: str | None = None, buckets: int | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str | None = None,
+        buckets: int | None = None,
+        catalog: bool = False,
+    ):
         """``buckets``: bucket count given to new keyed tables (fixed for the table's
         life); by default the session's shuffle parallelism.  Size it so one bucket of
         the full table is a comfortable task (~0.5-1 GB)."""
         self.spark = spark
         self.root = (root or scratch_dir(spark, "warehouse")).rstrip("/")
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.catalog = catalog  # keep `dataset.table` catalog entries current
 
     # -- catalog ------------------------------------------------------------------
 
@@ -222,21 +229,50 @@ class Warehouse:
         df = self._read_version(st)
         return df.drop(BUCKET) if st.buckets else df
 
+    def _tables(self) -> list[tuple[str, str]]:
+        """(dataset, table) of every table in the audit (bounded by table count)."""
+        return [
+            (r.dataset, r.table_name)
+            for r in self.audit().select("dataset", "table_name").distinct().collect()
+        ]
+
     def register_views(self) -> list[str]:
         """Temp views ``<dataset>___<table>`` over every table's current version."""
         names = []
-        latest = (
-            self.audit()
-            .groupBy("dataset", "table_name")
-            .agg(F.max("load_seq").alias("s"))
-            .collect()
-        )
-        for r in latest:
-            name = f"{r.dataset}___{r.table_name}"
-            self.read(r.dataset, r.table_name).createOrReplaceTempView(name)
+        for dataset, table in self._tables():
+            name = f"{dataset}___{table}"
+            self.read(dataset, table).createOrReplaceTempView(name)
             names.append(name)
         return names
 
+    def register_table(self, dataset: str, table: str) -> str:
+        """Point the catalog table ``dataset.table`` at the current version.
+
+        The entry is external (``LOCATION``): dropping and re-creating it is a
+        metadata operation that never touches data files.
+        """
+        st = self.state(dataset, table)
+        if st is None:
+            raise LoadError(f"Table does not exist: {dataset}.{table}")
+        name = f"`{dataset}`.`{table}`"
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in st.schema.fields)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{dataset}`")
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        location = st.version_path.replace("'", "\\'")
+        if st.buckets:
+            self.spark.sql(
+                f"CREATE TABLE {name} ({cols}, `{BUCKET}` int) USING parquet "
+                f"PARTITIONED BY (`{BUCKET}`) LOCATION '{location}'"
+            )
+            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        else:
+            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet LOCATION '{location}'")
+        return f"{dataset}.{table}"
+
+    def register_catalog(self) -> list[str]:
+        """Re-create every table's catalog entry (e.g. in a new session)."""
+        return [self.register_table(d, t) for d, t in self._tables()]
+
     def _fs(self, path: str):
         jvm = self.spark._jvm
         jpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -368,6 +404,8 @@ class Warehouse:
             cursor_max=cursor_max,
             loaded_at=dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
         )
+        if self.catalog:
+            self.register_table(dataset, table)
         return LoadResult(load_id, dataset, table, disposition, int(metrics.get("rows_in", 0)), int(rows), version)
 
     def _merge(self, st, schema, batch, disposition, obs, buckets) -> int:

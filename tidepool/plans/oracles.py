@@ -121,6 +121,10 @@ ORACLES: dict[str, str] = {
     "report_suite_filtered": _over_mart(SUITE_BODY, FILTER_SEGMENT),
     "dq_not_null": f"WITH mart AS ({MART}) {NOT_NULL_SOURCES} UNION ALL {NOT_NULL_MART}",
     "dq_unique": f"WITH mart AS ({MART}) {UNIQUE_MART} UNION ALL {UNIQUE_EVENTS}",
+    "dq_build": (
+        f"WITH mart AS ({MART}), r AS ({NOT_NULL_SOURCES} UNION ALL {NOT_NULL_MART} "
+        f"UNION ALL {UNIQUE_MART}) SELECT *, failures = 0 AS passed FROM r"
+    ),
     "dq_suite": (
         f"WITH mart AS ({MART}), r AS ({NOT_NULL_SOURCES} UNION ALL {NOT_NULL_MART} "
         f"UNION ALL {UNIQUE_MART}) SELECT *, failures = 0 AS passed FROM r"

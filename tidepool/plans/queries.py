@@ -107,6 +107,12 @@ def q_dq_unique(spark, d):
     )
 
 
+def q_dq_build(spark, d):
+    from tidepool.plans.build import build_project, results_frame
+
+    return results_frame(spark, build_project(raw_tables(spark, d)))
+
+
 def q_dq_suite(spark, d):
     raw = raw_tables(spark, d)
     return quality.suite_results(raw, models.build_mart(raw))
@@ -141,6 +147,7 @@ QUERIES: dict[str, QueryFn] = {
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
     "dq_suite": q_dq_suite,
+    "dq_build": q_dq_build,
 }
 
 
