@@ -134,3 +134,43 @@ def test_catalog_tables_follow_versions(spark, tmp_path):
     wh.load(b, "raw_cat", "plain", "replace")
     assert spark.sql("SELECT count(*) AS n FROM raw_cat.plain").first().n == 2
     assert sorted(wh.register_catalog()) == ["raw_cat.keyed", "raw_cat.plain"]
+
+
+def test_delete_insert_replaces_all_rows_of_a_key(spark, wh):
+    s = "pk long, idx long, v string"
+    wh.load(spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (2, 0, "c")], s), "ds", "c", "delete_insert", primary_key=["pk"])
+    wh.load(spark.createDataFrame([(1, 0, "z")], s), "ds", "c", "delete_insert")
+    assert rows(wh.read("ds", "c"), "pk", "idx", "v") == [(1, 0, "z"), (2, 0, "c")]
+
+
+def test_ingest_splits_lists_into_child_tables(spark, tmp_path):
+    import json
+
+    from tidepool.plans.ingest import ingest
+    from tidepool.spec import parse_source_specs
+
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    (inbox / "o.json").write_text(json.dumps([
+        {"orderId": 1, "customer": {"id": 7}, "lines": [{"sku": "a", "qty": 1}, {"sku": "b", "qty": 2}]},
+        {"orderId": 2, "customer": {"id": 8}, "lines": [{"sku": "c", "qty": 3}]},
+    ]))
+    (inbox / "later.json").write_text(json.dumps([
+        {"orderId": 1, "customer": {"id": 7}, "lines": [{"sku": "a", "qty": 5}]},
+    ]))
+    wh = Warehouse(spark, str(tmp_path / "wh"), buckets=2)
+
+    def run(glob):
+        [spec] = parse_source_specs({"version": 1, "sources": [{
+            "name": "shop", "type": "filesystem", "write_disposition": "merge", "bucket_url": str(inbox),
+            "tables": [{"name": "orders", "file_glob": glob, "format": "json", "primary_key": "order_id"}]}]})
+        return ingest(spark, spec, wh)
+
+    run("o.json")
+    parent = wh.read("raw_shop", "orders")
+    assert sorted(parent.columns) == ["_row_key", "customer__id", "order_id"]
+    assert wh.read("raw_shop", "orders__lines").count() == 3
+    run("later.json")
+    lines = wh.read("raw_shop", "orders__lines").join(
+        wh.read("raw_shop", "orders").withColumnRenamed("_row_key", "_parent_key"), "_parent_key")
+    assert rows(lines, "order_id", "_idx", "sku", "qty") == [(1, 0, "a", 5), (2, 0, "c", 3)]

@@ -56,3 +56,18 @@ def test_child_table_of_objects(spark):
     df = spark.createDataFrame([(1, [(10, "a")])], "id long, items array<struct<qty:int, sku:string>>")
     row = child_table(df, ["id"], "items").first()
     assert (row.qty, row.sku, row._idx) == (10, "a", 0)
+
+
+def test_split_tables_recurses_into_nested_lists(spark):
+    from tidepool.plans.ingest import split_tables
+
+    df = spark.createDataFrame(
+        [(1, [(("x", "y"),)])], "id long, items array<struct<tags: array<string>>>"
+    )
+    parts = {p.name: p for p in split_tables("t", df, ("id",))}
+    assert sorted(parts) == ["t", "t__items", "t__items__tags"]
+    assert parts["t__items__tags"].primary_key == ("_parent_key",)
+    tags = parts["t__items__tags"].df.orderBy("_idx").collect()
+    assert [r.value for r in tags] == ["x", "y"]
+    item_key = parts["t__items"].df.first()._row_key
+    assert {r._parent_key for r in tags} == {item_key}

@@ -38,7 +38,10 @@ from pyspark.sql.types import (
 
 from tidepool.session import scratch_dir
 
-DISPOSITIONS = ("append", "replace", "merge", "insert_ignore")
+# append | replace | merge (upsert, last record wins) | insert_ignore (keep existing)
+# | delete_insert (all rows of the batch's keys replace all rows of those keys)
+DISPOSITIONS = ("append", "replace", "merge", "insert_ignore", "delete_insert")
+KEYED = ("merge", "insert_ignore", "delete_insert")
 BUCKET = "_bucket"
 
 AUDIT_SCHEMA = StructType(
@@ -337,13 +340,16 @@ class Warehouse:
         cursor_column: str | None = None,
         source: str | None = None,
         buckets: int | None = None,
+        dedupe: bool = True,
     ) -> LoadResult:
         """Load ``df`` into ``dataset.table``.
 
         ``buckets`` applies when a keyed table is created (or replaced); later loads
         keep the table's bucket count.  ``rows_in`` is observed before
         de-duplication (a map-stage retry after an executor loss may over-count it);
-        ``rows_loaded`` is observed in the writing stage and is exact.
+        ``rows_loaded`` is observed in the writing stage and is exact.  ``dedupe``
+        (merge / insert_ignore) keeps one row per key; child tables keyed by their
+        parent turn it off so that all elements of a parent move together.
         """
         if disposition not in DISPOSITIONS:
             raise LoadError(f"write_disposition must be one of {', '.join(DISPOSITIONS)}")
@@ -351,7 +357,7 @@ class Warehouse:
         st = self.state(dataset, table)
         if st is not None and st.primary_key and not pk:
             pk = st.primary_key
-        if disposition in ("merge", "insert_ignore") and not pk:
+        if disposition in KEYED and not pk:
             raise LoadError(f"{disposition} into {dataset}.{table} needs a primary_key")
 
         load_id = uuid.uuid4().hex[:16]
@@ -367,7 +373,7 @@ class Warehouse:
             buckets = buckets or (st.buckets if st is not None else None) or self.buckets
         target_schema = None if (st is None or disposition == "replace") else st.schema
         schema, aligned = evolve(target_schema, batch)
-        if disposition in ("merge", "insert_ignore"):
+        if disposition in ("merge", "insert_ignore") and dedupe:
             aligned = dedupe_last(aligned, pk, tuple(order_by))
         if buckets:
             aligned = aligned.withColumn(BUCKET, bucket_of(pk, buckets))
@@ -443,6 +449,11 @@ class Warehouse:
         if disposition == "insert_ignore":
             fresh = staged.join(target.select(*on), on, "left_anti")
             return self._write(fresh, st.version_path, "append", buckets, obs)
+        if disposition == "delete_insert":
+            # keys of the batch (distinct within each bucket partition: no exchange)
+            kept = target.join(staged.select(*on).distinct(), on, "left_anti")
+            self._overwrite_buckets(kept.unionByName(staged), st.version_path, obs)
+            return batch_rows
         values = [c for c in schema.fieldNames() if c not in st.primary_key]
         incoming = staged.select(
             *[_q(c) for c in on],
@@ -457,11 +468,15 @@ class Warehouse:
             ],
             F.col(BUCKET),
         )
+        self._overwrite_buckets(merged, st.version_path, obs)
+        return batch_rows
+
+    @staticmethod
+    def _overwrite_buckets(df: DataFrame, path: str, obs: Observation) -> None:
         (
-            merged.observe(obs, F.count(F.lit(1)).alias("rows"))
+            df.observe(obs, F.count(F.lit(1)).alias("rows"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(BUCKET)
-            .parquet(st.version_path)
+            .parquet(path)
         )
-        return batch_rows

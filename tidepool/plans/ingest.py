@@ -1,17 +1,41 @@
-"""Ingestion: read every table of an enabled source and load it into the warehouse
-with the source's write disposition, one audit record per table."""
+"""Ingestion: read every table of an enabled source, normalize it and load it into
+the warehouse with the source's write disposition, one audit record per table.
+
+Normalization follows the loader conventions: snake_case names, nested objects
+flattened to ``parent__child`` columns, and every list column moved to a child table
+``<table>__<column>`` (recursively) that references its parent row by
+``_parent_key``.  Child tables follow the parent's disposition; for a merged parent
+all elements of each incoming parent replace the stored ones (delete-insert), so a
+list that shrinks leaves no stale elements behind.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from tidepool.operators.load import LoadResult, Warehouse
-from tidepool.operators.normalize import flatten, normalize_names
-from tidepool.sources.registry import read_source
+from tidepool.operators.normalize import (
+    ROW_KEY,
+    child_table,
+    flatten,
+    normalize_names,
+    row_key,
+)
+from tidepool.sources.registry import TableRead, read_source
 from tidepool.spec import SourceSpec
 
+PARENT_KEY = "_parent_key"
+CHILD_DISPOSITION = {
+    "append": "append",
+    "replace": "replace",
+    "merge": "delete_insert",
+    "insert_ignore": "insert_ignore",
+}
+
 
 @dataclass(frozen=True)
 class IngestReport:
@@ -21,6 +45,66 @@ class IngestReport:
     loads: list[LoadResult]
 
 
+@dataclass(frozen=True)
+class TableLoad:
+    name: str
+    df: DataFrame
+    primary_key: tuple[str, ...]
+    child: bool
+
+
+def split_tables(name: str, df: DataFrame, primary_key: tuple[str, ...]) -> list[TableLoad]:
+    """The parent table without list columns, plus one child table per list column
+    (recursively for lists inside list elements)."""
+    df = flatten(df)
+    lists = [f.name for f in df.schema.fields if isinstance(f.dataType, ArrayType)]
+    if not lists:
+        return [TableLoad(name, df, primary_key, False)]
+    if ROW_KEY in df.columns:  # a child table: its rows are keyed already
+        keyed = df
+    elif primary_key:
+        keyed = df.withColumn(ROW_KEY, row_key(*primary_key))
+    else:  # content key: deterministic, unlike generated ids
+        content = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+        keyed = df.withColumn(ROW_KEY, F.sha2(content, 256))
+    out = [TableLoad(name, keyed.drop(*lists), primary_key, False)]
+    for col in lists:
+        child_name = f"{name}__{col}"
+        parent = keyed.select(F.col(ROW_KEY).alias(PARENT_KEY), F.col(f"`{col}`"))
+        child = child_table(parent, [PARENT_KEY], col)
+        for sub in split_tables(child_name, child, ()):
+            key = (PARENT_KEY,) if sub.name == child_name else sub.primary_key
+            out.append(TableLoad(sub.name, sub.df, key, True))
+    return out
+
+
+def load_table(
+    warehouse: Warehouse, spec: SourceSpec, table: str, read: TableRead, normalize: bool = True
+) -> list[LoadResult]:
+    df = normalize_names(read.df) if normalize else read.df
+    parts = split_tables(table, df, read.primary_key) if normalize else [TableLoad(table, df, read.primary_key, False)]
+    results = []
+    for part in parts:
+        disposition = spec.write_disposition
+        if part.child:
+            disposition = CHILD_DISPOSITION[disposition]
+        results.append(
+            warehouse.load(
+                part.df,
+                spec.dataset_name,
+                part.name,
+                disposition,
+                primary_key=part.primary_key or None,
+                order_by=() if part.child else read.order_by,
+                cursor_column=None if part.child else read.cursor,
+                source=spec.name,
+                buckets=read.buckets,
+                dedupe=not part.child,
+            )
+        )
+    return results
+
+
 def ingest(
     spark: SparkSession, spec: SourceSpec, warehouse: Warehouse, normalize: bool = True
 ) -> IngestReport:
@@ -28,20 +112,7 @@ def ingest(
         return IngestReport(spec.name, spec.type, spec.dataset_name, [])
     loads = []
     for table, read in read_source(spark, spec).items():
-        df = flatten(normalize_names(read.df)) if normalize else read.df
-        loads.append(
-            warehouse.load(
-                df,
-                spec.dataset_name,
-                table,
-                spec.write_disposition,
-                primary_key=read.primary_key or None,
-                order_by=read.order_by,
-                cursor_column=read.cursor,
-                source=spec.name,
-                buckets=read.buckets,
-            )
-        )
+        loads.extend(load_table(warehouse, spec, table, read, normalize))
     return IngestReport(spec.name, spec.type, spec.dataset_name, loads)
 
 

@@ -225,6 +225,11 @@ SCENARIO_ORACLES = {
                                 CAST(i - 1 AS VARCHAR))) AS _row_key
         FROM e
     """,
+    "ingest_child_tables": """
+        WITH c AS (SELECT conv_id, turn, string_split(text, chr(10)) AS parts FROM conversations),
+             e AS (SELECT conv_id, turn, parts, unnest(generate_series(1, len(parts))) AS i FROM c)
+        SELECT conv_id, turn, CAST(i - 1 AS BIGINT) AS _idx, parts[i] AS value FROM e
+    """,
     "adhoc_sum": (
         "SELECT count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS custkey_sum, "
         "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total FROM orders"

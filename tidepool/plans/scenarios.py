@@ -111,6 +111,43 @@ def q_ingest_multi_table(spark, d):
     return models.build_mart(raw)
 
 
+def q_ingest_child_tables(spark, d):
+    """Records with a list (each turn's text lines) -> parent + child table on ingest."""
+    conv = read_table(spark, d, "conversations").select(
+        "conv_id", "turn", "role", F.split(F.col("text"), "\n").alias("lines")
+    )
+    root = scratch_dir(spark, "conversations")
+    landing.land_jsonl(conv, f"{root}/conversations")
+    [spec] = parse_source_specs(
+        {
+            "version": 1,
+            "sources": [
+                {
+                    "name": "chat",
+                    "type": "filesystem",
+                    "write_disposition": "merge",
+                    "bucket_url": root,
+                    "tables": [
+                        {
+                            "name": "conversations",
+                            "file_glob": "conversations/*.json",
+                            "format": "jsonl",
+                            "primary_key": ["conv_id", "turn"],
+                        }
+                    ],
+                }
+            ],
+        }
+    )
+    wh = _wh(spark)
+    ingest(spark, spec, wh)
+    parent = wh.read("raw_chat", "conversations").select(
+        "conv_id", "turn", F.col("_row_key").alias("_parent_key")
+    )
+    child = wh.read("raw_chat", "conversations__lines")
+    return child.join(parent, "_parent_key").select("conv_id", "turn", "_idx", "value")
+
+
 def q_ingest_api_pages(spark, d):
     root = scratch_dir(spark, "api")
     landing.land_pages(raw_table(spark, d, "orders"), f"{root}/orders", "order_id")
@@ -344,6 +381,7 @@ SCENARIOS = {
     "scan_glob_recursive": q_scan_glob_recursive,
     "ingest_multi_table": q_ingest_multi_table,
     "ingest_api_pages": q_ingest_api_pages,
+    "ingest_child_tables": q_ingest_child_tables,
     "load_append": q_load_append,
     "load_replace": q_load_replace,
     "load_merge": q_load_merge,
