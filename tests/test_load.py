@@ -174,3 +174,13 @@ def test_ingest_splits_lists_into_child_tables(spark, tmp_path):
     lines = wh.read("raw_shop", "orders__lines").join(
         wh.read("raw_shop", "orders").withColumnRenamed("_row_key", "_parent_key"), "_parent_key")
     assert rows(lines, "order_id", "_idx", "sku", "qty") == [(1, 0, "a", 5), (2, 0, "c", 3)]
+
+
+def test_compact_audit_keeps_every_load(spark, wh):
+    b = spark.createDataFrame([(1, "a", 1.0, 1)], SCHEMA)
+    for _ in range(4):
+        wh.load(b, "ds", "t")
+    assert wh.compact_audit() == 4
+    assert wh.audit().count() == 4 and wh.read("ds", "t").count() == 4
+    wh.load(b, "ds", "t")
+    assert wh.state("ds", "t").load_seq == 5

@@ -304,6 +304,29 @@ class Warehouse:
                 removed.append(path)
         return removed
 
+    def compact_audit(self) -> int:
+        """Rewrite the audit table (one small file per load) as one file.
+
+        The compacted copy is appended first and only the files listed before are
+        deleted, so a concurrent reader sees every load at all times (possibly twice,
+        which the pointer lookup tolerates: it takes the highest ``load_seq``).
+        """
+        fs, jpath = self._fs(self.audit_path)
+        if not fs.exists(jpath):
+            return 0
+        old = [
+            st.getPath()
+            for st in fs.listStatus(jpath)
+            if st.getPath().getName().endswith(".parquet")
+        ]
+        if len(old) <= 1:
+            return len(old)
+        snapshot = self.spark.read.schema(AUDIT_SCHEMA).parquet(*[p.toString() for p in old])
+        snapshot.coalesce(1).write.mode("append").parquet(self.audit_path)
+        for path in old:
+            fs.delete(path, False)
+        return len(old)
+
     # -- writes -------------------------------------------------------------------
 
     def _new_version(self, dataset: str, table: str, load_id: str) -> str:
