@@ -196,29 +196,40 @@ class Warehouse:
             return self.spark.createDataFrame([], AUDIT_SCHEMA)
         return self.spark.read.schema(AUDIT_SCHEMA).parquet(self.audit_path)
 
-    def state(self, dataset: str, table: str) -> TableState | None:
-        rows = (
+    def _lookup(self, dataset: str, table: str) -> tuple[TableState | None, int]:
+        """The table's latest audit row and the warehouse's highest ``load_seq``, in
+        one aggregation over the (small) audit table."""
+        match = (F.col("dataset") == dataset) & (F.col("table_name") == table)
+        row = (
             self.audit()
-            .where((F.col("dataset") == dataset) & (F.col("table_name") == table))
-            .orderBy(F.desc("load_seq"))
-            .limit(1)
-            .collect()
+            .agg(
+                F.max("load_seq").alias("max_seq"),
+                F.max_by(F.struct(*AUDIT_SCHEMA.fieldNames()), F.when(match, F.col("load_seq"))).alias("latest"),
+            )
+            .first()
         )
-        if not rows:
-            return None
-        r = rows[0]
-        return TableState(
-            dataset=dataset,
-            table=table,
-            version_path=r.version_path,
-            schema=StructType.fromJson(json.loads(r.table_schema)),
-            primary_key=tuple(k for k in (r.primary_key or "").split(",") if k),
-            buckets=r.buckets,
-            cursor_column=r.cursor_column,
-            cursor_max=r.cursor_max,
-            load_seq=r.load_seq,
+        max_seq = (row.max_seq or 0) if row else 0
+        r = row.latest if row else None
+        if r is None or r.load_seq is None:
+            return None, max_seq
+        return (
+            TableState(
+                dataset=dataset,
+                table=table,
+                version_path=r.version_path,
+                schema=StructType.fromJson(json.loads(r.table_schema)),
+                primary_key=tuple(k for k in (r.primary_key or "").split(",") if k),
+                buckets=r.buckets,
+                cursor_column=r.cursor_column,
+                cursor_max=r.cursor_max,
+                load_seq=r.load_seq,
+            ),
+            max_seq,
         )
 
+    def state(self, dataset: str, table: str) -> TableState | None:
+        return self._lookup(dataset, table)[0]
+
     def _read_version(self, st: TableState) -> DataFrame:
         schema = st.schema
         if st.buckets:
@@ -332,10 +343,6 @@ class Warehouse:
     def _new_version(self, dataset: str, table: str, load_id: str) -> str:
         return f"{self.root}/{dataset}/{table}/v-{load_id}"
 
-    def _next_seq(self) -> int:
-        row = self.audit().agg(F.max("load_seq").alias("m")).first()
-        return (row.m or 0) + 1
-
     def _write(self, df: DataFrame, path: str, mode: str, buckets: int | None, obs: Observation):
         if buckets:  # whole buckets per task: one file per bucket, not per task
             df = df.repartition(buckets, BUCKET)
@@ -377,7 +384,7 @@ class Warehouse:
         if disposition not in DISPOSITIONS:
             raise LoadError(f"write_disposition must be one of {', '.join(DISPOSITIONS)}")
         pk = tuple(primary_key or ())
-        st = self.state(dataset, table)
+        st, max_seq = self._lookup(dataset, table)
         if st is not None and st.primary_key and not pk:
             pk = st.primary_key
         if disposition in KEYED and not pk:
@@ -418,7 +425,7 @@ class Warehouse:
             cursor_max = st.cursor_max
         self._record(
             load_id=load_id,
-            load_seq=self._next_seq(),
+            load_seq=max_seq + 1,
             source=source,
             dataset=dataset,
             table_name=table,
