@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from check_oracles import duck_connection, normalized
 from conftest import SMOKE_DIR
+from test_plans import FORBIDDEN
 
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
@@ -29,6 +30,8 @@ def test_entry_returns_mart(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SMOKE_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [op for op in FORBIDDEN if op in plan]
     rows = [tuple(r) for r in df.collect()]
     res = duck.execute(ORACLES[name])
     ocols = [d[0] for d in res.description]

@@ -6,7 +6,7 @@ from __future__ import annotations
 import pytest
 
 from conftest import SMOKE_DIR
-from tidepool.plans.queries import QUERIES
+from tidepool.plans.queries import CORE_QUERIES as QUERIES
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
 
