@@ -184,3 +184,22 @@ def test_compact_audit_keeps_every_load(spark, wh):
     assert wh.audit().count() == 4 and wh.read("ds", "t").count() == 4
     wh.load(b, "ds", "t")
     assert wh.state("ds", "t").load_seq == 5
+
+
+def test_ingest_with_cursor_is_incremental(spark, tmp_path):
+    from tidepool.plans.ingest import ingest
+    from tidepool.spec import parse_source_specs
+
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    (inbox / "a.jsonl").write_text('{"id": 1, "updatedAt": "2026-01-01T00:00:00"}\n{"id": 2, "updatedAt": "2026-01-02T00:00:00"}\n')
+    wh = Warehouse(spark, str(tmp_path / "wh"), buckets=2)
+    [spec] = parse_source_specs({"version": 1, "sources": [{
+        "name": "inc", "type": "filesystem", "bucket_url": str(inbox),
+        "tables": [{"name": "t", "file_glob": "*.jsonl", "format": "jsonl",
+                    "primary_key": "id", "cursor": "updatedAt"}]}]})
+    assert [r.rows_loaded for r in ingest(spark, spec, wh).loads] == [2]
+    assert [r.rows_loaded for r in ingest(spark, spec, wh).loads] == [0]
+    (inbox / "b.jsonl").write_text('{"id": 3, "updatedAt": "2026-01-03T00:00:00"}\n')
+    assert [r.rows_loaded for r in ingest(spark, spec, wh).loads] == [1]
+    assert wh.read("raw_inc", "t").count() == 3

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from tidepool.operators.incremental import pending_rows
 from tidepool.operators.load import LoadResult, Warehouse
 from tidepool.operators.normalize import (
     ROW_KEY,
@@ -24,6 +25,7 @@ from tidepool.operators.normalize import (
     flatten,
     normalize_names,
     row_key,
+    snake_case,
 )
 from tidepool.sources.registry import TableRead, read_source
 from tidepool.spec import SourceSpec
@@ -82,7 +84,13 @@ def load_table(
     warehouse: Warehouse, spec: SourceSpec, table: str, read: TableRead, normalize: bool = True
 ) -> list[LoadResult]:
     df = normalize_names(read.df) if normalize else read.df
-    parts = split_tables(table, df, read.primary_key) if normalize else [TableLoad(table, df, read.primary_key, False)]
+    cursor = (snake_case(read.cursor) if normalize else read.cursor) if read.cursor else None
+    if cursor:  # incremental: only rows at or after the table's high-water mark
+        df = pending_rows(df, warehouse, spec.dataset_name, table, cursor, read.primary_key)
+    if normalize:
+        parts = split_tables(table, df, read.primary_key)
+    else:
+        parts = [TableLoad(table, df, read.primary_key, False)]
     results = []
     for part in parts:
         disposition = spec.write_disposition
@@ -96,7 +104,7 @@ def load_table(
                 disposition,
                 primary_key=part.primary_key or None,
                 order_by=() if part.child else read.order_by,
-                cursor_column=None if part.child else read.cursor,
+                cursor_column=None if part.child else cursor,
                 source=spec.name,
                 buckets=read.buckets,
                 dedupe=not part.child,

@@ -66,6 +66,10 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> dict[str, TableRead]:
 def _hints(spec: SourceSpec, table: dict) -> dict:
     pk = table.get("primary_key", spec.options.get("primary_key")) or ()
     order = table.get("order_by", spec.options.get("order_by")) or ()
+    endpoint = table.get("endpoint") if isinstance(table.get("endpoint"), dict) else {}
+    incremental = endpoint.get("incremental") or table.get("incremental") or {}
+    if isinstance(incremental, dict) and incremental.get("cursor_path") and not table.get("cursor"):
+        table = {**table, "cursor": incremental["cursor_path"]}
     return {
         "primary_key": tuple([pk] if isinstance(pk, str) else pk),
         "order_by": tuple([order] if isinstance(order, str) else order),
