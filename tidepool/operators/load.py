@@ -174,11 +174,12 @@ class Warehouse:
         catalog: bool = False,
     ):
         """``buckets``: bucket count given to new keyed tables (fixed for the table's
-        life); by default the session's shuffle parallelism.  Size it so one bucket of
-        the full table is a comfortable task (~0.5-1 GB)."""
+        life); by default one per core of the cluster (``defaultParallelism``) so a
+        merge runs on every core.  For large tables set it explicitly (spec option
+        ``buckets``) so one bucket of the full table is ~1 GB."""
         self.spark = spark
         self.root = (root or scratch_dir(spark, "warehouse")).rstrip("/")
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = buckets or spark.sparkContext.defaultParallelism
         self.catalog = catalog  # keep `dataset.table` catalog entries current
 
     # -- catalog ------------------------------------------------------------------
