@@ -11,6 +11,9 @@ Accepted inputs (fixed list; anything else that is not NULL raises):
   ``2026-08-01T12:00:00+02:00``) -- converted to UTC
 * integer epoch seconds (``1754042400``)
 * day-first ``dd/MM/yyyy HH:mm:ss``, ``dd/MM/yyyy HH:mm`` and ``dd/MM/yyyy``
+
+Every route is free of the session time zone, including wall-clock times that fall
+into a daylight-saving gap of that zone.
 """
 
 from __future__ import annotations
@@ -19,8 +22,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, TimestampNTZType, TimestampType
 
-# Formats and patterns accepted by the parser.
-DAY_FIRST_FORMATS = ("dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm", "dd/MM/yyyy")
+# Patterns accepted by the parser.
+DAY_FIRST_PATTERN = r"^(\d{1,2})/(\d{1,2})/(\d{4})(?:[ T](\d{1,2}):(\d{2})(?::(\d{2}))?)?$"
 ZONED_PATTERN = r"\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|z|[+-]\d{2}(:?\d{2})?)$"
 EPOCH_PATTERN = r"^-?\d{1,12}$"
 
@@ -42,6 +45,37 @@ def _truncate_to_second(ts: Column) -> Column:
     )
 
 
+def _day_first(s: Column) -> Column:
+    """``dd/MM/yyyy[ HH:mm[:ss]]`` built from its fields (no session zone involved;
+    invalid dates give NULL)."""
+
+    def part(i: int, default: int | None = None) -> Column:
+        v = F.regexp_extract(s, DAY_FIRST_PATTERN, i)
+        v = F.when(v == "", F.lit(None)).otherwise(v).cast("int")
+        return v if default is None else F.coalesce(v, F.lit(default))
+
+    return F.when(
+        s.rlike(DAY_FIRST_PATTERN),
+        F.try_make_timestamp_ntz(part(3), part(2), part(1), part(4, 0), part(5, 0), part(6, 0)),
+    )
+
+
+def format_ntz(ts: Column | str, date_sep: str = "-", time_sep: str = " ", day_first: bool = False,
+               seconds: bool = True) -> Column:
+    """Render a ``timestamp_ntz`` from its fields, independent of the session zone
+    (``date_format`` goes through the session zone and shifts wall-clock times that
+    fall into a daylight-saving gap)."""
+    t = F.col(ts) if isinstance(ts, str) else ts
+    if day_first:
+        date_fmt, date_args = f"%02d{date_sep}%02d{date_sep}%04d", [F.dayofmonth(t), F.month(t), F.year(t)]
+    else:
+        date_fmt, date_args = f"%04d{date_sep}%02d{date_sep}%02d", [F.year(t), F.month(t), F.dayofmonth(t)]
+    time_fmt, time_args = "%02d:%02d", [F.hour(t), F.minute(t)]
+    if seconds:
+        time_fmt, time_args = time_fmt + ":%02d", time_args + [F.second(t)]
+    return F.format_string(f"{date_fmt}{time_sep}{time_fmt}", *date_args, *time_args)
+
+
 def instant_to_utc_ntz(ts: Column) -> Column:
     """A ``timestamp`` (instant) as UTC wall-clock ``timestamp_ntz``."""
     return _utc_wall_clock_from_micros(F.unix_micros(ts))
@@ -68,9 +102,7 @@ def parse_datetime_best_effort(
     iso_plain = s.try_cast("timestamp_ntz")
     iso_zoned = instant_to_utc_ntz(s.try_cast("timestamp"))
     from_epoch = _utc_wall_clock_from_micros(s.try_cast("bigint") * F.lit(1_000_000))
-    day_first = F.coalesce(
-        *[F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz") for fmt in DAY_FIRST_FORMATS]
-    )
+    day_first = _day_first(s)
     parsed = (
         F.when(zoned, iso_zoned)
         .when(epoch, from_epoch)

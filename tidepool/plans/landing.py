@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.functions.datetime import format_ntz
 from tidepool.sources.tables import raw_table, read_table
 
 # Records per landed document / API page; text timestamps keep micros.
@@ -81,9 +82,7 @@ def land_pages(df: DataFrame, dest: str, order_key: str, page_size: int = PAGE_S
 def orders_with_string_timestamps(spark: SparkSession, data_dir: str) -> DataFrame:
     """Raw orders as a source would export them: ISO-8601 UTC strings."""
     o = raw_table(spark, data_dir, "orders")
-    return o.withColumn(
-        "ordered_at", F.date_format("ordered_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    )
+    return o.withColumn("ordered_at", F.concat(format_ntz("ordered_at", time_sep="T"), F.lit("Z")))
 
 
 def customers_messy_names(spark: SparkSession, data_dir: str) -> DataFrame:

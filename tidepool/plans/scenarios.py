@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.functions.datetime import parse_datetime_best_effort
+from tidepool.functions.datetime import format_ntz, parse_datetime_best_effort
 from tidepool.operators import normalize
 from tidepool.operators.incremental import load_incremental
 from tidepool.operators.load import Warehouse
@@ -352,14 +352,17 @@ def datetime_renderings(o: DataFrame) -> DataFrame:
     )
     # Priority -> rendering.
     rendered = (
-        F.when(F.col("o_orderpriority") == "1-URGENT", F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-        .when(F.col("o_orderpriority") == "2-HIGH", F.date_format(ts, "dd/MM/yyyy HH:mm"))
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(format_ntz(ts, time_sep="T"), F.lit("Z")))
+        .when(
+            F.col("o_orderpriority") == "2-HIGH",
+            format_ntz(ts, date_sep="/", day_first=True, seconds=False),
+        )
         .when(F.col("o_orderpriority") == "3-MEDIUM", epoch.cast("string"))
         .when(
             F.col("o_orderpriority") == "5-LOW",
-            F.concat(F.date_format(ts + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00")),
+            F.concat(format_ntz(ts + F.expr("INTERVAL 2 HOURS"), time_sep="T"), F.lit("+02:00")),
         )
-        .otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+        .otherwise(format_ntz(ts))
     )
     return o.select("o_orderkey", "o_orderpriority", rendered.alias("raw_value"))
 
