@@ -54,8 +54,10 @@ def land_documents(
     grouped = df.groupBy(doc.alias("doc")).agg(
         F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in df.columns]))).alias("recs")
     )
+    # arrays span several lines (one record per line), as exported documents do
+    lines = F.array_join(F.transform("recs", lambda r: F.to_json(r, JSON_OPTIONS)), ",\n  ")
     body = F.when(F.size("recs") == 1, F.to_json(F.col("recs")[0], JSON_OPTIONS)).otherwise(
-        F.to_json("recs", JSON_OPTIONS)
+        F.concat(F.lit("[\n  "), lines, F.lit("\n]"))
     )
     if records_path:
         for part in reversed(records_path.split(".")):

@@ -50,8 +50,8 @@ def document_records(
     """Lazy records with per-row validity flags (not yet validated)."""
     sel = select_files(pattern)
     reader = spark.read.options(**sel.options).options(**(options or {}))
-    reader = reader.option("wholetext", "true")
-    docs = reader.text(sel.path)
+    # the keyword, not an option: text() would reset the option to its own default
+    docs = reader.text(sel.path, wholetext=True)
     if sel.path_regex is not None:
         docs = docs.where(F.col("_metadata.file_path").rlike(sel.path_regex))
     docs = docs.select(
