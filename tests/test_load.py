@@ -203,3 +203,29 @@ def test_ingest_with_cursor_is_incremental(spark, tmp_path):
     (inbox / "b.jsonl").write_text('{"id": 3, "updatedAt": "2026-01-03T00:00:00"}\n')
     assert [r.rows_loaded for r in ingest(spark, spec, wh).loads] == [1]
     assert wh.read("raw_inc", "t").count() == 3
+
+
+def test_merge_reads_only_touched_buckets(spark, wh):
+    import glob as globmod
+    import os
+
+    from pyspark.sql import functions as F
+
+    from tidepool.operators.load import bucket_of
+
+    base = spark.range(200).selectExpr("id", "'x' AS name", "CAST(id AS DOUBLE) AS amt", "1 AS seq")
+    wh.load(base, "ds", "p", "merge", primary_key=["id"])
+    version = wh.state("ds", "p").version_path
+    hot = spark.createDataFrame([(7, "new", 0.0, 2)], SCHEMA)
+    touched = hot.select(bucket_of(("id",), 4)).first()[0]
+    for path in globmod.glob(f"{version}/_bucket=*/*.parquet"):
+        if f"_bucket={touched}/" not in path:  # corrupt every bucket the batch does not touch
+            with open(path, "wb") as fh:
+                fh.write(b"not parquet")
+            crc = os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.crc")
+            if os.path.exists(crc):
+                os.remove(crc)
+    wh.load(hot, "ds", "p", "merge")
+    bucket = spark.read.parquet(f"{version}/_bucket={touched}")
+    assert bucket.where(F.col("id") == 7).first().name == "new"
+    assert bucket.count() == base.where(bucket_of(("id",), 4) == touched).count()
