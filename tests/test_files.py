@@ -71,3 +71,19 @@ def test_csv_inference_and_gzip(spark, tmp_path):
     types = dict(df.dtypes)
     assert types["created_at"] == "timestamp_ntz" and types["id"] == "int"
     assert sorted(r.id for r in df.collect()) == [1, 2]
+
+
+def test_parquet_files_with_added_column(spark, tmp_path):
+    spark.createDataFrame([(1,)], "id long").write.parquet(str(tmp_path / "p" / "a"))
+    spark.createDataFrame([(2, "x")], "id long, note string").write.parquet(str(tmp_path / "p" / "b"))
+    df = read_files(spark, f"{tmp_path}/p/**/*.parquet", "parquet")
+    assert sorted((r.id, r.note) for r in df.collect()) == [(1, None), (2, "x")]
+
+
+def test_csv_with_reordered_header_fails_closed(spark, tmp_path):
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "a.csv").write_text("id,name\n1,Ada\n", encoding="utf-8")
+    (tmp_path / "c" / "b.csv").write_text("name,id\nGrace,2\n", encoding="utf-8")
+    df = read_files(spark, f"{tmp_path}/c/*.csv", "csv")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        df.collect()

@@ -156,7 +156,9 @@ def read_files(
     if schema is not None:
         reader = reader.schema(schema)
     if fmt in ("csv", "csv.gz"):
-        reader = reader.option("header", "true")
+        # every file's header is checked against the schema: a file with reordered
+        # or renamed columns fails instead of being mapped by position
+        reader = reader.option("header", "true").option("enforceSchema", "false")
         if schema is None:
             reader = reader.option("inferSchema", "true")
         with _ntz_inference(spark):
@@ -167,6 +169,10 @@ def read_files(
         with _ntz_inference(spark):
             df = _apply_selection(reader.json, sel)
     elif fmt == "parquet":
+        if schema is None and "mergeSchema" not in (options or {}):
+            # files of one source may have gained columns over time: union the
+            # footers (read in parallel) instead of trusting one file's schema
+            reader = reader.option("mergeSchema", "true")
         df = _apply_selection(reader.parquet, sel)
     else:
         raise ValueError(f"Unsupported file format: {fmt}")
