@@ -256,14 +256,21 @@ ORDERS_SCHEMA = "order_id bigint, customer_id bigint, amount double, ordered_at
 
 
 def q_load_incremental_files(spark, d):
+    """Files arrive in two batches; three runs load batch 1, batch 2, then nothing."""
     o, wh = _orders(spark, d), _wh(spark)
     inbox, checkpoint = scratch_dir(spark, "landing"), scratch_dir(spark, "stream-checkpoint")
+
+    def run():
+        return ingest_new_files(
+            spark, f"{inbox}/**/*.parquet", "parquet", ORDERS_SCHEMA, wh, "raw", "orders", checkpoint
+        )
+
     _first(o).write.parquet(f"{inbox}/batch=1")
-    runs = [ingest_new_files(spark, f"{inbox}/**/*.parquet", "parquet", ORDERS_SCHEMA, wh, "raw", "orders", checkpoint)]
-    o.where(F.col("ordered_at") >= F.lit(FIRST_BATCH_END).cast("timestamp_ntz")).write.parquet(f"{inbox}/batch=2")
-    runs.append(ingest_new_files(spark, f"{inbox}/**/*.parquet", "parquet", ORDERS_SCHEMA, wh, "raw", "orders", checkpoint))
-    runs.append(ingest_new_files(spark, f"{inbox}/**/*.parquet", "parquet", ORDERS_SCHEMA, wh, "raw", "orders", checkpoint))
-    if runs[-1].rows_loaded:
+    run()
+    later = F.col("ordered_at") >= F.lit(FIRST_BATCH_END).cast("timestamp_ntz")
+    o.where(later).write.parquet(f"{inbox}/batch=2")
+    run()
+    if run().rows_loaded:
         raise RuntimeError("a rerun without new files loaded rows")
     return wh.read("raw", "orders")
 
