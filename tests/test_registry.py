@@ -78,3 +78,56 @@ def test_object_store_options():
     assert s3a_options({"aws_session_token": "T"})["fs.s3a.aws.credentials.provider"].endswith(
         "TemporaryAWSCredentialsProvider"
     )
+
+
+class _FakeReader:
+    def __init__(self, log):
+        self.opts, self.log = {}, log
+
+    def format(self, name):
+        self.opts["format"] = name
+        return self
+
+    def option(self, key, value):
+        self.opts[key] = value
+        return self
+
+    def options(self, **kw):
+        self.opts.update(kw)
+        return self
+
+    def load(self):
+        self.log.append(dict(self.opts))
+        return self
+
+    def first(self):
+        return (10, 990)
+
+
+class _FakeSpark:
+    def __init__(self):
+        self.log = []
+
+        class _Ctx:
+            defaultParallelism = 8
+
+        self.sparkContext = _Ctx()
+
+    @property
+    def read(self):
+        return _FakeReader(self.log)
+
+
+def test_partitioned_jdbc_read_options():
+    fake = _FakeSpark()
+    conn = jdbc.jdbc_connection("postgresql", "postgresql://u:p@db/shop")
+    jdbc.read_jdbc_table(fake, conn, "public.orders", chunk_size=1000, partition_column="order_id")
+    bounds, table = fake.log
+    assert "dbtable" not in bounds and bounds["query"].startswith("SELECT MIN(order_id)")
+    assert "query" not in table
+    assert (table["dbtable"], table["partitionColumn"], table["lowerBound"], table["upperBound"]) == (
+        "public.orders", "order_id", "10", "990"
+    )
+    assert (table["numPartitions"], table["fetchsize"], table["url"]) == ("8", "1000", "jdbc:postgresql://db:5432/shop")
+    jdbc.read_jdbc_table(fake, conn, "public.small")
+    assert fake.log[-1]["dbtable"] == "public.small" and "partitionColumn" not in fake.log[-1]

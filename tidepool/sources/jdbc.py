@@ -52,11 +52,14 @@ def read_jdbc_table(
     partition_column: str | None = None,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    base = spark.read.format("jdbc").options(**connection).option("fetchsize", str(chunk_size))
+    def reader():  # a fresh reader per read: option() mutates the reader it returns
+        return spark.read.format("jdbc").options(**connection).option("fetchsize", str(chunk_size))
+
     if not partition_column:
-        return base.option("dbtable", table).load()
+        return reader().option("dbtable", table).load()
     bounds = (
-        base.option(
+        reader()
+        .option(
             "query",
             f"SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {table}",
         )
@@ -64,9 +67,10 @@ def read_jdbc_table(
         .first()
     )
     if bounds is None or bounds[0] is None:
-        return base.option("dbtable", table).load()
+        return reader().option("dbtable", table).load()
     return (
-        base.option("dbtable", table)
+        reader()
+        .option("dbtable", table)
         .option("partitionColumn", partition_column)
         .option("lowerBound", str(bounds[0]))
         .option("upperBound", str(bounds[1]))
