@@ -229,3 +229,22 @@ def test_merge_reads_only_touched_buckets(spark, wh):
     bucket = spark.read.parquet(f"{version}/_bucket={touched}")
     assert bucket.where(F.col("id") == 7).first().name == "new"
     assert bucket.count() == base.where(bucket_of(("id",), 4) == touched).count()
+
+
+def test_replayed_landing_batch_is_not_loaded_twice(spark, wh, tmp_path):
+    import shutil
+
+    inbox, ckpt = tmp_path / "inbox", str(tmp_path / "ckpt")
+    spark.createDataFrame([(1, "a", 1.0, 1)], SCHEMA).write.parquet(str(inbox / "b1"))
+    ingest_new_files(spark, f"{inbox}/**/*.parquet", "parquet", SCHEMA, wh, "ds", "replay", ckpt)
+    # simulate a crash after the load but before the checkpoint commit: drop the commit
+    commits = tmp_path / "ckpt" / "commits"
+    for f in commits.iterdir():
+        if f.name == "0":
+            f.unlink()
+        elif f.name == ".0.crc":
+            f.unlink()
+    shutil.rmtree(tmp_path / "ckpt" / "state", ignore_errors=True)
+    replay = ingest_new_files(spark, f"{inbox}/**/*.parquet", "parquet", SCHEMA, wh, "ds", "replay", ckpt)
+    assert replay.rows_loaded == 0
+    assert wh.read("ds", "replay").count() == 1

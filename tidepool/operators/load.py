@@ -231,6 +231,16 @@ class Warehouse:
     def state(self, dataset: str, table: str) -> TableState | None:
         return self._lookup(dataset, table)[0]
 
+    def has_load(self, dataset: str, table: str, source: str) -> bool:
+        """Whether a load tagged ``source`` into the table is recorded (idempotence
+        of replayed micro-batches)."""
+        match = (
+            (F.col("dataset") == dataset)
+            & (F.col("table_name") == table)
+            & (F.col("source") == source)
+        )
+        return bool(self.audit().where(match).limit(1).count())
+
     def _read_version(self, st: TableState) -> DataFrame:
         schema = st.schema
         if st.buckets:

@@ -4,7 +4,9 @@ A Structured Streaming file source with ``trigger(availableNow=True)`` processes
 every file not yet recorded in its checkpoint and stops; each micro-batch is loaded
 into the warehouse from ``foreachBatch``.  A rerun with no new files loads nothing;
 a new file loads only itself.  The checkpoint sits in the shared folder, so a
-restarted driver or a lost executor resumes without re-loading files.
+restarted driver or a lost executor resumes without re-loading files; a micro-batch
+replayed because the driver died between the load and the checkpoint commit is
+recognised by its (checkpoint, batch id) tag in the audit table and skipped.
 """
 
 from __future__ import annotations
@@ -52,6 +54,11 @@ def ingest_new_files(
     run = LandingRun()
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
+        # a batch replayed after a driver failure (loaded, checkpoint not yet
+        # committed) is recognised by its tag and not loaded twice
+        tag = f"landing:{checkpoint}:{batch_id}"
+        if warehouse.has_load(dataset, table, tag):
+            return
         run.loads.append(
             warehouse.load(
                 normalize_timestamps(batch),
@@ -59,7 +66,7 @@ def ingest_new_files(
                 table,
                 disposition,
                 primary_key=primary_key,
-                source=f"landing:{batch_id}",
+                source=tag,
             )
         )
 
