@@ -248,3 +248,13 @@ def test_replayed_landing_batch_is_not_loaded_twice(spark, wh, tmp_path):
     replay = ingest_new_files(spark, f"{inbox}/**/*.parquet", "parquet", SCHEMA, wh, "ds", "replay", ckpt)
     assert replay.rows_loaded == 0
     assert wh.read("ds", "replay").count() == 1
+
+
+@pytest.mark.parametrize("disposition", ["replace", "merge", "insert_ignore"])
+def test_rerun_with_same_batch_is_idempotent(spark, wh, disposition):
+    b = spark.createDataFrame([(1, "a", 1.0, 1), (2, "b", 2.0, 1), (2, "b", 2.0, 1)], SCHEMA)
+    key = {"primary_key": ["id"]} if disposition != "replace" else {}
+    wh.load(b, "ds", f"idem_{disposition}", disposition, **key)
+    first = rows(wh.read("ds", f"idem_{disposition}"), "id", "name", "amt")
+    wh.load(b, "ds", f"idem_{disposition}", disposition, **key)
+    assert rows(wh.read("ds", f"idem_{disposition}"), "id", "name", "amt") == first
