@@ -4,7 +4,7 @@ incremental, with schema evolution and one audit record per load.
 Layout below the warehouse root (a folder every executor can reach)::
 
     <root>/<dataset>/<table>/<version>/[_bucket=<k>/]part-*.parquet
-    <root>/_loads/                    audit table, one row per load
+    <root>/_loads/                    audit table (JSON), one row per load
 
 The audit table is also the pointer to each table's current version and schema: a
 version becomes visible only when its audit row is written, after the data job has
@@ -195,7 +195,7 @@ class Warehouse:
     def audit(self) -> DataFrame:
         if not self._path_exists(self.audit_path):
             return self.spark.createDataFrame([], AUDIT_SCHEMA)
-        return self.spark.read.schema(AUDIT_SCHEMA).parquet(self.audit_path)
+        return self.spark.read.schema(AUDIT_SCHEMA).json(self.audit_path)
 
     def _lookup(self, dataset: str, table: str) -> tuple[TableState | None, int]:
         """The table's latest audit row and the warehouse's highest ``load_seq``, in
@@ -339,12 +339,12 @@ class Warehouse:
         old = [
             st.getPath()
             for st in fs.listStatus(jpath)
-            if st.getPath().getName().endswith(".parquet")
+            if st.getPath().getName().endswith(".json")
         ]
         if len(old) <= 1:
             return len(old)
-        snapshot = self.spark.read.schema(AUDIT_SCHEMA).parquet(*[p.toString() for p in old])
-        snapshot.coalesce(1).write.mode("append").parquet(self.audit_path)
+        snapshot = self.spark.read.schema(AUDIT_SCHEMA).json([p.toString() for p in old])
+        snapshot.coalesce(1).write.mode("append").json(self.audit_path)
         for path in old:
             fs.delete(path, False)
         return len(old)
@@ -365,10 +365,21 @@ class Warehouse:
         return obs.get["rows"]
 
     def _record(self, **fields) -> None:
+        """Append one audit row: a one-line JSON file, written under a hidden name and
+        renamed into place, so a reader never sees a partial record.  It is metadata,
+        so no Spark job is spent on it."""
         row = {name: fields.get(name) for name in AUDIT_SCHEMA.fieldNames()}
-        self.spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode(
-            "append"
-        ).parquet(self.audit_path)
+        row["loaded_at"] = row["loaded_at"].isoformat() if row.get("loaded_at") else None
+        name = f"load-{row['load_seq']:012d}-{row['load_id']}.json"
+        fs, final = self._fs(f"{self.audit_path}/{name}")
+        _, temp = self._fs(f"{self.audit_path}/.{name}.tmp")
+        stream = fs.create(temp, False)
+        try:
+            stream.write(bytearray((json.dumps(row) + "\n").encode("utf-8")))
+        finally:
+            stream.close()
+        if not fs.rename(temp, final):
+            raise LoadError(f"could not record load {row['load_id']}")
 
     def load(
         self,
