@@ -41,6 +41,15 @@ def land_parquet(df: DataFrame, dest: str) -> str:
     return dest
 
 
+def _by_file(df: DataFrame, name: str, key) -> DataFrame:
+    """Add the output-file key ``name`` and hash-partition on it over every core: the
+    grouping that follows reuses this partitioning (one shuffle), and the many small
+    files are written in parallel rather than by the few tasks that adaptive
+    coalescing would leave."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.withColumn(name, key).repartition(n, name)
+
+
 def land_documents(
     df: DataFrame, dest: str, block_key: str, records_path: str | None = None,
     block: int = DOCUMENT_BLOCK,
@@ -51,7 +60,7 @@ def land_documents(
     objects; with ``records_path`` (``a.b``) the records are nested below it.
     """
     doc = F.floor(F.col(block_key) / F.lit(block)).cast("bigint")
-    grouped = df.groupBy(doc.alias("doc")).agg(
+    grouped = _by_file(df, "doc", doc).groupBy("doc").agg(
         F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in df.columns]))).alias("recs")
     )
     # arrays span several lines (one record per line), as exported documents do
@@ -70,7 +79,7 @@ def land_pages(df: DataFrame, dest: str, order_key: str, page_size: int = PAGE_S
     """API-style pages ``{"page": n, "data": {"items": [...]}}``, one file per page,
     records in ``order_key`` order inside a page."""
     page = F.floor(F.col(order_key) / F.lit(page_size)).cast("bigint")
-    grouped = df.groupBy(page.alias("page")).agg(
+    grouped = _by_file(df, "page", page).groupBy("page").agg(
         F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in df.columns]))).alias("items")
     )
     body = F.to_json(
