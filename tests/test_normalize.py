@@ -21,7 +21,7 @@ from tidepool.operators.normalize import (
         ("HTTPStatus", "http_status"),
         ("a.b", "a_b"),
         ("1st", "_1st"),
-        ("_dlt_id", "_dlt_id"),
+        ("_row_id", "_row_id"),
         ("  Spaced  ", "spaced"),
     ],
 )
