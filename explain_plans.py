@@ -32,6 +32,19 @@ def main(argv):
         with contextlib.redirect_stdout(buf):
             CORE_QUERIES[key](spark, data_dir).explain("formatted")
         out += [f"## {key}", "", "```", buf.getvalue().strip(), "```", ""]
+    # the two write jobs of a merge (scenario load_merge: second batch into the table)
+    from tidepool.operators.load import Warehouse
+    from tidepool.plans import scenarios
+    from tidepool.session import scratch_dir
+
+    orders = scenarios._orders(spark, data_dir)
+    first, later = scenarios._merge_batches(orders)
+    wh = Warehouse(spark, scratch_dir(spark, "warehouse"))
+    wh.load(first, "raw", "orders", "merge", primary_key=["order_id"], order_by=["seq"])
+    wh.capture_plans = True
+    wh.load(later, "raw", "orders", "merge", order_by=["seq"])
+    for label, plan in wh.plans:
+        out += [f"## merge: {label}", "", "```", plan.strip(), "```", ""]
     with open("docs/plans.md", "w", encoding="utf-8") as fh:
         fh.write("\n".join(out))
 

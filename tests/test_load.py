@@ -258,3 +258,17 @@ def test_rerun_with_same_batch_is_idempotent(spark, wh, disposition):
     first = rows(wh.read("ds", f"idem_{disposition}"), "id", "name", "amt")
     wh.load(b, "ds", f"idem_{disposition}", disposition, **key)
     assert rows(wh.read("ds", f"idem_{disposition}"), "id", "name", "amt") == first
+
+
+def test_merge_plan_is_bucket_local(spark, tmp_path):
+    import re
+
+    wh = Warehouse(spark, str(tmp_path / "plan"), buckets=4)
+    base = spark.range(100).selectExpr("id", "'x' AS name", "CAST(id AS DOUBLE) AS amt", "1 AS seq")
+    wh.load(base, "ds", "p", "merge", primary_key=["id"])
+    wh.capture_plans = True
+    wh.load(base.where("id < 10").selectExpr("id", "'y' AS name", "amt", "2 AS seq"), "ds", "p", "merge")
+    plan = dict(wh.plans)["merge buckets"]
+    exchanges = re.findall(r"Arguments: (hashpartitioning\([^)]*\))", plan)
+    assert len(exchanges) == 2 and all(e.startswith("hashpartitioning(_bucket") for e in exchanges)
+    assert "PartitionFilters: [_bucket" in plan or "PartitionFilters: [isnotnull(_bucket" in plan

@@ -20,7 +20,9 @@ pass over the data.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import io
 import json
 import uuid
 from dataclasses import dataclass
@@ -36,7 +38,11 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-from tidepool.session import scratch_dir
+from tidepool.session import scratch_dir, session_conf
+
+# Join on (key, bucket) over inputs hash-partitioned on the bucket alone: no second
+# exchange, and every task holds whole buckets (one output file per bucket).
+BUCKET_LOCAL_JOIN = {"spark__sql__requireAllClusterKeysForCoPartition": "false"}
 
 # append | replace | merge (upsert, last record wins) | insert_ignore (keep existing)
 # | delete_insert (all rows of the batch's keys replace all rows of those keys)
@@ -172,6 +178,7 @@ class Warehouse:
         root: str | None = None,
         buckets: int | None = None,
         catalog: bool = False,
+        capture_plans: bool = False,
     ):
         """``buckets``: bucket count given to new keyed tables (fixed for the table's
         life); by default one per core of the cluster (``defaultParallelism``) so a
@@ -181,6 +188,16 @@ class Warehouse:
         self.root = (root or scratch_dir(spark, "warehouse")).rstrip("/")
         self.buckets = buckets or spark.sparkContext.defaultParallelism
         self.catalog = catalog  # keep `dataset.table` catalog entries current
+        self.capture_plans = capture_plans  # keep formatted plans of write jobs
+        self.plans: list[tuple[str, str]] = []
+
+    def _capture(self, label: str, df: DataFrame) -> DataFrame:
+        if self.capture_plans:
+            buffer = io.StringIO()
+            with contextlib.redirect_stdout(buffer):
+                df.explain("formatted")
+            self.plans.append((label, buffer.getvalue()))
+        return df
 
     # -- catalog ------------------------------------------------------------------
 
@@ -354,12 +371,20 @@ class Warehouse:
     def _new_version(self, dataset: str, table: str, load_id: str) -> str:
         return f"{self.root}/{dataset}/{table}/v-{load_id}"
 
-    def _write(self, df: DataFrame, path: str, mode: str, buckets: int | None, obs: Observation):
+    def _write(
+        self,
+        df: DataFrame,
+        path: str,
+        mode: str,
+        buckets: int | None,
+        obs: Observation,
+        partition_by_bucket: bool = False,
+    ):
         if buckets:  # whole buckets per task: one file per bucket, not per task
             df = df.repartition(buckets, BUCKET)
-        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        observed = self._capture(f"write {mode} {path}", df.observe(obs, F.count(F.lit(1)).alias("rows")))
         writer = observed.write.mode(mode)
-        if buckets:
+        if buckets or partition_by_bucket:
             writer = writer.partitionBy(BUCKET)
         writer.parquet(path)
         return obs.get["rows"]
@@ -483,11 +508,11 @@ class Warehouse:
         with_bucket = StructType(list(schema.fields) + [StructField(BUCKET, IntegerType(), True)])
         batch_obs = Observation(f"batch_{uuid.uuid4().hex[:8]}")
         staged_batch_path = scratch_dir(self.spark, "merge-batch")
-        (
-            batch.repartition(buckets, BUCKET)
-            .observe(batch_obs, F.count(F.lit(1)).alias("rows"), F.collect_set(BUCKET).alias("touched"))
-            .write.partitionBy(BUCKET)
-            .parquet(staged_batch_path)
+        staged_batch = batch.repartition(buckets, BUCKET).observe(
+            batch_obs, F.count(F.lit(1)).alias("rows"), F.collect_set(BUCKET).alias("touched")
+        )
+        self._capture("stage merge batch", staged_batch).write.partitionBy(BUCKET).parquet(
+            staged_batch_path
         )
         metrics = batch_obs.get
         batch_rows, touched = int(metrics["rows"]), sorted(metrics["touched"] or [])
@@ -500,11 +525,15 @@ class Warehouse:
         on = [*st.primary_key, BUCKET]
         if disposition == "insert_ignore":
             fresh = staged.join(target.select(*on), on, "left_anti")
-            return self._write(fresh, st.version_path, "append", buckets, obs)
+            with session_conf(self.spark, **BUCKET_LOCAL_JOIN):
+                return self._write(fresh, st.version_path, "append", None, obs, partition_by_bucket=True)
         if disposition == "delete_insert":
             # keys of the batch (distinct within each bucket partition: no exchange)
             kept = target.join(staged.select(*on).distinct(), on, "left_anti")
-            self._overwrite_buckets(kept.unionByName(staged), st.version_path, obs)
+            with session_conf(self.spark, **BUCKET_LOCAL_JOIN):
+                self._overwrite_buckets(
+                    self._capture("delete-insert buckets", kept.unionByName(staged)), st.version_path, obs
+                )
             return batch_rows
         values = [c for c in schema.fieldNames() if c not in st.primary_key]
         incoming = staged.select(
@@ -520,7 +549,8 @@ class Warehouse:
             ],
             F.col(BUCKET),
         )
-        self._overwrite_buckets(merged, st.version_path, obs)
+        with session_conf(self.spark, **BUCKET_LOCAL_JOIN):
+            self._overwrite_buckets(self._capture("merge buckets", merged), st.version_path, obs)
         return batch_rows
 
     @staticmethod

@@ -8,6 +8,7 @@ folder is created only when it is unset *and* Spark runs in local mode (tests).
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -71,3 +72,24 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unique folder below the shared checkpoint root (never reused)."""
     return f"{checkpoint_root(spark)}/tidepool/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def session_conf(spark: SparkSession, **settings: str):
+    """Set SQL settings for the jobs started inside the block, then restore them.
+
+    Keys use ``__`` for dots (``spark__sql__x`` -> ``spark.sql.x``).
+    """
+    previous = {}
+    for key, value in settings.items():
+        name = key.replace("__", ".")
+        previous[name] = spark.conf.get(name, None)
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in previous.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
