@@ -108,10 +108,12 @@ def report_cards(mart: DataFrame, segment: str | None = None) -> dict[str, DataF
 
 
 def report_suite_counts(mart: DataFrame, segment: str | None = None) -> DataFrame:
-    """(card, display, row_count) for every card -- one Spark job.
+    """(card_position, card, display, row_count) for every card, as one DataFrame.
 
-    The cards share the mart subtree; Spark plans it once and reuses its exchanges
-    (``ReusedExchange``) instead of recomputing the mart per card.
+    Every card is executed (this is a validation run).  Pass a materialized mart --
+    a table read, as the dashboard sees it -- so the seven cards scan one row per
+    customer instead of recomputing the mart; Catalyst still optimizes each card on
+    its own (a card that needs no order column never reads it).
     """
     parts = [
         card.build(mart, segment)
