@@ -132,6 +132,10 @@ def report_suite_counts(mart: DataFrame, segment: str | None = None) -> DataFram
     return out
 
 
+# Fixed value: rows of a card shown on the dashboard.
+DISPLAY_ROWS = 100
+
+
 class ReportRun:
     """Run all cards against one persisted copy of the mart and check each result.
 
@@ -147,11 +151,9 @@ class ReportRun:
         try:
             results = {}
             for name, df in report_cards(cached, segment).items():
-                if name == "Customer Detail":
-                    # a table card is displayed, not collected whole
-                    rows = df.limit(100).collect()
-                else:
-                    rows = df.collect()
+                # cards are displayed: at most the display cap reaches the driver
+                # (the full results stay available as DataFrames, report_cards)
+                rows = df.limit(DISPLAY_ROWS).collect()
                 if not isinstance(rows, list):
                     raise RuntimeError(f"Card did not return rows: {name}")
                 results[name] = rows
