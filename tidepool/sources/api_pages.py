@@ -41,5 +41,6 @@ def read_resource(
         pattern,
         data_selector,
         schema=schema,
-        extra_columns={PAGE_COLUMN: page, POSITION_COLUMN: F.col("_pos").cast("bigint")},
+        doc_columns={PAGE_COLUMN: page},
+        position_column=POSITION_COLUMN,
     )

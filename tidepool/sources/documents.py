@@ -46,8 +46,15 @@ def document_records(
     pattern: str,
     records_path: str | None = None,
     options: dict[str, str] | None = None,
+    doc_columns: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Lazy records with per-row validity flags (not yet validated)."""
+    """Lazy records with per-row validity flags (not yet validated).
+
+    ``doc_columns`` are expressions over the parsed document (``doc``) and its file
+    (``_file``), evaluated once per document before the records are exploded; the
+    document itself is never carried into the per-record rows (that would copy a
+    whole document once per record).
+    """
     sel = select_files(pattern)
     reader = spark.read.options(**sel.options).options(**(options or {}))
     # the keyword, not an option: text() would reset the option to its own default
@@ -58,6 +65,7 @@ def document_records(
         F.col("_metadata.file_path").alias("_file"),
         F.parse_json("value").alias("doc"),
     )
+    per_doc = doc_columns or {}
     selected = (
         F.col("doc")
         if not records_path
@@ -68,22 +76,26 @@ def document_records(
         F.when(kind.startswith("OBJECT"), F.array(F.col("sel")))
         .when(kind.startswith("ARRAY"), F.col("sel").cast("array<variant>"))
     )
-    staged = docs.select("_file", "doc", selected.alias("sel")).select(
+    staged = docs.select(
+        "_file", *[c.alias(n) for n, c in per_doc.items()], selected.alias("sel")
+    ).select(
         "_file",
-        "doc",
+        *per_doc.keys(),
         F.col("sel").isNull().alias("_missing_path"),
         (F.col("sel").isNotNull() & elements.isNull()).alias("_bad_root"),
         elements.alias("elements"),
     )
     return staged.select(
         "_file",
-        "doc",
+        *per_doc.keys(),
         "_missing_path",
         "_bad_root",
         F.posexplode_outer("elements").alias("_pos", "record"),
     ).withColumn(
+        # only an object casts to a map (cheaper than rendering each record's schema)
         "_not_object",
-        F.col("record").isNotNull() & ~F.schema_of_variant("record").startswith("OBJECT"),
+        F.col("record").isNotNull()
+        & F.try_variant_get("record", "$", "map<string,variant>").isNull(),
     )
 
 
@@ -110,16 +122,20 @@ def read_json_documents(
     pattern: str,
     records_path: str | None = None,
     schema: StructType | str | None = None,
-    extra_columns: dict[str, Column] | None = None,
+    doc_columns: dict[str, Column] | None = None,
+    position_column: str | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Read JSON documents as a typed DataFrame, one row per record.
 
-    ``extra_columns`` are expressions over the document (``doc``), the file
-    (``_file``) and the record position (``_pos``), e.g. a page number.
+    ``doc_columns``: per-document values (expressions over ``doc`` and ``_file``,
+    e.g. a page number) added to each of its records; ``position_column``: name for
+    the record's zero-based position in its document.
     """
-    flagged = document_records(spark, pattern, records_path, options)
-    extra = extra_columns or {}
+    flagged = document_records(spark, pattern, records_path, options, doc_columns)
+    extra = {name: F.col(name) for name in (doc_columns or {})}
+    if position_column:
+        extra[position_column] = F.col("_pos").cast("bigint")
     valid = flagged.where(F.col("_pos").isNotNull())
     if schema is not None:
         counts = flagged.agg(*_checks()).first().asDict()
