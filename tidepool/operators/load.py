@@ -217,6 +217,8 @@ class Warehouse:
     def _lookup(self, dataset: str, table: str) -> tuple[TableState | None, int]:
         """The table's latest audit row and the warehouse's highest ``load_seq``, in
         one aggregation over the (small) audit table."""
+        if not self._path_exists(self.audit_path):  # nothing loaded yet: no job
+            return None, 0
         match = (F.col("dataset") == dataset) & (F.col("table_name") == table)
         row = (
             self.audit()
@@ -251,6 +253,8 @@ class Warehouse:
     def has_load(self, dataset: str, table: str, source: str) -> bool:
         """Whether a load tagged ``source`` into the table is recorded (idempotence
         of replayed micro-batches)."""
+        if not self._path_exists(self.audit_path):
+            return False
         match = (
             (F.col("dataset") == dataset)
             & (F.col("table_name") == table)
