@@ -27,10 +27,10 @@ def test_ingest_build_query(spark, tmp_path, capsys):
     assert main(["ingest", str(spec), "--warehouse", wh]) == 0
     assert main(["build", "--warehouse", wh]) == 0
     out = capsys.readouterr().out
-    assert "raw_local_demo.orders replace rows=3" in out
+    assert "raw_local_demo.orders replace rows=5" in out
     assert "unique customer_activity.customer_id failures=0" in out
     total = spark.sql("SELECT sum(lifetime_value) AS v FROM analytics.customer_activity").first().v
-    assert str(total) == "186.25"
+    assert str(total) == "1171.00"
 
 
 def test_query_command(spark, tmp_path, capsys):

@@ -18,18 +18,24 @@ def _ids(df):
     return sorted(r.id for r in df.select("id").collect())
 
 
-def test_array_of_objects(spark, tmp_path):
-    assert _ids(read_json_documents(spark, _docs(tmp_path, a=[{"id": 1}, {"id": 2}]))) == [1, 2]
+def test_every_object_of_an_array_is_a_record(spark, tmp_path):
+    boats = [{"id": n, "name": f"boat {n}"} for n in (40, 41, 42)]
+    assert _ids(read_json_documents(spark, _docs(tmp_path, fleet=boats))) == [40, 41, 42]
 
 
-def test_nested_records_path(spark, tmp_path):
-    df = read_json_documents(spark, _docs(tmp_path, r={"data": {"items": [{"id": 3}]}}), "data.items")
-    assert _ids(df) == [3]
+def test_records_below_a_dotted_path(spark, tmp_path):
+    harbour = {"meta": {"port": "K"}, "quay": {"east": {"berths": [{"id": 8}, {"id": 9}]}}}
+    assert _ids(read_json_documents(spark, _docs(tmp_path, h=harbour), "quay.east.berths")) == [8, 9]
 
 
-def test_scalar_array_rejected(spark, tmp_path):
+def test_arrays_hold_objects_only(spark, tmp_path):
     with pytest.raises(DocumentError, match="arrays must contain objects"):
-        read_json_documents(spark, _docs(tmp_path, bad=[1, 2]))
+        read_json_documents(spark, _docs(tmp_path, mixed=[{"id": 1}, "loose", None]))
+
+
+def test_values_that_do_not_fit_the_schema_stop_the_read(spark, tmp_path):
+    with pytest.raises(Exception, match="MALFORMED_RECORD|CANNOT_PARSE|BAD_RECORD|malformed"):
+        read_json_documents(spark, _docs(tmp_path, a=[{"id": "abc"}]), schema="id bigint").collect()
 
 
 def test_single_object_is_one_record(spark, tmp_path):

@@ -47,6 +47,8 @@ def test_glob_to_regex():
         ("x.csv.gz", "csv"),
         ("x.json?versionId=3", "json"),
         ("x.ndjson", "json"),
+        ("d/x.json.gz", "json"),
+        ("d/part-?.csv", "csv"),
         ("x.jsonl", "json"),
         ("x.parquet", "parquet"),
         ("dir/*", "parquet"),
@@ -57,7 +59,7 @@ def test_infer_format(path, fmt):
 
 
 def test_infer_format_rejects_unknown():
-    with pytest.raises(ValueError, match="Cannot infer file type"):
+    with pytest.raises(ValueError, match="No reader for"):
         infer_format("data.xlsx")
 
 

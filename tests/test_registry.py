@@ -14,17 +14,17 @@ def test_registry_knows_types(kind):
 
 
 def test_unknown_type_lists_supported():
-    with pytest.raises(ConfigurationError, match="Unsupported connector type 'ftp'.*api, database, filesystem"):
+    with pytest.raises(ConfigurationError, match="no reader for type ftp; there are api, database, filesystem"):
         build_reader(SourceSpec(name="x", type="ftp"))
     assert supported_types() == ["api", "database", "filesystem"]
 
 
 def test_filesystem_requires_bucket_and_tables(spark):
-    with pytest.raises(ConfigurationError, match="bucket_url is required"):
+    with pytest.raises(ConfigurationError, match="bucket_url is missing"):
         read_source(spark, SourceSpec(name="x", type="filesystem", options={"tables": [{}]}))
-    with pytest.raises(ConfigurationError, match="non-empty list"):
+    with pytest.raises(ConfigurationError, match="must not be empty"):
         read_source(spark, SourceSpec(name="x", type="filesystem", options={"bucket_url": "/tmp", "tables": []}))
-    with pytest.raises(ConfigurationError, match="format must be"):
+    with pytest.raises(ConfigurationError, match="format must be one of"):
         read_source(
             spark,
             SourceSpec(
@@ -40,7 +40,7 @@ def test_database_reader_validation(spark, monkeypatch):
     base = {"engine": "postgresql", "credentials_env": "NO_SUCH_DB_URL", "table_names": ["orders"]}
     with pytest.raises(ConfigurationError, match="engine must be"):
         read_source(spark, SourceSpec(name="x", type="database", options={**base, "engine": "oracle"}))
-    with pytest.raises(ConfigurationError, match="Missing database credential"):
+    with pytest.raises(ConfigurationError, match="the environment has no NO_SUCH_DB_URL"):
         read_source(spark, SourceSpec(name="x", type="database", options=base))
     monkeypatch.setenv("NO_SUCH_DB_URL", "postgresql://u:p@h/db")
     with pytest.raises(ConfigurationError, match="table_names"):

@@ -9,7 +9,8 @@ Accepted inputs (fixed list; anything else that is not NULL raises):
   (``2026-08-01``, ``2026-08-01 10:00:00``, ``2026-08-01T10:00:00.123``) -- taken as UTC
 * ISO-8601 date-time with ``Z`` or a numeric offset (``2026-08-01T10:00:00Z``,
   ``2026-08-01T12:00:00+02:00``) -- converted to UTC
-* integer epoch seconds (``1754042400``)
+* epoch seconds of nine or ten digits (``1754042400``)
+* compact ``yyyyMMdd`` and ``yyyyMMddHHmmss``; digit strings of other lengths raise
 * day-first ``dd/MM/yyyy HH:mm:ss``, ``dd/MM/yyyy HH:mm`` and ``dd/MM/yyyy``
 
 Every route is free of the session time zone, including wall-clock times that fall
@@ -25,7 +26,9 @@ from pyspark.sql.types import DataType, TimestampNTZType, TimestampType
 # Patterns accepted by the parser.
 DAY_FIRST_PATTERN = r"^(\d{1,2})/(\d{1,2})/(\d{4})(?:[ T](\d{1,2}):(\d{2})(?::(\d{2}))?)?$"
 ZONED_PATTERN = r"\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|z|[+-]\d{2}(:?\d{2})?)$"
-EPOCH_PATTERN = r"^-?\d{1,12}$"
+EPOCH_PATTERN = r"^-?\d{9,10}$"
+COMPACT_PATTERN = r"^(\d{4})(\d{2})(\d{2})(?:(\d{2})(\d{2})(\d{2}))?$"
+DIGITS_PATTERN = r"^[+-]?\d+$"
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
@@ -49,15 +52,15 @@ def _day_first(s: Column) -> Column:
     """``dd/MM/yyyy[ HH:mm[:ss]]`` built from its fields (no session zone involved;
     invalid dates give NULL)."""
 
-    def part(i: int, default: int | None = None) -> Column:
-        v = F.regexp_extract(s, DAY_FIRST_PATTERN, i)
-        v = F.when(v == "", F.lit(None)).otherwise(v).cast("int")
-        return v if default is None else F.coalesce(v, F.lit(default))
+    return _from_fields(s, DAY_FIRST_PATTERN, (3, 2, 1, 4, 5, 6))
 
-    return F.when(
-        s.rlike(DAY_FIRST_PATTERN),
-        F.try_make_timestamp_ntz(part(3), part(2), part(1), part(4, 0), part(5, 0), part(6, 0)),
-    )
+
+def _from_fields(s: Column, pattern: str, groups: tuple[int, ...]) -> Column:
+    """The time whose year, month, ... second are the pattern's groups (a missing time is 0)."""
+    found = [F.regexp_extract(s, pattern, g) for g in groups]
+    numbers = [F.when(v != "", v).cast("int") for v in found]
+    numbers[3:] = [F.coalesce(v, F.lit(0)) for v in numbers[3:]]
+    return F.when(s.rlike(pattern), F.try_make_timestamp_ntz(*numbers))
 
 
 def format_ntz(ts: Column | str, date_sep: str = "-", time_sep: str = " ", day_first: bool = False,
@@ -99,14 +102,15 @@ def parse_datetime_best_effort(
     s = F.trim(col.cast("string"))
     zoned = s.rlike(ZONED_PATTERN)
     epoch = s.rlike(EPOCH_PATTERN)
-    iso_plain = s.try_cast("timestamp_ntz")
+    iso_plain = F.when(~s.rlike(DIGITS_PATTERN), s.try_cast("timestamp_ntz"))
+    compact = _from_fields(s, COMPACT_PATTERN, (1, 2, 3, 4, 5, 6))
     iso_zoned = instant_to_utc_ntz(s.try_cast("timestamp"))
     from_epoch = _utc_wall_clock_from_micros(s.try_cast("bigint") * F.lit(1_000_000))
     day_first = _day_first(s)
     parsed = (
         F.when(zoned, iso_zoned)
         .when(epoch, from_epoch)
-        .otherwise(F.coalesce(iso_plain, day_first))
+        .otherwise(F.coalesce(iso_plain, compact, day_first))
     )
     result = _truncate_to_second(parsed)
     if not strict:

@@ -3,8 +3,9 @@
 The high-water mark is the ``cursor_max`` of the table's last load (from the audit
 table).  The next load reads only ``cursor >= high-water mark`` -- a plain comparison
 that Parquet and JDBC scans receive as a pushed filter -- and, because rows equal to
-the mark may already be loaded, drops keys that the table already holds at or after
-the mark (a bounded tail, not the whole table).
+the mark may already be loaded, drops rows that the table already holds at or after
+the mark (a bounded tail, not the whole table): by key, or by the whole row where there
+is no key.  A row without cursor value has no place in the order and stops the load.
 """
 
 from __future__ import annotations
@@ -23,12 +24,24 @@ def pending_rows(
     cursor: str,
     primary_key: tuple[str, ...] | list[str] = (),
 ) -> DataFrame:
+    problem = F.raise_error(F.lit(f"NULL cursor {cursor} in a load into {dataset}.{table}"))
+    kind = source.schema[cursor].dataType
+    source = source.withColumn(
+        cursor, F.when(F.col(cursor).isNull(), problem.cast(kind)).otherwise(F.col(cursor))
+    )
     st = warehouse.state(dataset, table)
     if st is None or st.cursor_max is None:
         return source
-    mark = F.lit(st.cursor_max).cast(source.schema[cursor].dataType)
-    fresh = source.where(F.col(cursor) >= mark)
-    if primary_key:
+    mark = F.lit(st.cursor_max).cast(kind)
+    # the NULL rows pass the filter only to raise
+    fresh = source.where(F.col(cursor).isNull() | (F.col(cursor) >= mark))
+    if not primary_key:
+        loaded = warehouse.read(dataset, table)
+        shared = [c for c in source.columns if c in loaded.columns]
+        row = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in shared])), 256)
+        tail = loaded.where(F.col(cursor) >= mark).select(row.alias("__row")).distinct()
+        fresh = fresh.withColumn("__row", row).join(tail, "__row", "left_anti").drop("__row")
+    else:
         tail = warehouse.read(dataset, table).where(F.col(cursor) >= mark).select(*primary_key)
         fresh = fresh.join(tail, list(primary_key), "left_anti")
     return fresh

@@ -132,8 +132,9 @@ def evolve(target: StructType | None, batch: DataFrame) -> tuple[StructType, Dat
     """Align ``batch`` with ``target``; returns (new table schema, aligned batch).
 
     New columns are added (older rows read NULL).  A column whose type differs from
-    the table's is cast with ``try_cast``; non-NULL values that do not fit are kept in
-    a side column ``<col>__v_<type>`` of the batch type instead of being lost.
+    the table's is cast with ``try_cast``; values that do not come back equal when cast
+    to their own type again (10.75 as a bigint, a time as a date) stay NULL there and are
+    kept in a side column ``<col>__v_<type>`` of the batch type instead of losing digits.
     """
     if target is None:
         return batch.schema, batch
@@ -152,11 +153,12 @@ def evolve(target: StructType | None, batch: DataFrame) -> tuple[StructType, Dat
             out[f.name] = _q(f.name)
             continue
         casted = _q(f.name).try_cast(want)
-        out[f.name] = casted
+        same = casted.try_cast(f.dataType).eqNullSafe(_q(f.name))
+        out[f.name] = F.when(same, casted)
         side = f"{f.name}__v_{f.dataType.simpleString()}"
         if side not in fields and all(nf.name != side for nf in new_fields):
             new_fields.append(StructField(side, f.dataType, True))
-        out[side] = F.when(_q(f.name).isNotNull() & casted.isNull(), _q(f.name))
+        out[side] = F.when(~same, _q(f.name))
     schema = StructType(new_fields)
     carried = [F.col(BUCKET)] if BUCKET in batch.columns else []
     aligned = batch.select(
@@ -422,6 +424,7 @@ class Warehouse:
         source: str | None = None,
         buckets: int | None = None,
         dedupe: bool = True,
+        delete_keys: DataFrame | None = None,
     ) -> LoadResult:
         """Load ``df`` into ``dataset.table``.
 
@@ -431,9 +434,17 @@ class Warehouse:
         ``rows_loaded`` is observed in the writing stage and is exact.  ``dedupe``
         (merge / insert_ignore) keeps one row per key; child tables keyed by their
         parent turn it off so that all elements of a parent move together.
+        ``delete_keys`` (delete_insert) are keys whose stored rows go although the batch
+        has no rows for them.
         """
         if disposition not in DISPOSITIONS:
             raise LoadError(f"write_disposition must be one of {', '.join(DISPOSITIONS)}")
+        if not df.columns:  # no record, so no schema: an empty result changes no column
+            known, _ = self._lookup(dataset, table)
+            if known is None or disposition != "replace":
+                path = known.version_path if known is not None else ""
+                return LoadResult("", dataset, table, disposition, 0, 0, path)
+            df = self.spark.createDataFrame([], known.schema)
         pk = tuple(primary_key or ())
         st, max_seq = self._lookup(dataset, table)
         if st is not None and st.primary_key and not pk:
@@ -457,7 +468,14 @@ class Warehouse:
         if disposition in ("merge", "insert_ignore") and dedupe:
             aligned = dedupe_last(aligned, pk, tuple(order_by))
         if buckets:
-            aligned = aligned.withColumn(BUCKET, bucket_of(pk, buckets))
+            place = bucket_of(pk, buckets)
+            if disposition in KEYED:  # a row without key could neither match nor be replaced
+                missing = F.lit(False)
+                for k in pk:
+                    missing = missing | _q(k).isNull()
+                problem = F.raise_error(F.lit(f"NULL key ({', '.join(pk)}) in a load into {dataset}.{table}"))
+                place = F.when(missing, problem.cast("int")).otherwise(place)
+            aligned = aligned.withColumn(BUCKET, place)
 
         out_obs = Observation(f"out_{load_id}")
         if st is None or disposition == "replace":
@@ -468,7 +486,11 @@ class Warehouse:
             rows = self._write(aligned, version, "append", buckets, out_obs)
         else:
             version = st.version_path
-            rows = self._merge(st, schema, aligned, disposition, out_obs, buckets)
+            gone = None
+            if disposition == "delete_insert" and delete_keys is not None:
+                gone = delete_keys.select(*[_q(k) for k in pk]).distinct()
+                gone = gone.withColumn(BUCKET, bucket_of(pk, buckets))
+            rows = self._merge(st, schema, aligned, disposition, out_obs, buckets, gone)
 
         metrics = batch_obs.get
         cursor_max = metrics.get("cursor_max") if cursor_column else None
@@ -495,7 +517,7 @@ class Warehouse:
             self.register_table(dataset, table)
         return LoadResult(load_id, dataset, table, disposition, int(metrics.get("rows_in", 0)), int(rows), version)
 
-    def _merge(self, st, schema, batch, disposition, obs, buckets) -> int:
+    def _merge(self, st, schema, batch, disposition, obs, buckets, gone=None) -> int:
         """Rewrite only the buckets the batch touches.
 
         1. The deduplicated batch is staged (one file per bucket).  The same job
@@ -520,7 +542,11 @@ class Warehouse:
         )
         metrics = batch_obs.get
         batch_rows, touched = int(metrics["rows"]), sorted(metrics["touched"] or [])
-        if batch_rows == 0:
+        if gone is not None:
+            gone = self._staged_keys(gone, buckets)
+            extra = gone.agg(F.collect_set(BUCKET).alias("b")).first()["b"]  # at most ``buckets`` ints
+            touched = sorted({*touched, *extra})
+        if not touched:
             return 0
         staged = self.spark.read.schema(with_bucket).parquet(staged_batch_path).repartition(buckets, BUCKET)
         current = self._read_version(st).where(F.col(BUCKET).isin(touched))
@@ -533,7 +559,10 @@ class Warehouse:
                 return self._write(fresh, st.version_path, "append", None, obs, partition_by_bucket=True)
         if disposition == "delete_insert":
             # keys of the batch (distinct within each bucket partition: no exchange)
-            kept = target.join(staged.select(*on).distinct(), on, "left_anti")
+            replaced = staged.select(*on)
+            if gone is not None:
+                replaced = replaced.unionByName(gone.select(*on).repartition(buckets, BUCKET))
+            kept = target.join(replaced.distinct(), on, "left_anti")
             with session_conf(self.spark, **BUCKET_LOCAL_JOIN):
                 self._overwrite_buckets(
                     self._capture("delete-insert buckets", kept.unionByName(staged)), st.version_path, obs
@@ -557,6 +586,11 @@ class Warehouse:
             self._overwrite_buckets(self._capture("merge buckets", merged), st.version_path, obs)
         return batch_rows
 
+    def _staged_keys(self, keys: DataFrame, buckets: int) -> DataFrame:
+        path = scratch_dir(self.spark, "merge-keys")
+        keys.write.parquet(path)
+        return self.spark.read.schema(keys.schema).parquet(path)
+
     @staticmethod
     def _overwrite_buckets(df: DataFrame, path: str, obs: Observation) -> None:
         (

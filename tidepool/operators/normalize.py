@@ -95,8 +95,12 @@ def parse_json_column(df: DataFrame, column: str, schema: StructType | str | Non
 
 def row_key(*cols: Column | str) -> Column:
     """Deterministic key from values (never from partition ids)."""
-    parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    parts = []
+    for c in cols:  # length-prefixed, so that no two lists of values read the same
+        value = (F.col(c) if isinstance(c, str) else c).cast("string")
+        framed = F.concat(F.length(value).cast("string"), F.lit(":"), value, F.lit(";"))
+        parts.append(F.coalesce(framed, F.lit("N;")))
+    return F.sha2(F.concat(*parts), 256)
 
 
 def child_table(df: DataFrame, parent_key: list[str], list_column: str) -> DataFrame:

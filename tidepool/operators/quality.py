@@ -94,6 +94,7 @@ class BuildStep:
     name: str
     build: Callable[[dict[str, DataFrame]], DataFrame]
     tests: ModelTests | None = None
+    stored: bool = False  # written before it is tested
 
 
 @dataclass
@@ -102,14 +103,26 @@ class BuildReport:
     results: list[dict] = field(default_factory=list)
 
 
-def run_build(steps: list[BuildStep], fail_fast: bool = True) -> BuildReport:
+def run_build(
+    steps: list[BuildStep],
+    fail_fast: bool = True,
+    store: Callable[[str, DataFrame], DataFrame] | None = None,
+    view: Callable[[str, DataFrame], None] | None = None,
+) -> BuildReport:
     """Build steps in order; after each, run its tests and stop if any fails.
 
+    ``store`` writes a stored model and returns it as read back, so its tests and everything
+    that depends on it see the written rows; ``view`` registers the others.
+
     Test results are tiny (one row per test) so collecting them is bounded.
     """
     report = BuildReport()
     for step in steps:
         df = step.build(report.models)
+        if step.stored and store is not None:
+            df = store(step.name, df)
+        elif view is not None:
+            view(step.name, df)
         report.models[step.name] = df
         if step.tests is None:
             continue

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from tidepool.operators import quality
+from tidepool.operators.load import Warehouse
 from tidepool.plans import models
 
 RESULT_SCHEMA = StructType(
@@ -34,12 +35,31 @@ def project_steps(raw: dict[str, DataFrame]) -> list[quality.BuildStep]:
             "customer_activity",
             lambda m: models.customer_activity(m["stg_customers"], m["stg_events"], m["stg_orders"]),
             quality.MART_TESTS,
+            stored=True,
         ),
     ]
 
 
-def build_project(raw: dict[str, DataFrame], fail_fast: bool = True) -> quality.BuildReport:
-    return quality.run_build(project_steps(raw), fail_fast=fail_fast)
+def build_project(
+    raw: dict[str, DataFrame],
+    fail_fast: bool = True,
+    warehouse: Warehouse | None = None,
+    mart_dataset: str = "analytics",
+) -> quality.BuildReport:
+    """Run the project; with a warehouse the staging views are created and the mart is written,
+    read back and tested as written."""
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        warehouse.load(df, mart_dataset, name, "replace")
+        return warehouse.read(mart_dataset, name)
+
+    def view(name: str, df: DataFrame) -> None:
+        df.createOrReplaceTempView(name)
+
+    stored = warehouse is not None
+    return quality.run_build(
+        project_steps(raw), fail_fast, store if stored else None, view if stored else None
+    )
 
 
 def results_frame(spark: SparkSession, report: quality.BuildReport) -> DataFrame:

@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from tidepool.operators.incremental import pending_rows
-from tidepool.operators.load import LoadResult, Warehouse
+from tidepool.operators.load import LoadResult, Warehouse, dedupe_last
 from tidepool.operators.normalize import (
+    NESTING_SEPARATOR,
     ROW_KEY,
     child_table,
     flatten,
-    normalize_names,
     row_key,
     snake_case,
 )
@@ -53,12 +53,20 @@ class TableLoad:
     df: DataFrame
     primary_key: tuple[str, ...]
     child: bool
+    direct: bool = False  # a list of the parent table itself
 
 
-def split_tables(name: str, df: DataFrame, primary_key: tuple[str, ...]) -> list[TableLoad]:
+def column_name(path: str) -> str:
+    """The loaded column of a (dotted) source field: ``meta.UpdatedAt`` -> ``meta__updated_at``."""
+    return NESTING_SEPARATOR.join(snake_case(part) for part in path.split("."))
+
+
+def split_tables(
+    name: str, df: DataFrame, primary_key: tuple[str, ...], flat: bool = False
+) -> list[TableLoad]:
     """The parent table without list columns, plus one child table per list column
     (recursively for lists inside list elements)."""
-    df = flatten(df)
+    df = df if flat else flatten(df)
     lists = [f.name for f in df.schema.fields if isinstance(f.dataType, ArrayType)]
     if not lists:
         return [TableLoad(name, df, primary_key, False)]
@@ -74,24 +82,33 @@ def split_tables(name: str, df: DataFrame, primary_key: tuple[str, ...]) -> list
         child_name = f"{name}__{col}"
         parent = keyed.select(F.col(ROW_KEY).alias(PARENT_KEY), F.col(f"`{col}`"))
         child = child_table(parent, [PARENT_KEY], col)
-        for sub in split_tables(child_name, child, ()):
+        for sub in split_tables(child_name, child, (), flat=True):
             key = (PARENT_KEY,) if sub.name == child_name else sub.primary_key
-            out.append(TableLoad(sub.name, sub.df, key, True))
+            out.append(TableLoad(sub.name, sub.df, key, True, sub.name == child_name and ROW_KEY not in df.columns))
     return out
 
 
 def load_table(
     warehouse: Warehouse, spec: SourceSpec, table: str, read: TableRead, normalize: bool = True
 ) -> list[LoadResult]:
-    df = normalize_names(read.df) if normalize else read.df
-    cursor = (snake_case(read.cursor) if normalize else read.cursor) if read.cursor else None
+    df = flatten(read.df) if normalize and read.df.columns else read.df
+    named = column_name if normalize else str
+    cursor = named(read.cursor) if read.cursor else None
+    primary_key = tuple(named(k) for k in read.primary_key)
+    order_by = tuple(named(c) for c in read.order_by)
     if cursor:  # incremental: only rows at or after the table's high-water mark
-        df = pending_rows(df, warehouse, spec.dataset_name, table, cursor, read.primary_key)
-    if normalize:
-        parts = split_tables(table, df, read.primary_key)
+        df = pending_rows(df, warehouse, spec.dataset_name, table, cursor, primary_key)
+    keyed_merge = spec.write_disposition == "merge" and bool(primary_key)
+    if normalize and df.columns:
+        if keyed_merge and any(isinstance(f.dataType, ArrayType) for f in df.schema.fields):
+            df = dedupe_last(df, primary_key, order_by)  # only the winners' lists move
+        parts = split_tables(table, df, primary_key, flat=True)
     else:
-        parts = [TableLoad(table, df, read.primary_key, False)]
+        parts = [TableLoad(table, df, primary_key, False)]
     results = []
+    incoming = None
+    if keyed_merge and len(parts) > 1:
+        incoming = df.select(row_key(*[F.col(f"`{k}`") for k in primary_key]).alias(PARENT_KEY))
     for part in parts:
         disposition = spec.write_disposition
         if part.child:
@@ -103,11 +120,13 @@ def load_table(
                 part.name,
                 disposition,
                 primary_key=part.primary_key or None,
-                order_by=() if part.child else read.order_by,
+                order_by=() if part.child else order_by,
                 cursor_column=None if part.child else cursor,
                 source=spec.name,
                 buckets=read.buckets,
                 dedupe=not part.child,
+                # lists of incoming parents are replaced whole, empty ones included
+                delete_keys=incoming if part.child and part.direct else None,
             )
         )
     return results

@@ -72,15 +72,23 @@ CARD_BODIES = {
     ),
 }
 
-SUITE_BODY = """
-SELECT * FROM (VALUES
-  (0, 'Total Customers', 'scalar', 1),
-  (1, 'Active Customers', 'scalar', 1),
-  (2, 'Total Orders', 'scalar', 1),
-  (3, 'Lifetime Value', 'scalar', 1)) AS t(card_position, card, display, row_count)
-UNION ALL SELECT 4, 'Lifetime Value by Segment', 'bar', (SELECT count(*) FROM (SELECT segment FROM m GROUP BY segment))
-UNION ALL SELECT 5, 'Activity by Segment', 'bar', (SELECT count(*) FROM (SELECT segment FROM m GROUP BY segment))
-UNION ALL SELECT 6, 'Customer Detail', 'table', (SELECT count(*) FROM m)
+_DAYS = "coalesce(date_diff('day', DATE '1970-01-01', CAST({} AS DATE)), 0)"
+SUITE_BODY = f"""
+SELECT 0 AS card_position, 'Total Customers' AS card, 'scalar' AS display, CAST(1 AS BIGINT) AS row_count,
+  CAST(count(*) AS DOUBLE) AS number_sum, CAST(0 AS BIGINT) AS text_length, CAST(0 AS BIGINT) AS day_sum FROM m
+UNION ALL SELECT 1, 'Active Customers', 'scalar', 1, CAST(count_if(order_count > 0 OR event_count > 0) AS DOUBLE), 0, 0 FROM m
+UNION ALL SELECT 2, 'Total Orders', 'scalar', 1, CAST(coalesce(sum(order_count), 0) AS DOUBLE), 0, 0 FROM m
+UNION ALL SELECT 3, 'Lifetime Value', 'scalar', 1, CAST(coalesce(sum(lifetime_value), 0) AS DOUBLE), 0, 0 FROM m
+UNION ALL SELECT 4, 'Lifetime Value by Segment', 'bar', count(DISTINCT coalesce(segment, '')),
+  CAST(coalesce(sum(lifetime_value), 0) AS DOUBLE),
+  CAST(coalesce((SELECT sum(length(segment)) FROM (SELECT DISTINCT segment FROM m)), 0) AS BIGINT), 0 FROM m
+UNION ALL SELECT 5, 'Activity by Segment', 'bar', count(DISTINCT coalesce(segment, '')),
+  CAST(coalesce(sum(order_count + event_count), 0) AS DOUBLE),
+  CAST(coalesce((SELECT sum(length(segment)) FROM (SELECT DISTINCT segment FROM m)), 0) AS BIGINT), 0 FROM m
+UNION ALL SELECT 6, 'Customer Detail', 'table', count(*),
+  CAST(coalesce(sum(coalesce(customer_id, 0) + event_count + order_count + lifetime_value), 0) AS DOUBLE),
+  CAST(coalesce(sum(coalesce(length(name), 0) + coalesce(length(segment), 0)), 0) AS BIGINT),
+  CAST(coalesce(sum({_DAYS.format('last_event_at')} + {_DAYS.format('last_order_at')}), 0) AS BIGINT) FROM m
 """
 
 NOT_NULL_SOURCES = """
@@ -221,8 +229,9 @@ SCENARIO_ORACLES = {
         WITH c AS (SELECT conv_id, turn, string_split(text, chr(10)) AS parts FROM conversations),
              e AS (SELECT conv_id, turn, parts, unnest(generate_series(1, len(parts))) AS i FROM c)
         SELECT conv_id, turn, CAST(i - 1 AS BIGINT) AS _idx, parts[i] AS value,
-               sha256(concat_ws('|', CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR),
-                                CAST(i - 1 AS VARCHAR))) AS _row_key
+               sha256(length(CAST(conv_id AS VARCHAR)) || ':' || conv_id || ';'
+                      || length(CAST(turn AS VARCHAR)) || ':' || turn || ';'
+                      || length(CAST(i - 1 AS VARCHAR)) || ':' || (i - 1) || ';') AS _row_key
         FROM e
     """,
     "ingest_child_tables": """
@@ -248,3 +257,36 @@ SCENARIO_ORACLES = {
     "fn_parse_datetime": "SELECT o_orderkey, o_orderpriority, o_orderdate AS parsed_at FROM orders",
 }
 ORACLES.update(SCENARIO_ORACLES)
+
+ORACLES |= {
+    "fn_parse_datetime_compact": (
+        "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) "
+        "WHEN 1 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + INTERVAL 36930 SECOND "
+        "ELSE make_timestamp((1600000000 + o_orderkey) * 1000000) END AS parsed_at FROM orders"
+    ),
+    "adhoc_json_long_line": (
+        "SELECT CAST(count(*) + 1 AS BIGINT) AS n, CAST(sum(length(text)) + 100000 AS BIGINT) AS chars "
+        "FROM documents"
+    ),
+    "load_type_narrowing": (
+        "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 1 AND o_orderkey % 3 = 0 THEN NULL "
+        "ELSE CAST(o_custkey AS BIGINT) END AS v, CASE WHEN o_orderkey % 2 = 1 AND o_orderkey % 3 = 0 "
+        "THEN CAST(o_custkey AS DOUBLE) + 0.75 END AS v__v_double FROM orders"
+    ),
+    "load_cursor_ties_no_key": (
+        "WITH e AS (SELECT event_id, date_trunc('day', ts) AS day FROM events), "
+        "m AS (SELECT max(day) AS mark FROM e WHERE event_id % 3 <> 0) "
+        "SELECT event_id, CAST(day AS TIMESTAMP) AS day FROM e, m WHERE event_id % 3 <> 0 OR day >= mark"
+    ),
+    "scan_csv_quoted": (
+        "SELECT o_orderkey, 'say \"hi\", ' || o_orderpriority || chr(10) || 'second line' AS note FROM orders"
+    ),
+    "scan_glob_residual": "SELECT event_id, user_id FROM events WHERE event_id % 2 = 0",
+    "ingest_child_shrink": (
+        "SELECT o_orderkey AS order_id, CAST(0 AS BIGINT) AS _idx, o_orderpriority AS value FROM orders "
+        "WHERE o_orderkey % 2 = 1"
+    ),
+    "ingest_child_duplicate_parents": (
+        "SELECT o_orderkey AS order_id, CAST(0 AS BIGINT) AS _idx, o_orderstatus AS value FROM orders"
+    ),
+}

@@ -81,11 +81,11 @@ def _card(builder, segment=None) -> QueryFn:
 def q_report_suite(spark, d):
     # the mart is computed once and written as a table (as a dashboard sees it);
     # the seven cards then read one row per customer
-    return reports.report_suite_counts(materialized_mart(spark, d))
+    return reports.report_suite(materialized_mart(spark, d))
 
 
 def q_report_suite_filtered(spark, d):
-    return reports.report_suite_counts(materialized_mart(spark, d), FILTER_SEGMENT)
+    return reports.report_suite(materialized_mart(spark, d), FILTER_SEGMENT)
 
 
 # -- data tests ---------------------------------------------------------------------
@@ -110,9 +110,14 @@ def q_dq_unique(spark, d):
 
 
 def q_dq_build(spark, d):
-    from tidepool.plans.build import build_project, results_frame
+    """The project built into a warehouse; the results as recomputed on the written mart."""
+    from tidepool.operators.load import Warehouse
+    from tidepool.plans.build import build_project
 
-    return results_frame(spark, build_project(raw_tables(spark, d)))
+    warehouse = Warehouse(spark, scratch_dir(spark, "build"))
+    raw = raw_tables(spark, d)
+    report = build_project(raw, warehouse=warehouse)
+    return quality.suite_results(raw, report.models["customer_activity"])
 
 
 def q_dq_suite(spark, d):

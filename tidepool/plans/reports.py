@@ -13,12 +13,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StringType
 
 from tidepool.functions.casts import to_float64, zero_if_null
+from tidepool.session import scratch_dir
 
 
 def filter_segment(mart: DataFrame, segment: str | None = None) -> DataFrame:
@@ -107,56 +109,64 @@ def report_cards(mart: DataFrame, segment: str | None = None) -> dict[str, DataF
     return {card.name: card.build(mart, segment) for card in CARDS}
 
 
-def report_suite_counts(mart: DataFrame, segment: str | None = None) -> DataFrame:
-    """(card_position, card, display, row_count) for every card, as one DataFrame.
+class ReportRun:
+    """Run all cards against one materialized mart and keep every card's whole result.
 
-    Every card is executed (this is a validation run).  Pass a materialized mart --
-    a table read, as the dashboard sees it -- so the seven cards scan one row per
-    customer instead of recomputing the mart; Catalyst still optimizes each card on
-    its own (a card that needs no order column never reads it).
+    Each card is written, sorted as it is displayed, below the shared scratch folder and read
+    back; nothing is brought to the driver, however many customers the detail card lists.
     """
+
+    def __init__(self, mart: DataFrame):
+        self.mart = mart
+
+    def run(self, segment: str | None = None) -> dict[str, DataFrame]:
+        spark, results = self.mart.sparkSession, {}
+        for name, df in report_cards(self.mart, segment).items():
+            path = scratch_dir(spark, "card")
+            df.write.parquet(path)
+            results[name] = spark.read.schema(df.schema).parquet(path)
+        return results
+
+
+def _measures(card: DataFrame) -> list[Column]:
+    """Row count and sums over every value: numbers, text lengths, days of times."""
+    numbers, texts, days = F.lit(0).cast("decimal(38,2)"), F.lit(0), F.lit(0)
+    for f in card.schema.fields:
+        value = F.col(f.name)
+        if isinstance(f.dataType, NumericType):
+            numbers = numbers + F.coalesce(value.cast("decimal(30,2)"), F.lit(0))
+        elif isinstance(f.dataType, StringType):
+            texts = texts + F.coalesce(F.length(value), F.lit(0))
+        else:
+            days = days + F.coalesce(F.datediff(value, F.lit("1970-01-01").cast("date")), F.lit(0))
+    return [
+        F.count(F.lit(1)).alias("row_count"),
+        to_float64(F.coalesce(F.sum(numbers), F.lit(0))).alias("number_sum"),
+        F.coalesce(F.sum(texts), F.lit(0)).cast("bigint").alias("text_length"),
+        F.coalesce(F.sum(days), F.lit(0)).cast("bigint").alias("day_sum"),
+    ]
+
+
+def report_suite(mart: DataFrame, segment: str | None = None) -> DataFrame:
+    """One row per card with its row count and sums over all its values.
+
+    Every card is computed and written in full first (``ReportRun``), so its measures and its
+    sort are part of the run.  Pass a materialized mart: the seven cards then read one row per
+    customer instead of recomputing it.
+    """
+    results = ReportRun(mart).run(segment)
     parts = [
-        card.build(mart, segment)
-        .agg(F.count(F.lit(1)).alias("row_count"))
+        results[card.name]
+        .agg(*_measures(results[card.name]))
         .select(
             F.lit(position).alias("card_position"),
             F.lit(card.name).alias("card"),
             F.lit(card.display).alias("display"),
             "row_count",
+            "number_sum",
+            "text_length",
+            "day_sum",
         )
         for position, card in enumerate(CARDS)
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-# Fixed value: rows of a card shown on the dashboard.
-DISPLAY_ROWS = 100
-
-
-class ReportRun:
-    """Run all cards against one persisted copy of the mart and check each result.
-
-    Mirrors the dashboard validation: every card must return a row set.  The mart is
-    persisted (memory, spilling to disk) once for the seven cards and released after.
-    """
-
-    def __init__(self, mart: DataFrame):
-        self.mart = mart
-
-    def run(self, segment: str | None = None) -> dict[str, list]:
-        cached = self.mart.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            results = {}
-            for name, df in report_cards(cached, segment).items():
-                # cards are displayed: at most the display cap reaches the driver
-                # (the full results stay available as DataFrames, report_cards)
-                rows = df.limit(DISPLAY_ROWS).collect()
-                if not isinstance(rows, list):
-                    raise RuntimeError(f"Card did not return rows: {name}")
-                results[name] = rows
-            return results
-        finally:
-            cached.unpersist()
+    return reduce(DataFrame.unionByName, parts)

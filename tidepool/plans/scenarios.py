@@ -381,6 +381,126 @@ def q_fn_parse_datetime(spark, d):
     )
 
 
+# -- cases beyond the friendly path ----------------------------------------------------------
+
+
+def q_fn_parse_datetime_compact(spark, d):
+    """Compact dates and date-times (by order number), and epoch seconds."""
+    o = read_table(spark, d, "orders")
+    date = F.date_format("o_orderdate", "yyyyMMdd")
+    raw = (
+        F.when(F.col("o_orderkey") % 3 == 0, date)
+        .when(F.col("o_orderkey") % 3 == 1, F.concat(date, F.lit("101530")))
+        .otherwise((F.lit(1_600_000_000) + F.col("o_orderkey")).cast("string"))
+    )
+    return o.select("o_orderkey", parse_datetime_best_effort(raw).alias("parsed_at"))
+
+
+def q_adhoc_json_long_line(spark, d):
+    """A JSON Lines file named .json whose first line is far longer than its others."""
+    long = spark.range(1).select(
+        F.lit(-1).cast("bigint").alias("doc_id"), F.repeat(F.lit("long "), 20_000).alias("text")
+    )
+    rows = long.unionByName(read_table(spark, d, "documents").select("doc_id", "text"))
+    dest = landing.land_jsonl(rows, scratch_dir(spark, "adhoc"))
+    return adhoc.query_file(
+        spark, f"{dest}/*.json", "SELECT count(*) AS n, sum(length(text)) AS chars FROM source"
+    )
+
+
+def q_load_type_narrowing(spark, d):
+    """A bigint column that receives fractions keeps them beside, digits and all."""
+    o = read_table(spark, d, "orders")
+    wh = _wh(spark)
+    whole = o.where("o_orderkey % 2 = 0").select("o_orderkey", F.col("o_custkey").cast("bigint").alias("v"))
+    wh.load(whole, "raw", "narrow", "append")
+    other = o.where("o_orderkey % 2 = 1").select(
+        "o_orderkey", (F.col("o_custkey") + F.when(F.col("o_orderkey") % 3 == 0, 0.75).otherwise(0.0)).alias("v")
+    )
+    wh.load(other, "raw", "narrow", "append")
+    return wh.read("raw", "narrow").select("o_orderkey", "v", "v__v_double")
+
+
+def q_load_cursor_ties_no_key(spark, d):
+    """Reruns of an unkeyed cursor load neither repeat nor lose the rows at the mark."""
+    ev = read_table(spark, d, "events").select("event_id", F.date_trunc("DAY", "ts").cast("timestamp_ntz").alias("day"))
+    wh = _wh(spark)
+    early = ev.where("event_id % 3 <> 0")
+    for batch in (early, early, ev.where(F.col("day") >= early.agg(F.max("day")).first()[0])):
+        load_incremental(batch, wh, "raw", "ties", "day")
+    return wh.read("raw", "ties").select("event_id", "day")
+
+
+def q_scan_csv_quoted(spark, d):
+    """Quotes, commas and line breaks inside quoted fields."""
+    o = read_table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    hard = F.concat(F.lit('say "hi", '), F.col("o_orderpriority"), F.lit("\nsecond line"))
+    dest = scratch_dir(spark, "quoted")
+    rows = o.select("o_orderkey", hard.alias("note"))
+    rows.write.option("header", "true").option("quote", '"').option("escape", '"').csv(dest)
+    return read_files(
+        spark, f"{dest}/*.csv", "csv", schema="o_orderkey bigint, note string", options={"multiLine": "true"}
+    )
+
+
+def q_scan_glob_residual(spark, d):
+    """Files selected below a pattern's middle folder; the others take no part in inference."""
+    ev = read_table(spark, d, "events").select("event_id", "user_id")
+    root = f"{scratch_dir(spark, 'residual')}/in box"
+    landing.land_jsonl(ev.where("event_id % 2 = 0"), f"{root}/x/a")
+    landing.land_jsonl(ev.where("event_id % 2 = 1").withColumn("foreign", F.lit(1)), f"{root}/x/b")
+    return read_files(spark, f"{root}/**/a/*.json", "jsonl")
+
+
+def _child_spec(root: str):
+    [spec] = parse_source_specs(
+        {
+            "version": 1,
+            "sources": [
+                {
+                    "name": "lists",
+                    "type": "filesystem",
+                    "write_disposition": "merge",
+                    "bucket_url": root,
+                    "tables": [
+                        {"name": "parents", "file_glob": "*.json", "format": "jsonl", "primary_key": "OrderId",
+                         "order_by": "Version", "schema": "OrderId bigint, Version int, Tags array<string>"}
+                    ],
+                }
+            ],
+        }
+    )
+    return spec
+
+
+def _ingest_lists(spark, batches):
+    wh = _wh(spark)
+    for batch in batches:
+        dest = landing.land_jsonl(batch, scratch_dir(spark, "lists"))
+        ingest(spark, _child_spec(dest), wh)
+    parents = wh.read("raw_lists", "parents").select("order_id", F.col("_row_key").alias("_parent_key"))
+    return wh.read("raw_lists", "parents__tags").join(parents, "_parent_key").select("order_id", "_idx", "value")
+
+
+def _tagged(spark, d, version: int, tags):
+    o = read_table(spark, d, "orders")
+    return o.select(F.col("o_orderkey").alias("OrderId"), F.lit(version).alias("Version"), tags.alias("Tags"))
+
+
+def q_ingest_child_shrink(spark, d):
+    """Lists that shrink, some to nothing, leave no stale elements."""
+    pair = F.array(F.col("o_orderpriority"), F.col("o_orderstatus"))
+    less = F.slice(pair, 1, (F.col("o_orderkey") % 2).cast("int"))
+    return _ingest_lists(spark, [_tagged(spark, d, 1, pair), _tagged(spark, d, 2, less)])
+
+
+def q_ingest_child_duplicate_parents(spark, d):
+    """Of two versions of a parent in one batch only the later one's list is loaded."""
+    old = _tagged(spark, d, 1, F.array(F.lit("old1"), F.lit("old2")))
+    new = _tagged(spark, d, 2, F.array(F.col("o_orderstatus")))
+    return _ingest_lists(spark, [old.unionByName(new)])
+
+
 SCENARIOS = {
     "scan_csv": q_scan_csv,
     "scan_csv_gz": q_scan_csv_gz,
@@ -410,4 +530,12 @@ SCENARIOS = {
     "adhoc_sum_by_customer": q_adhoc_sum_by_customer,
     "adhoc_param_sql": q_adhoc_param_sql,
     "fn_parse_datetime": q_fn_parse_datetime,
+    "fn_parse_datetime_compact": q_fn_parse_datetime_compact,
+    "adhoc_json_long_line": q_adhoc_json_long_line,
+    "load_type_narrowing": q_load_type_narrowing,
+    "load_cursor_ties_no_key": q_load_cursor_ties_no_key,
+    "scan_csv_quoted": q_scan_csv_quoted,
+    "scan_glob_residual": q_scan_glob_residual,
+    "ingest_child_shrink": q_ingest_child_shrink,
+    "ingest_child_duplicate_parents": q_ingest_child_duplicate_parents,
 }

@@ -60,7 +60,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing.rstrip("/")
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError(
             "spark.checkpoint.dir must name a folder shared by all executors"
         )

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidepool.session import scratch_dir
-from tidepool.sources.files import read_files, select_files
+from tidepool.sources.files import decoded_file_path, read_files, select_files
 
 
 class DocumentError(ValueError):
@@ -60,7 +60,7 @@ def document_records(
     # the keyword, not an option: text() would reset the option to its own default
     docs = reader.text(sel.path, wholetext=True)
     if sel.path_regex is not None:
-        docs = docs.where(F.col("_metadata.file_path").rlike(sel.path_regex))
+        docs = docs.where(decoded_file_path().rlike(sel.path_regex))
     docs = docs.select(
         F.col("_metadata.file_path").alias("_file"),
         F.parse_json("value").alias("doc"),
@@ -141,7 +141,7 @@ def read_json_documents(
         counts = flagged.agg(*_checks()).first().asDict()
         _raise_on(counts, records_path)
         return valid.select(
-            F.from_json(F.to_json("record"), schema).alias("r"),
+            F.from_json(F.to_json("record"), schema, {"mode": "FAILFAST"}).alias("r"),
             *[c.alias(n) for n, c in extra.items()],
         ).select("r.*", *extra.keys())
 

@@ -17,7 +17,7 @@ import contextlib
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampType
 
@@ -132,11 +132,21 @@ def normalize_timestamps(df: DataFrame) -> DataFrame:
     )
 
 
-def _apply_selection(reader_fn, sel: FileSelection) -> DataFrame:
-    df = reader_fn(sel.path)
-    if sel.path_regex is not None:
-        df = df.where(F.col("_metadata.file_path").rlike(sel.path_regex))
-    return df
+def decoded_file_path() -> Column:
+    """The path of a row's file; ``_metadata.file_path`` is percent-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def _matching_files(spark: SparkSession, sel: FileSelection, options: dict[str, str]) -> list[str]:
+    """Paths that a residual pattern selects (a listing: no content is read).
+
+    The names are the driver's anyway: every file scan is planned from them.
+    """
+    listing = spark.read.format("binaryFile").options(**options).options(**sel.options).load(sel.path)
+    found = [r.path for r in listing.select("path").where(F.col("path").rlike(sel.path_regex)).collect()]
+    if not found:
+        raise FileNotFoundError(f"No file below {sel.path} matches the pattern")
+    return sorted(found)
 
 
 def read_files(
@@ -152,44 +162,67 @@ def read_files(
     ``schema`` no inference pass is made -- recommended for large inputs.
     """
     sel = select_files(pattern)
-    reader = spark.read.options(**sel.options).options(**(options or {}))
+    given = options or {}
+    if sel.path_regex is not None:  # the excluded files must not take part in inference
+        files, reader = _matching_files(spark, sel, given), spark.read.options(**given)
+    else:
+        files, reader = sel.path, spark.read.options(**sel.options).options(**given)
     if schema is not None:
         reader = reader.schema(schema)
+    if fmt != "parquet" and "mode" not in given:
+        reader = reader.option("mode", "FAILFAST")  # a malformed record stops the read
     if fmt in ("csv", "csv.gz"):
         # every file's header is checked against the schema: a file with reordered
         # or renamed columns fails instead of being mapped by position
         reader = reader.option("header", "true").option("enforceSchema", "false")
+        # a quote inside a quoted field is doubled; ``multiLine`` (line breaks inside
+        # quotes) is a source option, since it makes files unsplittable
+        reader = reader.option("quote", '"').option("escape", given.get("escape", '"'))
         if schema is None:
             reader = reader.option("inferSchema", "true")
         with _ntz_inference(spark):
-            df = _apply_selection(reader.csv, sel)
+            df = reader.csv(files)
     elif fmt in ("jsonl", "ndjson"):
         if schema is None:
             reader = reader.option("inferTimestamp", "true")
         with _ntz_inference(spark):
-            df = _apply_selection(reader.json, sel)
+            df = reader.json(files)
     elif fmt == "parquet":
         if schema is None and "mergeSchema" not in (options or {}):
             # files of one source may have gained columns over time: union the
             # footers (read in parallel) instead of trusting one file's schema
             reader = reader.option("mergeSchema", "true")
-        df = _apply_selection(reader.parquet, sel)
+        df = reader.parquet(*files) if isinstance(files, list) else reader.parquet(files)
     else:
         raise ValueError(f"Unsupported file format: {fmt}")
     return normalize_timestamps(df)
 
 
+# The format of a file by its name's last suffixes.
+SUFFIX_FORMATS = {
+    "csv": "csv",
+    "json": "json",
+    "jsonl": "json",
+    "ndjson": "json",
+    "parquet": "parquet",
+}
+COMPRESSED = ("gz", "bz2", "zst")
+
+
 def infer_format(path: str) -> str:
-    """Choose a reader from a path: lower-cased, text after ``?`` ignored.
+    """The reader for a path, from the suffix of its last part (a compression suffix aside).
 
-    ``.csv``/``.csv.gz`` -> csv; ``.json``/``.jsonl``/``.ndjson`` -> json;
-    ``.parquet`` or any other glob with ``*`` -> parquet; anything else is an error.
+    A directory or a glob without a known suffix is taken as Parquet, Spark's own layout;
+    a plain name without one is an error.  A ``?key=value`` query at the end is ignored.
     """
-    normalized = path.lower().split("?", maxsplit=1)[0]
-    if normalized.endswith((".csv", ".csv.gz")):
-        return "csv"
-    if normalized.endswith((".json", ".jsonl", ".ndjson")):
-        return "json"
-    if normalized.endswith(".parquet") or "*" in normalized:
+    name = re.sub(r"\?[\w.-]+=.*$", "", path)  # a query, not a one-character wildcard
+    last = name.rstrip("/").rsplit("/", 1)[-1].lower()
+    suffixes = last.split(".")[1:]
+    if suffixes and suffixes[-1] in COMPRESSED:
+        suffixes.pop()
+    known = SUFFIX_FORMATS.get(suffixes[-1]) if suffixes else None
+    if known:
+        return known
+    if any(c in last for c in GLOB_CHARS) or path.endswith("/"):
         return "parquet"
-    raise ValueError(f"Cannot infer file type from path: {path}")
+    raise ValueError(f"No reader for {path}: its name has none of the suffixes {', '.join(SUFFIX_FORMATS)}")

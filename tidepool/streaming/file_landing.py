@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tidepool.operators.load import LoadResult, Warehouse
-from tidepool.sources.files import normalize_timestamps, select_files
+from tidepool.sources.files import decoded_file_path, normalize_timestamps, select_files
 
 
 @dataclass
@@ -47,10 +47,15 @@ def ingest_new_files(
     sel = select_files(pattern)
     reader = spark.readStream.schema(schema).options(**sel.options)
     if fmt in ("csv", "csv.gz"):
-        reader = reader.option("header", "true")
+        reader = reader.option("header", "true").option("enforceSchema", "false")
+        reader = reader.option("quote", '"').option("escape", '"')
+    if fmt != "parquet":
+        reader = reader.option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.format({"jsonl": "json", "csv.gz": "csv"}.get(fmt, fmt)).load(sel.path)
+    if sel.path_regex is not None:
+        stream = stream.where(decoded_file_path().rlike(sel.path_regex))
     run = LandingRun()
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
