@@ -33,6 +33,7 @@ FLOOR = (0.08, 0.06, 0.15, 0.10, 0.06)
 COVER = 0.75
 STEPS = 4
 LEAST = 40
+SPREAD = 32
 #: Squared distance: the chi-square quantile of 5 degrees of freedom at 0.999.
 CUTOFF = 20.5
 #: Consistency of the covariance of the nearest 75 % for normal data in 5 dimensions.
@@ -156,6 +157,17 @@ def _scatter(rows: DataFrame, keys: list[str]) -> DataFrame:
     return out.select(*keys, "n", "size", *kept)
 
 
+def _spread_join(rows: DataFrame, per_group: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join rows with one row per group; each group's rows go to ``SPREAD`` places.
+
+    The row of a group is repeated ``SPREAD`` times, so a group with a third of all rows meets
+    it in many tasks, and what is grouped afterwards is summed map-side first.
+    """
+    salted = rows.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("int"))
+    copies = per_group.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    return salted.join(copies, [*keys, "__salt"], how).drop("__salt")
+
+
 def _estimates(vectors: DataFrame) -> DataFrame:
     """The winning centre and scatter of every group of ``vectors(g1, g2, x0..)``."""
     p = len(STATISTICS)
@@ -164,7 +176,7 @@ def _estimates(vectors: DataFrame) -> DataFrame:
     middle = vectors.groupBy(*keys).agg(
         *(F.percentile_approx(x[i], 0.5, 1000).alias(f"c{i}") for i in range(p))
     )
-    around = vectors.join(middle, keys)
+    around = _spread_join(vectors, middle, keys)
     spread = around.groupBy(*keys).agg(
         *(F.percentile_approx(F.abs(x[i] - F.col(f"c{i}")), 0.5, 1000).alias(f"d{i}") for i in range(p))
     )
@@ -180,16 +192,16 @@ def _estimates(vectors: DataFrame) -> DataFrame:
         F.struct(F.lit(0).alias("start"), scaled.alias("d2")),
         F.struct(F.lit(1).alias("start"), plain.alias("d2")),
     )
-    now = around.join(spread, keys).select(*keys, *x, F.explode(starts).alias("s"))
+    now = _spread_join(around, spread, keys).select(*keys, *x, F.explode(starts).alias("s"))
     now = now.select(*keys, *x, "s.start", "s.d2")
     keyed = [*keys, "start"]
     both = vectors.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
     for _ in range(STEPS):
         now = materialize(now, "op6-step")
         limit = now.groupBy(*keyed).agg(F.percentile_approx("d2", COVER, 1000).alias("limit"))
-        near = now.join(limit, keyed).where("d2 <= limit")
+        near = _spread_join(now, limit, keyed).where("d2 <= limit")
         estimate = materialize(_scatter(near, keyed), "op6-scatter")
-        now = both.join(estimate, keyed).select(*keyed, *x, _squared_distance(x).alias("d2"))
+        now = _spread_join(both, estimate, keyed).select(*keyed, *x, _squared_distance(x).alias("d2"))
     best = estimate.groupBy(*keys).agg(F.min(F.struct("size", "start")).alias("best"))
     return estimate.join(best, keys).where("start = best.start").drop("start", "best", "size", "n")
 
@@ -215,7 +227,7 @@ def judge(docs: DataFrame) -> DataFrame:
     counted = materialize(counted, "op6-counts")
     sizes = counted.where("not base_failed").groupBy("g1", "g2").agg(F.count("*").alias("members"))
     small = F.coalesce(F.col("members") < LEAST, F.lit(True))
-    grouped = counted.join(sizes, ["g1", "g2"], "left").select(
+    grouped = _spread_join(counted, sizes, ["g1", "g2"], "left").select(
         *(c for c in counted.columns if c not in ("g1", "g2")),
         F.when(small, "").otherwise(F.col("g1")).alias("g1"),
         F.when(small, "<small>").otherwise(F.col("g2")).alias("g2"),
@@ -226,7 +238,7 @@ def judge(docs: DataFrame) -> DataFrame:
     )
     enough = vectors.groupBy("g1", "g2").agg(F.count("*").alias("members")).where(F.col("members") >= LEAST)
     estimates = _estimates(materialize(vectors, "op6-vectors")).join(enough, ["g1", "g2"], "left_semi")
-    out = grouped.join(estimates, ["g1", "g2"], "left")
+    out = _spread_join(grouped, estimates, ["g1", "g2"], "left")
     distance = F.when(~F.col("base_failed"), _squared_distance(x))
     out = out.withColumn("distance2", distance)
     return out.select(
