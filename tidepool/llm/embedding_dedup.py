@@ -55,12 +55,19 @@ def count_needed() -> int:
     return PROJECTIONS
 
 
+_DIRECTIONS: dict = {}
+
+
 def directions(dimension: int, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Projection directions, and directions and shifts of the cells of every table."""
-    rng = np.random.default_rng([SEED, dimension])
-    lines = rng.standard_normal((dimension, PROJECTIONS))
-    cell = np.random.default_rng([SEED, dimension, 1]).standard_normal((TABLES, dimension, 16))
-    shift = np.random.default_rng([SEED, dimension, 2]).uniform(0, CELL, (TABLES, 16))
+    if dimension not in _DIRECTIONS:
+        lines, cell, shift = (np.random.default_rng([SEED, dimension, k]) for k in range(3))
+        _DIRECTIONS[dimension] = (
+            lines.standard_normal((dimension, PROJECTIONS)),
+            cell.standard_normal((TABLES, dimension, 16)),
+            shift.uniform(0, CELL, (TABLES, 16)),
+        )
+    lines, cell, shift = _DIRECTIONS[dimension]
     return lines, cell[:, :, :cells], shift[:, :cells]
 
 
@@ -124,6 +131,9 @@ def _links(cells: int):
             "place": rows["place"].to_numpy(np.float64),
         }
 
+    def part(rows: dict, a: int, b: int) -> dict:
+        return {name: values[a:b] for name, values in rows.items()}
+
     def compare(a: dict, b: dict, table: int) -> pd.DataFrame | None:
         collisions = np.zeros((len(a["ids"]), len(b["ids"])), dtype=np.int16)
         for k in range(PROJECTIONS):
@@ -155,11 +165,10 @@ def _links(cells: int):
         key, open_blocks = None, []
         rest: pd.DataFrame | None = None
 
-        def close(rows: pd.DataFrame, name: tuple) -> Iterator[pd.DataFrame]:
+        def close(now: dict, name: tuple) -> Iterator[pd.DataFrame]:
             nonlocal key, open_blocks
             if name != key:
                 key, open_blocks = name, []
-            now = block(rows)
             open_blocks = [x for x in open_blocks if x["place"][-1] >= now["place"][0] - WINDOW]
             for x in [*open_blocks, now]:
                 found = compare(now if x is now else x, now, name[2])
@@ -174,15 +183,23 @@ def _links(cells: int):
             frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
             names = frame[columns].to_numpy()
             cuts = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1).tolist(), len(frame)]
-            for a, b in zip(cuts[:-2], cuts[1:-1]):
+            # whole blocks of the last bucket can be compared; its end may follow
+            last = cuts[-2] + (len(frame) - cuts[-2] - 1) // BLOCK * BLOCK
+            sizes = names[:, 1]
+            prepared, until = None, 0
+            for a, b in zip(cuts[:-1], [*cuts[1:-1], last]):
+                if b - a < 2 and tuple(names[a]) != key:
+                    continue  # alone in its bucket
                 for s in range(a, b, BLOCK):
-                    yield from close(frame.iloc[s : min(s + BLOCK, b)], tuple(names[a]))
-            rest = frame.iloc[cuts[-2] :]
-            while len(rest) > BLOCK:
-                yield from close(rest.iloc[:BLOCK], tuple(names[cuts[-2]]))
-                rest = rest.iloc[BLOCK:]
+                    e = min(s + BLOCK, b)
+                    if e > until:  # project many rows of one dimension at once
+                        until = min(s + 8 * BLOCK, len(frame))
+                        until = s + int(np.argmax(np.append(sizes[s:until] != sizes[s], True)))
+                        prepared, origin = block(frame.iloc[s:until]), s
+                    yield from close(part(prepared, s - origin, e - origin), tuple(names[a]))
+            rest = frame.iloc[last:]
         if rest is not None and len(rest):
-            yield from close(rest, tuple(rest[columns].iloc[0]))
+            yield from close(block(rest), tuple(rest[columns].iloc[0]))
 
     return run
 
