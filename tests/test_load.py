@@ -218,15 +218,17 @@ def test_merge_reads_only_touched_buckets(spark, wh):
     version = wh.state("ds", "p").version_path
     hot = spark.createDataFrame([(7, "new", 0.0, 2)], SCHEMA)
     touched = hot.select(bucket_of(("id",), 4)).first()[0]
-    for path in globmod.glob(f"{version}/_bucket=*/*.parquet"):
+    files = globmod.glob(f"{version}/_load=*/_bucket=*/*.parquet")
+    assert any(f"_bucket={touched}/" not in path for path in files)
+    for path in files:
         if f"_bucket={touched}/" not in path:  # corrupt every bucket the batch does not touch
             with open(path, "wb") as fh:
                 fh.write(b"not parquet")
             crc = os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.crc")
             if os.path.exists(crc):
                 os.remove(crc)
-    wh.load(hot, "ds", "p", "merge")
-    bucket = spark.read.parquet(f"{version}/_bucket={touched}")
+    load = wh.load(hot, "ds", "p", "merge")
+    bucket = spark.read.parquet(f"{version}/_load=l-{load.load_id}/_bucket={touched}")
     assert bucket.where(F.col("id") == 7).first().name == "new"
     assert bucket.count() == base.where(bucket_of(("id",), 4) == touched).count()
 
@@ -272,3 +274,55 @@ def test_merge_plan_is_bucket_local(spark, tmp_path):
     exchanges = re.findall(r"Arguments: (hashpartitioning\([^)]*\))", plan)
     assert len(exchanges) == 2 and all(e.startswith("hashpartitioning(_bucket") for e in exchanges)
     assert "PartitionFilters: [_bucket" in plan or "PartitionFilters: [isnotnull(_bucket" in plan
+
+
+class Interrupted(Warehouse):
+    """Fails after the data job, before the audit row."""
+
+    def _record(self, *args, **fields):
+        raise RuntimeError("driver lost")
+
+
+@pytest.mark.parametrize("disposition", ["append", "merge", "insert_ignore", "delete_insert", "replace"])
+@pytest.mark.parametrize("keyed", [False, True])
+def test_interrupted_load_is_invisible_and_can_be_run_again(spark, wh, disposition, keyed):
+    if not keyed and disposition not in ("append", "replace"):
+        pytest.skip("needs a key")
+    key = ["id"] if keyed else None
+    wh.load(spark.createDataFrame([(1, "a", 1.0, 1), (2, "b", 2.0, 1)], SCHEMA), "ds", "r", primary_key=key)
+    batch = spark.createDataFrame([(2, "b2", 20.0, 2), (3, "c", 3.0, 2)], SCHEMA)
+    before = rows(wh.read("ds", "r"), "id", "name")
+    with pytest.raises(RuntimeError, match="driver lost"):
+        Interrupted(spark, wh.root, buckets=4).load(batch, "ds", "r", disposition, primary_key=key)
+    assert rows(wh.read("ds", "r"), "id", "name") == before
+    wh.load(batch, "ds", "r", disposition, primary_key=key)
+    expected = {
+        "append": [(1, "a"), (2, "b"), (2, "b2"), (3, "c")],
+        "merge": [(1, "a"), (2, "b2"), (3, "c")],
+        "delete_insert": [(1, "a"), (2, "b2"), (3, "c")],
+        "insert_ignore": [(1, "a"), (2, "b"), (3, "c")],
+        "replace": [(2, "b2"), (3, "c")],
+    }[disposition]
+    assert rows(wh.read("ds", "r"), "id", "name") == expected
+
+
+def test_second_load_on_the_same_state_fails(spark, wh):
+    b = spark.createDataFrame([(1, "a", 1.0, 1)], SCHEMA)
+    wh.load(b, "ds", "two")
+
+    class Slow(Warehouse):
+        def _record(self, *args, **fields):
+            wh.load(b, "ds", "two")  # another load commits first
+            super()._record(*args, **fields)
+
+    with pytest.raises(LoadError, match="changed while load"):
+        Slow(spark, wh.root).load(b, "ds", "two")
+    assert wh.read("ds", "two").count() == 2
+
+
+def test_vacuum_removes_superseded_buckets(spark, wh):
+    b = spark.range(20).selectExpr("id", "'x' AS name", "CAST(id AS DOUBLE) AS amt", "1 AS seq")
+    for _ in range(3):
+        wh.load(b, "ds", "old", "merge", primary_key=["id"])
+    assert len(wh.vacuum("ds", "old", keep=1)) == 8  # four buckets of each of two loads
+    assert wh.read("ds", "old").count() == 20

@@ -3,16 +3,19 @@ incremental, with schema evolution and one audit record per load.
 
 Layout below the warehouse root (a folder every executor can reach)::
 
-    <root>/<dataset>/<table>/<version>/[_bucket=<k>/]part-*.parquet
+    <root>/<dataset>/<table>/<version>/_load=<load>/[_bucket=<k>/]part-*.parquet
     <root>/_loads/                    audit table (JSON), one row per load
 
-The audit table is also the pointer to each table's current version and schema: a
-version becomes visible only when its audit row is written, after the data job has
-committed.  ``replace`` writes a fresh version, so readers never see half a table and
-the previous version stays readable.  Tables with a primary key are bucketed by
-``pmod(xxhash64(key), buckets)``; ``merge`` and ``insert_ignore`` then read and
-rewrite only the buckets the batch touches (bounded by ``buckets``), instead of the
-whole table.
+Every load writes a folder of its own.  The audit table is also the pointer to each
+table's current version, schema and live folders: a load of any kind becomes visible at
+once, when its audit row is written after the data job has committed, and never in part.
+A load that fails before that leaves only an unlisted folder, so running it again gives
+the same rows.  An audit row names the load it builds on and that name is taken once: of
+two loads that ran at the same time into one table, the later one fails and can be run
+again.  ``replace`` writes a fresh version; the previous one stays readable.  Tables with
+a primary key are bucketed by ``pmod(xxhash64(key), buckets)``; ``merge`` and
+``insert_ignore`` then read and rewrite only the buckets the batch touches (bounded by
+``buckets``), instead of the whole table.
 
 Row counts come from ``Observation`` metrics of the write job itself -- no second
 pass over the data.
@@ -49,6 +52,10 @@ BUCKET_LOCAL_JOIN = {"spark__sql__requireAllClusterKeysForCoPartition": "false"}
 DISPOSITIONS = ("append", "replace", "merge", "insert_ignore", "delete_insert")
 KEYED = ("merge", "insert_ignore", "delete_insert")
 BUCKET = "_bucket"
+LOAD = "_load"
+
+# folders that make up a table: load id -> live buckets (None: a table without buckets)
+Live = dict[str, list[int] | None]
 
 AUDIT_SCHEMA = StructType(
     [
@@ -67,6 +74,7 @@ AUDIT_SCHEMA = StructType(
         StructField("cursor_column", StringType()),
         StructField("cursor_max", StringType()),
         StructField("loaded_at", TimestampNTZType()),
+        StructField("live", StringType()),
     ]
 )
 
@@ -86,6 +94,7 @@ class TableState:
     cursor_column: str | None
     cursor_max: str | None
     load_seq: int
+    live: Live
 
 
 @dataclass(frozen=True)
@@ -107,6 +116,22 @@ def bucket_of(primary_key: tuple[str, ...], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[_q(k) for k in primary_key]), F.lit(buckets)).cast("int")
 
 
+def load_folder(version: str, load_id: str) -> str:
+    return f"{version}/{LOAD}=l-{load_id}"
+
+
+def live_paths(version: str, live: Live, only: list[int] | None = None) -> list[str]:
+    """The folders of a table, or those of the buckets ``only``."""
+    out = []
+    for load_id, buckets in live.items():
+        folder = load_folder(version, load_id)
+        if buckets is None:
+            out.append(folder)
+        else:
+            out += [f"{folder}/{BUCKET}={b}" for b in buckets if only is None or b in only]
+    return out
+
+
 def dedupe_last(
     df: DataFrame, primary_key: tuple[str, ...], order_by: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -245,6 +270,7 @@ class Warehouse:
                 cursor_column=r.cursor_column,
                 cursor_max=r.cursor_max,
                 load_seq=r.load_seq,
+                live=json.loads(r.live),
             ),
             max_seq,
         )
@@ -264,11 +290,17 @@ class Warehouse:
         )
         return bool(self.audit().where(match).limit(1).count())
 
-    def _read_version(self, st: TableState) -> DataFrame:
-        schema = st.schema
+    def _read_version(self, st: TableState, only: list[int] | None = None) -> DataFrame:
+        """The live rows, or those of the buckets ``only``."""
+        fields = list(st.schema.fields)
         if st.buckets:
-            schema = StructType(list(schema.fields) + [StructField(BUCKET, IntegerType(), True)])
-        return self.spark.read.schema(schema).parquet(st.version_path)
+            fields.append(StructField(BUCKET, IntegerType(), True))
+        paths = live_paths(st.version_path, st.live, only)
+        if not paths:
+            return self.spark.createDataFrame([], StructType(fields))
+        schema = StructType([*fields, StructField(LOAD, StringType(), True)])
+        reader = self.spark.read.schema(schema).option("basePath", st.version_path)
+        return reader.parquet(*paths).drop(LOAD)
 
     def read(self, dataset: str, table: str) -> DataFrame:
         st = self.state(dataset, table)
@@ -307,14 +339,19 @@ class Warehouse:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{dataset}`")
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         location = st.version_path.replace("'", "\\'")
-        if st.buckets:
-            self.spark.sql(
-                f"CREATE TABLE {name} ({cols}, `{BUCKET}` int) USING parquet "
-                f"PARTITIONED BY (`{BUCKET}`) LOCATION '{location}'"
-            )
-            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-        else:
-            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet LOCATION '{location}'")
+        parts = [f"`{LOAD}` string", *([f"`{BUCKET}` int"] if st.buckets else [])]
+        names = ", ".join(p.split()[0] for p in parts)
+        self.spark.sql(
+            f"CREATE TABLE {name} ({', '.join([cols, *parts])}) USING parquet "
+            f"PARTITIONED BY ({names}) LOCATION '{location}'"
+        )
+        listed = [
+            f"PARTITION (`{LOAD}`='l-{load_id}'" + (")" if b is None else f", `{BUCKET}`={b})")
+            for load_id, buckets in st.live.items()
+            for b in ([None] if buckets is None else buckets)
+        ]
+        if listed:  # live folders only
+            self.spark.sql(f"ALTER TABLE {name} ADD {' '.join(listed)}")
         return f"{dataset}.{table}"
 
     def register_catalog(self) -> list[str]:
@@ -327,22 +364,33 @@ class Warehouse:
         return jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()), jpath
 
     def vacuum(self, dataset: str, table: str, keep: int = 2) -> list[str]:
-        """Delete versions of a table older than its ``keep`` most recent ones.
+        """Delete versions of a table older than its ``keep`` most recent ones, and folders
+        of those that none of its ``keep`` most recent loads reads.
 
-        Only folders that the audit table names as versions of this table are
-        touched (a bounded list of paths; metadata operations on the driver).
+        Only folders that the audit table names are touched (a bounded list of paths;
+        metadata operations on the driver), so a running load is safe.
         """
-        versions = [
-            r.version_path
-            for r in self.audit()
+        loads = (
+            self.audit()
             .where((F.col("dataset") == dataset) & (F.col("table_name") == table))
-            .groupBy("version_path")
-            .agg(F.max("load_seq").alias("seq"))
-            .orderBy(F.desc("seq"))
+            .select("load_seq", "version_path", "live")
+            .distinct()
+            .orderBy(F.desc("load_seq"))
             .collect()
-        ]
+        )
+        versions = list(dict.fromkeys(r.version_path for r in loads))
+        kept: set[str] = set()
+        listed: set[str] = set()
+        for i, r in enumerate(loads):
+            if r.version_path in versions[:keep]:
+                paths = live_paths(r.version_path, json.loads(r.live))
+                listed.update(paths)
+                # the newest state of a kept version stays readable as a whole
+                newest = all(q.version_path != r.version_path for q in loads[:i])
+                if i < keep or newest:
+                    kept.update(paths)
         removed = []
-        for path in versions[keep:]:
+        for path in [*versions[keep:], *sorted(listed - kept)]:
             fs, jpath = self._fs(path)
             if fs.exists(jpath):
                 fs.delete(jpath, True)
@@ -378,39 +426,38 @@ class Warehouse:
         return f"{self.root}/{dataset}/{table}/v-{load_id}"
 
     def _write(
-        self,
-        df: DataFrame,
-        path: str,
-        mode: str,
-        buckets: int | None,
-        obs: Observation,
-        partition_by_bucket: bool = False,
-    ):
-        if buckets:  # whole buckets per task: one file per bucket, not per task
-            df = df.repartition(buckets, BUCKET)
-        observed = self._capture(f"write {mode} {path}", df.observe(obs, F.count(F.lit(1)).alias("rows")))
-        writer = observed.write.mode(mode)
-        if buckets or partition_by_bucket:
+        self, label: str, df: DataFrame, path: str, buckets: int | None, obs: Observation
+    ) -> tuple[int, list[int] | None]:
+        """Write a load's folder; returns its rows and the buckets that have rows."""
+        aggs = [F.count(F.lit(1)).alias("rows")]
+        if buckets:
+            aggs.append(F.collect_set(BUCKET).alias("touched"))  # at most ``buckets`` ints
+        writer = self._capture(label, df.observe(obs, *aggs)).write.mode("errorifexists")
+        if buckets:
             writer = writer.partitionBy(BUCKET)
         writer.parquet(path)
-        return obs.get["rows"]
+        metrics = obs.get
+        return int(metrics["rows"]), sorted(metrics["touched"] or []) if buckets else None
 
-    def _record(self, **fields) -> None:
+    def _record(self, base_seq: int, **fields) -> None:
         """Append one audit row: a one-line JSON file, written under a hidden name and
         renamed into place, so a reader never sees a partial record.  It is metadata,
-        so no Spark job is spent on it."""
+        so no Spark job is spent on it.  The file is named by the state it builds on
+        (``base_seq``): a second load that builds on the same state fails."""
         row = {name: fields.get(name) for name in AUDIT_SCHEMA.fieldNames()}
         row["loaded_at"] = row["loaded_at"].isoformat() if row.get("loaded_at") else None
-        name = f"load-{row['load_seq']:012d}-{row['load_id']}.json"
+        name = f"load-{row['dataset']}-{row['table_name']}-{base_seq:012d}.json"
         fs, final = self._fs(f"{self.audit_path}/{name}")
-        _, temp = self._fs(f"{self.audit_path}/.{name}.tmp")
+        _, temp = self._fs(f"{self.audit_path}/.{row['load_id']}.tmp")
         stream = fs.create(temp, False)
         try:
             stream.write(bytearray((json.dumps(row) + "\n").encode("utf-8")))
         finally:
             stream.close()
-        if not fs.rename(temp, final):
-            raise LoadError(f"could not record load {row['load_id']}")
+        if fs.exists(final) or not fs.rename(temp, final):
+            fs.delete(temp, False)
+            where = f"{row['dataset']}.{row['table_name']}"
+            raise LoadError(f"{where} changed while load {row['load_id']} ran; run it again")
 
     def load(
         self,
@@ -478,25 +525,35 @@ class Warehouse:
             aligned = aligned.withColumn(BUCKET, place)
 
         out_obs = Observation(f"out_{load_id}")
+        live: Live = {}
         if st is None or disposition == "replace":
             version = self._new_version(dataset, table, load_id)
-            rows = self._write(aligned, version, "errorifexists", buckets, out_obs)
-        elif disposition == "append":
-            version = st.version_path
-            rows = self._write(aligned, version, "append", buckets, out_obs)
         else:
-            version = st.version_path
+            version, live = st.version_path, dict(st.live)
+        folder = load_folder(version, load_id)
+        if st is None or disposition in ("replace", "append"):
+            if buckets:  # whole buckets per task: one file per bucket, not per task
+                aligned = aligned.repartition(buckets, BUCKET)
+            rows, written = self._write(f"write {folder}", aligned, folder, buckets, out_obs)
+        else:
             gone = None
             if disposition == "delete_insert" and delete_keys is not None:
                 gone = delete_keys.select(*[_q(k) for k in pk]).distinct()
                 gone = gone.withColumn(BUCKET, bucket_of(pk, buckets))
-            rows = self._merge(st, schema, aligned, disposition, out_obs, buckets, gone)
+            rows, written, rewritten = self._merge(
+                st, schema, aligned, disposition, folder, out_obs, buckets, gone
+            )
+            live = {k: [b for b in v if b not in rewritten] for k, v in live.items()}
+            live = {k: v for k, v in live.items() if v}
+        if written or (written is None and rows):
+            live[load_id] = written
 
         metrics = batch_obs.get
         cursor_max = metrics.get("cursor_max") if cursor_column else None
         if cursor_column and cursor_max is None and st is not None:
             cursor_max = st.cursor_max
         self._record(
+            st.load_seq if st is not None else 0,
             load_id=load_id,
             load_seq=max_seq + 1,
             source=source,
@@ -512,51 +569,62 @@ class Warehouse:
             cursor_column=cursor_column,
             cursor_max=cursor_max,
             loaded_at=dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+            live=json.dumps(live),
         )
         if self.catalog:
             self.register_table(dataset, table)
         return LoadResult(load_id, dataset, table, disposition, int(metrics.get("rows_in", 0)), int(rows), version)
 
-    def _merge(self, st, schema, batch, disposition, obs, buckets, gone=None) -> int:
-        """Rewrite only the buckets the batch touches.
+    def _merge(
+        self, st, schema, batch, disposition, folder, obs, buckets, gone=None
+    ) -> tuple[int, list[int], set[int]]:
+        """Write the new rows of the buckets the batch touches; returns the rows of the
+        batch that were loaded, the buckets written and those whose old folders go.
 
         1. The deduplicated batch is staged (one file per bucket).  The same job
            observes its row count and the set of buckets it touches (at most
            ``buckets`` small ints).  Staging also cuts the lineage to the source.
-        2. The touched buckets of the table are read (partition pruning) and joined
-           with the staged batch; both sides are hash-partitioned on the bucket, so
-           the join on ``(key, bucket)`` needs no further exchange and each task
+        2. The touched buckets of the table are read (only their folders are listed) and
+           joined with the staged batch; both sides are hash-partitioned on the bucket,
+           so the join on ``(key, bucket)`` needs no further exchange and each task
            produces whole buckets.
-        3. The result replaces those buckets with a dynamic partition overwrite.
-           Output is staged by Spark and swapped in at job commit; the files being
-           read stay in place until then, so retried tasks re-read intact input.
+        3. The result goes to the load's own folder.  The files being read are never
+           replaced, so retried tasks and concurrent readers see intact input.
         """
+        staging = [scratch_dir(self.spark, "merge-batch"), scratch_dir(self.spark, "merge-keys")]
+        try:
+            return self._merge_staged(st, schema, batch, disposition, folder, obs, buckets, gone, staging)
+        finally:
+            for path in staging:
+                fs, jpath = self._fs(path)
+                fs.delete(jpath, True)
+
+    def _merge_staged(self, st, schema, batch, disposition, folder, obs, buckets, gone, staging):
         with_bucket = StructType(list(schema.fields) + [StructField(BUCKET, IntegerType(), True)])
         batch_obs = Observation(f"batch_{uuid.uuid4().hex[:8]}")
-        staged_batch_path = scratch_dir(self.spark, "merge-batch")
         staged_batch = batch.repartition(buckets, BUCKET).observe(
             batch_obs, F.count(F.lit(1)).alias("rows"), F.collect_set(BUCKET).alias("touched")
         )
-        self._capture("stage merge batch", staged_batch).write.partitionBy(BUCKET).parquet(
-            staged_batch_path
-        )
+        self._capture("stage merge batch", staged_batch).write.partitionBy(BUCKET).parquet(staging[0])
         metrics = batch_obs.get
         batch_rows, touched = int(metrics["rows"]), sorted(metrics["touched"] or [])
         if gone is not None:
-            gone = self._staged_keys(gone, buckets)
+            gone.write.parquet(staging[1])
+            gone = self.spark.read.schema(gone.schema).parquet(staging[1])
             extra = gone.agg(F.collect_set(BUCKET).alias("b")).first()["b"]  # at most ``buckets`` ints
             touched = sorted({*touched, *extra})
         if not touched:
-            return 0
-        staged = self.spark.read.schema(with_bucket).parquet(staged_batch_path).repartition(buckets, BUCKET)
-        current = self._read_version(st).where(F.col(BUCKET).isin(touched))
+            return 0, [], set()
+        staged = self.spark.read.schema(with_bucket).parquet(staging[0]).repartition(buckets, BUCKET)
+        current = self._read_version(st, touched).where(F.col(BUCKET).isin(touched))
         _, target = evolve(schema, current)
         target = target.repartition(buckets, BUCKET)
         on = [*st.primary_key, BUCKET]
         if disposition == "insert_ignore":
             fresh = staged.join(target.select(*on), on, "left_anti")
             with session_conf(self.spark, **BUCKET_LOCAL_JOIN):
-                return self._write(fresh, st.version_path, "append", None, obs, partition_by_bucket=True)
+                rows, written = self._write("insert buckets", fresh, folder, buckets, obs)
+            return rows, written, set()
         if disposition == "delete_insert":
             # keys of the batch (distinct within each bucket partition: no exchange)
             replaced = staged.select(*on)
@@ -564,10 +632,10 @@ class Warehouse:
                 replaced = replaced.unionByName(gone.select(*on).repartition(buckets, BUCKET))
             kept = target.join(replaced.distinct(), on, "left_anti")
             with session_conf(self.spark, **BUCKET_LOCAL_JOIN):
-                self._overwrite_buckets(
-                    self._capture("delete-insert buckets", kept.unionByName(staged)), st.version_path, obs
+                _, written = self._write(
+                    "delete-insert buckets", kept.unionByName(staged), folder, buckets, obs
                 )
-            return batch_rows
+            return batch_rows, written, set(touched)
         values = [c for c in schema.fieldNames() if c not in st.primary_key]
         incoming = staged.select(
             *[_q(c) for c in on],
@@ -583,20 +651,5 @@ class Warehouse:
             F.col(BUCKET),
         )
         with session_conf(self.spark, **BUCKET_LOCAL_JOIN):
-            self._overwrite_buckets(self._capture("merge buckets", merged), st.version_path, obs)
-        return batch_rows
-
-    def _staged_keys(self, keys: DataFrame, buckets: int) -> DataFrame:
-        path = scratch_dir(self.spark, "merge-keys")
-        keys.write.parquet(path)
-        return self.spark.read.schema(keys.schema).parquet(path)
-
-    @staticmethod
-    def _overwrite_buckets(df: DataFrame, path: str, obs: Observation) -> None:
-        (
-            df.observe(obs, F.count(F.lit(1)).alias("rows"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BUCKET)
-            .parquet(path)
-        )
+            _, written = self._write("merge buckets", merged, folder, buckets, obs)
+        return batch_rows, written, set(touched)

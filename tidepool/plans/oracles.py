@@ -177,6 +177,11 @@ SCENARIO_ORACLES = {
     ),
     "load_append": f"{_O} WHERE {_FIRST} UNION ALL {_O} WHERE {_SECOND}",
     "load_replace": f"{_O} WHERE {_SECOND}",
+    "load_replay": f"""
+        WITH v AS (
+          SELECT * FROM ({_O} WHERE {_FIRST})
+          UNION ALL SELECT * REPLACE (amount + 1 AS amount) FROM ({_O} WHERE {_THIRD}))
+        SELECT v.*, t.loaded_into FROM v, (VALUES ('plain'), ('keyed')) AS t(loaded_into)""",
     "load_merge": f"""
         WITH v AS (
           SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_totalprice AS amount,

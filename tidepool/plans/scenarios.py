@@ -6,6 +6,8 @@ scratch folder.
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -185,6 +187,27 @@ def q_load_append(spark, d):
     return wh.read("raw", "orders")
 
 
+class _LostDriver(Warehouse):
+    """Ends after the data job of a load, before its audit row."""
+
+    def _record(self, *args, **fields):
+        raise InterruptedError("driver lost")
+
+
+def q_load_replay(spark, d):
+    """An append and a merge that fail before they are recorded, each run again."""
+    o, wh = _orders(spark, d), _wh(spark)
+    lost = _LostDriver(spark, wh.root)
+    for table, disposition, key in (("plain", "append", None), ("keyed", "merge", ["order_id"])):
+        wh.load(_first(o), "raw", table, "append", primary_key=key)
+        later = _third(o).withColumn("amount", F.col("amount") + 1)
+        with contextlib.suppress(InterruptedError):
+            lost.load(later, "raw", table, disposition, primary_key=key)
+        wh.load(later, "raw", table, disposition, primary_key=key)
+    tables = [wh.read("raw", t).withColumn("loaded_into", F.lit(t)) for t in ("plain", "keyed")]
+    return tables[0].unionByName(tables[1])
+
+
 def q_load_replace(spark, d):
     o, wh = _orders(spark, d), _wh(spark)
     wh.load(_first(o), "raw", "orders", "replace")
@@ -514,6 +537,7 @@ SCENARIOS = {
     "ingest_child_tables": q_ingest_child_tables,
     "load_append": q_load_append,
     "load_replace": q_load_replace,
+    "load_replay": q_load_replay,
     "load_merge": q_load_merge,
     "load_insert_ignore": q_load_insert_ignore,
     "load_schema_evolution": q_load_schema_evolution,
