@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidepool.operators.incremental import load_incremental
 from tidepool.operators.load import LoadError, Warehouse
@@ -326,3 +327,49 @@ def test_vacuum_removes_superseded_buckets(spark, wh):
         wh.load(b, "ds", "old", "merge", primary_key=["id"])
     assert len(wh.vacuum("ds", "old", keep=1)) == 8  # four buckets of each of two loads
     assert wh.read("ds", "old").count() == 20
+
+
+def _rows(wh, table):
+    return sorted(tuple(r) for r in wh.read("ds", table).collect())
+
+
+@pytest.mark.parametrize("disposition", ["merge", "insert_ignore", "delete_insert"])
+def test_buckets_follow_the_bytes_of_the_table(spark, tmp_path, disposition):
+    wh = Warehouse(spark, str(tmp_path / "wh"), bucket_bytes=1 << 20)
+    first = spark.range(1000).select("id", F.lit("old").alias("v"))
+    wh.load(first, "ds", "t", "append", primary_key=["id"])
+    assert wh.state("ds", "t").buckets is None  # written as it came
+    batch = spark.range(990, 1010).select("id", F.lit("new").alias("v"))
+    result = wh.load(batch, "ds", "t", disposition, primary_key=["id"])
+    kept = 1000 if disposition == "insert_ignore" else 990
+    want = sorted([(i, "old") for i in range(kept)] + [(i, "new") for i in range(kept, 1010)])
+    assert _rows(wh, "t") == want
+    assert result.rows_loaded == (10 if disposition == "insert_ignore" else 20)
+    small = wh.state("ds", "t")
+    assert small.buckets == 8 and len(small.live) == 1
+
+    wh.bucket_bytes = 512  # the same table, now too large for its buckets
+    again = spark.range(1000, 1020).select("id", F.lit("late").alias("v"))
+    wh.load(again, "ds", "t", disposition, primary_key=["id"])
+    kept = 1010 if disposition == "insert_ignore" else 1000
+    want = [r for r in want if r[0] < kept] + [(i, "late") for i in range(kept, 1020)]
+    assert _rows(wh, "t") == sorted(want)
+    grown = wh.state("ds", "t")
+    assert grown.buckets > 8 and grown.buckets % 8 == 0 and len(grown.live) == 1
+    assert max(b for part in grown.live.values() for b in part) >= 8
+
+
+def test_merge_into_a_table_that_had_no_key(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.load(spark.range(5).select("id", F.lit(1).alias("n")), "ds", "k", "append")
+    wh.load(spark.range(3, 7).select("id", F.lit(2).alias("n")), "ds", "k", "merge", primary_key=["id"])
+    assert _rows(wh, "k") == [(0, 1), (1, 1), (2, 1), (3, 2), (4, 2), (5, 2), (6, 2)]
+    assert wh.state("ds", "k").primary_key == ("id",)
+
+
+def test_first_merge_refuses_null_keys(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    batch = spark.createDataFrame([(1, "a"), (None, "b")], "id int, v string")
+    with pytest.raises(Exception, match="NULL key"):
+        wh.load(batch, "ds", "n", "merge", primary_key=["id"])
+    assert wh.state("ds", "n") is None

@@ -12,10 +12,10 @@ once, when its audit row is written after the data job has committed, and never
 A load that fails before that leaves only an unlisted folder, so running it again gives
 the same rows.  An audit row names the load it builds on and that name is taken once: of
 two loads that ran at the same time into one table, the later one fails and can be run
-again.  ``replace`` writes a fresh version; the previous one stays readable.  Tables with
-a primary key are bucketed by ``pmod(xxhash64(key), buckets)``; ``merge`` and
+again.  ``replace`` writes a fresh version; the previous one stays readable.  Tables that
+keyed loads go into are bucketed by ``pmod(xxhash64(key), buckets)``; ``merge`` and
 ``insert_ignore`` then read and rewrite only the buckets the batch touches (bounded by
-``buckets``), instead of the whole table.
+``buckets``), instead of the whole table.  The number of buckets follows the table's bytes.
 
 Row counts come from ``Observation`` metrics of the write job itself -- no second
 pass over the data.
@@ -53,6 +53,8 @@ DISPOSITIONS = ("append", "replace", "merge", "insert_ignore", "delete_insert")
 KEYED = ("merge", "insert_ignore", "delete_insert")
 BUCKET = "_bucket"
 LOAD = "_load"
+LEAST_BUCKETS = 8
+BUCKET_BYTES = 512 << 20  # Parquet bytes that one task of a merge rewrites
 
 # folders that make up a table: load id -> live buckets (None: a table without buckets)
 Live = dict[str, list[int] | None]
@@ -206,14 +208,16 @@ class Warehouse:
         buckets: int | None = None,
         catalog: bool = False,
         capture_plans: bool = False,
+        bucket_bytes: int = BUCKET_BYTES,
     ):
-        """``buckets``: bucket count given to new keyed tables (fixed for the table's
-        life); by default one per core of the cluster (``defaultParallelism``) so a
-        merge runs on every core.  For large tables set it explicitly (spec option
-        ``buckets``) so one bucket of the full table is ~1 GB."""
+        """``buckets``: bucket count given to new keyed tables.  By default a keyed table
+        starts without buckets, written as the batch comes, and the first keyed load into
+        it deals its rows to as many as its bytes need.  ``bucket_bytes``: a keyed load
+        doubles the buckets of a table until they hold so many bytes each at most."""
         self.spark = spark
         self.root = (root or scratch_dir(spark, "warehouse")).rstrip("/")
-        self.buckets = buckets or spark.sparkContext.defaultParallelism
+        self.buckets = buckets
+        self.bucket_bytes = bucket_bytes
         self.catalog = catalog  # keep `dataset.table` catalog entries current
         self.capture_plans = capture_plans  # keep formatted plans of write jobs
         self.plans: list[tuple[str, str]] = []
@@ -422,6 +426,18 @@ class Warehouse:
 
     # -- writes -------------------------------------------------------------------
 
+    def _bucket_count(self, st: TableState, given: int | None) -> int:
+        """Buckets of a table after a keyed load: those it has, doubled until its live
+        bytes fit (each doubling rewrites the table, so a row moves a few times at most)."""
+        size = 0
+        for path in live_paths(st.version_path, st.live):
+            fs, jpath = self._fs(path)
+            size += fs.getContentSummary(jpath).getLength()
+        count = st.buckets or given or self.buckets or LEAST_BUCKETS
+        while count * self.bucket_bytes < size:
+            count *= 2
+        return count
+
     def _new_version(self, dataset: str, table: str, load_id: str) -> str:
         return f"{self.root}/{dataset}/{table}/v-{load_id}"
 
@@ -475,8 +491,8 @@ class Warehouse:
     ) -> LoadResult:
         """Load ``df`` into ``dataset.table``.
 
-        ``buckets`` applies when a keyed table is created (or replaced); later loads
-        keep the table's bucket count.  ``rows_in`` is observed before
+        ``buckets`` applies when a keyed table is created, replaced or first dealt to
+        buckets; later keyed loads keep or double the table's bucket count.  ``rows_in`` is observed before
         de-duplication (a map-stage retry after an executor loss may over-count it);
         ``rows_loaded`` is observed in the writing stage and is exact.  ``dedupe``
         (merge / insert_ignore) keeps one row per key; child tables keyed by their
@@ -506,23 +522,24 @@ class Warehouse:
 
         if not pk:
             buckets = None
-        elif st is not None and st.buckets and disposition != "replace":
+        elif st is not None and disposition in KEYED:
+            buckets = self._bucket_count(st, buckets)
+        elif st is not None and disposition == "append":
             buckets = st.buckets
-        else:
-            buckets = buckets or (st.buckets if st is not None else None) or self.buckets
+        else:  # sized by its bytes when the first keyed load reads it
+            buckets = buckets or self.buckets
         target_schema = None if (st is None or disposition == "replace") else st.schema
         schema, aligned = evolve(target_schema, batch)
         if disposition in ("merge", "insert_ignore") and dedupe:
             aligned = dedupe_last(aligned, pk, tuple(order_by))
+        if disposition in KEYED:  # a row without key could neither match nor be replaced
+            missing = F.lit(False)
+            for k in pk:
+                missing = missing | _q(k).isNull()
+            problem = F.raise_error(F.lit(f"NULL key ({', '.join(pk)}) in a load into {dataset}.{table}"))
+            aligned = aligned.where(F.when(missing, problem.cast("boolean")).otherwise(F.lit(True)))
         if buckets:
-            place = bucket_of(pk, buckets)
-            if disposition in KEYED:  # a row without key could neither match nor be replaced
-                missing = F.lit(False)
-                for k in pk:
-                    missing = missing | _q(k).isNull()
-                problem = F.raise_error(F.lit(f"NULL key ({', '.join(pk)}) in a load into {dataset}.{table}"))
-                place = F.when(missing, problem.cast("int")).otherwise(place)
-            aligned = aligned.withColumn(BUCKET, place)
+            aligned = aligned.withColumn(BUCKET, bucket_of(pk, buckets))
 
         out_obs = Observation(f"out_{load_id}")
         live: Live = {}
@@ -541,8 +558,10 @@ class Warehouse:
                 gone = delete_keys.select(*[_q(k) for k in pk]).distinct()
                 gone = gone.withColumn(BUCKET, bucket_of(pk, buckets))
             rows, written, rewritten = self._merge(
-                st, schema, aligned, disposition, folder, out_obs, buckets, gone
+                st, schema, aligned, disposition, folder, out_obs, pk, buckets, gone
             )
+            if rewritten is None:
+                live = {}
             live = {k: [b for b in v if b not in rewritten] for k, v in live.items()}
             live = {k: v for k, v in live.items() if v}
         if written or (written is None and rows):
@@ -576,10 +595,11 @@ class Warehouse:
         return LoadResult(load_id, dataset, table, disposition, int(metrics.get("rows_in", 0)), int(rows), version)
 
     def _merge(
-        self, st, schema, batch, disposition, folder, obs, buckets, gone=None
-    ) -> tuple[int, list[int], set[int]]:
+        self, st, schema, batch, disposition, folder, obs, pk, buckets, gone=None
+    ) -> tuple[int, list[int], set[int] | None]:
         """Write the new rows of the buckets the batch touches; returns the rows of the
-        batch that were loaded, the buckets written and those whose old folders go.
+        batch that were loaded, the buckets written and those whose old folders go (None:
+        all folders of the table).
 
         1. The deduplicated batch is staged (one file per bucket).  The same job
            observes its row count and the set of buckets it touches (at most
@@ -587,19 +607,21 @@ class Warehouse:
         2. The touched buckets of the table are read (only their folders are listed) and
            joined with the staged batch; both sides are hash-partitioned on the bucket,
            so the join on ``(key, bucket)`` needs no further exchange and each task
-           produces whole buckets.
+           produces whole buckets.  If the number of buckets changes, all rows of the
+           table are read and move into their new buckets.
         3. The result goes to the load's own folder.  The files being read are never
            replaced, so retried tasks and concurrent readers see intact input.
         """
         staging = [scratch_dir(self.spark, "merge-batch"), scratch_dir(self.spark, "merge-keys")]
         try:
-            return self._merge_staged(st, schema, batch, disposition, folder, obs, buckets, gone, staging)
+            return self._merge_staged(st, schema, batch, disposition, folder, obs, pk, buckets, gone, staging)
         finally:
             for path in staging:
                 fs, jpath = self._fs(path)
                 fs.delete(jpath, True)
 
-    def _merge_staged(self, st, schema, batch, disposition, folder, obs, buckets, gone, staging):
+    def _merge_staged(self, st, schema, batch, disposition, folder, obs, pk, buckets, gone, staging):
+        moved = st.buckets != buckets
         with_bucket = StructType(list(schema.fields) + [StructField(BUCKET, IntegerType(), True)])
         batch_obs = Observation(f"batch_{uuid.uuid4().hex[:8]}")
         staged_batch = batch.repartition(buckets, BUCKET).observe(
@@ -613,18 +635,26 @@ class Warehouse:
             gone = self.spark.read.schema(gone.schema).parquet(staging[1])
             extra = gone.agg(F.collect_set(BUCKET).alias("b")).first()["b"]  # at most ``buckets`` ints
             touched = sorted({*touched, *extra})
-        if not touched:
+        if not touched and not moved:
             return 0, [], set()
+        replaced_buckets = None if moved else set(touched)
         staged = self.spark.read.schema(with_bucket).parquet(staging[0]).repartition(buckets, BUCKET)
-        current = self._read_version(st, touched).where(F.col(BUCKET).isin(touched))
+        if moved:
+            current = self._read_version(st).withColumn(BUCKET, bucket_of(pk, buckets))
+        else:
+            current = self._read_version(st, touched).where(F.col(BUCKET).isin(touched))
         _, target = evolve(schema, current)
         target = target.repartition(buckets, BUCKET)
-        on = [*st.primary_key, BUCKET]
+        on = [*pk, BUCKET]
         if disposition == "insert_ignore":
             fresh = staged.join(target.select(*on), on, "left_anti")
+            if moved:
+                fresh_obs = Observation(f"fresh_{uuid.uuid4().hex[:8]}")
+                fresh = fresh.observe(fresh_obs, F.count(F.lit(1)).alias("rows"))
+                fresh = target.unionByName(fresh)
             with session_conf(self.spark, **BUCKET_LOCAL_JOIN):
                 rows, written = self._write("insert buckets", fresh, folder, buckets, obs)
-            return rows, written, set()
+            return (int(fresh_obs.get["rows"]), written, None) if moved else (rows, written, set())
         if disposition == "delete_insert":
             # keys of the batch (distinct within each bucket partition: no exchange)
             replaced = staged.select(*on)
@@ -635,15 +665,15 @@ class Warehouse:
                 _, written = self._write(
                     "delete-insert buckets", kept.unionByName(staged), folder, buckets, obs
                 )
-            return batch_rows, written, set(touched)
-        values = [c for c in schema.fieldNames() if c not in st.primary_key]
+            return batch_rows, written, replaced_buckets
+        values = [c for c in schema.fieldNames() if c not in pk]
         incoming = staged.select(
             *[_q(c) for c in on],
             *[_q(c).alias(f"__new_{c}") for c in values],
             F.lit(True).alias("__new"),
         )
         merged = target.join(incoming, on, "full_outer").select(
-            *[_q(c) for c in st.primary_key],
+            *[_q(c) for c in pk],
             *[
                 F.when(F.col("__new").isNotNull(), F.col(f"`__new_{c}`")).otherwise(_q(c)).alias(c)
                 for c in values
@@ -652,4 +682,4 @@ class Warehouse:
         )
         with session_conf(self.spark, **BUCKET_LOCAL_JOIN):
             _, written = self._write("merge buckets", merged, folder, buckets, obs)
-        return batch_rows, written, set(touched)
+        return batch_rows, written, replaced_buckets
