@@ -281,6 +281,32 @@ def test_embedding_edges(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_tables_follow_the_cells():
+    chance = embedding_dedup.cell_chance()
+    rng = np.random.default_rng(1)
+    gap = rng.standard_normal(200_000) * np.sqrt(2 - 2 * embedding_dedup.COSINE)
+    assert abs(np.maximum(0, 1 - np.abs(gap) / embedding_dedup.CELL).mean() - chance) < 2e-3
+    for cells in range(24):  # 24: labels of 10**13 vectors
+        tables = embedding_dedup.directions(3, cells)[1].shape[0]
+        assert (1 - chance**cells) ** tables <= embedding_dedup.MISS
+
+
+def test_a_hot_label_does_not_cut_small_ones(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "BUCKET", 2)
+    rng = np.random.default_rng(2)
+    rows = [(k, rng.standard_normal(32).tolist(), 0) for k in range(3000)]  # seven cells
+    for k in range(3000, 3400, 2):  # 200 labels of one pair at the threshold: no cells
+        base = rng.standard_normal(32)
+        side = rng.standard_normal(32)
+        side -= base * (side @ base) / (base @ base)
+        side *= np.linalg.norm(base) / np.linalg.norm(side)
+        pair = base * 0.9801 + side * np.sqrt(1 - 0.9801**2)
+        rows += [(k, base.tolist(), k), (k + 1, pair.tolist(), k)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in rows_of(embedding_dedup.near_duplicates(df))}
+    assert sum(got[k] == 1 for k in range(3000, 3400)) == 400
+
+
 # -- 5 ------------------------------------------------------------------------------------
 
 ODD = [

@@ -6,9 +6,12 @@ a collision in a window of half-width ``WINDOW`` around the query is known at th
 a linked pair collides in at least ``count_needed`` of the projections except with probability
 ``MISS``.  Pairs that reach the count are verified by cosine in double precision.
 
-To keep windows short at any size, each of ``TABLES`` tables first buckets a label's vectors by
-a few quantised directions (as many as bring a bucket of unrelated vectors down to ``BUCKET``
-rows) and sorts every bucket along one projection.  The sorted run is cut into blocks; a block
+To keep windows short at any size, each of several tables first buckets a label's vectors by a
+few quantised directions (``cells``: as many as bring a bucket of unrelated vectors of this label
+down to ``BUCKET`` rows) and sorts every bucket along one projection.  ``tables_needed(cells)``
+tables are drawn, so many that a pair at the threshold shares no cell in any of them with
+probability ``MISS`` at most, at every size of the label; with the count above, a pair at the
+threshold is found with probability 1 - 2 * ``MISS`` at least.  The sorted run is cut into blocks; a block
 is compared with itself and with the later blocks that its windows reach.  All other
 projections are counted inside the block pair, so no pair leaves a task: a task returns link
 counts per vector and the edges of a spanning forest.  A pair that shares buckets in several
@@ -35,7 +38,6 @@ from tidepool.llm.minhash_dedup import spanning
 
 COSINE = 0.98
 PROJECTIONS = 24
-TABLES = 16
 WINDOW = 0.5  # 2.5 deviations at the threshold
 CELL = 0.9  # width of a quantised direction, 4.5 deviations at the threshold
 MISS = 1e-4
@@ -55,20 +57,34 @@ def count_needed() -> int:
     return PROJECTIONS
 
 
+def cell_chance() -> float:
+    """The probability that a pair at the threshold shares the cell of one direction."""
+    deviation = math.sqrt(2 - 2 * COSINE)
+    x = CELL / deviation
+    inside = math.erf(x / math.sqrt(2))
+    return inside - math.sqrt(2 / math.pi) / x * (1 - math.exp(-x * x / 2))
+
+
+def tables_needed(cells: int) -> int:
+    """The number of tables in which a pair at the threshold meets but for ``MISS``."""
+    meet = cell_chance() ** cells
+    return 1 if meet == 1 else math.ceil(math.log(MISS) / math.log1p(-meet))
+
+
 _DIRECTIONS: dict = {}
 
 
 def directions(dimension: int, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Projection directions, and directions and shifts of the cells of every table."""
-    if dimension not in _DIRECTIONS:
+    if (dimension, cells) not in _DIRECTIONS:
         lines, cell, shift = (np.random.default_rng([SEED, dimension, k]) for k in range(3))
-        _DIRECTIONS[dimension] = (
+        tables = tables_needed(cells)
+        _DIRECTIONS[dimension, cells] = (
             lines.standard_normal((dimension, PROJECTIONS)),
-            cell.standard_normal((TABLES, dimension, 16)),
-            shift.uniform(0, CELL, (TABLES, 16)),
+            cell.standard_normal((tables, dimension, cells)),
+            shift.uniform(0, CELL, (tables, cells)),
         )
-    lines, cell, shift = _DIRECTIONS[dimension]
-    return lines, cell[:, :, :cells], shift[:, :cells]
+    return _DIRECTIONS[dimension, cells]
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -79,8 +95,8 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 def cells_of(units: np.ndarray, cells: int) -> np.ndarray:
     """One 64-bit bucket code per row and table."""
     _, cell, shift = directions(units.shape[1], cells)
-    out = np.zeros((len(units), TABLES), dtype=np.int64)
-    for t in range(TABLES):
+    out = np.zeros((len(units), len(cell)), dtype=np.int64)
+    for t in range(len(cell)):
         grid = np.floor((units @ cell[t] + shift[t]) / CELL).astype(np.int64)
         code = np.full(len(units), t + 1, dtype=np.int64)
         for k in range(cells):
@@ -93,39 +109,35 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in column])
 
 
-def _expand(cells: int):
-    """(label, table, bucket, place, vec_id, copies, embedding) of every vector and table."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for size, part in frame.groupby(frame["embedding"].map(len)):
-                for a in range(0, len(part), 2048):
-                    rows = part.iloc[a : a + 2048]
-                    units = unit(_matrix(rows["embedding"]))
-                    lines, _, _ = directions(size, cells)
-                    codes, places = cells_of(units, cells), units @ lines
-                    for t in range(TABLES):
-                        out = rows[["label", "vec_id", "copies", "embedding"]].copy()
-                        out["table"] = t
-                        out["bucket"] = codes[:, t]
-                        out["place"] = places[:, t % PROJECTIONS]
-                        out["size"] = size
-                        yield out
-
-    return run
-
-
-def _links(cells: int):
+def _expand(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(label, size, cells, table, bucket, place, vec_id, copies, embedding) by vector and table."""
+    for frame in frames:
+        for (size, cells), part in frame.groupby(["size", "cells"]):
+            for a in range(0, len(part), 2048):
+                rows = part.iloc[a : a + 2048]
+                units = unit(_matrix(rows["embedding"]))
+                lines, _, _ = directions(size, cells)
+                codes, places = cells_of(units, cells), units @ lines
+                for t in range(codes.shape[1]):
+                    out = rows[["label", "size", "cells", "vec_id", "copies", "embedding"]].copy()
+                    out["table"] = t
+                    out["bucket"] = codes[:, t]
+                    out["place"] = places[:, t % PROJECTIONS]
+                    yield out
+
+
+def _links():
     """mapInPandas over rows sorted by (label, size, table, bucket, place)."""
     needed = count_needed()
 
     def block(rows: pd.DataFrame) -> dict:
         units = unit(_matrix(rows["embedding"]))
+        cells = int(rows["cells"].iloc[0])
         lines, _, _ = directions(units.shape[1], cells)
         return {
             "units": units,
             "lines": (units @ lines).astype(np.float32),
-            "cells": cells_of(units, cells),
+            "codes": cells_of(units, cells),
             "ids": rows["vec_id"].to_numpy(np.int64),
             "copies": rows["copies"].to_numpy(np.int64),
             "place": rows["place"].to_numpy(np.float64),
@@ -143,7 +155,7 @@ def _links(cells: int):
             i, j = i[i < j], j[i < j]
         if not len(i):
             return None
-        earlier = (a["cells"][i, :table] == b["cells"][j, :table]).any(axis=1)
+        earlier = (a["codes"][i, :table] == b["codes"][j, :table]).any(axis=1)
         i, j = i[~earlier], j[~earlier]
         cosine = np.einsum("ij,ij->i", a["units"][i], b["units"][j])
         i, j = i[cosine >= COSINE], j[cosine >= COSINE]
@@ -185,7 +197,7 @@ def _links(cells: int):
             cuts = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1).tolist(), len(frame)]
             # whole blocks of the last bucket can be compared; its end may follow
             last = cuts[-2] + (len(frame) - cuts[-2] - 1) // BLOCK * BLOCK
-            sizes = names[:, 1]
+            kinds = frame["size"].to_numpy() * 1000 + frame["cells"].to_numpy()
             prepared, until = None, 0
             for a, b in zip(cuts[:-1], [*cuts[1:-1], last]):
                 if b - a < 2 and tuple(names[a]) != key:
@@ -194,7 +206,7 @@ def _links(cells: int):
                     e = min(s + BLOCK, b)
                     if e > until:  # project many rows of one dimension at once
                         until = min(s + 8 * BLOCK, len(frame))
-                        until = s + int(np.argmax(np.append(sizes[s:until] != sizes[s], True)))
+                        until = s + int(np.argmax(np.append(kinds[s:until] != kinds[s], True)))
                         prepared, origin = block(frame.iloc[s:until]), s
                     yield from close(part(prepared, s - origin, e - origin), tuple(names[a]))
             rest = frame.iloc[last:]
@@ -238,22 +250,23 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
         .join(classes, "same")
         .where("vec_id = class_id")
         .dropDuplicates(["same"])
-        .select("label", "vec_id", "copies", "embedding")
+        .select("label", "vec_id", "copies", "embedding", F.size("embedding").alias("size"))
     )
     singles = materialize(singles, "op4-singles")
-    most = singles.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"]
     # an unrelated pair shares a cell of one direction with probability of about 0.36
-    cells = min(16, max(0, math.ceil(math.log(max(1, (most or 0) / BUCKET)) / math.log(1 / 0.36))))
-    expanded = singles.mapInPandas(
-        _expand(cells),
+    counts = singles.groupBy("label", "size").agg(F.count("*").alias("n")).where("n > 1")
+    depth = F.ceil(F.log(F.greatest(F.col("n") / BUCKET, F.lit(1.0))) / math.log(1 / 0.36))
+    counts = counts.select("label", "size", depth.cast("int").alias("cells"))
+    expanded = singles.join(counts, ["label", "size"]).mapInPandas(
+        _expand,
         T.StructType.fromDDL(
-            "label string, vec_id long, copies long, embedding array<double>, table int, bucket long, "
-            "place double, size int"
+            "label string, size int, cells int, vec_id long, copies long, embedding array<double>, "
+            "table int, bucket long, place double"
         ),
     )
     keys = ["label", "size", "table", "bucket"]
     dealt = expanded.repartition(*keys).sortWithinPartitions(*keys, "place", "vec_id")
-    found = materialize(dealt.mapInPandas(_links(cells), "vec_id long, links long, other long"), "op4-links")
+    found = materialize(dealt.mapInPandas(_links(), "vec_id long, links long, other long"), "op4-links")
     links = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
     edges = found.where("other is not null").select(F.col("vec_id").alias("u"), F.col("other").alias("v"))
     # rows that share a vec_id but not the vector join their classes
