@@ -291,6 +291,30 @@ def test_tables_follow_the_cells():
         assert (1 - chance**cells) ** tables <= embedding_dedup.MISS
 
 
+def test_pairs_past_the_window_of_one_table_are_found_in_another(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "BUCKET", 1 << 20)  # labels of one bucket and many blocks
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 32)
+    rng = np.random.default_rng(6)
+    rows = []
+    for k in range(0, 8000, 2):
+        base, side = rng.standard_normal(64), rng.standard_normal(64)
+        side -= base * (side @ base) / (base @ base)
+        side *= np.linalg.norm(base) / np.linalg.norm(side)
+        pair = base * 0.98001 + side * np.sqrt(1 - 0.98001**2)
+        rows += [(k, base.tolist(), k % 4), (k + 1, pair.tolist(), k % 4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in rows_of(embedding_dedup.near_duplicates(df))}
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.array([r[2] for r in rows])
+    want = 0
+    for name in set(label.tolist()):
+        part = x[label == name]
+        want += int((part @ part.T >= 0.98).sum()) - len(part)
+    have = sum(got.values())
+    assert 0.998 * want <= have <= want
+
+
 def test_a_hot_label_does_not_cut_small_ones(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BUCKET", 2)
     rng = np.random.default_rng(2)

@@ -9,13 +9,14 @@ a linked pair collides in at least ``count_needed`` of the projections except wi
 To keep windows short at any size, each of several tables first buckets a label's vectors by a
 few quantised directions (``cells``: as many as bring a bucket of unrelated vectors of this label
 down to ``BUCKET`` rows) and sorts every bucket along one projection.  ``tables_needed(cells)``
-tables are drawn, so many that a pair at the threshold shares no cell in any of them with
-probability ``MISS`` at most, at every size of the label; with the count above, a pair at the
+tables are drawn, so many that a pair at the threshold *meets* in none of them with probability
+``MISS`` at most, at every size of the label: it meets in a table if it shares the cell and its
+places on the table's own line differ by ``WINDOW`` at most.  With the count above, a pair at the
 threshold is found with probability 1 - 2 * ``MISS`` at least.  The sorted run is cut into blocks; a block
-is compared with itself and with the later blocks that its windows reach.  All other
+is compared with itself and with the later blocks that its windows reach.  All
 projections are counted inside the block pair, so no pair leaves a task: a task returns link
-counts per vector and the edges of a spanning forest.  A pair that shares buckets in several
-tables is counted in the first of them only.
+counts per vector and the edges of a spanning forest.  A pair that meets in several tables is
+counted in the first of them only, and in none where it does not meet.
 
 Equal vectors are collapsed before and count with their number.  Memory: two blocks of
 ``BLOCK`` rows a step.  A dense group of n distinct near copies costs n * n / 2 verifications
@@ -39,6 +40,7 @@ from tidepool.llm.minhash_dedup import spanning
 COSINE = 0.98
 PROJECTIONS = 24
 WINDOW = 0.5  # 2.5 deviations at the threshold
+REACH = WINDOW + 1e-6  # blocks are dropped only well past the window
 CELL = 0.9  # width of a quantised direction, 4.5 deviations at the threshold
 MISS = 1e-4
 BUCKET = 256
@@ -67,22 +69,23 @@ def cell_chance() -> float:
 
 def tables_needed(cells: int) -> int:
     """The number of tables in which a pair at the threshold meets but for ``MISS``."""
-    meet = cell_chance() ** cells
-    return 1 if meet == 1 else math.ceil(math.log(MISS) / math.log1p(-meet))
+    meet = cell_chance() ** cells * math.erf(WINDOW / math.sqrt(2 - 2 * COSINE) / math.sqrt(2))
+    return math.ceil(math.log(MISS) / math.log1p(-meet))
 
 
 _DIRECTIONS: dict = {}
 
 
-def directions(dimension: int, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Projection directions, and directions and shifts of the cells of every table."""
+def directions(dimension: int, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Projection directions; directions and shifts of the cells, and the line, of every table."""
     if (dimension, cells) not in _DIRECTIONS:
-        lines, cell, shift = (np.random.default_rng([SEED, dimension, k]) for k in range(3))
+        lines, cell, shift, line = (np.random.default_rng([SEED, dimension, k]) for k in range(4))
         tables = tables_needed(cells)
         _DIRECTIONS[dimension, cells] = (
             lines.standard_normal((dimension, PROJECTIONS)),
             cell.standard_normal((tables, dimension, cells)),
             shift.uniform(0, CELL, (tables, cells)),
+            line.standard_normal((dimension, tables)),
         )
     return _DIRECTIONS[dimension, cells]
 
@@ -94,7 +97,7 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 
 def cells_of(units: np.ndarray, cells: int) -> np.ndarray:
     """One 64-bit bucket code per row and table."""
-    _, cell, shift = directions(units.shape[1], cells)
+    _, cell, shift, _ = directions(units.shape[1], cells)
     out = np.zeros((len(units), len(cell)), dtype=np.int64)
     for t in range(len(cell)):
         grid = np.floor((units @ cell[t] + shift[t]) / CELL).astype(np.int64)
@@ -105,6 +108,11 @@ def cells_of(units: np.ndarray, cells: int) -> np.ndarray:
     return out
 
 
+def places_of(units: np.ndarray, cells: int) -> np.ndarray:
+    """The place of every row on the line of every table."""
+    return units @ directions(units.shape[1], cells)[3]
+
+
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in column])
 
@@ -116,13 +124,12 @@ def _expand(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for a in range(0, len(part), 2048):
                 rows = part.iloc[a : a + 2048]
                 units = unit(_matrix(rows["embedding"]))
-                lines, _, _ = directions(size, cells)
-                codes, places = cells_of(units, cells), units @ lines
+                codes, places = cells_of(units, cells), places_of(units, cells)
                 for t in range(codes.shape[1]):
                     out = rows[["label", "size", "cells", "vec_id", "copies", "embedding"]].copy()
                     out["table"] = t
                     out["bucket"] = codes[:, t]
-                    out["place"] = places[:, t % PROJECTIONS]
+                    out["place"] = places[:, t]
                     yield out
 
 
@@ -133,11 +140,12 @@ def _links():
     def block(rows: pd.DataFrame) -> dict:
         units = unit(_matrix(rows["embedding"]))
         cells = int(rows["cells"].iloc[0])
-        lines, _, _ = directions(units.shape[1], cells)
+        lines = directions(units.shape[1], cells)[0]
         return {
             "units": units,
             "lines": (units @ lines).astype(np.float32),
             "codes": cells_of(units, cells),
+            "places": places_of(units, cells),
             "ids": rows["vec_id"].to_numpy(np.int64),
             "copies": rows["copies"].to_numpy(np.int64),
             "place": rows["place"].to_numpy(np.float64),
@@ -155,8 +163,10 @@ def _links():
             i, j = i[i < j], j[i < j]
         if not len(i):
             return None
-        earlier = (a["codes"][i, :table] == b["codes"][j, :table]).any(axis=1)
-        i, j = i[~earlier], j[~earlier]
+        near = np.abs(a["places"][i, : table + 1] - b["places"][j, : table + 1]) <= WINDOW
+        earlier = ((a["codes"][i, :table] == b["codes"][j, :table]) & near[:, :table]).any(axis=1)
+        first = near[:, table] & ~earlier
+        i, j = i[first], j[first]
         cosine = np.einsum("ij,ij->i", a["units"][i], b["units"][j])
         i, j = i[cosine >= COSINE], j[cosine >= COSINE]
         if not len(i):
@@ -181,7 +191,7 @@ def _links():
             nonlocal key, open_blocks
             if name != key:
                 key, open_blocks = name, []
-            open_blocks = [x for x in open_blocks if x["place"][-1] >= now["place"][0] - WINDOW]
+            open_blocks = [x for x in open_blocks if x["place"][-1] >= now["place"][0] - REACH]
             for x in [*open_blocks, now]:
                 found = compare(now if x is now else x, now, name[2])
                 if found is not None:
