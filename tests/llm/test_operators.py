@@ -331,6 +331,22 @@ def test_a_hot_label_does_not_cut_small_ones(spark, monkeypatch):
     assert sum(got[k] == 1 for k in range(3000, 3400)) == 400
 
 
+def test_a_dense_group_is_spread_over_chunk_pairs(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "CHUNK", 50)
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
+    seen = []
+    links = embedding_dedup.chunk_pairs
+    monkeypatch.setattr(embedding_dedup, "chunk_pairs", lambda r: (seen.append(links(r)), seen[0])[1])
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal(24)
+    rows = [(k, (base + rng.standard_normal(24) * 0.01).tolist(), 1) for k in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = rows_of(embedding_dedup.near_duplicates(df))
+    assert {(r["n_links"], r["component_id"]) for r in got} == {(599, 0)}
+    tasks = seen[0].groupBy("first", "second").count().collect()
+    assert len(tasks) > 3 * 12 * 12 / 2 and max(r["count"] for r in tasks) <= 2 * 50
+
+
 # -- 5 ------------------------------------------------------------------------------------
 
 ODD = [

@@ -18,9 +18,14 @@ projections are counted inside the block pair, so no pair leaves a task: a task
 counts per vector and the edges of a spanning forest.  A pair that meets in several tables is
 counted in the first of them only, and in none where it does not meet.
 
-Equal vectors are collapsed before and count with their number.  Memory: two blocks of
-``BLOCK`` rows a step.  A dense group of n distinct near copies costs n * n / 2 verifications
-(each vector's links are counted), spread over its block pairs.
+The sorted rows of all tables are numbered by global rank and cut into chunks of ``CHUNK`` rows.
+A chunk is compared with itself and, if its last bucket goes on, with the later chunks that the
+windows of that bucket reach; only rows within the reach go along.  The chunk pair is the shuffle
+key, so a dense group is spread over tasks by its chunk pairs, whatever its size.
+
+Equal vectors are collapsed before and count with their number.  Memory: two chunks of ``CHUNK``
+rows a task, compared in steps of two blocks of ``BLOCK`` rows.  A dense group of n distinct near
+copies costs n * n / 2 verifications (each vector's links are counted).
 """
 
 from __future__ import annotations
@@ -34,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.llm.common import connected_components, materialize
+from tidepool.llm.common import connected_components, materialize, with_global_rank
 from tidepool.llm.minhash_dedup import spanning
 
 COSINE = 0.98
@@ -45,7 +50,9 @@ CELL = 0.9  # width of a quantised direction, 4.5 deviations at the threshold
 MISS = 1e-4
 BUCKET = 256
 BLOCK = 512
+CHUNK = 4096
 SEED = 4242
+KEYS = ["label", "size", "table", "bucket"]
 
 
 def count_needed() -> int:
@@ -118,7 +125,7 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 
 def _expand(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(label, size, cells, table, bucket, place, vec_id, copies, embedding) by vector and table."""
+    """(label, size, cells, table, bucket, place, row) by vector and table."""
     for frame in frames:
         for (size, cells), part in frame.groupby(["size", "cells"]):
             for a in range(0, len(part), 2048):
@@ -126,7 +133,7 @@ def _expand(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 units = unit(_matrix(rows["embedding"]))
                 codes, places = cells_of(units, cells), places_of(units, cells)
                 for t in range(codes.shape[1]):
-                    out = rows[["label", "size", "cells", "vec_id", "copies", "embedding"]].copy()
+                    out = rows[["label", "size", "cells", "row"]].copy()
                     out["table"] = t
                     out["bucket"] = codes[:, t]
                     out["place"] = places[:, t]
@@ -134,7 +141,7 @@ def _expand(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _links():
-    """mapInPandas over rows sorted by (label, size, table, bucket, place)."""
+    """mapInPandas over rows sorted by (first, second, side, label, size, table, bucket, place)."""
     needed = count_needed()
 
     def block(rows: pd.DataFrame) -> dict:
@@ -183,49 +190,104 @@ def _links():
             ["vec_id", "links", "other"]
         ]
 
+    def blocks(rows: pd.DataFrame) -> list[dict]:
+        """The blocks of rows of one bucket."""
+        return [block(rows.iloc[a : a + BLOCK]) for a in range(0, len(rows), BLOCK)]
+
+    def buckets(rows: pd.DataFrame) -> Iterator[tuple[int, int]]:
+        names = rows[KEYS].to_numpy()
+        cuts = np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1
+        yield from zip([0, *cuts.tolist()], [*cuts.tolist(), len(rows)])
+
+    def within(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """The links inside the buckets of one chunk."""
+        table = rows["table"].to_numpy()
+        kinds = rows[["size", "cells"]].to_numpy()
+        spans = [(a, b) for a, b in buckets(rows) if b - a > 1]
+        prepared, begin, until = None, 0, 0
+        for a, b in spans:
+            for s in range(a, b, BLOCK):
+                if min(s + BLOCK, b) > until:  # project many rows of one kind at once
+                    begin, until = s, min(s + 8 * BLOCK, len(rows))
+                    until = begin + int(np.argmax(np.append((kinds[begin:until] != kinds[begin]).any(axis=1), True)))
+                    prepared = block(rows.iloc[begin:until])
+                now = part(prepared, s - begin, min(s + BLOCK, b) - begin)
+                opened = [] if s == a else [x for x in opened if x["place"][-1] >= now["place"][0] - REACH]
+                opened.append(now)
+                for x in opened:
+                    if (found := compare(x, now, int(table[a]))) is not None:
+                        yield found
+
+    def across(early: pd.DataFrame, late: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """The links between two chunks, whose rows here are of one bucket."""
+        if not len(early) or not len(late):
+            return
+        firsts, table = blocks(early), int(early["table"].iloc[0])
+        for now in blocks(late):
+            for x in firsts:
+                if x["place"][-1] >= now["place"][0] - REACH:
+                    if (found := compare(x, now, table)) is not None:
+                        yield found
+
+    def one(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        if rows["first"].iloc[0] == rows["second"].iloc[0]:
+            yield from within(rows)
+        else:
+            late = rows["side"].to_numpy() == 1
+            yield from across(rows[~late], rows[late])
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, open_blocks = None, []
-        rest: pd.DataFrame | None = None
-
-        def close(now: dict, name: tuple) -> Iterator[pd.DataFrame]:
-            nonlocal key, open_blocks
-            if name != key:
-                key, open_blocks = name, []
-            open_blocks = [x for x in open_blocks if x["place"][-1] >= now["place"][0] - REACH]
-            for x in [*open_blocks, now]:
-                found = compare(now if x is now else x, now, name[2])
-                if found is not None:
-                    yield found
-            open_blocks.append(now)
-
-        columns = ["label", "size", "table", "bucket"]
+        rest: list[pd.DataFrame] = []
         for frame in frames:
             if not len(frame):
                 continue
-            frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            names = frame[columns].to_numpy()
-            cuts = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1).tolist(), len(frame)]
-            # whole blocks of the last bucket can be compared; its end may follow
-            last = cuts[-2] + (len(frame) - cuts[-2] - 1) // BLOCK * BLOCK
-            kinds = frame["size"].to_numpy() * 1000 + frame["cells"].to_numpy()
-            prepared, until = None, 0
-            for a, b in zip(cuts[:-1], [*cuts[1:-1], last]):
-                if b - a < 2 and tuple(names[a]) != key:
-                    continue  # alone in its bucket
-                for s in range(a, b, BLOCK):
-                    e = min(s + BLOCK, b)
-                    if e > until:  # project many rows of one dimension at once
-                        until = min(s + 8 * BLOCK, len(frame))
-                        until = s + int(np.argmax(np.append(kinds[s:until] != kinds[s], True)))
-                        prepared, origin = block(frame.iloc[s:until]), s
-                    yield from close(part(prepared, s - origin, e - origin), tuple(names[a]))
-            rest = frame.iloc[last:]
-        if rest is not None and len(rest):
-            yield from close(block(rest), tuple(rest[columns].iloc[0]))
+            names = frame[["first", "second"]].to_numpy()
+            cuts = (np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1).tolist()
+            if rest and tuple(rest[0][["first", "second"]].iloc[0]) != tuple(names[0]):
+                yield from one(pd.concat(rest, ignore_index=True))
+                rest = []
+            for a, b in zip([0, *cuts[:-1]], cuts):
+                yield from one(pd.concat([*rest, frame.iloc[a:b]], ignore_index=True))
+                rest = []
+            rest.append(frame.iloc[cuts[-1] if cuts else 0 :])
+        if rest:
+            yield from one(pd.concat(rest, ignore_index=True))
 
     return run
 
 
+def chunk_pairs(ranked: DataFrame) -> DataFrame:
+    """Rows of ``ranked`` (with ``rank``) by the pairs (first, second) of chunks to compare.
+
+    Side 0 are the rows of the first chunk, side 1 those of the second.
+    """
+    rows = ranked.withColumn("chunk", F.floor(F.col("rank") / CHUNK))
+    at = F.struct("rank", *KEYS, "place")
+    ends = rows.groupBy("chunk").agg(F.min(at).alias("low"), F.max(at).alias("high"))
+    ends = materialize(ends, "op4-chunks")
+    early = ends.select(
+        F.col("chunk").alias("first"), *(F.col(f"high.{k}").alias(k) for k in KEYS), F.col("high.place").alias("last")
+    )
+    late = ends.select(
+        F.col("chunk").alias("second"), *(F.col(f"low.{k}").alias(k) for k in KEYS), F.col("low.place").alias("begin")
+    )
+    pairs = early.join(late, KEYS).where((F.col("first") < F.col("second")) & (F.col("begin") <= F.col("last") + REACH))
+    pairs = materialize(pairs, "op4-pairs")
+    columns = ["first", "second", "side", *ranked.columns]
+    own = rows.withColumn("first", F.col("chunk")).withColumn("second", F.col("chunk")).withColumn("side", F.lit(0))
+    left = (
+        rows.join(pairs.withColumn("chunk", F.col("first")), ["chunk", *KEYS])
+        .where(F.col("place") >= F.col("begin") - REACH)
+        .withColumn("side", F.lit(0))
+    )
+    right = (
+        rows.join(pairs.withColumn("chunk", F.col("second")), ["chunk", *KEYS])
+        .where(F.col("place") <= F.col("last") + REACH)
+        .withColumn("side", F.lit(1))
+    )
+    return own.select(columns).union(left.select(columns)).union(right.select(columns)).drop("rank")
+
+
 def near_duplicates(vectors: DataFrame) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors(vec_id, embedding, label)``.
 
@@ -262,20 +324,19 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
         .dropDuplicates(["same"])
         .select("label", "vec_id", "copies", "embedding", F.size("embedding").alias("size"))
     )
-    singles = materialize(singles, "op4-singles")
+    singles = materialize(singles.withColumn("row", F.monotonically_increasing_id()), "op4-singles")
     # an unrelated pair shares a cell of one direction with probability of about 0.36
     counts = singles.groupBy("label", "size").agg(F.count("*").alias("n")).where("n > 1")
     depth = F.ceil(F.log(F.greatest(F.col("n") / BUCKET, F.lit(1.0))) / math.log(1 / 0.36))
     counts = counts.select("label", "size", depth.cast("int").alias("cells"))
-    expanded = singles.join(counts, ["label", "size"]).mapInPandas(
+    placed = singles.join(counts, ["label", "size"]).mapInPandas(
         _expand,
-        T.StructType.fromDDL(
-            "label string, size int, cells int, vec_id long, copies long, embedding array<double>, "
-            "table int, bucket long, place double"
-        ),
+        T.StructType.fromDDL("label string, size int, cells int, row long, table int, bucket long, place double"),
     )
-    keys = ["label", "size", "table", "bucket"]
-    dealt = expanded.repartition(*keys).sortWithinPartitions(*keys, "place", "vec_id")
+    placed = materialize(placed, "op4-places")
+    ranked = with_global_rank(placed, [*KEYS, "place", "row"], "op4-ranks")
+    dealt = chunk_pairs(ranked).join(singles.select("row", "vec_id", "copies", "embedding"), "row")
+    dealt = dealt.repartition("first", "second").sortWithinPartitions("first", "second", "side", *KEYS, "place", "row")
     found = materialize(dealt.mapInPandas(_links(), "vec_id long, links long, other long"), "op4-links")
     links = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
     edges = found.where("other is not null").select(F.col("vec_id").alias("u"), F.col("other").alias("v"))
