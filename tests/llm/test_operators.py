@@ -528,3 +528,14 @@ def test_revealing_terms(spark):
     assert all(got[k] == "" for k in range(400))
     clean = {r["doc_id"]: r["text"] for r in rows_of(pii.sanitise(df))}
     assert "quorvex" not in " ".join(clean.values()).lower() and "boss@" not in " ".join(clean.values())
+
+
+def test_copies_hide_no_revealing_terms(spark):
+    texts = [f"plain text number {k} about the weather and the sea" for k in range(400)]
+    near = [f"harbour master Quorvex likes sea number {k} write to boss@port.example today" for k in range(6)]
+    copied = "the ship Zanthu lies at sea number one and no mail but crew@ship.example reaches her"
+    texts += [t for t in near for _ in range(10)] + [copied] * 50
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in rows_of(pii.detect(df))}
+    assert all("term:15:22" in got[k] for k in range(400, 460))
+    assert all("term" not in got[k] for k in range(460, 510))  # copies alone are no evidence

@@ -3,15 +3,16 @@
 Emails, IP addresses, card and phone numbers are found by patterns; their values are the
 protected entities.  How strongly a term reveals an entity is estimated from the corpus:
 
-* an entity's *contexts* are the texts within ``REACH`` characters around its occurrences, equal
-  contexts counted once (so copies of a document are no evidence);
-* n(e, t) is the number of e's contexts with term t, n(t) the number of documents with t, and N
-  the number of documents;
+* equal texts are one text in every count, so that copies weigh nothing anywhere;
+* n(e) is the number of texts with e, n(e, t) that of the texts with e that have t around it,
+  n(t) that of the texts with t, and N that of all texts;
+* an entity's *context* in a text is what stands within ``REACH`` characters around its
+  occurrences there (so near copies of a document are one context);
 * the information that t gives about e is log2(P(e|t) / P(e)) bits, with
-  P(e|t) = min(1, n(e, t) / n(t)) and P(e) = n(e) / N; divided by e's own information
+  P(e|t) = n(e, t) / n(t) and P(e) = n(e) / N; divided by e's own information
   -log2 P(e) it is the *disclosure* of e by t: 1 means that t gives e away.
 
-Terms with a disclosure of ``GENERALISE`` or more in at least ``SUPPORT`` contexts are spans of
+Terms with a disclosure of ``GENERALISE`` or more in at least ``SUPPORT`` different contexts are spans of
 kind ``term`` wherever they occur; ``sanitise`` puts a class in their place (a name, a number, a
 term), and removes those of ``REMOVE`` or more.
 
@@ -176,14 +177,15 @@ def _words(text: Column) -> Column:
 
 
 def _contexts(spanned: DataFrame) -> DataFrame:
-    """Distinct (entity, context, terms): the words around every occurrence of an entity."""
+    """(entity, key, context, terms): what stands around an entity in a text, once a text."""
     rows = None
     for kind in KINDS:
         value = F.col("s.value")
         name = F.lower(value) if kind in ("email", "ip") else _digits(value)
         one = spanned.where(F.size(kind) > 0).select(
-            "__text", F.explode(kind).alias("s")
+            "__text", "__key", F.explode(kind).alias("s")
         ).select(
+            "__key",
             F.concat(F.lit(f"{kind}:"), name).alias("entity"),
             F.substring(
                 "__text", F.greatest(F.col("s.start") - REACH, F.lit(0)) + 1, F.least(F.col("s.start"), F.lit(REACH))
@@ -194,32 +196,48 @@ def _contexts(spanned: DataFrame) -> DataFrame:
     # words cut by the reach or glued to the entity are no terms
     left = F.regexp_replace(F.regexp_replace("left", r"[^\x20\x09-\x0D]+$", ""), r"^[^\x20\x09-\x0D]+", "")
     right = F.regexp_replace(F.regexp_replace("right", r"^[^\x20\x09-\x0D]+", ""), r"[^\x20\x09-\x0D]+$", "")
-    return rows.select(
+    rows = rows.select(
         "entity",
+        F.col("__key").alias("key"),
         F.xxhash64("left", "right").alias("context"),
         _terms(_words(F.concat(left, F.lit(" "), right))).alias("terms"),
     )
+    return rows.groupBy("entity", "key").agg(
+        F.xxhash64(F.sort_array(F.collect_set("context"))).alias("context"),
+        F.array_distinct(F.flatten(F.collect_set("terms"))).alias("terms"),
+    )
 
 
 def revealing_terms(docs: DataFrame, spanned: DataFrame) -> DataFrame:
     """(term, disclosure): the largest disclosure of any entity by each revealing term."""
-    contexts = _contexts(spanned).where(F.size("terms") > 0).dropDuplicates(["entity", "context"])
-    contexts = materialize(contexts, "op10-contexts")
-    entities = contexts.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= SUPPORT)
+    mentions = materialize(_contexts(spanned), "op10-contexts")
+    entities = (
+        mentions.groupBy("entity", "context")
+        .agg(F.count("*").alias("n"))
+        .groupBy("entity")
+        .agg(F.sum("n").alias("n_e"), F.count("*").alias("contexts"))
+        .where(F.col("contexts") >= SUPPORT)
+        .select("entity", "n_e")
+    )
     pairs = (
-        contexts.join(entities, "entity")
-        .select("entity", "n_e", F.explode("terms").alias("term"))
+        mentions.join(entities, "entity")
+        .select("entity", "n_e", "context", F.explode("terms").alias("term"))
+        .groupBy("entity", "n_e", "term", "context")
+        .agg(F.count("*").alias("n"))
         .groupBy("entity", "n_e", "term")
-        .agg(F.count("*").alias("n_et"))
-        .where(F.col("n_et") >= SUPPORT)
+        .agg(F.sum("n").alias("n_et"), F.count("*").alias("contexts"))
+        .where(F.col("contexts") >= SUPPORT)
+        .drop("contexts")
     )
     pairs = materialize(pairs, "op10-pairs")
     if pairs.isEmpty():
         return pairs.select("term", F.lit(0.0).alias("disclosure"))
-    total = docs.count()
+    keyed = docs.withColumn("key", F.sha2("text", 256))
+    total = keyed.select("key").distinct().count()
     frequency = (
-        docs.select(F.explode(_terms(_words(F.coalesce(F.col("text"), F.lit(""))))).alias("term"))
+        keyed.select("key", F.explode(_terms(_words(F.col("text")))).alias("term"))
         .join(pairs.select("term").distinct(), "term", "left_semi")
+        .distinct()
         .groupBy("term")
         .agg(F.count("*").alias("n_t"))
     )
@@ -254,7 +272,7 @@ def find_spans(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.withColumn("__text", text)
     out = base_spans(keyed, "__text").withColumn("base", F.concat(*(_named(k, k) for k in KINDS)))
-    spanned = out.where(F.size("base") > 0).select("__text", *KINDS)
+    spanned = out.where(F.size("base") > 0).select("__text", F.sha2("__text", 256).alias("__key"), *KINDS)
     spanned = materialize(spanned, "op10-spans")
     terms = materialize(revealing_terms(docs.select(text.alias("text")), spanned), "op10-terms")
     out = out.withColumn("__key", F.sha2("__text", 256))
