@@ -539,3 +539,19 @@ def test_copies_hide_no_revealing_terms(spark):
     got = {r["doc_id"]: r["spans"] for r in rows_of(pii.detect(df))}
     assert all("term:15:22" in got[k] for k in range(400, 460))
     assert all("term" not in got[k] for k in range(460, 510))  # copies alone are no evidence
+
+
+def test_terms_at_the_border_and_far_away_reveal(spark):
+    rng = random.Random(9)
+    texts = [f"plain text number {k} about the weather and the sea" for k in range(400)]
+    texts += [f"Quorvex boss@port.example text number {k}" for k in range(5)]
+    texts += [f"text number {k} boss@port.example Vantrel" for k in range(5)]
+    for k in range(5):
+        between = " ".join(f"w{rng.randrange(50)}" for _ in range(80))
+        texts.append(f"text {k} Oldmarn {between} crew@ship.example about number {k}")
+    texts += ["Oldmarn the sea", "plain 555"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r["doc_id"]: r["text"] for r in rows_of(pii.sanitise(df))}
+    left = " ".join(clean.values())
+    assert not any(name in left for name in ("Quorvex", "Vantrel", "Oldmarn", "boss@", "crew@"))
+    assert all(clean[k] == texts[k] for k in range(400))

@@ -4,8 +4,9 @@ Emails, IP addresses, card and phone numbers are found by patterns; their values
 protected entities.  How strongly a term reveals an entity is estimated from the corpus:
 
 * equal texts are one text in every count, so that copies weigh nothing anywhere;
-* n(e) is the number of texts with e, n(e, t) that of the texts with e that have t around it,
-  n(t) that of the texts with t, and N that of all texts;
+* a text's terms are its words without those that touch a protected value, wherever they stand;
+* n(e) is the number of texts with e, n(e, t) that of the texts with e and t, n(t) that of the
+  texts with t, and N that of all texts;
 * an entity's *context* in a text is what stands within ``REACH`` characters around its
   occurrences there (so near copies of a document are one context);
 * the information that t gives about e is log2(P(e|t) / P(e)) bits, with
@@ -30,6 +31,7 @@ from tidepool.llm.common import materialize
 from tidepool.llm.quality_rules import bound
 
 REACH = 100
+GLUE = "\0"  # stands for a protected value in its text
 BLOCK = 512
 SUPPORT = 3
 GENERALISE = 0.9
@@ -177,7 +179,7 @@ def _words(text: Column) -> Column:
 
 
 def _contexts(spanned: DataFrame) -> DataFrame:
-    """(entity, key, context, terms): what stands around an entity in a text, once a text."""
+    """(entity, key, context): what stands around an entity in a text, once a text."""
     rows = None
     for kind in KINDS:
         value = F.col("s.value")
@@ -191,23 +193,51 @@ def _contexts(spanned: DataFrame) -> DataFrame:
                 "__text", F.greatest(F.col("s.start") - REACH, F.lit(0)) + 1, F.least(F.col("s.start"), F.lit(REACH))
             ).alias("left"),
             F.substring("__text", F.col("s.end") + 1, F.lit(REACH)).alias("right"),
+            (F.col("s.start") > REACH).alias("cut_left"),
+            (F.length("__text") > F.col("s.end") + REACH).alias("cut_right"),
         )
         rows = one if rows is None else rows.unionByName(one)
-    # words cut by the reach or glued to the entity are no terms
-    left = F.regexp_replace(F.regexp_replace("left", r"[^\x20\x09-\x0D]+$", ""), r"^[^\x20\x09-\x0D]+", "")
-    right = F.regexp_replace(F.regexp_replace("right", r"^[^\x20\x09-\x0D]+", ""), r"[^\x20\x09-\x0D]+$", "")
-    rows = rows.select(
-        "entity",
-        F.col("__key").alias("key"),
-        F.xxhash64("left", "right").alias("context"),
-        _terms(_words(F.concat(left, F.lit(" "), right))).alias("terms"),
-    )
+    # words glued to the entity, or cut by the reach, are no part of the context
+    left = F.regexp_replace("left", r"[^\x20\x09-\x0D]+$", "")
+    left = F.when(F.col("cut_left"), F.regexp_replace(left, r"^[^\x20\x09-\x0D]+", "")).otherwise(left)
+    right = F.regexp_replace("right", r"^[^\x20\x09-\x0D]+", "")
+    right = F.when(F.col("cut_right"), F.regexp_replace(right, r"[^\x20\x09-\x0D]+$", "")).otherwise(right)
+    rows = rows.select("entity", F.col("__key").alias("key"), F.xxhash64(left, right).alias("context"))
     return rows.groupBy("entity", "key").agg(
-        F.xxhash64(F.sort_array(F.collect_set("context"))).alias("context"),
-        F.array_distinct(F.flatten(F.collect_set("terms"))).alias("terms"),
+        F.xxhash64(F.sort_array(F.collect_set("context"))).alias("context")
     )
 
 
+def masked(text: Column, spans: Column) -> Column:
+    """``text`` with the masks of all spans (start, end, mask) that start past all earlier ones."""
+
+    def build(before: Column) -> Column:
+        pieces = F.transform(
+            spans,
+            lambda s, i: F.when(
+                s["start"] >= F.get(before, i),
+                F.concat(F.substring(text, F.get(before, i) + 1, s["start"] - F.get(before, i)), s["mask"]),
+            ).otherwise(""),
+        )
+        tail = F.substring(text, F.array_max(F.transform(spans, lambda s: s["end"])) + 1, F.length(text))
+        return F.concat(F.array_join(pieces, ""), tail)
+
+    reached = running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+    ends = bound(reached, lambda e: F.transform(e, lambda x, i: F.coalesce(F.get(e, i - 1), F.lit(0))))
+    return bound(ends, build)
+
+
+def _bare_terms(spanned: DataFrame) -> DataFrame:
+    """Distinct (key, term) of texts with protected values, without the words that touch one."""
+    named = F.concat(*(
+        F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(GLUE).alias("mask")))
+        for k in KINDS
+    ))
+    bare = bound(F.sort_array(named), lambda spans: masked(F.translate("__text", GLUE, "\1"), spans))
+    words = F.filter(_words(bare), lambda w: ~F.contains(w, F.lit(GLUE)))
+    return spanned.select(F.col("__key").alias("key"), F.explode(_terms(words)).alias("term")).distinct()
+
+
 def revealing_terms(docs: DataFrame, spanned: DataFrame) -> DataFrame:
     """(term, disclosure): the largest disclosure of any entity by each revealing term."""
     mentions = materialize(_contexts(spanned), "op10-contexts")
@@ -219,9 +249,10 @@ def revealing_terms(docs: DataFrame, spanned: DataFrame) -> DataFrame:
         .where(F.col("contexts") >= SUPPORT)
         .select("entity", "n_e")
     )
+    held = materialize(mentions.join(entities, "entity"), "op10-held")
+    bare = materialize(_bare_terms(spanned), "op10-bare")
     pairs = (
-        mentions.join(entities, "entity")
-        .select("entity", "n_e", "context", F.explode("terms").alias("term"))
+        held.join(bare, "key")
         .groupBy("entity", "n_e", "term", "context")
         .agg(F.count("*").alias("n"))
         .groupBy("entity", "n_e", "term")
@@ -234,13 +265,15 @@ def revealing_terms(docs: DataFrame, spanned: DataFrame) -> DataFrame:
         return pairs.select("term", F.lit(0.0).alias("disclosure"))
     keyed = docs.withColumn("key", F.sha2("text", 256))
     total = keyed.select("key").distinct().count()
-    frequency = (
-        keyed.select("key", F.explode(_terms(_words(F.col("text")))).alias("term"))
-        .join(pairs.select("term").distinct(), "term", "left_semi")
-        .distinct()
-        .groupBy("term")
-        .agg(F.count("*").alias("n_t"))
-    )
+    # n(t): the texts with t, those where t only touches a protected value taken off
+    whole = keyed.select("key", F.explode(_terms(_words(F.col("text")))).alias("term"))
+    glued = spanned.select(F.col("__key").alias("key"), F.explode(_terms(_words(F.col("__text")))).alias("term"))
+    rows = None
+    for part, sign in ((whole, 1), (glued, -1), (bare, 1)):
+        part = part.join(pairs.select("term").distinct(), "term", "left_semi").distinct()
+        part = part.groupBy("term").agg((F.count("*") * sign).alias("n"))
+        rows = part if rows is None else rows.unionByName(part)
+    frequency = rows.groupBy("term").agg(F.sum("n").alias("n_t"))
     prior = F.col("n_e") / F.lit(float(max(total, 1)))
     given = F.least(F.lit(1.0), F.col("n_et") / F.col("n_t"))
     own = F.greatest(-F.log2(prior), F.lit(1.0))
@@ -361,28 +394,8 @@ def sanitise(docs: DataFrame) -> DataFrame:
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), generalised(s).alias("mask")),
     )
 
-    def merged(spans: Column) -> Column:
-        """The masks of all spans that start past all earlier ones, and the text between them."""
-        reached = running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
-        ends = bound(
-            reached, lambda e: F.transform(e, lambda x, i: F.coalesce(F.get(e, i - 1), F.lit(0)))
-        )
-
-        def build(before: Column) -> Column:
-            pieces = F.transform(
-                spans,
-                lambda s, i: F.when(
-                    s["start"] >= F.get(before, i),
-                    F.concat(F.substring(text, F.get(before, i) + 1, s["start"] - F.get(before, i)), s["mask"]),
-                ).otherwise(""),
-            )
-            tail = F.substring(text, F.array_max(F.transform(spans, lambda s: s["end"])) + 1, F.length(text))
-            return F.concat(F.array_join(pieces, ""), tail)
-
-        return bound(ends, build)
-
     spans = F.sort_array(F.concat(base, terms))
-    clean = F.when(F.size("base") + F.size("terms") > 0, bound(spans, merged)).otherwise(text)
+    clean = F.when(F.size("base") + F.size("terms") > 0, bound(spans, lambda x: masked(text, x))).otherwise(text)
     at = columns.index("text")
     return out.select(
         *(clean.alias("text") if i == at else F.col(f"c{i}").alias(c) for i, c in enumerate(columns))
