@@ -136,6 +136,35 @@ def test_large_nodes_are_cut_and_still_complete(spark, monkeypatch):
         assert got == want
 
 
+def test_pieces_of_many_short_texts_fit_in_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 30_000, 5).astype(np.uint64)) for _ in range(6000)]
+    sets += sets[:50]
+    tracemalloc.start()
+    i, j = minhash_dedup.linked_pairs(sets, 85)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(zip(i.tolist(), j.tolist())) >= {(k, 6000 + k) for k in range(50)}
+    assert all(2 * len(np.intersect1d(sets[a], sets[b])) > len(sets[a]) for a, b in zip(i, j))
+    assert peak < 300e6  # 6050 ** 2 * 20 bytes are 730 MB
+
+
+def test_linked_pairs_match_brute_force_over_blocks(monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "CELLS", 600)
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 12, rng.integers(1, 12)).astype(np.uint64)) for _ in range(120)]
+    i, j = minhash_dedup.linked_pairs(sets, 60)
+    want = set()
+    for b in range(120):
+        for a in range(b):
+            common = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * common >= 60 * (len(sets[a]) + len(sets[b]) - common):
+                want.add((a, b))
+    assert set(zip(i.tolist(), j.tolist())) == want and len(i) == len(want)
+
+
 def test_near_duplicates_edges(edge, empty):
     got = rows_of(minhash_dedup.near_duplicates(edge))
     assert len(got) == edge.count()

@@ -13,7 +13,8 @@ meets in at least one of ``TREES`` first levels with probability 1 - (1 - J)**TR
 (0.9999997 at 0.85).  Nodes deeper than ``MAX_DEPTH`` are compared exhaustively piece by piece.
 
 Memory: a task holds one piece, about ``PIECE_SHINGLES`` hashes (more only for one document
-that is longer).  Nothing but counts and convergence sums reaches the driver.
+that is longer), and compares it in blocks of rows whose dense matrices have about ``CELLS``
+entries, however many short texts a piece has.  Nothing but counts and convergence sums reaches the driver.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ COORDINATES = 64
 TREES = 8
 WORDS = 5
 PIECE_SHINGLES = 400_000
+CELLS = 1 << 22  # entries of a dense matrix
 MAX_DEPTH = 16
 SLICE_BYTES = 1 << 20
 
@@ -117,19 +119,36 @@ def linked_pairs(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.n
     token = np.cumsum(new) - 1
     shared = np.bincount(token)[token] > 1
     token, owner = token[shared], owner[shared]
-    common = np.zeros((n, n), dtype=np.float32)
     if len(token):
-        _, token = np.unique(token, return_inverse=True)
-        width = 4096
-        cuts = np.searchsorted(token, np.arange(0, token[-1] + 1 + width, width))
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            block = np.zeros((n, width), dtype=np.float32)
-            block[owner[a:b], token[a:b] - token[a] // width * width] = 1
-            common += block @ block.T  # counts below 2**24 are exact
-    common = common.astype(np.int64)
-    union = sizes[:, None] + sizes[None, :] - common
-    i, j = np.nonzero(np.triu(100 * common >= percent * union, 1))
-    return i, j
+        token = np.unique(token, return_inverse=True)[1]
+    by_owner = np.argsort(owner, kind="stable")
+    ends = np.searchsorted(owner[by_owner], np.arange(n + 1))
+    rows = max(1, min(256, CELLS // n))
+    left, right = [], []
+    for a in range(0, n, rows):
+        b = min(a + rows, n)
+        mine = np.unique(token[by_owner[ends[a] : ends[b]]])
+        if not len(mine):
+            continue
+        local = np.full(token[-1] + 1, -1, dtype=np.int64)
+        local[mine] = np.arange(len(mine))
+        use = np.flatnonzero((local[token] >= 0) & (owner >= a))
+        column, row = local[token[use]], owner[use] - a
+        width = max(64, min(4096, CELLS // (n - a)))
+        cuts = np.searchsorted(column, np.arange(0, len(mine) + width, width))
+        common = np.zeros((b - a, n - a), dtype=np.float32)
+        for w, (c, d) in enumerate(zip(cuts[:-1], cuts[1:])):
+            block = np.zeros((n - a, width), dtype=np.float32)
+            block[row[c:d], column[c:d] - w * width] = 1
+            common += block[: b - a] @ block.T  # counts below 2**24 are exact
+        common = common.astype(np.int64)
+        union = sizes[a:b, None] + sizes[None, a:] - common
+        i, j = np.nonzero(np.triu(100 * common >= percent * union, 1))
+        left.append(i + a)
+        right.append(j + a)
+    if not left:
+        return np.zeros(0, int), np.zeros(0, int)
+    return np.concatenate(left), np.concatenate(right)
 
 
 def spanning(component: list[int], i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
