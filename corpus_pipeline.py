@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from tidepool.llm import language_id, minhash_dedup, packing, pii, quality_classifier
 from tidepool.llm.common import materialize, read_table
 
-#: Documents whose largest language share is lower are rejected as without a language.
-LEAST_SHARE = 0.4
 #: Near copies share this percentage of their five-word shingles.
 SIMILARITY = 80
 
@@ -27,10 +25,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters whose main language has a share of ``LEAST_SHARE`` at least."""
+    """Documents with a language: those of several languages stay, whatever their shares."""
     named = language_id.identify(docs)
-    rejected = (F.col("lang_pred") == language_id.UNDETERMINED) | (F.col("score") < LEAST_SHARE)
-    return _keep(docs, named, rejected)
+    return _keep(docs, named, F.col("lang_pred") == language_id.UNDETERMINED)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -201,6 +201,22 @@ def test_mixture_proportions():
     assert best[0] == 0 and share[0] == 1.0
 
 
+def test_mixture_of_many_languages():
+    parts = np.repeat(np.arange(5), [35, 25, 20, 20, 0])
+    words = np.full((100, 5), -12.0, dtype=np.float32)
+    words[np.arange(100), parts] = -1.0
+    mixed = language_id.mixtures(words, np.array([100]))[0]
+    assert np.abs(mixed - [0.35, 0.25, 0.2, 0.2, 0]).max() < 0.01 and mixed[4] == 0
+
+
+def test_many_languages_are_refused_before_collecting(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 3)
+    monkeypatch.setattr(language_id, "_count", None)  # nothing is counted
+    rows = [(k, "a few words", f"l{k % 9}", "s", 1) for k in range(90)]
+    with pytest.raises(ValueError, match="languages"):
+        language_id.train(spark.createDataFrame(rows, DOCS))
+
+
 def test_quality_classifier(documents, labels, edge, empty):
     got = rows_of(quality_classifier.score_documents(documents, labels).join(labels, "doc_id"))
     test = [r for r in got if r["held_out"]]

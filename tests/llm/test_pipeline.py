@@ -55,3 +55,13 @@ def test_run(spark):
         per_doc.setdefault(r.doc_id, []).append((r.start, r.length, r.doc_tokens))
     for parts in per_doc.values():
         assert sum(n for _, n, _ in parts) == parts[0][2]
+
+
+def test_multilingual_documents_stay(spark):
+    words = {name: [f"{name}{k}{name}" for k in range(30)] for name in ("qua", "wex", "zol")}
+    rows = [(k, " ".join(words[name]), name, "s", 1, "x") for name in words for k in range(20)]
+    rows.append((99, " ".join(w for name in words for w in words[name]), None, "s", 1, "x"))
+    docs = spark.createDataFrame(rows, edge_docs(spark).schema)
+    assert 99 in {r.doc_id for r in corpus_pipeline.language_stage(spark, docs, SF).collect()}
+    named = language_id.identify(docs).where("doc_id = 99").first()
+    assert len(named.languages) == 3 and named.score < 0.4

@@ -3,13 +3,14 @@
 Training counts byte trigrams of lower-cased words per language over all training rows.  Each
 word of a text then has a likelihood under every language, the product over its trigrams.
 Expectation-maximisation estimates the language proportions of every document from its words'
-likelihoods.  The set of languages is chosen among the nested sets of the 1 to ``MAX_SET``
-largest proportions: each is fitted by EM, and the set with the best log-likelihood less
-``PENALTY`` * log(words) per language wins.  The predicted language is the one with the largest
-proportion in the chosen set; its proportion is the score.
+likelihoods.  The set of languages is chosen among the nested sets of the largest proportions:
+each is fitted by EM, and the set with the best log-likelihood less ``PENALTY`` * log(words) per
+language wins.  Sets grow until the penalty outweighs all that any set could still gain.  The
+predicted language is the one with the largest proportion in the chosen set; its proportion is
+the score, and the whole set comes with its proportions.
 
 The model is a table of ``GRAMS`` x languages numbers (at most ``MAX_LANGUAGES`` languages,
-more raise an error), summed by Spark and broadcast.  Documents are independent: no shuffle.
+more raise an error before anything is collected), summed by Spark and broadcast.  Documents are independent: no shuffle.
 """
 
 from __future__ import annotations
@@ -25,11 +26,11 @@ from tidepool.llm.common import _LOWER, held_out, mix64, text_slices, word_bound
 
 GRAMS = 1 << 15
 MAX_LANGUAGES = 256
-MAX_SET = 3
 ROUNDS = 8
 PENALTY = 2.0
 SLICE_BYTES = 1 << 20
 UNDETERMINED = "und"
+SET = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
 
 
 def word_grams(data: np.ndarray, offsets: np.ndarray):
@@ -88,11 +89,12 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     rows = docs.where(F.col("lang").isNotNull() & ~held_out()).select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
     )
+    many = rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
+    if many > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages, which the model holds")
     counted = rows.mapInArrow(_count, "lang string, gram long, n long")
     table = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(table["lang"].unique().tolist())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; the model holds {MAX_LANGUAGES}")
     counts = np.zeros((GRAMS, max(1, len(languages))))
     code = {name: k for k, name in enumerate(languages)}
     counts[table["gram"].to_numpy(dtype=np.int64), [code[x] for x in table["lang"]]] = table["n"]
@@ -100,45 +102,62 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     return languages, np.log(smooth / smooth.sum(axis=0)).astype(np.float32)
 
 
-def proportions(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(best language per text, its proportion) from word log-likelihoods (words x languages)."""
-    texts, n = len(counts), words.shape[1]
-    best, share = np.zeros(texts, dtype=np.int64), np.zeros(texts)
+def mixtures(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Proportions (texts x languages) of the chosen sets from word log-likelihoods (words x languages).
+
+    Languages outside the set have 0, as has all of a text without words.
+    """
+    n = words.shape[1]
+    out = np.zeros((len(counts), n))
     full = np.flatnonzero(counts)
     if not len(full):
-        return best, share
-    at = (np.cumsum(counts) - counts)[full]
-    owner = np.repeat(np.arange(len(full)), counts[full])
+        return out
     total = counts[full].astype(np.float64)
-    top = words.max(axis=1)
-    like = np.exp(words - top[:, None])
-
-    def expect(mix: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    owner = np.repeat(np.arange(len(full)), counts[full])
+    like = np.exp(words - words.max(axis=1)[:, None])
+
+    def expect(texts: np.ndarray, mix: np.ndarray, rounds: int):
+        """Mix and log-likelihood after EM of some texts, and a bound of that of any mix."""
+        all_texts = len(texts) == len(full)
+        own = like if all_texts else like[np.isin(owner, texts)]
+        size = counts[full][texts]
+        at, who = np.cumsum(size) - size, np.repeat(np.arange(len(texts)), size)
         for k in range(rounds):
-            part = like * mix[owner].astype(np.float32)
+            part = own * mix[who].astype(np.float32)
             norm = np.maximum(part.sum(axis=1), 1e-30)
             if k == rounds - 1:
                 fit = np.add.reduceat(np.log(norm), at, dtype=np.float64)
+                gain = np.add.reduceat(own / norm[:, None], at, axis=0, dtype=np.float64) / size[:, None]
             part /= norm[:, None]
-            mix = np.add.reduceat(part, at, axis=0, dtype=np.float64) / total[:, None]
-        return mix, fit
+            mix = np.add.reduceat(part, at, axis=0, dtype=np.float64) / size[:, None]
+        return mix, fit, fit + size * np.log(np.maximum(gain.max(axis=1), 1.0))
 
-    mixed, _ = expect(np.full((len(full), n), 1.0 / n), ROUNDS)
+    everyone = np.arange(len(full))
+    mixed, _, most = expect(everyone, np.full((len(full), n), 1.0 / n), ROUNDS)
     rank = np.argsort(-mixed, axis=1, kind="stable")
-    chosen, value = mixed, np.full(len(full), -np.inf)
-    for size in range(1, min(MAX_SET, n) + 1):
-        mask = np.zeros_like(mixed)
-        np.put_along_axis(mask, rank[:, :size], 1.0, axis=1)
-        start = np.where(mask > 0, np.maximum(mixed, 1e-6), 0)
+    chosen, value = mixed.copy(), np.full(len(full), -np.inf)
+    price = PENALTY * np.log(total + 1)
+    for size in range(1, n + 1):
+        texts = np.flatnonzero(most - size * price > value)
+        if not len(texts):
+            break
+        mask = np.zeros((len(texts), n))
+        np.put_along_axis(mask, rank[texts, :size], 1.0, axis=1)
+        start = np.where(mask > 0, np.maximum(mixed[texts], 1e-6), 0)
         start /= start.sum(axis=1, keepdims=True)
-        mix, fit = expect(start, 1 if size == 1 else ROUNDS // 2)
-        score = fit - PENALTY * size * np.log(total + 1)
-        better = score > value
-        value = np.where(better, score, value)
-        chosen = np.where(better[:, None], mix, chosen)
-    best[full] = chosen.argmax(axis=1)
-    share[full] = chosen.max(axis=1)
-    return best, share
+        mix, fit, _ = expect(texts, start, 1 if size == 1 else ROUNDS // 2)
+        score = fit - size * price[texts]
+        better = score > value[texts]
+        value[texts[better]] = score[better]
+        chosen[texts[better]] = mix[better]
+    out[full] = chosen
+    return out
+
+
+def proportions(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(best language per text, its proportion) from word log-likelihoods (words x languages)."""
+    mixed = mixtures(words, counts)
+    return mixed.argmax(axis=1), mixed.max(axis=1)
 
 
 def _predict(model):
@@ -147,32 +166,36 @@ def _predict(model):
         slice_bytes = max(1 << 16, SLICE_BYTES * 4 // max(4, len(languages)))
         for batch in batches:
             letters = batch.column("letters").to_pylist()
-            names, shares = [], []
+            names, shares, sets = [], [], []
             for a, b, data, offsets in text_slices(batch.column("text"), slice_bytes):
                 grams, first, counts = word_grams(data, offsets)
                 if languages and len(first):
                     words = np.add.reduceat(table[grams], first, axis=0)
-                    best, share = proportions(words, counts)
+                    mixed = mixtures(words, counts)
                 else:
-                    best, share = np.zeros(b - a, np.int64), np.zeros(b - a)
+                    mixed = np.zeros((b - a, max(1, len(languages))))
+                best, share = mixed.argmax(axis=1), mixed.max(axis=1)
                 for k in range(b - a):
                     known = languages and letters[a + k]
                     names.append(languages[best[k]] if known else UNDETERMINED)
                     shares.append(min(1.0, float(share[k])) if known else 0.0)
+                    order = np.argsort(-mixed[k], kind="stable")[: np.count_nonzero(mixed[k])] if known else []
+                    sets.append([{"lang": languages[m], "share": min(1.0, float(mixed[k, m]))} for m in order])
             keep = [n for n in batch.schema.names if n not in ("text", "letters")]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in keep), pa.array(names, pa.string()), pa.array(shares, pa.float64())],
-                names=[*keep, "lang_pred", "score"],
+                [*(batch.column(n) for n in keep), pa.array(names, pa.string()), pa.array(shares, pa.float64()), pa.array(sets, SET)],
+                names=[*keep, "lang_pred", "score", "languages"],
             )
 
     return run
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score) for every row of ``docs(doc_id, text, lang, ...)``.
+    """(doc_id, held_out, lang_pred, score, languages) for every row of ``docs(doc_id, text, lang, ...)``.
 
     Learns from the text and non-null lang of rows that are not held out; predicts from the
-    text alone.  Defined results: ``und`` with score 0 if the text is null or has no letter, or
+    text alone; languages is the chosen set with its proportions, the largest first.  Defined
+    results: ``und`` with score 0 and no languages if the text is null or has no letter, or
     if there is nothing to learn from; ties go to the language first in alphabetical order;
     repeated rows come back once each; an empty table gives an empty result; other columns are
     ignored.
@@ -187,5 +210,7 @@ def identify(docs: DataFrame) -> DataFrame:
     )
     kind = dict(docs.dtypes)["doc_id"]
     return rows.mapInArrow(
-        _predict(model), f"doc_id {kind}, held_out boolean, lang_pred string, score double"
+        _predict(model),
+        f"doc_id {kind}, held_out boolean, lang_pred string, score double, "
+        "languages array<struct<lang:string,share:double>>",
     )
