@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidepool.llm import (
     bpe,
+    decontaminate,
     embedding_dedup,
+    filter_audit,
+    importance,
     language_id,
     minhash_dedup,
     packing,
@@ -63,6 +66,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(read_table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -76,7 +91,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_classifier,
         op9_chat_quotes,
         op10_pii,
+        op11_importance_resampling,
+        op12_decontamination,
+        op13_filter_audit,
     )
 }
 
-ORACLES: dict[str, str] = {"op9_chat_quotes": quotes.ORACLE_SQL}
+ORACLES: dict[str, str] = {
+    "op9_chat_quotes": quotes.ORACLE_SQL,
+    "op11_importance_resampling": importance.ORACLE_SQL,
+    "op12_decontamination": decontaminate.ORACLE_SQL,
+    "op13_filter_audit": filter_audit.ORACLE_SQL,
+}
