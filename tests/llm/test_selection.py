@@ -228,8 +228,8 @@ def test_decontamination_without_rows(edge, empty, bench):
 
 def brute_audit(docs, labels):
     space = re.compile(r"[^\x20\x09-\x0D]+")
-    good = {r["doc_id"] for r in labels if r["quality"] == 1}
-    toxic = {r["doc_id"] for r in labels if r["toxic"] == 1}
+    good = {r["doc_id"] for r in labels if r["quality"] == 1} - {None}
+    toxic = {r["doc_id"] for r in labels if r["toxic"] == 1} - {None}
     first = {}
     for d in docs:
         if d["doc_id"] is not None:
