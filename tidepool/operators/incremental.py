@@ -1,11 +1,12 @@
 """Incremental loads driven by a cursor column.
 
-The high-water mark is the ``cursor_max`` of the table's last load (from the audit
-table).  The next load reads only ``cursor >= high-water mark`` -- a plain comparison
-that Parquet and JDBC scans receive as a pushed filter -- and, because rows equal to
-the mark may already be loaded, drops rows that the table already holds at or after
-the mark (a bounded tail, not the whole table): by key, or by the whole row where there
-is no key.  A row without cursor value has no place in the order and stops the load.
+The high-water mark is the ``cursor_max`` of the table's last load (from its log).  The
+next load reads only ``cursor IS NULL OR cursor >= high-water mark`` -- a plain
+predicate that Parquet and JDBC scans receive as a pushed filter, so row groups before the mark
+without NULLs are not read -- and, because rows equal to the mark may already be loaded,
+drops rows that the table already holds at or after the mark (a bounded tail, not the whole
+table): by key, or by the whole row where there is no key.  A row without cursor value has no place
+in the order and stops the load.
 """
 
 from __future__ import annotations
@@ -25,16 +26,13 @@ def pending_rows(
     primary_key: tuple[str, ...] | list[str] = (),
 ) -> DataFrame:
     problem = F.raise_error(F.lit(f"NULL cursor {cursor} in a load into {dataset}.{table}"))
-    kind = source.schema[cursor].dataType
-    source = source.withColumn(
-        cursor, F.when(F.col(cursor).isNull(), problem.cast(kind)).otherwise(F.col(cursor))
-    )
+    placed = F.when(F.col(cursor).isNull(), problem.cast("boolean")).otherwise(F.lit(True))
     st = warehouse.state(dataset, table)
     if st is None or st.cursor_max is None:
-        return source
-    mark = F.lit(st.cursor_max).cast(kind)
-    # the NULL rows pass the filter only to raise
-    fresh = source.where(F.col(cursor).isNull() | (F.col(cursor) >= mark))
+        return source.where(placed)
+    mark = F.lit(st.cursor_max).cast(source.schema[cursor].dataType)
+    # the first filter is pushed into the scan; NULL rows pass it only to raise in the second
+    fresh = source.where(F.col(cursor).isNull() | (F.col(cursor) >= mark)).where(placed)
     if not primary_key:
         loaded = warehouse.read(dataset, table)
         shared = [c for c in source.columns if c in loaded.columns]

@@ -4,21 +4,23 @@ incremental, with schema evolution and one audit record per load.
 Layout below the warehouse root (a folder every executor can reach)::
 
     <root>/<dataset>/<table>/<version>/_load=<load>/[_bucket=<k>/]part-*.parquet
-    <root>/_loads/                    audit table (JSON), one row per load
-
-Every load writes a folder of its own.  The audit table is also the pointer to each
-table's current version, schema and live folders: a load of any kind becomes visible at
-once, when its audit row is written after the data job has committed, and never in part.
-A load that fails before that leaves only an unlisted folder, so running it again gives
-the same rows.  An audit row names the load it builds on and that name is taken once: of
-two loads that ran at the same time into one table, the later one fails and can be run
-again.  ``replace`` writes a fresh version; the previous one stays readable.  Tables that
-keyed loads go into are bucketed by ``pmod(xxhash64(key), buckets)``; ``merge`` and
-``insert_ignore`` then read and rewrite only the buckets the batch touches (bounded by
-``buckets``), instead of the whole table.  The number of buckets follows the table's bytes.
+    <root>/_log/<dataset>/<table>/    the table's log (see ``tablelog``)
+
+Every load writes a folder of its own.  Its log entry, with the files it added and removed, makes
+it visible at once, after the data job has committed, and never in part.  A load that fails before
+that leaves only an unlisted folder, so running it again gives the same rows.  An entry can
+be created once: of two loads that built on the same state the later one fails and can be run
+again.  ``replace`` writes a fresh version; the previous one stays readable, and so does the state
+after every load until ``vacuum``.
+
+Tables that keyed loads go into are bucketed by ``pmod(xxhash64(key), buckets)``, and inside a
+bucket files are sorted by that hash and cut at ``file_rows``; the log holds each file's range.
+``merge``, ``insert_ignore`` and ``delete_insert`` read only the files whose range holds a hash of
+the batch, and rewrite only those.  The number of buckets follows the table's bytes.
+``compact`` puts small files together.
 
 Row counts come from ``Observation`` metrics of the write job itself -- no second
-pass over the data.
+pass over the data; the files' ranges from their key columns alone.
 """
 
 from __future__ import annotations
@@ -41,6 +43,7 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
+from tidepool.operators.tablelog import FOLD, LOG_FILES, SNAPSHOT_EVERY, DataFile, TableLog, TableState
 from tidepool.session import scratch_dir, session_conf
 
 # Join on (key, bucket) over inputs hash-partitioned on the bucket alone: no second
@@ -56,8 +59,8 @@ LOAD = "_load"
 LEAST_BUCKETS = 8
 BUCKET_BYTES = 512 << 20  # Parquet bytes that one task of a merge rewrites
 
-# folders that make up a table: load id -> live buckets (None: a table without buckets)
-Live = dict[str, list[int] | None]
+FILE_ROWS = 1 << 20  # rows of a file of a bucketed table
+FILE_BYTES = 128 << 20  # what ``compact`` aims at
 
 AUDIT_SCHEMA = StructType(
     [
@@ -76,7 +79,10 @@ AUDIT_SCHEMA = StructType(
         StructField("cursor_column", StringType()),
         StructField("cursor_max", StringType()),
         StructField("loaded_at", TimestampNTZType()),
-        StructField("live", StringType()),
+        StructField("files_live", LongType()),
+        StructField("files_read", LongType()),
+        StructField("files_added", LongType()),
+        StructField("files_removed", LongType()),
     ]
 )
 
@@ -85,20 +91,6 @@ class LoadError(ValueError):
     """A load request that cannot be honoured (e.g. merge without a key)."""
 
 
-@dataclass(frozen=True)
-class TableState:
-    dataset: str
-    table: str
-    version_path: str
-    schema: StructType
-    primary_key: tuple[str, ...]
-    buckets: int | None
-    cursor_column: str | None
-    cursor_max: str | None
-    load_seq: int
-    live: Live
-
-
 @dataclass(frozen=True)
 class LoadResult:
     load_id: str
@@ -114,26 +106,18 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def key_hash(primary_key: tuple[str, ...]) -> Column:
+    return F.xxhash64(*[_q(k) for k in primary_key])
+
+
 def bucket_of(primary_key: tuple[str, ...], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[_q(k) for k in primary_key]), F.lit(buckets)).cast("int")
+    return F.pmod(key_hash(primary_key), F.lit(buckets)).cast("int")
 
 
 def load_folder(version: str, load_id: str) -> str:
     return f"{version}/{LOAD}=l-{load_id}"
 
 
-def live_paths(version: str, live: Live, only: list[int] | None = None) -> list[str]:
-    """The folders of a table, or those of the buckets ``only``."""
-    out = []
-    for load_id, buckets in live.items():
-        folder = load_folder(version, load_id)
-        if buckets is None:
-            out.append(folder)
-        else:
-            out += [f"{folder}/{BUCKET}={b}" for b in buckets if only is None or b in only]
-    return out
-
-
 def dedupe_last(
     df: DataFrame, primary_key: tuple[str, ...], order_by: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -199,7 +183,7 @@ def evolve(target: StructType | None, batch: DataFrame) -> tuple[StructType, Dat
 
 
 class Warehouse:
-    """Parquet tables under ``root`` with versioned replace and an audit table."""
+    """Parquet tables under ``root`` with versioned replace and a log per table."""
 
     def __init__(
         self,
@@ -209,18 +193,26 @@ class Warehouse:
         catalog: bool = False,
         capture_plans: bool = False,
         bucket_bytes: int = BUCKET_BYTES,
+        file_rows: int = FILE_ROWS,
+        snapshot_every: int = SNAPSHOT_EVERY,
+        fold: int = FOLD,
     ):
         """``buckets``: bucket count given to new keyed tables.  By default a keyed table
         starts without buckets, written as the batch comes, and the first keyed load into
         it deals its rows to as many as its bytes need.  ``bucket_bytes``: a keyed load
-        doubles the buckets of a table until they hold so many bytes each at most."""
+        doubles the buckets of a table until they hold so many bytes each at most.
+        ``file_rows``: rows of a file of a bucketed table, what a keyed load rewrites.
+        ``snapshot_every``, ``fold``: upkeep of the tables' logs (see ``tablelog``)."""
         self.spark = spark
         self.root = (root or scratch_dir(spark, "warehouse")).rstrip("/")
         self.buckets = buckets
         self.bucket_bytes = bucket_bytes
+        self.file_rows = file_rows
         self.catalog = catalog  # keep `dataset.table` catalog entries current
         self.capture_plans = capture_plans  # keep formatted plans of write jobs
         self.plans: list[tuple[str, str]] = []
+        self._upkeep = (snapshot_every, fold)
+        self._logs: dict[tuple[str, str], TableLog] = {}
 
     def _capture(self, label: str, df: DataFrame) -> DataFrame:
         if self.capture_plans:
@@ -230,95 +222,71 @@ class Warehouse:
             self.plans.append((label, buffer.getvalue()))
         return df
 
-    # -- catalog ------------------------------------------------------------------
+    # -- the log ------------------------------------------------------------------
 
     @property
-    def audit_path(self) -> str:
-        return f"{self.root}/_loads"
+    def log_path(self) -> str:
+        return f"{self.root}/_log"
 
-    def _path_exists(self, path: str) -> bool:
-        fs, jpath = self._fs(path)
-        return fs.exists(jpath)
+    def _log(self, dataset: str, table: str) -> TableLog:
+        key = (dataset, table)
+        if key not in self._logs:
+            self._logs[key] = TableLog(self.spark, self.root, dataset, table, *self._upkeep)
+        return self._logs[key]
 
     def audit(self) -> DataFrame:
-        if not self._path_exists(self.audit_path):
+        """One row per load of every table, read from the logs by Spark."""
+        tables = [f"{self.log_path}/{d}/{t}" for d, t in self._tables()]
+        if not tables:
             return self.spark.createDataFrame([], AUDIT_SCHEMA)
-        return self.spark.read.schema(AUDIT_SCHEMA).json(self.audit_path)
-
-    def _lookup(self, dataset: str, table: str) -> tuple[TableState | None, int]:
-        """The table's latest audit row and the warehouse's highest ``load_seq``, in
-        one aggregation over the (small) audit table."""
-        if not self._path_exists(self.audit_path):  # nothing loaded yet: no job
-            return None, 0
-        match = (F.col("dataset") == dataset) & (F.col("table_name") == table)
-        row = (
-            self.audit()
-            .agg(
-                F.max("load_seq").alias("max_seq"),
-                F.max_by(F.struct(*AUDIT_SCHEMA.fieldNames()), F.when(match, F.col("load_seq"))).alias("latest"),
-            )
-            .first()
-        )
-        max_seq = (row.max_seq or 0) if row else 0
-        r = row.latest if row else None
-        if r is None or r.load_seq is None:
-            return None, max_seq
-        return (
-            TableState(
-                dataset=dataset,
-                table=table,
-                version_path=r.version_path,
-                schema=StructType.fromJson(json.loads(r.table_schema)),
-                primary_key=tuple(k for k in (r.primary_key or "").split(",") if k),
-                buckets=r.buckets,
-                cursor_column=r.cursor_column,
-                cursor_max=r.cursor_max,
-                load_seq=r.load_seq,
-                live=json.loads(r.live),
-            ),
-            max_seq,
-        )
+        rows = self.spark.read.schema(AUDIT_SCHEMA).option("pathGlobFilter", LOG_FILES).json(tables)
+        # an entry can be there twice while it is being folded
+        return rows.dropDuplicates(["dataset", "table_name", "load_seq"])
 
-    def state(self, dataset: str, table: str) -> TableState | None:
-        return self._lookup(dataset, table)[0]
-
-    def has_load(self, dataset: str, table: str, source: str) -> bool:
-        """Whether a load tagged ``source`` into the table is recorded (idempotence
-        of replayed micro-batches)."""
-        if not self._path_exists(self.audit_path):
-            return False
-        match = (
-            (F.col("dataset") == dataset)
-            & (F.col("table_name") == table)
-            & (F.col("source") == source)
-        )
-        return bool(self.audit().where(match).limit(1).count())
+    def state(self, dataset: str, table: str, load_seq: int | None = None) -> TableState | None:
+        """The table's state, now or after load ``load_seq``."""
+        return self._log(dataset, table).state(load_seq)
 
-    def _read_version(self, st: TableState, only: list[int] | None = None) -> DataFrame:
-        """The live rows, or those of the buckets ``only``."""
+    def has_batch(self, dataset: str, table: str, stream: str, batch: int) -> bool:
+        """Whether that batch of a stream is loaded (idempotence of replayed micro-batches)."""
+        st = self.state(dataset, table)
+        return st is not None and st.batches.get(stream, -1) >= batch
+
+    def _read_files(self, st: TableState, files: list[DataFile] | None = None) -> DataFrame:
+        """The rows of ``files`` (all live ones), with their bucket."""
         fields = list(st.schema.fields)
         if st.buckets:
             fields.append(StructField(BUCKET, IntegerType(), True))
-        paths = live_paths(st.version_path, st.live, only)
+        paths = st.paths(files)
         if not paths:
             return self.spark.createDataFrame([], StructType(fields))
         schema = StructType([*fields, StructField(LOAD, StringType(), True)])
         reader = self.spark.read.schema(schema).option("basePath", st.version_path)
         return reader.parquet(*paths).drop(LOAD)
 
-    def read(self, dataset: str, table: str) -> DataFrame:
-        st = self.state(dataset, table)
+    def read(self, dataset: str, table: str, load_seq: int | None = None) -> DataFrame:
+        """The table's rows, now or as they were after load ``load_seq`` (until ``vacuum``)."""
+        st = self.state(dataset, table, load_seq)
         if st is None:
-            raise LoadError(f"Table does not exist: {dataset}.{table}")
-        df = self._read_version(st)
+            after = "" if load_seq is None else f" after load {load_seq}"
+            raise LoadError(f"Table does not exist: {dataset}.{table}{after}")
+        if load_seq is not None and load_seq < self.state(dataset, table).oldest:
+            raise LoadError(f"{dataset}.{table} after load {load_seq} is vacuumed")
+        df = self._read_files(st)
         return df.drop(BUCKET) if st.buckets else df
 
     def _tables(self) -> list[tuple[str, str]]:
-        """(dataset, table) of every table in the audit (bounded by table count)."""
-        return [
-            (r.dataset, r.table_name)
-            for r in self.audit().select("dataset", "table_name").distinct().collect()
-        ]
+        """(dataset, table) of every table (bounded by table count)."""
+        out = []
+        fs, jpath = self._fs(self.log_path)
+        if not fs.exists(jpath):
+            return out
+        for dataset in fs.listStatus(jpath):
+            for table in fs.listStatus(dataset.getPath()):
+                out.append((dataset.getPath().getName(), table.getPath().getName()))
+        return sorted(out)
+
+    # -- catalog ------------------------------------------------------------------
 
     def register_views(self) -> list[str]:
         """Temp views ``<dataset>___<table>`` over every table's current version."""
@@ -333,11 +301,15 @@ class Warehouse:
         """Point the catalog table ``dataset.table`` at the current version.
 
         The entry is external (``LOCATION``): dropping and re-creating it is a
-        metadata operation that never touches data files.
+        metadata operation.  Its partitions are folders, so a folder in which only some files
+        are live is compacted first.
         """
         st = self.state(dataset, table)
         if st is None:
             raise LoadError(f"Table does not exist: {dataset}.{table}")
+        if partial := set(st.partial_folders()):
+            self._compact(st, [f for f in st.files.values() if f.folder in partial], FILE_BYTES)
+            st = self.state(dataset, table)
         name = f"`{dataset}`.`{table}`"
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in st.schema.fields)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{dataset}`")
@@ -368,71 +340,78 @@ class Warehouse:
         return jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()), jpath
 
     def vacuum(self, dataset: str, table: str, keep: int = 2) -> list[str]:
-        """Delete versions of a table older than its ``keep`` most recent ones, and folders
-        of those that none of its ``keep`` most recent loads reads.
+        """Delete versions of a table older than its ``keep`` most recent ones, and files
+        that none of its ``keep`` most recent loads reads.
 
-        Only folders that the audit table names are touched (a bounded list of paths;
-        metadata operations on the driver), so a running load is safe.
+        Only files that the log names are touched (metadata operations on the driver), so a
+        running load is safe.  The log notes what is gone before it goes.
         """
-        loads = (
-            self.audit()
-            .where((F.col("dataset") == dataset) & (F.col("table_name") == table))
-            .select("load_seq", "version_path", "live")
-            .distinct()
-            .orderBy(F.desc("load_seq"))
-            .collect()
-        )
-        versions = list(dict.fromkeys(r.version_path for r in loads))
-        kept: set[str] = set()
-        listed: set[str] = set()
-        for i, r in enumerate(loads):
-            if r.version_path in versions[:keep]:
-                paths = live_paths(r.version_path, json.loads(r.live))
-                listed.update(paths)
-                # the newest state of a kept version stays readable as a whole
-                newest = all(q.version_path != r.version_path for q in loads[:i])
-                if i < keep or newest:
-                    kept.update(paths)
-        removed = []
-        for path in [*versions[keep:], *sorted(listed - kept)]:
+        log = self._log(dataset, table)
+        st = log.state()
+        gone = st.expired(keep) if st is not None else []
+        if not gone:
+            return []
+        self._record(st, disposition="vacuum", keep=keep, rows_in=0, rows_loaded=0)
+        for path in gone:
             fs, jpath = self._fs(path)
-            if fs.exists(jpath):
-                fs.delete(jpath, True)
-                removed.append(path)
-        return removed
+            fs.delete(jpath, True)
+        return gone
 
     def compact_audit(self) -> int:
-        """Rewrite the audit table (one small file per load) as one file.
+        """Put the single entries of every log into one file a table; returns how many there were."""
+        return sum(self._log(d, t).fold() for d, t in self._tables())
+
+    # -- compaction ---------------------------------------------------------------
 
-        The compacted copy is appended first and only the files listed before are
-        deleted, so a concurrent reader sees every load at all times (possibly twice,
-        which the pointer lookup tolerates: it takes the highest ``load_seq``).
+    def compact(self, dataset: str, table: str, file_bytes: int = FILE_BYTES) -> LoadResult | None:
+        """Put small live files (under half of ``file_bytes``) together, as one load.
+
+        Without buckets Spark packs the files into read partitions of ``file_bytes`` and each
+        becomes one file, so nothing is shuffled; with buckets the small files of a bucket meet in
+        its task, sorted by their keys' hash.  Rows and schema stay; earlier states stay readable
+        until ``vacuum``.  A load that commits meanwhile makes it fail without effect.
         """
-        fs, jpath = self._fs(self.audit_path)
-        if not fs.exists(jpath):
-            return 0
-        old = [
-            st.getPath()
-            for st in fs.listStatus(jpath)
-            if st.getPath().getName().endswith(".json")
-        ]
-        if len(old) <= 1:
-            return len(old)
-        snapshot = self.spark.read.schema(AUDIT_SCHEMA).json([p.toString() for p in old])
-        snapshot.coalesce(1).write.mode("append").json(self.audit_path)
-        for path in old:
-            fs.delete(path, False)
-        return len(old)
+        st = self.state(dataset, table)
+        if st is None:
+            raise LoadError(f"Table does not exist: {dataset}.{table}")
+        small = [f for f in st.files.values() if 2 * f.bytes < file_bytes]
+        if st.buckets:  # a bucket's only small file has nothing to join
+            count: dict[int, int] = {}
+            for f in small:
+                count[f.bucket] = count.get(f.bucket, 0) + 1
+            small = [f for f in small if count[f.bucket] > 1]
+        return self._compact(st, small, file_bytes) if len(small) > 1 else None
+
+    def _compact(self, st: TableState, files: list[DataFile], file_bytes: int) -> LoadResult:
+        load_id = uuid.uuid4().hex[:16]
+        folder = load_folder(st.version_path, load_id)
+        _, rows = evolve(st.schema, self._read_files(st, files))
+        obs = Observation(f"compact_{load_id}")
+        if st.buckets:
+            rows = rows.repartition(min(st.buckets, len({f.bucket for f in files})), BUCKET)
+            n = self._write("compact buckets", rows, folder, st.buckets, obs, st.primary_key)
+        else:
+            # the open cost is what Spark adds to each file's size when it packs them
+            packing = {"spark__sql__files__maxPartitionBytes": str(file_bytes),
+                       "spark__sql__files__openCostInBytes": "0",
+                       "spark__sql__files__minPartitionNum": "1"}
+            with session_conf(self.spark, **packing):
+                n = self._write("compact", rows, folder, None, obs)
+        if n != sum(f.rows for f in files):
+            raise LoadError(f"{st.dataset}.{st.table}: {n} rows compacted of {sum(f.rows for f in files)}")
+        added = self._written(st.version_path, folder, st.schema, st.primary_key, st.buckets)
+        self._record(
+            st, load_id=load_id, disposition="compact", rows_in=n, rows_loaded=n,
+            files_read=len(files), removed=[f.path for f in files], added=added,
+        )
+        return LoadResult(load_id, st.dataset, st.table, "compact", n, n, st.version_path)
 
     # -- writes -------------------------------------------------------------------
 
     def _bucket_count(self, st: TableState, given: int | None) -> int:
         """Buckets of a table after a keyed load: those it has, doubled until its live
         bytes fit (each doubling rewrites the table, so a row moves a few times at most)."""
-        size = 0
-        for path in live_paths(st.version_path, st.live):
-            fs, jpath = self._fs(path)
-            size += fs.getContentSummary(jpath).getLength()
+        size = st.bytes
         count = st.buckets or given or self.buckets or LEAST_BUCKETS
         while count * self.bucket_bytes < size:
             count *= 2
@@ -442,38 +421,63 @@ class Warehouse:
         return f"{self.root}/{dataset}/{table}/v-{load_id}"
 
     def _write(
-        self, label: str, df: DataFrame, path: str, buckets: int | None, obs: Observation
-    ) -> tuple[int, list[int] | None]:
-        """Write a load's folder; returns its rows and the buckets that have rows."""
-        aggs = [F.count(F.lit(1)).alias("rows")]
-        if buckets:
-            aggs.append(F.collect_set(BUCKET).alias("touched"))  # at most ``buckets`` ints
-        writer = self._capture(label, df.observe(obs, *aggs)).write.mode("errorifexists")
+        self, label: str, df: DataFrame, path: str, buckets: int | None, obs: Observation,
+        primary_key: tuple[str, ...] = (),
+    ) -> int:
+        """Write a load's folder, a bucket's files sorted by their keys' hash; returns its rows."""
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        if buckets:  # above the count: an empty stage below a sort is dropped, with its metrics
+            df = df.sortWithinPartitions(BUCKET, key_hash(primary_key))
+        writer = self._capture(label, df).write.mode("errorifexists")
         if buckets:
-            writer = writer.partitionBy(BUCKET)
+            writer = writer.partitionBy(BUCKET).option("maxRecordsPerFile", self.file_rows)
         writer.parquet(path)
-        metrics = obs.get
-        return int(metrics["rows"]), sorted(metrics["touched"] or []) if buckets else None
-
-    def _record(self, base_seq: int, **fields) -> None:
-        """Append one audit row: a one-line JSON file, written under a hidden name and
-        renamed into place, so a reader never sees a partial record.  It is metadata,
-        so no Spark job is spent on it.  The file is named by the state it builds on
-        (``base_seq``): a second load that builds on the same state fails."""
-        row = {name: fields.get(name) for name in AUDIT_SCHEMA.fieldNames()}
-        row["loaded_at"] = row["loaded_at"].isoformat() if row.get("loaded_at") else None
-        name = f"load-{row['dataset']}-{row['table_name']}-{base_seq:012d}.json"
-        fs, final = self._fs(f"{self.audit_path}/{name}")
-        _, temp = self._fs(f"{self.audit_path}/.{row['load_id']}.tmp")
-        stream = fs.create(temp, False)
-        try:
-            stream.write(bytearray((json.dumps(row) + "\n").encode("utf-8")))
-        finally:
-            stream.close()
-        if fs.exists(final) or not fs.rename(temp, final):
-            fs.delete(temp, False)
-            where = f"{row['dataset']}.{row['table_name']}"
-            raise LoadError(f"{where} changed while load {row['load_id']} ran; run it again")
+        return int(obs.get["rows"])
+
+    def _written(
+        self, version: str, folder: str, schema: StructType, primary_key: tuple[str, ...], buckets: int | None
+    ) -> list[DataFile]:
+        """The files of a load's folder that have rows; reads their footers, and in a bucketed
+        table their key columns."""
+        fields = [*schema.fields, StructField(BUCKET, IntegerType())] if buckets else list(schema.fields)
+        rows = self.spark.read.schema(StructType(fields)).parquet(folder)
+        keys = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")]
+        aggs = [F.count("*").alias("rows")]
+        if buckets:
+            keys.append(F.col(BUCKET))
+            h = key_hash(primary_key)
+            aggs += [F.min(h).alias("low"), F.max(h).alias("high")]
+        out = []
+        start = folder.rpartition("/")[2]  # _load=l-<id>, the same in a path of any form
+        for r in rows.groupBy(*keys).agg(*aggs).collect():  # one row per file
+            path = start + r["path"].partition(start)[2]
+            out.append(DataFile(path, r["bytes"], r["rows"], *((r[BUCKET], r["low"], r["high"]) if buckets else ())))
+        return sorted(out)
+
+    def _record(self, st: TableState | None, **fields) -> None:
+        """Append the log entry that follows the state ``st``; a second load that builds on
+        the same state fails.  It is metadata, so no Spark job is spent on it."""
+        entry = {name: None for name in AUDIT_SCHEMA.fieldNames()} | {"reset": False, "added": [], "removed": []}
+        if st is not None:
+            entry |= {
+                "dataset": st.dataset,
+                "table_name": st.table,
+                "version_path": st.version_path,
+                "table_schema": st.schema.json(),
+                "primary_key": ",".join(st.primary_key) or None,
+                "buckets": st.buckets,
+                "cursor_column": st.cursor_column,
+                "cursor_max": st.cursor_max,
+            }
+        entry |= fields
+        kept = 0 if st is None or entry["reset"] else len(st.files) - len(entry["removed"])
+        entry["files_live"] = kept + len(entry["added"])
+        entry["files_added"] = len(entry["added"])
+        entry["files_removed"] = (len(st.files) if st and entry["reset"] else 0) + len(entry["removed"])
+        entry["loaded_at"] = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat()
+        if not self._log(entry["dataset"], entry["table_name"]).commit(st, entry):
+            where = f"{entry['dataset']}.{entry['table_name']}"
+            raise LoadError(f"{where} changed while load {entry['load_id']} ran; run it again")
 
     def load(
         self,
@@ -488,6 +492,7 @@ class Warehouse:
         buckets: int | None = None,
         dedupe: bool = True,
         delete_keys: DataFrame | None = None,
+        batch: tuple[str, int] | None = None,
     ) -> LoadResult:
         """Load ``df`` into ``dataset.table``.
 
@@ -498,18 +503,18 @@ class Warehouse:
         (merge / insert_ignore) keeps one row per key; child tables keyed by their
         parent turn it off so that all elements of a parent move together.
         ``delete_keys`` (delete_insert) are keys whose stored rows go although the batch
-        has no rows for them.
+        has no rows for them.  ``batch`` is (stream, batch number) of a load from a stream.
         """
         if disposition not in DISPOSITIONS:
             raise LoadError(f"write_disposition must be one of {', '.join(DISPOSITIONS)}")
         if not df.columns:  # no record, so no schema: an empty result changes no column
-            known, _ = self._lookup(dataset, table)
+            known = self.state(dataset, table)
             if known is None or disposition != "replace":
                 path = known.version_path if known is not None else ""
                 return LoadResult("", dataset, table, disposition, 0, 0, path)
             df = self.spark.createDataFrame([], known.schema)
         pk = tuple(primary_key or ())
-        st, max_seq = self._lookup(dataset, table)
+        st = self.state(dataset, table)
         if st is not None and st.primary_key and not pk:
             pk = st.primary_key
         if disposition in KEYED and not pk:
@@ -518,7 +523,7 @@ class Warehouse:
         load_id = uuid.uuid4().hex[:16]
         batch_obs = Observation(f"in_{load_id}")
         cursor_aggs = [F.max(_q(cursor_column)).cast("string").alias("cursor_max")] if cursor_column else []
-        batch = df.observe(batch_obs, F.count(F.lit(1)).alias("rows_in"), *cursor_aggs)
+        incoming = df.observe(batch_obs, F.count(F.lit(1)).alias("rows_in"), *cursor_aggs)
 
         if not pk:
             buckets = None
@@ -529,7 +534,7 @@ class Warehouse:
         else:  # sized by its bytes when the first keyed load reads it
             buckets = buckets or self.buckets
         target_schema = None if (st is None or disposition == "replace") else st.schema
-        schema, aligned = evolve(target_schema, batch)
+        schema, aligned = evolve(target_schema, incoming)
         if disposition in ("merge", "insert_ignore") and dedupe:
             aligned = dedupe_last(aligned, pk, tuple(order_by))
         if disposition in KEYED:  # a row without key could neither match nor be replaced
@@ -542,39 +547,36 @@ class Warehouse:
             aligned = aligned.withColumn(BUCKET, bucket_of(pk, buckets))
 
         out_obs = Observation(f"out_{load_id}")
-        live: Live = {}
-        if st is None or disposition == "replace":
-            version = self._new_version(dataset, table, load_id)
-        else:
-            version, live = st.version_path, dict(st.live)
+        version = self._new_version(dataset, table, load_id)
+        if st is not None and disposition != "replace":
+            version = st.version_path
         folder = load_folder(version, load_id)
+        reset = st is not None and disposition == "replace"
+        read: list[DataFile] = []
+        replaced: list[DataFile] = []
         if st is None or disposition in ("replace", "append"):
             if buckets:  # whole buckets per task: one file per bucket, not per task
                 aligned = aligned.repartition(buckets, BUCKET)
-            rows, written = self._write(f"write {folder}", aligned, folder, buckets, out_obs)
+            rows = self._write(f"write {folder}", aligned, folder, buckets, out_obs, pk)
+            wrote = True
         else:
             gone = None
             if disposition == "delete_insert" and delete_keys is not None:
                 gone = delete_keys.select(*[_q(k) for k in pk]).distinct()
                 gone = gone.withColumn(BUCKET, bucket_of(pk, buckets))
-            rows, written, rewritten = self._merge(
+            reset = st.buckets != buckets
+            rows, wrote, read = self._merge(
                 st, schema, aligned, disposition, folder, out_obs, pk, buckets, gone
             )
-            if rewritten is None:
-                live = {}
-            live = {k: [b for b in v if b not in rewritten] for k, v in live.items()}
-            live = {k: v for k, v in live.items() if v}
-        if written or (written is None and rows):
-            live[load_id] = written
+            replaced = [] if reset or disposition == "insert_ignore" else read
 
         metrics = batch_obs.get
         cursor_max = metrics.get("cursor_max") if cursor_column else None
         if cursor_column and cursor_max is None and st is not None:
             cursor_max = st.cursor_max
         self._record(
-            st.load_seq if st is not None else 0,
+            st,
             load_id=load_id,
-            load_seq=max_seq + 1,
             source=source,
             dataset=dataset,
             table_name=table,
@@ -587,8 +589,11 @@ class Warehouse:
             buckets=buckets,
             cursor_column=cursor_column,
             cursor_max=cursor_max,
-            loaded_at=dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-            live=json.dumps(live),
+            files_read=len(read),
+            reset=reset,
+            removed=[f.path for f in replaced],
+            added=self._written(version, folder, schema, pk, buckets) if wrote else [],
+            **({"stream": batch[0], "batch": batch[1]} if batch else {}),
         )
         if self.catalog:
             self.register_table(dataset, table)
@@ -596,15 +601,14 @@ class Warehouse:
 
     def _merge(
         self, st, schema, batch, disposition, folder, obs, pk, buckets, gone=None
-    ) -> tuple[int, list[int], set[int] | None]:
-        """Write the new rows of the buckets the batch touches; returns the rows of the
-        batch that were loaded, the buckets written and those whose old folders go (None:
-        all folders of the table).
+    ) -> tuple[int, bool, list[DataFile]]:
+        """Write the new rows of the files the batch touches; returns the rows of the batch
+        that were loaded, whether a folder was written, and the table's files that were read.
 
         1. The deduplicated batch is staged (one file per bucket).  The same job
            observes its row count and the set of buckets it touches (at most
            ``buckets`` small ints).  Staging also cuts the lineage to the source.
-        2. The touched buckets of the table are read (only their folders are listed) and
+        2. The table's files whose range of hashes holds one of the batch are read and
            joined with the staged batch; both sides are hash-partitioned on the bucket,
            so the join on ``(key, bucket)`` needs no further exchange and each task
            produces whole buckets.  If the number of buckets changes, all rows of the
@@ -620,6 +624,26 @@ class Warehouse:
                 fs, jpath = self._fs(path)
                 fs.delete(jpath, True)
 
+    def _touched_files(self, st: TableState, keys: list[DataFrame], touched: list[int]) -> list[DataFile]:
+        """Live files of the touched buckets whose range of hashes holds that of a key.
+
+        Buckets with one file need no look; else the files' ranges, one row each, are semi-joined
+        with the staged keys of their bucket.
+        """
+        buckets = set(touched)
+        files = [f for f in st.files.values() if f.bucket in buckets]
+        if len(files) <= len({f.bucket for f in files}):
+            return files
+        ranges = self.spark.createDataFrame(
+            [(i, f.bucket, f.low, f.high) for i, f in enumerate(files)], f"i int, {BUCKET} int, low long, high long"
+        )
+        hashes = None
+        for part in keys:
+            part = part.select(BUCKET, key_hash(st.primary_key).alias("__h"))
+            hashes = part if hashes is None else hashes.union(part)
+        within = (ranges[BUCKET] == hashes[BUCKET]) & F.col("__h").between(F.col("low"), F.col("high"))
+        return [files[r["i"]] for r in ranges.join(hashes, within, "left_semi").select("i").collect()]
+
     def _merge_staged(self, st, schema, batch, disposition, folder, obs, pk, buckets, gone, staging):
         moved = st.buckets != buckets
         with_bucket = StructType(list(schema.fields) + [StructField(BUCKET, IntegerType(), True)])
@@ -630,19 +654,23 @@ class Warehouse:
         self._capture("stage merge batch", staged_batch).write.partitionBy(BUCKET).parquet(staging[0])
         metrics = batch_obs.get
         batch_rows, touched = int(metrics["rows"]), sorted(metrics["touched"] or [])
+        staged = self.spark.read.schema(with_bucket).parquet(staging[0])
+        keys = [staged]
         if gone is not None:
             gone.write.parquet(staging[1])
             gone = self.spark.read.schema(gone.schema).parquet(staging[1])
             extra = gone.agg(F.collect_set(BUCKET).alias("b")).first()["b"]  # at most ``buckets`` ints
             touched = sorted({*touched, *extra})
+            keys.append(gone)
         if not touched and not moved:
-            return 0, [], set()
-        replaced_buckets = None if moved else set(touched)
-        staged = self.spark.read.schema(with_bucket).parquet(staging[0]).repartition(buckets, BUCKET)
+            return 0, False, []
+        staged = staged.repartition(buckets, BUCKET)
         if moved:
-            current = self._read_version(st).withColumn(BUCKET, bucket_of(pk, buckets))
+            files = list(st.files.values())
+            current = self._read_files(st).withColumn(BUCKET, bucket_of(pk, buckets))
         else:
-            current = self._read_version(st, touched).where(F.col(BUCKET).isin(touched))
+            files = self._touched_files(st, keys, touched)
+            current = self._read_files(st, files).where(F.col(BUCKET).isin(touched))
         _, target = evolve(schema, current)
         target = target.repartition(buckets, BUCKET)
         on = [*pk, BUCKET]
@@ -653,8 +681,8 @@ class Warehouse:
                 fresh = fresh.observe(fresh_obs, F.count(F.lit(1)).alias("rows"))
                 fresh = target.unionByName(fresh)
             with session_conf(self.spark, **BUCKET_LOCAL_JOIN):
-                rows, written = self._write("insert buckets", fresh, folder, buckets, obs)
-            return (int(fresh_obs.get["rows"]), written, None) if moved else (rows, written, set())
+                rows = self._write("insert buckets", fresh, folder, buckets, obs, pk)
+            return int(fresh_obs.get["rows"]) if moved else rows, True, files
         if disposition == "delete_insert":
             # keys of the batch (distinct within each bucket partition: no exchange)
             replaced = staged.select(*on)
@@ -662,10 +690,8 @@ class Warehouse:
                 replaced = replaced.unionByName(gone.select(*on).repartition(buckets, BUCKET))
             kept = target.join(replaced.distinct(), on, "left_anti")
             with session_conf(self.spark, **BUCKET_LOCAL_JOIN):
-                _, written = self._write(
-                    "delete-insert buckets", kept.unionByName(staged), folder, buckets, obs
-                )
-            return batch_rows, written, replaced_buckets
+                self._write("delete-insert buckets", kept.unionByName(staged), folder, buckets, obs, pk)
+            return batch_rows, True, files
         values = [c for c in schema.fieldNames() if c not in pk]
         incoming = staged.select(
             *[_q(c) for c in on],
@@ -681,5 +707,5 @@ class Warehouse:
             F.col(BUCKET),
         )
         with session_conf(self.spark, **BUCKET_LOCAL_JOIN):
-            _, written = self._write("merge buckets", merged, folder, buckets, obs)
-        return batch_rows, written, replaced_buckets
+            self._write("merge buckets", merged, folder, buckets, obs, pk)
+        return batch_rows, True, files

@@ -180,7 +180,7 @@ SCENARIO_ORACLES = {
     "load_replay": f"""
         WITH v AS (
           SELECT * FROM ({_O} WHERE {_FIRST})
-          UNION ALL SELECT * REPLACE (amount + 1 AS amount) FROM ({_O} WHERE {_THIRD}))
+          UNION ALL SELECT * REPLACE (amount + 1 AS amount) FROM ({_O} WHERE NOT ({_FIRST})))
         SELECT v.*, t.loaded_into FROM v, (VALUES ('plain'), ('keyed')) AS t(loaded_into)""",
     "load_merge": f"""
         WITH v AS (
@@ -221,6 +221,21 @@ SCENARIO_ORACLES = {
         UNION ALL SELECT 3, 'orders', 'replace', n2.n, n2.n FROM n2
         UNION ALL SELECT 4, 'orders', 'merge', n1.n, n1.n FROM n1
     """,
+    "load_log_replay": f"""
+        WITH o AS ({_O}),
+             v AS (
+          SELECT n AS load_seq, order_id, amount FROM o, range(1, 7) AS r(n) WHERE order_id % 6 < n
+          UNION ALL SELECT n, order_id, CASE WHEN order_id % 2 = 0 THEN amount + 1 ELSE amount END
+                    FROM o, range(7, 9) AS r(n)
+          UNION ALL SELECT 9, order_id, amount FROM o WHERE order_id % 3 = 0)
+        SELECT load_seq, count(*) AS n, CAST(sum(order_id) AS BIGINT) AS order_ids,
+               CAST(sum(CAST(round(amount * 100) AS BIGINT)) AS BIGINT) AS cents
+        FROM v GROUP BY load_seq""",
+    "load_compact": f"SELECT o.*, s.state FROM ({_O}) AS o, (VALUES ('before'), ('after')) AS s(state)",
+    "load_merge_few_keys": f"""
+        WITH o AS ({_O}), few AS (SELECT max(order_id) AS order_id FROM o GROUP BY order_id % 5)
+        SELECT order_id, customer_id, CASE WHEN order_id IN (SELECT order_id FROM few) THEN 0.0 ELSE amount END AS amount,
+               ordered_at FROM o""",
     "mart_materialized": MART,
     "normalize_names": (
         "SELECT c_custkey AS cust_key, c_name AS customer_name, c_nationkey AS nation_key, "

@@ -30,6 +30,7 @@ FIRST_BATCH_END = "1998-01-01"
 SECOND_BATCH_START = "1997-01-01"
 THIRD_BATCH_START = "1999-01-01"
 PARAM_SEGMENT = "BUILDING"
+LOG_BATCHES = 6
 
 
 # -- scans --------------------------------------------------------------------------
@@ -176,6 +177,10 @@ def _third(o):
     return o.where(F.col("ordered_at") >= F.lit(THIRD_BATCH_START).cast("timestamp_ntz"))
 
 
+def _later(o):
+    return o.where(F.col("ordered_at") >= F.lit(FIRST_BATCH_END).cast("timestamp_ntz"))
+
+
 def _wh(spark) -> Warehouse:
     return Warehouse(spark, scratch_dir(spark, "warehouse"))
 
@@ -200,7 +205,7 @@ def q_load_replay(spark, d):
     lost = _LostDriver(spark, wh.root)
     for table, disposition, key in (("plain", "append", None), ("keyed", "merge", ["order_id"])):
         wh.load(_first(o), "raw", table, "append", primary_key=key)
-        later = _third(o).withColumn("amount", F.col("amount") + 1)
+        later = _later(o).withColumn("amount", F.col("amount") + 1)
         with contextlib.suppress(InterruptedError):
             lost.load(later, "raw", table, disposition, primary_key=key)
         wh.load(later, "raw", table, disposition, primary_key=key)
@@ -290,8 +295,7 @@ def q_load_incremental_files(spark, d):
 
     _first(o).write.parquet(f"{inbox}/batch=1")
     run()
-    later = F.col("ordered_at") >= F.lit(FIRST_BATCH_END).cast("timestamp_ntz")
-    o.where(later).write.parquet(f"{inbox}/batch=2")
+    _later(o).write.parquet(f"{inbox}/batch=2")
     run()
     if run().rows_loaded:
         raise RuntimeError("a rerun without new files loaded rows")
@@ -313,6 +317,55 @@ def q_mart_materialized(spark, d):
     return wh.read("analytics", "customer_activity")
 
 
+def q_load_log_replay(spark, d):
+    """Appends, a merge, a compaction and a replace; then the table as it was after each of them."""
+    o = _orders(spark, d)
+    wh = Warehouse(spark, scratch_dir(spark, "warehouse"), buckets=2, snapshot_every=3, fold=4)
+    for k in range(LOG_BATCHES):
+        wh.load(o.where(F.col("order_id") % LOG_BATCHES == k), "raw", "orders", "append", primary_key=["order_id"])
+    wh.load(o.where("order_id % 2 = 0").withColumn("amount", F.col("amount") + 1), "raw", "orders", "merge")
+    wh.load(o.limit(0), "raw", "orders", "append")
+    wh.load(o.where("order_id % 3 = 0"), "raw", "orders", "replace")
+    states = None
+    for n in range(1, LOG_BATCHES + 4):
+        one = wh.read("raw", "orders", load_seq=n).withColumn("load_seq", F.lit(n).cast("long"))
+        states = one if states is None else states.unionByName(one)
+    cents = F.sum(F.round(F.col("amount") * 100).cast("long"))
+    return states.groupBy("load_seq").agg(
+        F.count("*").alias("n"), F.sum("order_id").alias("order_ids"), cents.alias("cents")
+    )
+
+
+def q_load_compact(spark, d):
+    """Many small loads put together: the rows after it, and those of the state before it."""
+    o = _orders(spark, d)
+    wh = _wh(spark)
+    for k in range(LOG_BATCHES):
+        wh.load(o.where(F.col("order_id") % LOG_BATCHES == k), "raw", "orders", "append")
+    before = wh.state("raw", "orders")
+    wh.compact("raw", "orders")
+    if len(wh.state("raw", "orders").folders()) >= len(before.folders()):
+        raise RuntimeError("the compaction left as many folders as it found")
+    states = (("before", wh.read("raw", "orders", before.load_seq)), ("after", wh.read("raw", "orders")))
+    rows = [df.withColumn("state", F.lit(name)) for name, df in states]
+    return rows[0].unionByName(rows[1])
+
+
+def q_load_merge_few_keys(spark, d):
+    """A merge of a few keys into a table of many files rewrites the files that can hold them."""
+    o = _orders(spark, d)
+    wh = Warehouse(spark, scratch_dir(spark, "warehouse"), buckets=4, file_rows=200)
+    wh.load(o, "raw", "orders", "merge", primary_key=["order_id"])
+    files = len(wh.state("raw", "orders").files)
+    few = o.groupBy((F.col("order_id") % 5).alias("k")).agg(F.max("order_id").alias("order_id"))
+    batch = o.join(few.select("order_id"), "order_id").withColumn("amount", F.lit(0.0))
+    load = wh.load(batch.select(o.columns), "raw", "orders", "merge")
+    told = wh.audit().where(F.col("load_id") == load.load_id).first()
+    if told.files_read > load.rows_loaded or (files > 20 and 2 * told.files_read > files):
+        raise RuntimeError(f"a merge of {load.rows_loaded} keys read {told.files_read} of {files} files")
+    return wh.read("raw", "orders")
+
+
 # -- normalization ----------------------------------------------------------------
 
 
@@ -449,7 +502,7 @@ def q_load_cursor_ties_no_key(spark, d):
     ev = read_table(spark, d, "events").select("event_id", F.date_trunc("DAY", "ts").cast("timestamp_ntz").alias("day"))
     wh = _wh(spark)
     early = ev.where("event_id % 3 <> 0")
-    for batch in (early, early, ev.where(F.col("day") >= early.agg(F.max("day")).first()[0])):
+    for batch in (early, early, ev):  # of the whole table only the days from the mark on
         load_incremental(batch, wh, "raw", "ties", "day")
     return wh.read("raw", "ties").select("event_id", "day")
 
@@ -545,6 +598,9 @@ SCENARIOS = {
     "load_incremental_cursor": q_load_incremental_cursor,
     "load_incremental_files": q_load_incremental_files,
     "load_audit": q_load_audit,
+    "load_log_replay": q_load_log_replay,
+    "load_compact": q_load_compact,
+    "load_merge_few_keys": q_load_merge_few_keys,
     "mart_materialized": q_mart_materialized,
     "normalize_names": q_normalize_names,
     "normalize_flatten": q_normalize_flatten,

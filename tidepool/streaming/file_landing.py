@@ -6,7 +6,7 @@ into the warehouse from ``foreachBatch``.  A rerun with no new files loads nothi
 a new file loads only itself.  The checkpoint sits in the shared folder, so a
 restarted driver or a lost executor resumes without re-loading files; a micro-batch
 replayed because the driver died between the load and the checkpoint commit is
-recognised by its (checkpoint, batch id) tag in the audit table and skipped.
+recognised by its (checkpoint, batch id) in the table's log and skipped.
 """
 
 from __future__ import annotations
@@ -60,9 +60,8 @@ def ingest_new_files(
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         # a batch replayed after a driver failure (loaded, checkpoint not yet
-        # committed) is recognised by its tag and not loaded twice
-        tag = f"landing:{checkpoint}:{batch_id}"
-        if warehouse.has_load(dataset, table, tag):
+        # committed) is recognised and not loaded twice
+        if warehouse.has_batch(dataset, table, checkpoint, batch_id):
             return
         run.loads.append(
             warehouse.load(
@@ -71,7 +70,8 @@ def ingest_new_files(
                 table,
                 disposition,
                 primary_key=primary_key,
-                source=tag,
+                source=f"landing:{checkpoint}:{batch_id}",
+                batch=(checkpoint, batch_id),
             )
         )
 
