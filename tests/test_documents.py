@@ -49,12 +49,12 @@ def test_mixed_object_and_array_files_and_empty_array(spark, tmp_path):
 
 def test_missing_path_in_one_of_several_files(spark, tmp_path):
     path = _docs(tmp_path, a={"data": {"items": [{"id": 1}]}}, b={"data": {"other": []}})
-    with pytest.raises(DocumentError, match="records_path does not exist: data.items"):
+    with pytest.raises(DocumentError, match="lacks the records_path data.items"):
         read_json_documents(spark, path, "data.items")
 
 
 def test_scalar_root_rejected(spark, tmp_path):
-    with pytest.raises(DocumentError, match="object or array of objects"):
+    with pytest.raises(DocumentError, match="neither an object nor an array"):
         read_json_documents(spark, _docs(tmp_path, s="text"))
 
 
@@ -90,3 +90,53 @@ def test_api_pages_keep_page_and_position(spark, tmp_path):
         (res / f"page-{page}.json").write_text(json.dumps(doc, indent=2), encoding="utf-8")
     df = read_resource(spark, str(tmp_path / "landing"), "posts", data_selector="data.items")
     assert sorted((r.id, r._page, r._page_pos) for r in df.collect()) == [(10, 1, 0), (11, 1, 1), (12, 2, 0)]
+
+
+def test_inferred_columns_are_those_of_json_lines(spark, tmp_path):
+    """One parse gives the types that the JSON Lines reader infers from the same records."""
+    from tidepool.sources.files import read_files
+
+    records = [
+        {"id": 1, "price": 2.5, "ok": True, "at": "2026-08-01T10:05:00", "day": "2026-08-01", "mixed": 1, "none": None,
+         "zoned": "2026-08-01T10:05:00Z", "name": "x", "code": "0012", "tags": ["a", "b"], "empty": [],
+         "deep": {"a b": {"when": "2026-01-02 03:04:05", "n": 1}}, "rows": [{"t": "2026-01-01T00:00:00", "v": 1.5}]},
+        {"id": 20000000000, "price": 3, "ok": False, "at": None, "day": "2026-08-02", "mixed": "two",
+         "zoned": "2026-08-01T10:05:00+02:00", "name": "2026-08-01", "tags": [], "extra": [[1], [2, 3]],
+         "deep": {"a b": {"when": "2026-01-02 03:04:05.5"}, "more": "m"}, "rows": [{"t": None, "v": 2, "w": "z"}]},
+    ]
+    path = _docs(tmp_path, a=records[:1], b=records[1:])
+    (tmp_path / "lines.jsonl").write_text("\n".join(json.dumps(r) for r in records), encoding="utf-8")
+    got, want = read_json_documents(spark, path), read_files(spark, str(tmp_path / "lines.jsonl"), "jsonl")
+    assert {f.name: f.dataType for f in got.schema} == {f.name: f.dataType for f in want.schema}
+    key = lambda df: [r.asDict(True) for r in df.orderBy("id").collect()]
+    assert key(got) == key(want)
+
+
+def test_ingestion_deletes_what_it_staged(spark, tmp_path):
+    from tidepool.operators.load import Warehouse
+    from tidepool.plans.ingest import ingest
+    from tidepool.sources.registry import read_source
+    from tidepool.spec import parse_source_specs
+
+    _docs(tmp_path, a=[{"id": 1}, {"id": 2}])
+    table = {"name": "t", "file_glob": "*.json", "format": "json"}
+    [spec] = parse_source_specs({"version": 1, "sources": [
+        {"name": "d", "type": "filesystem", "bucket_url": str(tmp_path), "tables": [table]}]})
+    staged = []
+    import tidepool.plans.ingest as module
+
+    def watched(spark, spec):
+        tables = read_source(spark, spec)
+        staged.extend(t.staging for t in tables.values())
+        return tables
+
+    original, module.read_source = module.read_source, watched
+    try:
+        wh = Warehouse(spark, str(tmp_path / "wh"))
+        ingest(spark, spec, wh)
+    finally:
+        module.read_source = original
+    assert wh.read("raw_d", "t").count() == 2
+    [place] = staged
+    fs = spark._jvm.org.apache.hadoop.fs.Path(place).getFileSystem(spark._jsc.hadoopConfiguration())
+    assert not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(place))

@@ -515,8 +515,8 @@ class Warehouse:
             df = self.spark.createDataFrame([], known.schema)
         pk = tuple(primary_key or ())
         st = self.state(dataset, table)
-        if st is not None and st.primary_key and not pk:
-            pk = st.primary_key
+        if st is not None and st.primary_key and (not pk or disposition == "append"):
+            pk = st.primary_key  # an append does not deal the table anew
         if disposition in KEYED and not pk:
             raise LoadError(f"{disposition} into {dataset}.{table} needs a primary_key")
 
@@ -564,7 +564,7 @@ class Warehouse:
             if disposition == "delete_insert" and delete_keys is not None:
                 gone = delete_keys.select(*[_q(k) for k in pk]).distinct()
                 gone = gone.withColumn(BUCKET, bucket_of(pk, buckets))
-            reset = st.buckets != buckets
+            reset = st.buckets != buckets or st.primary_key != pk
             rows, wrote, read = self._merge(
                 st, schema, aligned, disposition, folder, out_obs, pk, buckets, gone
             )
@@ -611,7 +611,7 @@ class Warehouse:
         2. The table's files whose range of hashes holds one of the batch are read and
            joined with the staged batch; both sides are hash-partitioned on the bucket,
            so the join on ``(key, bucket)`` needs no further exchange and each task
-           produces whole buckets.  If the number of buckets changes, all rows of the
+           produces whole buckets.  If the number of buckets or the key changes, all rows of the
            table are read and move into their new buckets.
         3. The result goes to the load's own folder.  The files being read are never
            replaced, so retried tasks and concurrent readers see intact input.
@@ -645,7 +645,7 @@ class Warehouse:
         return [files[r["i"]] for r in ranges.join(hashes, within, "left_semi").select("i").collect()]
 
     def _merge_staged(self, st, schema, batch, disposition, folder, obs, pk, buckets, gone, staging):
-        moved = st.buckets != buckets
+        moved = st.buckets != buckets or st.primary_key != pk
         with_bucket = StructType(list(schema.fields) + [StructField(BUCKET, IntegerType(), True)])
         batch_obs = Observation(f"batch_{uuid.uuid4().hex[:8]}")
         staged_batch = batch.repartition(buckets, BUCKET).observe(

@@ -103,17 +103,20 @@ def row_key(*cols: Column | str) -> Column:
     return F.sha2(F.concat(*parts), 256)
 
 
-def child_table(df: DataFrame, parent_key: list[str], list_column: str) -> DataFrame:
-    """One row per list element: parent key, zero-based ``_idx``, the element
-    (flattened when it is an object) and a deterministic ``_row_key``.
+def child_table(
+    df: DataFrame, parent_key: list[str], list_column: str, carried: list[str] | None = None
+) -> DataFrame:
+    """One row per list element: parent key, ``carried`` columns of the parent, zero-based
+    ``_idx``, the element (flattened when it is an object) and a deterministic ``_row_key``.
 
     Parents whose list is NULL or empty contribute no rows.
     """
     elem_type = df.schema[list_column].dataType
     if not isinstance(elem_type, ArrayType):
         raise ValueError(f"{list_column} is not a list")
+    kept = [F.col(f"`{k}`") for k in [*parent_key, *(carried or [])]]
     exploded = df.select(
-        *[F.col(f"`{k}`") for k in parent_key],
+        *kept,
         F.posexplode(F.col(f"`{list_column}`")).alias(CHILD_INDEX, "_elem"),
     )
     if isinstance(elem_type.elementType, StructType):
@@ -121,7 +124,7 @@ def child_table(df: DataFrame, parent_key: list[str], list_column: str) -> DataF
     else:
         elem_cols = [F.col("_elem").alias(CHILD_VALUE)]
     return exploded.select(
-        *[F.col(f"`{k}`") for k in parent_key],
+        *kept,
         F.col(CHILD_INDEX).cast("bigint").alias(CHILD_INDEX),
         *elem_cols,
         row_key(*parent_key, CHILD_INDEX).alias(ROW_KEY),

@@ -4,9 +4,10 @@ the warehouse with the source's write disposition, one audit record per table.
 Normalization follows the loader conventions: snake_case names, nested objects
 flattened to ``parent__child`` columns, and every list column moved to a child table
 ``<table>__<column>`` (recursively) that references its parent row by
-``_parent_key``.  Child tables follow the parent's disposition; for a merged parent
-all elements of each incoming parent replace the stored ones (delete-insert), so a
-list that shrinks leaves no stale elements behind.
+``_parent_key``; tables further down carry the key of the outermost parent, too
+(``_root_key``).  Child tables follow the parent's disposition; for a merged parent
+all elements of each incoming parent, at every depth, replace the stored ones
+(delete-insert by that key), so a list that shrinks leaves no stale elements behind.
 """
 
 from __future__ import annotations
@@ -27,10 +28,12 @@ from tidepool.operators.normalize import (
     row_key,
     snake_case,
 )
+from tidepool.session import delete_path
 from tidepool.sources.registry import TableRead, read_source
 from tidepool.spec import SourceSpec
 
 PARENT_KEY = "_parent_key"
+ROOT_KEY = "_root_key"
 CHILD_DISPOSITION = {
     "append": "append",
     "replace": "replace",
@@ -53,7 +56,6 @@ class TableLoad:
     df: DataFrame
     primary_key: tuple[str, ...]
     child: bool
-    direct: bool = False  # a list of the parent table itself
 
 
 def column_name(path: str) -> str:
@@ -78,13 +80,15 @@ def split_tables(
         content = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
         keyed = df.withColumn(ROW_KEY, F.sha2(content, 256))
     out = [TableLoad(name, keyed.drop(*lists), primary_key, False)]
+    below = ROW_KEY in df.columns  # lists in list elements
     for col in lists:
         child_name = f"{name}__{col}"
-        parent = keyed.select(F.col(ROW_KEY).alias(PARENT_KEY), F.col(f"`{col}`"))
-        child = child_table(parent, [PARENT_KEY], col)
+        root = [F.col(ROOT_KEY if ROOT_KEY in df.columns else PARENT_KEY).alias(ROOT_KEY)] if below else []
+        parent = keyed.select(F.col(ROW_KEY).alias(PARENT_KEY), *root, F.col(f"`{col}`"))
+        child = child_table(parent, [PARENT_KEY], col, [ROOT_KEY] if below else [])
+        key = (ROOT_KEY,) if below else (PARENT_KEY,)
         for sub in split_tables(child_name, child, (), flat=True):
-            key = (PARENT_KEY,) if sub.name == child_name else sub.primary_key
-            out.append(TableLoad(sub.name, sub.df, key, True, sub.name == child_name and ROW_KEY not in df.columns))
+            out.append(TableLoad(sub.name, sub.df, key if sub.name == child_name else sub.primary_key, True))
     return out
 
 
@@ -106,9 +110,8 @@ def load_table(
     else:
         parts = [TableLoad(table, df, primary_key, False)]
     results = []
-    incoming = None
-    if keyed_merge and len(parts) > 1:
-        incoming = df.select(row_key(*[F.col(f"`{k}`") for k in primary_key]).alias(PARENT_KEY))
+    if keyed_merge:
+        incoming = row_key(*[F.col(f"`{k}`") for k in primary_key])
     for part in parts:
         disposition = spec.write_disposition
         if part.child:
@@ -126,7 +129,7 @@ def load_table(
                 buckets=read.buckets,
                 dedupe=not part.child,
                 # lists of incoming parents are replaced whole, empty ones included
-                delete_keys=incoming if part.child and part.direct else None,
+                delete_keys=df.select(incoming.alias(part.primary_key[0])) if part.child and keyed_merge else None,
             )
         )
     return results
@@ -139,7 +142,11 @@ def ingest(
         return IngestReport(spec.name, spec.type, spec.dataset_name, [])
     loads = []
     for table, read in read_source(spark, spec).items():
-        loads.extend(load_table(warehouse, spec, table, read, normalize))
+        try:
+            loads.extend(load_table(warehouse, spec, table, read, normalize))
+        finally:
+            if read.staging:
+                delete_path(spark, read.staging)
     return IngestReport(spec.name, spec.type, spec.dataset_name, loads)
 
 

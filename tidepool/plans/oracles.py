@@ -302,6 +302,13 @@ ORACLES |= {
         "SELECT o_orderkey, 'say \"hi\", ' || o_orderpriority || chr(10) || 'second line' AS note FROM orders"
     ),
     "scan_glob_residual": "SELECT event_id, user_id FROM events WHERE event_id % 2 = 0",
+    "ingest_grandchildren_shrink": """
+        WITH g AS (
+          SELECT o_orderkey AS order_id, o_orderstatus, o_orderpriority, o_orderkey % 2 = 0 AS again, name, rank
+          FROM orders, (VALUES ('a', 1), ('b', 2)) AS v(name, rank))
+        SELECT order_id, name, CAST(0 AS BIGINT) AS position, o_orderstatus AS value FROM g
+        WHERE NOT again OR rank <= order_id % 3
+        UNION ALL SELECT order_id, name, 1, o_orderpriority FROM g WHERE NOT again""",
     "ingest_child_shrink": (
         "SELECT o_orderkey AS order_id, CAST(0 AS BIGINT) AS _idx, o_orderpriority AS value FROM orders "
         "WHERE o_orderkey % 2 = 1"

@@ -577,6 +577,48 @@ def q_ingest_child_duplicate_parents(spark, d):
     return _ingest_lists(spark, [old.unionByName(new)])
 
 
+def q_ingest_grandchildren_shrink(spark, d):
+    """Lists of lists whose outer or inner lists shrink leave no elements at any depth."""
+    key = F.col("o_orderkey")
+    pair = F.array(F.col("o_orderstatus"), F.col("o_orderpriority"))
+    deep = F.array(*(F.struct(F.lit(g).alias("Name"), F.array(F.struct(pair.alias("Marks"))).alias("Parts")) for g in "ab"))
+    # by order: both groups, one, none; in what is left one mark instead of two
+    fewer = F.transform(
+        F.slice(deep, 1, (key % 3).cast("int")),
+        lambda g: F.struct(
+            g["Name"].alias("Name"),
+            F.transform(g["Parts"], lambda p: F.struct(F.slice(p["Marks"], 1, 1).alias("Marks"))).alias("Parts"),
+        ),
+    )
+    o = read_table(spark, d, "orders")
+    batches = [
+        o.select(key.alias("OrderId"), deep.alias("Groups")),
+        o.where("o_orderkey % 2 = 0").select(key.alias("OrderId"), fewer.alias("Groups")),
+    ]
+    wh = _wh(spark)
+    for batch in batches:
+        dest = landing.land_jsonl(batch, scratch_dir(spark, "nested-lists"))
+        [spec] = parse_source_specs({"version": 1, "sources": [{
+            "name": "deep", "type": "filesystem", "write_disposition": "merge", "bucket_url": dest,
+            "tables": [{"name": "orders", "file_glob": "*.json", "format": "jsonl", "primary_key": "OrderId",
+                        "schema": "OrderId bigint, Groups array<struct<Name: string, "
+                                  "Parts: array<struct<Marks: array<string>>>>>"}]}]})
+        ingest(spark, spec, wh)
+    tables = ("orders", "orders__groups", "orders__groups__parts", "orders__groups__parts__marks")
+    orders, groups, parts, marks = (wh.read("raw_deep", t) for t in tables)
+    orders = orders.select("order_id", F.col("_row_key").alias("root"))
+    groups = groups.select("name", F.col("_row_key").alias("group"))
+    parts = parts.select(F.col("_parent_key").alias("group"), F.col("_row_key").alias("part"))
+    marks = marks.select(
+        F.col("_root_key").alias("root"), F.col("_parent_key").alias("part"), F.col("_idx").alias("position"), "value"
+    )
+    # left joins: an element whose parents are gone would show as NULL
+    return (
+        marks.join(parts, "part", "left").join(groups, "group", "left").join(orders, "root", "left")
+        .select("order_id", "name", "position", "value")
+    )
+
+
 SCENARIOS = {
     "scan_csv": q_scan_csv,
     "scan_csv_gz": q_scan_csv_gz,
@@ -617,5 +659,6 @@ SCENARIOS = {
     "scan_csv_quoted": q_scan_csv_quoted,
     "scan_glob_residual": q_scan_glob_residual,
     "ingest_child_shrink": q_ingest_child_shrink,
+    "ingest_grandchildren_shrink": q_ingest_grandchildren_shrink,
     "ingest_child_duplicate_parents": q_ingest_child_duplicate_parents,
 }

@@ -74,6 +74,12 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{checkpoint_root(spark)}/tidepool/{purpose}-{uuid.uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 @contextlib.contextmanager
 def session_conf(spark: SparkSession, **settings: str):
     """Set SQL settings for the jobs started inside the block, then restore them.

@@ -31,6 +31,7 @@ def read_resource(
     data_selector: str | None = None,
     schema=None,
     page_glob: str = PAGE_GLOB,
+    staging: str | None = None,
 ) -> DataFrame:
     """All pages of one resource as rows, with ``_page`` and ``_page_pos``."""
     pattern = join_path(join_path(landing_url, resource_path), f"**/{page_glob}")
@@ -43,4 +44,5 @@ def read_resource(
         schema=schema,
         doc_columns={PAGE_COLUMN: page},
         position_column=POSITION_COLUMN,
+        staging=staging,
     )

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidepool.session import scratch_dir
 from tidepool.sources import api_pages, jdbc
 from tidepool.sources.documents import read_json_documents
 from tidepool.sources.files import join_path, read_files
@@ -28,6 +29,7 @@ class TableRead:
     order_by: tuple[str, ...] = ()
     cursor: str | None = None
     buckets: int | None = None
+    staging: str | None = None  # folder that the rows are read from, deleted when they are loaded
 
 
 ReaderFn = Callable[[SparkSession, SourceSpec], dict[str, TableRead]]
@@ -113,15 +115,19 @@ def filesystem_reader(spark: SparkSession, spec: SourceSpec) -> dict[str, TableR
     store = s3a_options(spec.options.get("credentials"))
     base = s3a_path(spec.options["bucket_url"])
 
-    def read(table: dict) -> DataFrame:
+    def read(table: dict) -> TableRead:
         place = join_path(base, table["file_glob"])
         options = store | {k: str(v) for k, v in (table.get("options") or {}).items()}
-        schema = table.get("schema")
-        if table["format"] != "json":
-            return read_files(spark, place, table["format"], schema=schema, options=options)
-        return read_json_documents(spark, place, table.get("records_path"), schema=schema, options=options)
+        schema, staging = table.get("schema"), None
+        if table["format"] == "json":
+            staging = scratch_dir(spark, "documents")
+            path = table.get("records_path")
+            df = read_json_documents(spark, place, path, schema=schema, options=options, staging=staging)
+        else:
+            df = read_files(spark, place, table["format"], schema=schema, options=options)
+        return TableRead(df, **_hints(spec, table), staging=staging)
 
-    return {t["name"]: TableRead(read(t), **_hints(spec, t)) for t in spec.options["tables"]}
+    return {t["name"]: read(t) for t in spec.options["tables"]}
 
 
 @register_reader("database")
@@ -158,15 +164,18 @@ def api_reader(spark: SparkSession, spec: SourceSpec) -> dict[str, TableRead]:
     if not landing:
         raise ConfigurationError(f"{spec.name}.landing_url is missing")
 
-    def read(resource: dict) -> DataFrame:
+    def read(resource: dict) -> TableRead:
         endpoint = resource.get("endpoint")
         endpoint = endpoint if isinstance(endpoint, dict) else {}
-        return api_pages.read_resource(
+        staging = scratch_dir(spark, "documents")
+        df = api_pages.read_resource(
             spark,
             s3a_path(landing),
             endpoint.get("path", resource["name"]),
             data_selector=endpoint.get("data_selector"),
             schema=resource.get("schema"),
+            staging=staging,
         )
+        return TableRead(df, **_hints(spec, resource), staging=staging)
 
-    return {r["name"]: TableRead(read(r), **_hints(spec, r)) for r in spec.options["resources"]}
+    return {r["name"]: read(r) for r in spec.options["resources"]}
