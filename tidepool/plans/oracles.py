@@ -317,3 +317,5 @@ ORACLES |= {
         "SELECT o_orderkey AS order_id, CAST(0 AS BIGINT) AS _idx, o_orderstatus AS value FROM orders"
     ),
 }
+
+ORACLES["ingest_connector"] = ORACLES["ingest_api_pages"]  # the same rows by another reader

@@ -158,6 +158,20 @@ def q_ingest_api_pages(spark, d):
     return models.stg_orders(pages, extra=("_page", "_page_pos"))
 
 
+def q_ingest_connector(spark, d):
+    """Landed pages through a Python data source that a spec names, loaded and typed."""
+    root = scratch_dir(spark, "pages")
+    landing.land_pages(raw_table(spark, d, "orders"), f"{root}/orders", "order_id")
+    [spec] = parse_source_specs({"version": 1, "sources": [{
+        "name": "pages", "type": "connector", "connector": "tidepool.sources.landed_pages:LandedPages",
+        "write_disposition": "replace", "options": {"records_path": "data.items", "number": "p=([0-9]+)/"},
+        "tables": [{"name": "orders", "options": {"path": f"{root}/orders", "partition_bytes": 1 << 20},
+                    "schema": "order_id bigint, customer_id bigint, amount double, ordered_at string"}]}]})
+    wh = _wh(spark)
+    ingest(spark, spec, wh)
+    return models.stg_orders(wh.read("raw_pages", "orders"), extra=("_page", "_page_pos"))
+
+
 # -- loads ----------------------------------------------------------------------------
 
 
@@ -630,6 +644,7 @@ SCENARIOS = {
     "ingest_multi_table": q_ingest_multi_table,
     "ingest_api_pages": q_ingest_api_pages,
     "ingest_child_tables": q_ingest_child_tables,
+    "ingest_connector": q_ingest_connector,
     "load_append": q_load_append,
     "load_replace": q_load_replace,
     "load_replay": q_load_replay,

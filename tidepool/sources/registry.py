@@ -2,17 +2,20 @@
 
 A reader takes the session and a :class:`~tidepool.spec.SourceSpec` and returns
 ``{table name: TableRead}`` -- lazy DataFrames plus the load hints of each table.
-New source types register with :func:`register_reader`; other formats can also be
-plugged in through Spark's Python Data Source API and read by ``format`` name.
+New source types register with :func:`register_reader`.  Classes of Spark's Python Data Source API
+are plugged in without one: a source of type ``connector`` names them, and each of its tables is
+read by the class's format name.
 """
 
 from __future__ import annotations
 
+import importlib
 import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidepool.session import scratch_dir
 from tidepool.sources import api_pages, jdbc
@@ -101,6 +104,11 @@ DATABASE_FIELDS = {
     "include_views": Field(bool),
     "partitioning": Field(dict),
 }
+CONNECTOR_FIELDS = {
+    "connector": Field(required=True),
+    "options": Field(dict),
+    "tables": Field(list, required=True, entries={"name": Field(required=True), "options": Field(dict)}),
+}
 API_FIELDS = {
     "landing_url": Field(),
     "base_url": Field(),
@@ -132,28 +140,72 @@ def filesystem_reader(spark: SparkSession, spec: SourceSpec) -> dict[str, TableR
 
 @register_reader("database")
 def database_reader(spark: SparkSession, spec: SourceSpec) -> dict[str, TableRead]:
-    """Database tables and views by name; an entry may be a mapping with its own key and order."""
+    """Database tables by name, and views with ``include_views``; an entry may be a mapping with its
+    own key and order.  ``partitioning`` gives a table's range ``columns`` or numeric ``column``."""
     opts = spec.options
     require_valid(opts, DATABASE_FIELDS, spec.name)
     url = os.environ.get(opts["credentials_env"])
     if url is None:
         raise ConfigurationError(f"{spec.name}: the environment has no {opts['credentials_env']}")
-    connection = jdbc.jdbc_connection(opts["engine"], url)
+    engine, schema = opts["engine"], opts.get("schema")
+    connection = jdbc.jdbc_connection(engine, url)
     partitioning = opts.get("partitioning") or {}
-
-    def read(name: str) -> DataFrame:
+    tables = [t if isinstance(t, dict) else {"name": t} for t in opts["table_names"]]
+    names = [t["name"] for t in tables]
+    kinds = jdbc.relation_types(spark, connection, engine, schema, names)
+    if missing := [n for n in names if n not in kinds]:
+        raise ConfigurationError(f"{spec.name}: the database has no {', '.join(missing)}")
+    views = [n for n in names if kinds[n] != jdbc.TABLE]
+    if views and not opts.get("include_views"):
+        raise ConfigurationError(f"{spec.name}: {', '.join(views)} are views; set include_views to read them")
+
+    def read(table: dict) -> DataFrame:
+        name = table["name"]
         cut = partitioning.get(name) or {}
-        return jdbc.read_jdbc_table(
-            spark,
-            connection,
-            jdbc.qualified(name, opts.get("schema")),
-            chunk_size=opts.get("chunk_size") or jdbc.DEFAULT_CHUNK_SIZE,
-            partition_column=cut.get("column"),
-            num_partitions=cut.get("num_partitions"),
+        place = jdbc.qualified(name, schema)
+        chunk_size = opts.get("chunk_size") or jdbc.DEFAULT_CHUNK_SIZE
+        if cut.get("column"):
+            return jdbc.read_jdbc_table(
+                spark, connection, place, chunk_size, cut["column"], cut.get("num_partitions")
+            )
+        columns = list(cut.get("columns") or _hints(spec, table)["primary_key"])
+        if not columns and kinds[name] == jdbc.TABLE:
+            columns = jdbc.key_columns(spark, connection, engine, schema, name)
+        if not columns:  # nothing to cut it by
+            return jdbc.read_jdbc_table(spark, connection, place, chunk_size)
+        return jdbc.read_jdbc_ranges(
+            spark, connection, engine, place, columns, chunk_size, cut.get("num_partitions")
         )
 
-    tables = [t if isinstance(t, dict) else {"name": t} for t in opts["table_names"]]
-    return {t["name"]: TableRead(read(t["name"]), **_hints(spec, t)) for t in tables}
+    return {t["name"]: TableRead(read(t), **_hints(spec, t)) for t in tables}
+
+
+@register_reader("connector")
+def connector_reader(spark: SparkSession, spec: SourceSpec) -> dict[str, TableRead]:
+    """Tables of a Python data source, ``connector: package.module:Class``.
+
+    The class is registered with the session and read by its format name; ``options`` of the
+    source and of a table go to it.  A table's ``schema`` parses its column ``record`` of JSON text.
+    """
+    require_valid(spec.options, CONNECTOR_FIELDS, spec.name)
+    module, _, name = spec.options["connector"].partition(":")
+    try:
+        source = getattr(importlib.import_module(module), name)
+    except (ImportError, AttributeError, ValueError) as problem:
+        raise ConfigurationError(f"{spec.name}: no connector {spec.options['connector']} ({problem})") from None
+    spark.dataSource.register(source)
+
+    def read(table: dict) -> DataFrame:
+        options = {**(spec.options.get("options") or {}), **(table.get("options") or {})}
+        df = spark.read.format(source.name()).options(**{k: str(v) for k, v in options.items()}).load()
+        if not table.get("schema"):
+            return df
+        parsed = F.from_json("record", table["schema"], {"mode": "FAILFAST"})
+        return df.select(parsed.alias("r"), *[c for c in df.columns if c != "record"]).select(
+            "r.*", *[c for c in df.columns if c != "record"]
+        )
+
+    return {t["name"]: TableRead(read(t), **_hints(spec, t)) for t in spec.options["tables"]}
 
 
 @register_reader("api")
