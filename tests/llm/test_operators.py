@@ -600,3 +600,88 @@ def test_terms_at_the_border_and_far_away_reveal(spark):
     left = " ".join(clean.values())
     assert not any(name in left for name in ("Quorvex", "Vantrel", "Oldmarn", "boss@", "crew@"))
     assert all(clean[k] == texts[k] for k in range(400))
+
+
+# -- 8, features and training against brute force ----------------------------------------------
+
+
+def brute_features(text):
+    """Counter of (kind, value): words, same-word pairs, character n-grams."""
+    words = WORD.findall(text)
+    flat = re.sub(r"[\x20\x09-\x0D]", " ", text)
+    out = Counter(("word", w) for w in words)
+    out.update(("again", a == b) for a, b in zip(words, words[1:]))
+    for n in quality_classifier.GRAMS:
+        out.update((n, flat[i : i + n]) for i in range(len(flat) - n + 1))
+    return out
+
+
+def one_text(text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    return quality_classifier.features(data, np.array([0, len(data)]))
+
+
+def test_classifier_features_are_brute_force():
+    texts = ["the the the", "", " \t", "a", "Ünï cödé ß 日本語 日本語 🎉🎉", "a\tb\nc a  b", "the the the", "x" * 50]
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    together = quality_classifier.features(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    names: dict = {}
+    for k, text in enumerate(texts):
+        got = [np.sort(b[lo[k] : hi[k]]).tolist() for b, lo, hi in together]
+        alone = [np.sort(b[lo[0] : hi[0]]).tolist() for b, lo, hi in one_text(text)]
+        assert got == alone  # neighbours in the batch change nothing
+        want = brute_features(text)
+        kinds = ["word", "again", *quality_classifier.GRAMS]
+        for kind, buckets in zip(kinds, got):
+            counts = sorted(n for (of, _), n in want.items() if of == kind)
+            assert sorted(Counter(buckets).values()) == counts  # no two features of these texts collide
+        assert Counter(got[1]) == Counter(int(v) for (of, v), n in want.items() if of == "again" for _ in range(n))
+        for word in set(WORD.findall(text)):
+            assert names.setdefault(word, one_text(word)[0][0][0]) >= quality_classifier.SHAPES
+            assert names[word] in got[0]
+
+
+def test_classifier_training_step_is_brute_force(monkeypatch):
+    monkeypatch.setattr(quality_classifier, "EPOCHS", 1)
+    monkeypatch.setattr(quality_classifier, "BUCKETS", 12)
+    rng = np.random.default_rng(3)
+    samples = []
+    for k in range(9):
+        ids = np.sort(rng.choice(12, 4, replace=False))
+        samples.append((k % 2, ids, (np.ones(4) / 4).astype(np.float32)))
+    got, bias = quality_classifier.train(samples, seed=5)
+
+    rng = np.random.default_rng(5)
+    dims = quality_classifier.DIMENSIONS
+    vectors = rng.uniform(-1, 1, (12, dims)).astype(np.float32).astype(float)
+    layer, offset = [[0.0, 0.0] for _ in range(dims)], [0.0, 0.0]
+    for done, k in enumerate(rng.permutation(9)):
+        label, ids, weights = samples[k]
+        step = quality_classifier.STEP * (1 - done / 9)
+        mean = [sum(w * vectors[i][d] for i, w in zip(ids, weights)) for d in range(dims)]
+        logits = [sum(mean[d] * layer[d][c] for d in range(dims)) + offset[c] for c in (0, 1)]
+        odds = [np.exp(x) for x in logits]
+        error = [o / sum(odds) - (c == label) for c, o in enumerate(odds)]
+        back = [sum(layer[d][c] * error[c] for c in (0, 1)) for d in range(dims)]
+        for d in range(dims):
+            for c in (0, 1):
+                layer[d][c] -= step * mean[d] * error[c]
+        for c in (0, 1):
+            offset[c] -= 0.1 * step * error[c]
+        for i, w in zip(ids, weights):
+            for d in range(dims):
+                vectors[i][d] -= 10 * step * w * back[d]
+    want = [sum(vectors[i][d] * (layer[d][1] - layer[d][0]) for d in range(dims)) for i in range(12)]
+    assert np.allclose(got, want, atol=1e-4) and abs(bias - (offset[1] - offset[0])) < 1e-5
+
+
+def test_equal_texts_have_equal_scores(spark, labels):
+    texts = ["a cat sat on the mat", "the the the", "Ünï cödé " * 40, "", "a cat sat on the mat " * 300]
+    rows = [(i, texts[i % 5], None, None, None) for i in range(40)]
+    scores = {}
+    for parts in (1, 3, 7):
+        df = spark.createDataFrame(rows, DOCS).repartition(parts)
+        for r in rows_of(quality_classifier.score_documents(df, labels)):
+            scores.setdefault(texts[r["doc_id"] % 5], set()).add(r["score"])
+    assert all(len(s) == 1 for s in scores.values()) and len(scores) == 5
