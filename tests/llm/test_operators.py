@@ -11,6 +11,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidepool.llm import (
     bpe,
@@ -685,3 +686,70 @@ def test_equal_texts_have_equal_scores(spark, labels):
         for r in rows_of(quality_classifier.score_documents(df, labels)):
             scores.setdefault(texts[r["doc_id"] % 5], set()).add(r["score"])
     assert all(len(s) == 1 for s in scores.values()) and len(scores) == 5
+
+
+# -- 10, disclosure against brute force ----------------------------------------------------------
+
+
+def brute_disclosure(texts):
+    """Largest disclosure per term over all (entity, term), counted text by text."""
+    import math
+
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    clean = lambda w: re.sub(r"^[\W_]+|[\W_]+$", "", w).lower()
+    distinct = sorted(set(texts))
+    with_e, where, n_t, n_et = {}, {}, Counter(), Counter()
+    contexts = {}
+    for text in distinct:
+        words = WORD.findall(text)
+        entities = {m.group().lower() for m in email.finditer(text)}
+        bare = {clean(w) for w in words if not email.search(w)}
+        bare = {t for t in bare if len(t) > 1}
+        n_t.update(bare)
+        for e in entities:
+            around = []
+            for m in email.finditer(text):
+                if m.group().lower() == e:
+                    around.append((re.sub(r"\S+$", "", text[: m.start()]), re.sub(r"^\S+", "", text[m.end() :])))
+            with_e[e] = with_e.get(e, 0) + 1
+            contexts.setdefault(e, {}).setdefault(tuple(sorted(set(around))), set()).update(bare)
+            where.setdefault(e, set()).add(tuple(sorted(set(around))))
+            n_et.update((e, t) for t in bare)
+    best = {}
+    for (e, t), both in n_et.items():
+        held = sum(t in terms for terms in contexts[e].values())
+        if len(where[e]) < pii.SUPPORT or held < pii.SUPPORT:
+            continue
+        own = max(-math.log2(with_e[e] / len(distinct)), 1)
+        value = 1 + math.log2(min(1, both / n_t[t])) / own
+        if value >= pii.GENERALISE:
+            best[t] = max(best.get(t, 0), value)
+    return best
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_disclosure_is_brute_force(spark, monkeypatch, small):
+    """Over all pairs of entities and terms, with broadcast and with shuffled joins; copies weigh nothing."""
+    if not small:
+        monkeypatch.setattr(pii, "BROADCAST_BYTES", 0)
+    rng = random.Random(4)
+    people = [f"p{i}@mail.example" for i in range(6)]
+    texts = []
+    for i in range(160):
+        words = [f"w{rng.randrange(12)}" for _ in range(6)] + [f"r{i}"]
+        if i % 2:
+            k = rng.randrange(6)
+            words.insert(3, people[k])
+            words += [f"Nick{k}"] if rng.random() < 0.8 else []
+            words += [f"team{k // 2},"] if rng.random() < 0.9 else []
+            words += ["Everyone"]
+        texts.append(" ".join(words))
+    texts += texts[:40]
+    want = brute_disclosure(texts)
+    assert any(t.startswith("nick") for t in want) and "everyone" not in want
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {}
+    spanned = pii.find_spans(df).select("text", F.explode("terms").alias("t"))
+    for r in spanned.collect():
+        found[r.text[r.t.start : r.t.end].lower()] = r.t.disclosure
+    assert set(found) == set(want) and all(abs(found[t] - want[t]) < 1e-9 for t in want)

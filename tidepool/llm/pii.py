@@ -36,6 +36,7 @@ BLOCK = 512
 SUPPORT = 3
 GENERALISE = 0.9
 REMOVE = 0.99
+BROADCAST_BYTES = 32 << 20
 _LOCAL = "[A-Za-z0-9._%+-]"
 #: The contract's patterns.  Possessive repeats and the look-behinds change no match: a match
 #: that could start inside a run of local or digit characters also starts at the run's begin.
@@ -238,8 +239,20 @@ def _bare_terms(spanned: DataFrame) -> DataFrame:
     return spanned.select(F.col("__key").alias("key"), F.explode(_terms(words)).alias("term")).distinct()
 
 
-def revealing_terms(docs: DataFrame, spanned: DataFrame) -> DataFrame:
-    """(term, disclosure): the largest disclosure of any entity by each revealing term."""
+def _broadcast_if_small(table: DataFrame, size: Column) -> DataFrame:
+    """``table``, to be broadcast if all its rows hold ``BROADCAST_BYTES`` at most; else Spark
+    shuffles it to its join.  ``size``: bytes of a row."""
+    held = table.agg(F.sum(size + 32).alias("bytes")).first()["bytes"] or 0
+    return F.broadcast(table) if held <= BROADCAST_BYTES else table
+
+
+def _candidates(spanned: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (entity, n_e, term, n_et) that may disclose, and the terms (key, term) they come from.
+
+    A term stands in at least as many texts as it does among those with protected values, so
+    pairs whose share of these is too small already cannot reach ``GENERALISE``: common words go
+    here, before anything is counted over the whole corpus.
+    """
     mentions = materialize(_contexts(spanned), "op10-contexts")
     entities = (
         mentions.groupBy("entity", "context")
@@ -251,6 +264,7 @@ def revealing_terms(docs: DataFrame, spanned: DataFrame) -> DataFrame:
     )
     held = materialize(mentions.join(entities, "entity"), "op10-held")
     bare = materialize(_bare_terms(spanned), "op10-bare")
+    least = bare.groupBy("term").agg(F.count("*").alias("n_b")).where(F.col("n_b") >= SUPPORT)
     pairs = (
         held.join(bare, "key")
         .groupBy("entity", "n_e", "term", "context")
@@ -259,31 +273,52 @@ def revealing_terms(docs: DataFrame, spanned: DataFrame) -> DataFrame:
         .agg(F.sum("n").alias("n_et"), F.count("*").alias("contexts"))
         .where(F.col("contexts") >= SUPPORT)
         .drop("contexts")
+        .join(least, "term")
+        .where(_disclosure(F.col("n_b"), total) >= GENERALISE - 1e-9)
+        .drop("n_b")
     )
-    pairs = materialize(pairs, "op10-pairs")
+    return materialize(pairs, "op10-pairs"), bare
+
+
+def _disclosure(n_t: Column, total: int) -> Column:
+    prior = F.col("n_e") / F.lit(float(max(total, 1)))
+    given = F.least(F.lit(1.0), F.col("n_et") / n_t)
+    own = F.greatest(-F.log2(prior), F.lit(1.0))
+    return 1 + F.log2(given) / own
+
+
+def revealing_terms(texts: DataFrame, spanned: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """(term, disclosure): the largest disclosure of any entity by each revealing term, and
+    (key, term): where candidates occur in ``texts(__text, __key)``; None without candidates.
+
+    The words of all texts are compared with the candidates where they are read, so what is
+    shuffled is the candidates' occurrences, once a distinct text.
+    """
+    total = texts.select("__key").distinct().count()
+    pairs, bare = _candidates(spanned, total)
     if pairs.isEmpty():
-        return pairs.select("term", F.lit(0.0).alias("disclosure"))
-    keyed = docs.withColumn("key", F.sha2("text", 256))
-    total = keyed.select("key").distinct().count()
+        return None
+    wanted = _broadcast_if_small(pairs.select("term").distinct(), F.octet_length("term"))
+
+    def occurrences(rows: DataFrame) -> DataFrame:
+        words = rows.select(F.col("__key").alias("key"), F.explode(_terms(_words(F.col("__text")))).alias("term"))
+        return words.join(wanted, "term", "left_semi").distinct()
+
+    whole = materialize(occurrences(texts), "op10-found")
     # n(t): the texts with t, those where t only touches a protected value taken off
-    whole = keyed.select("key", F.explode(_terms(_words(F.col("text")))).alias("term"))
-    glued = spanned.select(F.col("__key").alias("key"), F.explode(_terms(_words(F.col("__text")))).alias("term"))
     rows = None
-    for part, sign in ((whole, 1), (glued, -1), (bare, 1)):
-        part = part.join(pairs.select("term").distinct(), "term", "left_semi").distinct()
+    for part, sign in ((whole, 1), (occurrences(spanned), -1), (bare.join(wanted, "term", "left_semi"), 1)):
         part = part.groupBy("term").agg((F.count("*") * sign).alias("n"))
         rows = part if rows is None else rows.unionByName(part)
     frequency = rows.groupBy("term").agg(F.sum("n").alias("n_t"))
-    prior = F.col("n_e") / F.lit(float(max(total, 1)))
-    given = F.least(F.lit(1.0), F.col("n_et") / F.col("n_t"))
-    own = F.greatest(-F.log2(prior), F.lit(1.0))
-    return (
+    terms = (
         pairs.join(frequency, "term")
-        .withColumn("disclosure", 1 + F.log2(given) / own)
+        .withColumn("disclosure", _disclosure(F.col("n_t"), total))
         .where(F.col("disclosure") >= GENERALISE)
         .groupBy("term")
         .agg(F.max("disclosure").alias("disclosure"))
     )
+    return materialize(terms, "op10-terms"), whole
 
 
 # -- spans --------------------------------------------------------------------------------
@@ -305,21 +340,23 @@ def find_spans(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.withColumn("__text", text)
     out = base_spans(keyed, "__text").withColumn("base", F.concat(*(_named(k, k) for k in KINDS)))
-    spanned = out.where(F.size("base") > 0).select("__text", F.sha2("__text", 256).alias("__key"), *KINDS)
+    key = F.unhex(F.sha2("__text", 256))
+    spanned = out.where(F.size("base") > 0).select("__text", key.alias("__key"), *KINDS)
     spanned = materialize(spanned, "op10-spans")
-    terms = materialize(revealing_terms(docs.select(text.alias("text")), spanned), "op10-terms")
-    out = out.withColumn("__key", F.sha2("__text", 256))
+    texts = docs.select(text.alias("__text")).withColumn("__key", key)
+    found = revealing_terms(texts, spanned)
     none = F.array().cast("array<struct<start:int,end:int,disclosure:double>>")
-    if terms.isEmpty():
-        return out.withColumn("terms", none).drop("__text", "__key")
-    texts = keyed.select("__text", F.sha2("__text", 256).alias("__key"))
+    if found is None:
+        return out.withColumn("terms", none).drop("__text")
+    terms, occurrences = found
     hits = (
-        texts.select("__key", F.explode(_terms(_words(F.col("__text")))).alias("term"))
-        .join(terms, "term")
-        .groupBy("__key")
+        occurrences.join(terms, "term")
+        .groupBy(F.col("key").alias("__key"))
         .agg(F.map_from_entries(F.collect_set(F.struct("term", "disclosure"))).alias("reveal"))
     )
     hits = materialize(hits, "op10-hits")
+    length = F.aggregate(F.map_keys("reveal"), F.lit(0), lambda n, t: n + F.octet_length(t) + 32)
+    hits = _broadcast_if_small(hits, length)
 
     def placed(reveal: Column) -> Column:
         found = F.transform(
@@ -336,7 +373,7 @@ def find_spans(docs: DataFrame) -> DataFrame:
             & ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])),
         )
 
-    out = out.join(hits, "__key", "left")
+    out = out.withColumn("__key", key).join(hits, "__key", "left")
     out = out.withColumn("terms", F.when(F.col("reveal").isNull(), none).otherwise(placed(F.col("reveal"))))
     return out.drop("__text", "__key", "reveal")
 
