@@ -268,6 +268,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, trees: int = TREES) -> D
     first = first.join(shared.where("a < b").select("node"), "node")
     first = materialize(first, "op1-first")
 
+    # read by every round of nodes that branch on, so written once, for members of nodes only
+    sketches = sketches.join(first.select("rep").distinct(), "rep", "left_semi").select("rep", "sketch")
+    sketches = materialize(sketches.distinct(), "op1-sketches")
     needed = first.select(F.col("rep").alias("doc_id")).distinct()
     sets = base.join(needed, "doc_id").mapInArrow(
         _set_batches, "doc_id long, n_shingles long, shingles binary"
