@@ -66,7 +66,7 @@ def test_split_tables_recurses_into_nested_lists(spark):
     )
     parts = {p.name: p for p in split_tables("t", df, ("id",))}
     assert sorted(parts) == ["t", "t__items", "t__items__tags"]
-    assert parts["t__items__tags"].primary_key == ("_parent_key",)
+    assert parts["t__items__tags"].primary_key == ("_root_key",)
     tags = parts["t__items__tags"].df.orderBy("_idx").collect()
     assert [r.value for r in tags] == ["x", "y"]
     item_key = parts["t__items"].df.first()._row_key
