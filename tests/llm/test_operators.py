@@ -137,6 +137,65 @@ def test_large_nodes_are_cut_and_still_complete(spark, monkeypatch):
         assert got == want
 
 
+def test_each_text_of_a_shared_id_links(spark):
+    rng = random.Random(8)
+    one, two = ([f"{x}{rng.randrange(9999)}" for _ in range(200)] for x in "ab")
+    rows = [
+        (1, " ".join(one)), (1, " ".join(two)), (2, " ".join(one + ["tail"])), (3, " ".join(two + ["tail"])),
+        (1, " ".join(two)), (7, " ".join(rng.choices(one, k=90))), (1, ""),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = rows_of(minhash_dedup.near_duplicates(df))
+    assert len(got) == 7
+    assert {r["doc_id"]: r["component_id"] for r in got} == {1: 1, 2: 1, 3: 1, 7: 7}
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_bands_find_pairs_at_the_threshold(percent):
+    width = minhash_dedup.band_width(percent)
+    rng = np.random.default_rng(percent)
+    same = rng.random((100_000, minhash_dedup.COORDINATES)) < percent / 100
+    left = rng.integers(0, 2**32, same.shape, dtype=np.uint32)
+    right = np.where(same, left, left + np.uint32(1))
+    hit = (minhash_dedup.bands(left, width) == minhash_dedup.bands(right, width)).any(axis=1)
+    assert width == 3 and (~hit).sum() <= 1
+
+
+def test_likely_rows_have_a_partner_of_another_component_in_their_piece():
+    import pandas as pd
+
+    rng = np.random.default_rng(9)
+    rows = [
+        (node, piece, 100 * node + k, int(rng.integers(0, 3)), rng.integers(0, 6, 4, dtype=np.uint32))
+        for node in range(4) for piece in range(3) for k in range(int(rng.integers(1, 9)))
+    ]
+    frame = pd.DataFrame(rows, columns=["node", "piece", "rep", "component", "bands"])
+    want = {
+        (a[0], a[1], a[2])
+        for a in rows
+        for b in rows
+        if a[:2] == b[:2] and a[3] != b[3] and (a[4] == b[4]).any()
+    }
+    frame["bands"] = [x.tobytes() for x in frame["bands"]]
+    parts = [frame.iloc[k : k + 5] for k in range(0, len(frame), 5)]
+    got = pd.concat(list(minhash_dedup._likely(iter(parts))))
+    assert {tuple(x) for x in got[["node", "piece", "rep"]].to_numpy().tolist()} == want
+
+
+def test_nothing_but_the_sketches_stays_in_the_shared_folder(spark):
+    import os
+
+    from tidepool.session import checkpoint_root
+
+    root = f"{checkpoint_root(spark).removeprefix('file:')}/tidepool"
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    df = spark.createDataFrame(list(near_copies(5, 4, 6).items()), "doc_id long, text string")
+    assert minhash_dedup.near_duplicates(df).count()
+    left = sorted(x.rsplit("-", 1)[0] for x in set(os.listdir(root)) - before)
+    assert set(left) <= {"op1-sketch", "op1-classes", "op1-shared", "op1-labels", "op1-edges"}, left
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("op1_")]
+
+
 def test_pieces_of_many_short_texts_fit_in_memory():
     import tracemalloc
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.session import scratch_dir
+from tidepool.session import delete_path, scratch_dir
 
 #: Words are maximal runs of anything but space and the controls 9 to 13 (fixed by the contracts).
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
@@ -24,7 +24,17 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables that ``materialize`` wrote and that nothing reads any more."""
+    for table in tables:
+        path = getattr(table, "scratch_path", None)
+        if path:
+            delete_path(table.sparkSession, path)
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -66,7 +76,8 @@ def connected_components(edges: DataFrame, purpose: str = "components") -> DataF
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.union(low.select("u", F.col("m").alias("v")))
-        pairs = materialize(small.where("u <> v").distinct(), purpose)
+        before, pairs = pairs, materialize(small.where("u <> v").distinct(), purpose)
+        discard(before)
     roots = pairs.select(F.col("v").alias("u")).distinct().select("u", F.col("u").alias("component"))
     return (
         pairs.select("u", F.col("v").alias("component"))
