@@ -452,6 +452,19 @@ def test_a_dense_group_is_spread_over_chunk_pairs(spark, monkeypatch):
     assert len(tasks) > 3 * 12 * 12 / 2 and max(r["count"] for r in tasks) <= 2 * 50
 
 
+def test_extreme_vectors_link(spark):
+    rows = [
+        (1, [1e200, 0.0], "x"), (2, [2e200, 0.0], "x"), (3, [1e-200, 0.0], "x"), (4, [0.0, 5e-324], "x"),
+        (5, [0.0, 1.0], "x"), (6, [1.7e308, 1.7e308], "x"), (7, [3.0, 3.0], "x"), (8, [float("inf"), 0.0], "x"),
+        (9, [0.0, 0.0], "x"), (10, [1e150, 1e149], "x"),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in rows_of(embedding_dedup.near_duplicates(df))}
+    assert got == {
+        1: (3, 1), 2: (3, 1), 3: (3, 1), 10: (3, 1), 4: (1, 4), 5: (1, 4), 6: (1, 6), 7: (1, 6), 8: (0, 8), 9: (0, 9)
+    }
+
+
 # -- 5 ------------------------------------------------------------------------------------
 
 ODD = [
@@ -515,6 +528,39 @@ def test_quality_rules(spark, documents, labels, edge, empty):
 # -- 7 ------------------------------------------------------------------------------------
 
 
+def test_whole_strings_make_the_levels(spark):
+    names = [f"https://{'abcdefghij'[k % 10]}{k:04d}.example" for k in range(1000)]
+    few = spark.createDataFrame([(x,) for x in names[:3] * 4 + [None]], "source string")
+    cuts = sharding.string_cuts(few, "source")
+    levels = sharding._string_level(cuts, sharding.pd.Series([None, *sorted(names[:3])]))
+    assert levels.tolist() == [0, 1, 2, 3]
+    many = spark.createDataFrame([(x,) for x in names], "source string")
+    cuts = sharding.string_cuts(many, "source")
+    levels = sharding._string_level(cuts, sharding.pd.Series(sorted(names)))
+    assert (np.diff(levels) >= 0).all() and levels.min() == 1 and levels.max() < 1 << sharding.BITS
+    assert max(Counter(levels.tolist()).values()) <= 4
+    assert len(sharding.string_cuts(many.limit(0), "source")) == 0
+
+
+def test_written_shards_hold_all_columns(spark, tmp_path):
+    rows = [(k, None if k % 7 == 0 else "x" * k, "en", f"https://{k % 3}", 5, 6, 7, 8) for k in range(53)]
+    df = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, size int, rank int, curve int, `a.b` int"
+    )
+    sharding.write_shards(df, str(tmp_path / "s"))
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert sorted(back.columns) == sorted([*df.columns, "shard"])
+    assert sorted(map(str, back.drop("shard").select(*(f"`{c}`" for c in df.columns)).collect())) == sorted(
+        map(str, df.collect())
+    )
+    want = {r["doc_id"]: r["shard"] for r in rows_of(sharding.shard(df))}
+    assert {r["doc_id"]: r["shard"] for r in rows_of(back)} == want
+    clash = df.withColumn("shard", F.lit("mine"))
+    sharding.write_shards(clash, str(tmp_path / "t"))
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert back.where("shard = 'mine'").count() == 53 and "_shard" in back.columns
+
+
 def test_sharding(documents, edge, empty):
     for df in (documents, edge):
         got = rows_of(sharding.shard(df))

@@ -42,10 +42,34 @@ def test_decisions_take_effect(spark):
     good = {r.doc_id for r in quality_classifier.score_documents(docs, labels).where("predicted = 1").collect()}
     assert kept == good
     kept = {r.doc_id for r in corpus_pipeline.language_stage(spark, docs, SF).collect()}
-    named = language_id.identify(docs).where("lang_pred <> 'und' and score >= 0.4")
+    named = language_id.identify(docs).where("lang_pred <> 'und'")
     assert kept == {r.doc_id for r in named.collect()}
 
 
+def test_rows_have_verdicts_of_their_own(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    scored = quality_classifier.score_documents(docs, labels).join(docs.select("doc_id", "text"), "doc_id")
+    good, bad = (scored.where(f"predicted = {k}").orderBy("doc_id").first()["text"] for k in (1, 0))
+    words = [f"word{k}" for k in range(60)]
+    rows = [
+        (900001, good, "en", 1), (900001, bad, "en", 2), (None, good, "en", 3), (None, bad, "en", 4),
+        (900002, "12 34", "en", 5), (900002, good + " more", "en", 6),
+        (900003, " ".join(words), "en", 7), (900003, " ".join(words[::-1]), "en", 8), (None, " ".join([*words, "x"]), "en", 9),
+        (None, "a lonely row without an id and without a copy", "en", 10), (900004, " ".join([*words, "y"]), "en", 11),
+    ]
+    extra = spark.createDataFrame(rows, "doc_id long, text string, lang string, `a.b` int")
+    wide = docs.select("doc_id", "text", "lang").unionByName(extra, allowMissingColumns=True)
+    marks = lambda df: {r["a.b"] for r in df.where("`a.b` is not null").collect()}
+    assert {1, 3} <= marks(corpus_pipeline.quality_stage(spark, wide, SF)) and not {2, 4} & marks(
+        corpus_pipeline.quality_stage(spark, wide, SF)
+    )
+    assert marks(corpus_pipeline.language_stage(spark, wide, SF)) == set(range(1, 12)) - {5}
+    only = corpus_pipeline.dedup_stage(spark, extra.where("`a.b` >= 7"), SF)
+    assert only.columns == extra.columns and marks(only) == {7, 8, 10}
+    assert corpus_pipeline.pii_stage(spark, extra, SF).columns == extra.columns
+
+
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     docs = spark.read.parquet(f"{SF}/documents.parquet")

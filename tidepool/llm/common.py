@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,16 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return table
 
 
+def column(name: str) -> Column:
+    """The column of exactly this name, dots and backticks included."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as one struct, so that no name clashes with an operator's own."""
+    return F.struct(*(column(c) for c in docs.columns)).alias("doc")
+
+
 def discard(*tables: DataFrame | None) -> None:
     """Delete tables that ``materialize`` wrote and that nothing reads any more."""
     for table in tables:

@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -288,6 +288,21 @@ def chunk_pairs(ranked: DataFrame) -> DataFrame:
     return own.select(columns).union(left.select(columns)).union(right.select(columns)).drop("rank")
 
 
+def _scaled(vector: Column) -> Column:
+    """Finite vectors whose squares leave the range of doubles, times a power of two.
+
+    The power brings the largest component near 1.  It is applied in two halves, each a
+    normal number, and changes no direction; other vectors stay as they are.
+    """
+    most = F.array_max(F.transform(vector, lambda x: F.abs(x)))
+    power = -F.floor(F.log2(most))
+    half = F.floor(power / 2)
+    by = lambda n: F.pow(F.lit(2.0), n.cast("double"))
+    return F.when(most.between(1e-100, 1e100), vector).otherwise(
+        F.transform(vector, lambda x: x * by(half) * by(power - half))
+    )
+
+
 def near_duplicates(vectors: DataFrame) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors(vec_id, embedding, label)``.
 
@@ -305,12 +320,13 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
         value.alias("embedding"),
     )
     finite = F.forall(
-        "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(1e150))
-    ) & F.exists("embedding", lambda x: F.abs(x) > F.lit(1e-150))
+        "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
+    ) & F.exists("embedding", lambda x: x != 0)
     usable = F.coalesce(
         F.col("vec_id").isNotNull() & F.col("label").isNotNull() & finite, F.lit(False)
     )
     rows = rows.withColumn("usable", usable)
+    rows = rows.withColumn("embedding", F.when(F.col("usable"), _scaled(F.col("embedding"))))
     rows = rows.withColumn("same", F.when(F.col("usable"), F.sha2(F.to_json(F.struct("label", "embedding")), 256)))
     rows = materialize(rows, "op4-rows")
     classes = (

@@ -21,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidepool.llm.common import _LOWER, held_out, mix64, text_slices, word_bounds
+from tidepool.llm.common import _LOWER, held_out, mix64, text_slices, whole_row, word_bounds
 
 GRAMS = 1 << 15
 MAX_LANGUAGES = 256
@@ -214,3 +215,21 @@ def identify(docs: DataFrame) -> DataFrame:
         f"doc_id {kind}, held_out boolean, lang_pred string, score double, "
         "languages array<struct<lang:string,share:double>>",
     )
+
+
+def with_language(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that have a language, with all their columns.
+
+    Every row is judged by its own text, so rows without id and rows that share an id with
+    another text have a verdict of their own; no join.  An empty table gives an empty result.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(train(docs))
+    text = F.col("text").cast("string")
+    letters = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+    rows = docs.select(whole_row(docs), text.alias("text"), letters.alias("letters"))
+    schema = T.StructType.fromDDL(
+        "lang_pred string, score double, languages array<struct<lang:string,share:double>>"
+    )
+    schema = T.StructType([rows.schema["doc"], *schema.fields])
+    named = rows.mapInArrow(_predict(model), schema)
+    return named.where(F.col("lang_pred") != UNDETERMINED).select("doc.*")

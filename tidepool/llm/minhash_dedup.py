@@ -43,6 +43,7 @@ from tidepool.llm.common import (
     shingles,
     signed,
     text_slices,
+    whole_row,
 )
 from tidepool.session import delete_path, scratch_dir
 
@@ -472,3 +473,22 @@ def near_duplicates(docs: DataFrame, percent: int = 85, trees: int = TREES) -> D
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     )
+
+
+def one_of_each_group(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """The rows of ``docs`` without near copies of another: of each group one row stays.
+
+    It is the one with the smallest doc_id (a row without id only where none has one), of
+    equal ids the first as written.  Every row is a vertex of its own, so texts that share an
+    id without being alike all stay, and rows without id are compared as well.  Rows without
+    words are no copies.  All columns come back; an empty table gives an empty result.
+    """
+    numbered = docs.select(whole_row(docs), F.monotonically_increasing_id().alias("row"))
+    numbered = materialize(numbered, "op1-rows")
+    groups = near_duplicates(
+        numbered.select(F.col("row").alias("doc_id"), F.col("doc")["text"].alias("text")), percent
+    ).select(F.col("doc_id").alias("row"), "component_id")
+    ids = numbered.select("row", F.col("doc")["doc_id"].alias("id"))
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "row")
+    first = groups.join(ids, "row").groupBy("component_id").agg(F.min(order).alias("first"))
+    return numbered.join(first.select(F.col("first.row").alias("row")), "row", "left_semi").select("doc.*")

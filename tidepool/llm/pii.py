@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import materialize
+from tidepool.llm.common import column, materialize
 from tidepool.llm.quality_rules import bound
 
 REACH = 100
@@ -408,7 +408,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     null included.  Overlapping spans are masked as one, by the first of them.
     """
     columns = docs.columns
-    wide = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(columns)), F.col("text"))
+    wide = docs.select(*(column(c).alias(f"c{i}") for i, c in enumerate(columns)), F.col("text"))
     out = find_spans(wide)
     text = F.col("text").cast("string")
     masks = F.create_map(*(F.lit(x) for pair in MASKS.items() for x in pair))

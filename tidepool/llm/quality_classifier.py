@@ -24,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidepool.llm.common import held_out, mix64, text_slices, word_bounds, word_hashes
+from tidepool.llm.common import held_out, mix64, text_slices, whole_row, word_bounds, word_hashes
 
 BUCKETS = 1 << 14
 GRAMS = (2, 3, 4)
@@ -182,3 +183,15 @@ def score_documents(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRA
     kind = dict(docs.dtypes)["doc_id"]
     scored = rows.mapInArrow(_score(model), f"doc_id {kind}, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
+    """The rows of ``docs`` that are predicted 1, with all their columns.
+
+    Every row is judged by its own text, so rows without id and rows that share an id with
+    another text have a verdict of their own; no join.  An empty table gives an empty result.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, max_train))
+    rows = docs.select(whole_row(docs), F.col("text").cast("string").alias("text"))
+    schema = T.StructType([rows.schema["doc"], T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(_score(model), schema).where(F.col("score") >= THRESHOLD).select("doc.*")

@@ -1,7 +1,8 @@
 """Sharding by a Hilbert curve over several metadata dimensions.
 
-Language, source, text size and id are each quantised to ``2**BITS`` levels (boundaries are
-approximate quantiles, at most ``2**BITS`` numbers a dimension).  The cells are visited along a
+Language, source, text size and id are each quantised to ``2**BITS`` levels: numbers at
+approximate quantiles, strings by the rank of the whole string among the distinct ones (at most
+``2**BITS`` boundaries a dimension).  The cells are visited along a
 Hilbert curve, rows are sorted by curve index, and the sorted run is cut into shards whose row
 counts differ by one at most.  Neighbours on the curve are neighbours in every dimension, so
 each shard (and each file written in that order) spans a small range of all of them and
@@ -20,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import with_global_rank
+from tidepool.llm.common import whole_row, with_global_rank
 
 BITS = 8
 SHARDS = 8
@@ -60,38 +61,63 @@ def hilbert_index(axes: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def _ordered_code(name: str) -> Column:
-    """A number that orders strings as their first 7 bytes do (nulls first)."""
-    hexed = F.rpad(F.hex(F.substring(F.encode(F.col(name).cast("string"), "UTF-8"), 1, 7)), 14, "0")
-    return F.coalesce(F.conv(hexed, 16, 10).cast("double"), F.lit(-1.0))
+def string_cuts(docs: DataFrame, name: str, levels: int = 1 << BITS) -> np.ndarray:
+    """Fewer than ``levels`` strings that cut the sorted distinct values into runs of equal number.
+
+    With fewer distinct values than that each has a run of its own; level 0 is left to nulls.
+    """
+    values = docs.where(F.col(name).isNotNull()).select(name).distinct()
+    ranked = with_global_rank(values, [F.col(name)], "op7-names")
+    runs = max(1, levels - 2)
+    # the largest of each run: a value is above the cuts of all runs before its own
+    place = F.floor((F.col("rank") + 1) * runs / F.lit(max(runs, ranked.count())))
+    cuts = ranked.where(place > F.floor(F.col("rank") * runs / F.lit(max(runs, ranked.count()))))
+    return np.array(sorted(r[0] for r in cuts.select(name).collect()), dtype=object)
+
+
+def _string_level(cuts: np.ndarray, column: pd.Series) -> np.ndarray:
+    codes, values = pd.factorize(column)
+    found = np.searchsorted(cuts, np.asarray(values, dtype=object), side="left") + 1
+    return np.append(found, 0)[codes].astype(np.int64)
 
 
 def with_curve_index(docs: DataFrame) -> DataFrame:
     """``docs(lang, source, size, doc_id, ...)`` with the Hilbert index of each row's cell."""
-    coded = docs.withColumns(
+    numbers = docs.withColumns(
         {
-            "__d0": _ordered_code("lang"),
-            "__d1": _ordered_code("source"),
             "__d2": F.log1p(F.col("size").cast("double")),
             "__d3": F.coalesce(F.col("doc_id").cast("double"), F.lit(-1.0)),
         }
     )
-    names = [f"__d{k}" for k in range(len(DIMENSIONS))]
     levels = 1 << BITS
-    cuts = coded.select(*names).approxQuantile(
-        names, [k / levels for k in range(1, levels)], QUANTILE_ERROR
+    cuts = numbers.select("__d2", "__d3").approxQuantile(
+        ["__d2", "__d3"], [k / levels for k in range(1, levels)], QUANTILE_ERROR
     )
     edges = [np.array(c, dtype=float) for c in cuts]
+    names = [string_cuts(docs, c) for c in DIMENSIONS[:2]]
 
     @F.pandas_udf("long")
     def index(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for columns in parts:
-            axes = np.stack(
-                [np.searchsorted(e, c.to_numpy(), side="left") for e, c in zip(edges, columns)], axis=1
-            )
-            yield pd.Series(hilbert_index(axes, BITS))
+            axes = [_string_level(cut, c) for cut, c in zip(names, columns[:2])]
+            axes += [np.searchsorted(e, c.to_numpy(), side="left") for e, c in zip(edges, columns[2:])]
+            yield pd.Series(hilbert_index(np.stack(axes, axis=1), BITS))
 
-    return coded.withColumn("curve", index(*names)).drop(*names)
+    return numbers.withColumn("curve", index("lang", "source", "__d2", "__d3")).drop("__d2", "__d3")
+
+
+def _place(total: int, shards: int) -> tuple[Column, Column]:
+    """Shard of a ``rank`` and the first rank of a ``shard``; row counts are at most one apart."""
+    small, larger = divmod(total, shards)
+    edge = larger * (small + 1)
+    rank = F.col("rank")
+    place = F.when(rank < edge, F.floor(rank / (small + 1))).otherwise(
+        larger + F.floor((rank - edge) / max(small, 1))
+    )
+    first = F.when(F.col("shard") < larger, F.col("shard") * (small + 1)).otherwise(
+        edge + (F.col("shard") - larger) * small
+    )
+    return place.cast("int"), first
 
 
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -117,35 +143,40 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     order = [F.col("curve"), F.col("doc_id"), F.col("__row")]
     ranked = with_global_rank(curved, order, "op7-order")
     total = ranked.count()
-    small, larger = divmod(total, shards)
-    edge = larger * (small + 1)
-    rank = F.col("rank")
-    place = F.when(rank < edge, F.floor(rank / (small + 1))).otherwise(
-        larger + F.floor((rank - edge) / max(small, 1))
-    )
-    first = F.when(F.col("shard") < larger, F.col("shard") * (small + 1)).otherwise(
-        edge + (F.col("shard") - larger) * small
-    )
-    return ranked.withColumn("shard", place.cast("int")).select(
+    place, first = _place(total, shards)
+    return ranked.withColumn("shard", place).select(
         "doc_id",
         "size",
         "text_crc32",
         F.lit("rows").alias("law"),
         "shard",
-        (rank - first).cast("long").alias("slot"),
+        (F.col("rank") - first).cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
         "curve",
     )
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """Write ``docs`` as Parquet, one folder per shard, rows in curve order within each file."""
-    placed = docs.withColumn("size", F.octet_length(F.coalesce("text", F.lit(""))) + 1)
-    curved = with_curve_index(placed.withColumn("__row", F.monotonically_increasing_id()))
+    """Write ``docs`` as Parquet, one folder per shard, rows in curve order within each file.
+
+    The shards are those of ``shard``.  All columns of ``docs`` are written; the folders are
+    named ``shard=k``, with underscores before the name where ``docs`` has such a column.  An
+    empty table writes no rows.
+    """
+    raw = F.coalesce(F.encode(F.col("text").cast("string"), "UTF-8"), F.lit(b""))
+    rows = docs.select(
+        whole_row(docs),
+        "doc_id",
+        F.col("lang").cast("string").alias("lang"),
+        F.col("source").cast("string").alias("source"),
+        (F.octet_length(raw) + 1).cast("long").alias("size"),
+        F.monotonically_increasing_id().alias("__row"),
+    )
+    curved = with_curve_index(rows).drop("lang", "source", "size")
     order = [F.col("curve"), F.col("doc_id"), F.col("__row")]
     ranked = with_global_rank(curved, order, "op7-order")
-    total = max(1, ranked.count())
-    sharded = ranked.withColumn("shard", F.floor(F.col("rank") * shards / total).cast("int"))
-    sharded.drop("__row", "size").sortWithinPartitions("shard", "rank").drop("rank").write.partitionBy(
-        "shard"
-    ).parquet(path)
+    placed = ranked.withColumn("shard", _place(ranked.count(), shards)[0]).sortWithinPartitions("shard", "rank")
+    folder = "shard"
+    while folder.lower() in {c.lower() for c in docs.columns}:
+        folder = f"_{folder}"
+    placed.select("doc.*", F.col("shard").alias(folder)).write.partitionBy(folder).parquet(path)
