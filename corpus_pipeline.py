@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidepool.llm import language_id, minhash_dedup, packing, pii, quality_classifier
 from tidepool.llm.common import materialize, read_table
@@ -12,31 +11,19 @@ from tidepool.llm.common import materialize, read_table
 SIMILARITY = 80
 
 
-def _keep(docs: DataFrame, verdicts: DataFrame, rejected) -> DataFrame:
-    """``docs`` without the documents for which ``rejected`` holds; rows without id stay."""
-    out = verdicts.where(rejected & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(out, "doc_id", "left_anti").select(docs.columns)
-
-
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
-    scored = quality_classifier.score_documents(docs, read_table(spark, sf_dir, "labels"))
-    return _keep(docs, scored, F.col("predicted") == 0)
+    return quality_classifier.accepted(docs, read_table(spark, sf_dir, "labels"))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: those of several languages stay, whatever their shares."""
-    named = language_id.identify(docs)
-    return _keep(docs, named, F.col("lang_pred") == language_id.UNDETERMINED)
+    return language_id.with_language(docs)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id."""
-    groups = minhash_dedup.near_duplicates(docs, percent=SIMILARITY)
-    kept = _keep(docs, groups, ~F.col("kept"))
-    # repeated rows of one id are copies of each other: one row stays
-    named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.where("doc_id is null"))
+    return minhash_dedup.one_of_each_group(docs, percent=SIMILARITY)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
