@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidepool.sources import jdbc
 from tidepool.sources.objectstore import s3a_options, s3a_path
 from tidepool.sources.registry import build_reader, read_source, supported_types
-from tidepool.spec import ConfigurationError, SourceSpec
+from tidepool.spec import InvalidSpec, SourceSpec
 
 
 @pytest.mark.parametrize("kind", ["filesystem", "database", "api", "connector"])
@@ -15,17 +15,17 @@ def test_registry_knows_types(kind):
 
 
 def test_unknown_type_lists_supported():
-    with pytest.raises(ConfigurationError, match="no reader for type ftp; there are api, connector, database, filesystem"):
+    with pytest.raises(InvalidSpec, match="no reader for type ftp; there are api, connector, database, filesystem"):
         build_reader(SourceSpec(name="x", type="ftp"))
     assert supported_types() == ["api", "connector", "database", "filesystem"]
 
 
 def test_filesystem_requires_bucket_and_tables(spark):
-    with pytest.raises(ConfigurationError, match="bucket_url is missing"):
+    with pytest.raises(InvalidSpec, match="bucket_url is missing"):
         read_source(spark, SourceSpec(name="x", type="filesystem", options={"tables": [{}]}))
-    with pytest.raises(ConfigurationError, match="must not be empty"):
+    with pytest.raises(InvalidSpec, match="must not be empty"):
         read_source(spark, SourceSpec(name="x", type="filesystem", options={"bucket_url": "/tmp", "tables": []}))
-    with pytest.raises(ConfigurationError, match="format must be one of"):
+    with pytest.raises(InvalidSpec, match="format must be one of"):
         read_source(
             spark,
             SourceSpec(
@@ -39,12 +39,12 @@ def test_filesystem_requires_bucket_and_tables(spark):
 def test_database_reader_validation(spark, monkeypatch):
     monkeypatch.delenv("NO_SUCH_DB_URL", raising=False)
     base = {"engine": "postgresql", "credentials_env": "NO_SUCH_DB_URL", "table_names": ["orders"]}
-    with pytest.raises(ConfigurationError, match="engine must be"):
+    with pytest.raises(InvalidSpec, match="engine must be"):
         read_source(spark, SourceSpec(name="x", type="database", options={**base, "engine": "oracle"}))
-    with pytest.raises(ConfigurationError, match="the environment has no NO_SUCH_DB_URL"):
+    with pytest.raises(InvalidSpec, match="the environment has no NO_SUCH_DB_URL"):
         read_source(spark, SourceSpec(name="x", type="database", options=base))
     monkeypatch.setenv("NO_SUCH_DB_URL", "postgresql://u:p@h/db")
-    with pytest.raises(ConfigurationError, match="table_names"):
+    with pytest.raises(InvalidSpec, match="table_names"):
         read_source(spark, SourceSpec(name="x", type="database", options={**base, "table_names": []}))
 
 
@@ -156,11 +156,11 @@ def database(names, **more):
 
 
 def test_views_need_the_flag(spark, catalogue):
-    with pytest.raises(ConfigurationError, match="recent are views; set include_views"):
+    with pytest.raises(InvalidSpec, match="recent are views; set include_views"):
         read_source(spark, database(["orders", "recent"]))
     assert catalogue == []
     assert set(read_source(spark, database(["orders", "recent"], include_views=True))) == {"orders", "recent"}
-    with pytest.raises(ConfigurationError, match="the database has no ghost"):
+    with pytest.raises(InvalidSpec, match="the database has no ghost"):
         read_source(spark, database(["orders", "ghost"], include_views=True))
 
 
@@ -264,7 +264,7 @@ def test_pages_of_another_shape_stop_the_read(spark, tmp_path, payload):
 def test_unknown_connectors_are_refused(spark):
     for name in ("no.such.module:X", "tidepool.sources.landed_pages:Nothing", "bare"):
         options = {"connector": name, "tables": [{"name": "t"}]}
-        with pytest.raises(ConfigurationError, match="no connector"):
+        with pytest.raises(InvalidSpec, match="no connector"):
             read_source(spark, SourceSpec(name="x", type="connector", options=options))
 
 

@@ -252,7 +252,7 @@ class Warehouse:
         st = self.state(dataset, table)
         return st is not None and st.batches.get(stream, -1) >= batch
 
-    def _read_files(self, st: TableState, files: list[DataFile] | None = None) -> DataFrame:
+    def read_files(self, st: TableState, files: list[DataFile] | None = None) -> DataFrame:
         """The rows of ``files`` (all live ones), with their bucket."""
         fields = list(st.schema.fields)
         if st.buckets:
@@ -272,7 +272,7 @@ class Warehouse:
             raise LoadError(f"Table does not exist: {dataset}.{table}{after}")
         if load_seq is not None and load_seq < self.state(dataset, table).oldest:
             raise LoadError(f"{dataset}.{table} after load {load_seq} is vacuumed")
-        df = self._read_files(st)
+        df = self.read_files(st)
         return df.drop(BUCKET) if st.buckets else df
 
     def _tables(self) -> list[tuple[str, str]]:
@@ -385,7 +385,7 @@ class Warehouse:
     def _compact(self, st: TableState, files: list[DataFile], file_bytes: int) -> LoadResult:
         load_id = uuid.uuid4().hex[:16]
         folder = load_folder(st.version_path, load_id)
-        _, rows = evolve(st.schema, self._read_files(st, files))
+        _, rows = evolve(st.schema, self.read_files(st, files))
         obs = Observation(f"compact_{load_id}")
         if st.buckets:
             rows = rows.repartition(min(st.buckets, len({f.bucket for f in files})), BUCKET)
@@ -667,10 +667,10 @@ class Warehouse:
         staged = staged.repartition(buckets, BUCKET)
         if moved:
             files = list(st.files.values())
-            current = self._read_files(st).withColumn(BUCKET, bucket_of(pk, buckets))
+            current = self.read_files(st).withColumn(BUCKET, bucket_of(pk, buckets))
         else:
             files = self._touched_files(st, keys, touched)
-            current = self._read_files(st, files).where(F.col(BUCKET).isin(touched))
+            current = self.read_files(st, files).where(F.col(BUCKET).isin(touched))
         _, target = evolve(schema, current)
         target = target.repartition(buckets, BUCKET)
         on = [*pk, BUCKET]

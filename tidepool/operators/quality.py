@@ -8,12 +8,16 @@ Each test returns a small DataFrame ``(test, table_name, column_name, failures)`
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidepool.operators.load import BUCKET, Warehouse
+from tidepool.operators.tablelog import DataFile, TableState
+
 RESULT_COLUMNS = ("test", "table_name", "column_name", "failures")
 
 
@@ -66,6 +70,100 @@ def unique(df: DataFrame, table_name: str, column: str) -> DataFrame:
     )
 
 
+# Bucket groups of one job: what bounds its plan.
+GROUPS = 64
+BUCKET_FAILURES = "bucket int, layout string, files string, failures bigint"
+
+
+def _digest(parts: Iterable[str]) -> str:
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()
+
+
+def _bucket_groups(by_bucket: dict[int, list[DataFile]], most_bytes: int, tasks: int) -> list[list[DataFile]]:
+    """The files of whole buckets in groups of at most ``most_bytes`` (a larger bucket is a group
+    of its own), and in as many groups as there are tasks where they are small."""
+    size = {b: sum(f.bytes for f in files) for b, files in by_bucket.items()}
+    limit = min(most_bytes, -(-sum(size.values()) // max(tasks, 1)))
+    groups: list[list[DataFile]] = []
+    room = 0
+    for b, files in sorted(by_bucket.items()):
+        if not groups or size[b] > room:
+            groups.append([])
+            room = limit
+        groups[-1] += files
+        room -= size[b]
+    return groups
+
+
+def duplicates_by_bucket(warehouse: Warehouse, st: TableState, groups: list[list[DataFile]]) -> DataFrame:
+    """(bucket, failures): duplicated keys of every bucket, without an exchange.
+
+    Equal keys share a bucket, so a task that reads whole buckets can count them alone: each group
+    (the files of whole buckets) is one partition, which the grouping by key is already clustered
+    on.  Only the key columns are read.
+    """
+    keys = [F.col(f"`{k}`") for k in st.primary_key]
+    present = F.lit(True)
+    for k in keys:
+        present = present & k.isNotNull()
+    parts = []
+    for files in groups:
+        rows = warehouse.read_files(st, files).where(present).select(F.col(BUCKET).alias("__bucket"), *keys)
+        counted = rows.coalesce(1).groupBy("__bucket", *keys).agg(F.count(F.lit(1)).alias("__n"))
+        failures = F.count_if(F.col("__n") > 1).cast("bigint").alias("failures")
+        parts.append(counted.groupBy(F.col("__bucket").alias("bucket")).agg(failures))
+    return union_results(parts)
+
+
+def unique_in_buckets(warehouse: Warehouse, dataset: str, table: str) -> DataFrame:
+    """``unique`` of a bucketed table's key (all its columns together), bucket by bucket.
+
+    The failures of every bucket are kept as the table ``<table>__unique`` of the same dataset, with a
+    digest of the files they were counted in.  A later run counts only buckets whose files have
+    changed since; a new bucket count, key or version changes all of them.  The table is read in
+    jobs of ``GROUPS`` bucket groups; what is collected has one row per bucket.  Keys with a NULL
+    are ignored.  A table without buckets takes the shuffled way, with the same result.
+    """
+    st = warehouse.state(dataset, table)
+    if st is None or not st.primary_key:
+        raise ValueError(f"{dataset}.{table} has no key to test")
+    spark = warehouse.spark
+    name = ",".join(st.primary_key)
+    if not st.buckets:
+        keys = [F.col(f"`{k}`") for k in st.primary_key]
+        nulls = F.lit(False)
+        for k in keys:
+            nulls = nulls | k.isNull()
+        rows = warehouse.read(dataset, table).select(F.when(~nulls, F.struct(*keys)).alias("key"))
+        return unique(rows, table, "key").withColumns(
+            {"column_name": F.lit(name), "buckets_read": F.lit(None).cast("bigint")}
+        )
+    by_bucket: dict[int, list[DataFile]] = {}
+    for f in st.files.values():
+        by_bucket.setdefault(f.bucket, []).append(f)
+    layout = _digest([st.version_path, str(st.buckets), *st.primary_key])
+    files = {b: _digest(sorted(f.path for f in own)) for b, own in by_bucket.items()}
+    record = f"{table}__unique"
+    known = {}
+    if warehouse.state(dataset, record) is not None:
+        for r in warehouse.read(dataset, record).collect():  # one row per bucket
+            if r["layout"] == layout and files.get(r["bucket"]) == r["files"]:
+                known[r["bucket"]] = r["failures"]
+    changed = {b: own for b, own in by_bucket.items() if b not in known}
+    found = known | dict.fromkeys(changed, 0)  # a bucket of NULL keys alone has no row below
+    groups = _bucket_groups(changed, warehouse.bucket_bytes, spark.sparkContext.defaultParallelism)
+    for at in range(0, len(groups), GROUPS):
+        rows = duplicates_by_bucket(warehouse, st, groups[at : at + GROUPS])
+        found |= {r["bucket"]: r["failures"] for r in rows.collect()}  # one row per bucket
+    if changed:
+        rows = [(b, layout, files[b], n) for b, n in sorted(found.items())]
+        warehouse.load(spark.createDataFrame(rows, BUCKET_FAILURES), dataset, record, "replace")
+    result = [("unique", table, name, sum(found.values()), len(changed))]
+    return spark.createDataFrame(
+        result, "test string, table_name string, column_name string, failures bigint, buckets_read bigint"
+    )
+
+
 def union_results(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

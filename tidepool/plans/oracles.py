@@ -236,6 +236,13 @@ SCENARIO_ORACLES = {
         WITH o AS ({_O}), few AS (SELECT max(order_id) AS order_id FROM o GROUP BY order_id % 5)
         SELECT order_id, customer_id, CASE WHEN order_id IN (SELECT order_id FROM few) THEN 0.0 ELSE amount END AS amount,
                ordered_at FROM o""",
+    "dq_unique_buckets": f"""
+        WITH mart AS ({MART}),
+             v AS (SELECT run, customer_id FROM mart, range(1, 4) AS r(run)
+                   UNION ALL SELECT 2, customer_id FROM mart WHERE customer_id % 7 = 0),
+             k AS (SELECT run, customer_id, count(*) AS n FROM v WHERE customer_id IS NOT NULL GROUP BY ALL)
+        SELECT 'unique' AS test, 'customer_activity' AS table_name, 'customer_id' AS column_name,
+               CAST(count(*) FILTER (n > 1) AS BIGINT) AS failures, run FROM k GROUP BY run""",
     "mart_materialized": MART,
     "normalize_names": (
         "SELECT c_custkey AS cust_key, c_name AS customer_name, c_nationkey AS nation_key, "

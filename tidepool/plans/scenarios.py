@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.functions.datetime import format_ntz, parse_datetime_best_effort
-from tidepool.operators import normalize
+from tidepool.operators import normalize, quality
 from tidepool.operators.incremental import load_incremental
 from tidepool.operators.load import Warehouse
 from tidepool.plans import adhoc, landing, models
@@ -380,6 +380,26 @@ def q_load_merge_few_keys(spark, d):
     return wh.read("raw", "orders")
 
 
+def q_dq_unique_buckets(spark, d):
+    """The key of a bucketed table tested after every load, each time where files have changed.
+
+    The mart is loaded whole, some of its rows come twice by an append, and a merge of all of them
+    puts one row in the place of two.
+    """
+    wh = Warehouse(spark, scratch_dir(spark, "warehouse"), buckets=8)
+    rows = models.build_mart(raw_tables(spark, d))
+    again = rows.where("customer_id % 7 = 0")
+    out = None
+    for run, (batch, disposition) in enumerate(((rows, "replace"), (again, "append"), (again, "delete_insert"))):
+        wh.load(batch, "analytics", "customer_activity", disposition, primary_key=["customer_id"])
+        result = quality.unique_in_buckets(wh, "analytics", "customer_activity").drop("buckets_read")
+        result = result.withColumn("run", F.lit(run + 1).cast("long"))
+        out = result if out is None else out.unionByName(result)
+    if quality.unique_in_buckets(wh, "analytics", "customer_activity").first().buckets_read:
+        raise RuntimeError("a run without a load in between read buckets")
+    return out
+
+
 # -- normalization ----------------------------------------------------------------
 
 
@@ -658,6 +678,7 @@ SCENARIOS = {
     "load_log_replay": q_load_log_replay,
     "load_compact": q_load_compact,
     "load_merge_few_keys": q_load_merge_few_keys,
+    "dq_unique_buckets": q_dq_unique_buckets,
     "mart_materialized": q_mart_materialized,
     "normalize_names": q_normalize_names,
     "normalize_flatten": q_normalize_flatten,

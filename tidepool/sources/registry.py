@@ -22,7 +22,7 @@ from tidepool.sources import api_pages, jdbc
 from tidepool.sources.documents import read_json_documents
 from tidepool.sources.files import join_path, read_files
 from tidepool.sources.objectstore import s3a_options, s3a_path
-from tidepool.spec import ConfigurationError, Field, SourceSpec, require_valid
+from tidepool.spec import InvalidSpec, Field, SourceSpec, require_valid
 
 
 @dataclass(frozen=True)
@@ -59,7 +59,7 @@ def build_reader(spec: SourceSpec) -> ReaderFn:
         return _READERS[spec.type]
     except KeyError:
         known = ", ".join(supported_types())
-        raise ConfigurationError(f"{spec.name}: no reader for type {spec.type}; there are {known}") from None
+        raise InvalidSpec(f"{spec.name}: no reader for type {spec.type}; there are {known}") from None
 
 
 def read_source(spark: SparkSession, spec: SourceSpec) -> dict[str, TableRead]:
@@ -146,7 +146,7 @@ def database_reader(spark: SparkSession, spec: SourceSpec) -> dict[str, TableRea
     require_valid(opts, DATABASE_FIELDS, spec.name)
     url = os.environ.get(opts["credentials_env"])
     if url is None:
-        raise ConfigurationError(f"{spec.name}: the environment has no {opts['credentials_env']}")
+        raise InvalidSpec(f"{spec.name}: the environment has no {opts['credentials_env']}")
     engine, schema = opts["engine"], opts.get("schema")
     connection = jdbc.jdbc_connection(engine, url)
     partitioning = opts.get("partitioning") or {}
@@ -154,10 +154,10 @@ def database_reader(spark: SparkSession, spec: SourceSpec) -> dict[str, TableRea
     names = [t["name"] for t in tables]
     kinds = jdbc.relation_types(spark, connection, engine, schema, names)
     if missing := [n for n in names if n not in kinds]:
-        raise ConfigurationError(f"{spec.name}: the database has no {', '.join(missing)}")
+        raise InvalidSpec(f"{spec.name}: the database has no {', '.join(missing)}")
     views = [n for n in names if kinds[n] != jdbc.TABLE]
     if views and not opts.get("include_views"):
-        raise ConfigurationError(f"{spec.name}: {', '.join(views)} are views; set include_views to read them")
+        raise InvalidSpec(f"{spec.name}: {', '.join(views)} are views; set include_views to read them")
 
     def read(table: dict) -> DataFrame:
         name = table["name"]
@@ -192,7 +192,7 @@ def connector_reader(spark: SparkSession, spec: SourceSpec) -> dict[str, TableRe
     try:
         source = getattr(importlib.import_module(module), name)
     except (ImportError, AttributeError, ValueError) as problem:
-        raise ConfigurationError(f"{spec.name}: no connector {spec.options['connector']} ({problem})") from None
+        raise InvalidSpec(f"{spec.name}: no connector {spec.options['connector']} ({problem})") from None
     spark.dataSource.register(source)
 
     def read(table: dict) -> DataFrame:
@@ -214,7 +214,7 @@ def api_reader(spark: SparkSession, spec: SourceSpec) -> dict[str, TableRead]:
     require_valid(spec.options, API_FIELDS, spec.name)
     landing = spec.options.get("landing_url") or spec.options.get("base_url")
     if not landing:
-        raise ConfigurationError(f"{spec.name}.landing_url is missing")
+        raise InvalidSpec(f"{spec.name}.landing_url is missing")
 
     def read(resource: dict) -> TableRead:
         endpoint = resource.get("endpoint")
