@@ -601,12 +601,43 @@ TALK = [
 ]
 
 
-def test_quotes_match_sql(spark):
-    df = spark.createDataFrame(TALK, "conv_id long, turn long, role string, text string").selectExpr("*", "'x' as body", "1 as depth")
+#: Whole passages against single lines, nested levels, attributions of several languages, re-wrapped
+#: quotes, repeated rows and a turn with two texts.
+PASSAGES = [
+    (7, 0, "a", "ja\nnein"), (7, 1, "a", "Vielleicht\nja"), (7, 2, "b", "ja"),
+    (7, 3, "c", "X ha scritto:\n>  JA\n>\nnon lo so"), (7, 4, "d", "> ja\n>\n> Nein\nklar:"),
+    (7, 5, "e", "Klar, siehe:\n> nirgends gesagt\nalso:\n> klar:\n>> ja\n>> nein\nEnde"),
+    (7, 6, "f", "> vielleicht ja\n> nein\nhm"), (7, 6, "f", "> vielleicht ja\n> nein\nhm"), (7, 6, "f", "z:\n> hm"),
+    (7, 7, "g", "：\n>> Ende\n> Ende\n"), (7, 8, "h", "> " * 40 + "ende"), (8, 1, "a", "> ja"),
+    (8, 2, "a", "\r\n>\n>>\n"), (8, 3, "a", " > Ja:\n"), (8, 4, "b", "hinten:\n> ja:"), (8, 9, "b", "ja:\n\n> ja:"),
+]
+
+
+def test_passages_before_lines(spark):
+    df = spark.createDataFrame(PASSAGES, "conv_id long, turn long, role string, text string")
+    got = {(r["conv_id"], r["turn"], r["role"]): r for r in rows_of(quotes.reply_order(df))}
+    assert got[7, 3, "c"]["parent_turn"] == 2  # who said just that, not who said it first among other lines
+    assert got[7, 3, "c"]["body"] == "non lo so"
+    assert got[7, 4, "d"]["parent_turn"] == 0 and got[7, 4, "d"]["body"] == "klar:"
+    answer = got[7, 5, "e"]  # the attribution of an unlinked quote stays
+    assert (answer["parent_turn"], answer["n_linked"], answer["max_level"]) == (4, 3, 2)
+    assert answer["body"] == "Klar, siehe:\nEnde" and answer["root_turn"] == 0
+    assert got[7, 6, "f"]["parent_turn"] in (0, 5) and got[7, 8, "h"]["max_level"] == 40
+
+
+@pytest.mark.parametrize("talk", ["TALK", "PASSAGES", "random"])
+def test_quotes_match_sql(spark, talk):
+    if talk == "random":
+        draw = np.random.default_rng(5)
+        line = lambda: "> " * int(draw.integers(0, 3)) + " ".join(draw.choice(["ja", "no", "so:", ""], 2))
+        talk = [(int(draw.integers(0, 9)), k, "u", "\n".join(line() for _ in range(int(draw.integers(1, 6))))) for k in range(300)]
+    else:
+        talk = {"TALK": TALK, "PASSAGES": PASSAGES}[talk]
+    df = spark.createDataFrame(talk, "conv_id long, turn long, role string, text string").selectExpr("*", "'x' as body", "1 as depth")
     got = rows_of(quotes.reply_order(df))
     con = duckdb.connect()
     con.execute("create table conversations (conv_id bigint, turn bigint, role varchar, text varchar)")
-    con.executemany("insert into conversations values (?, ?, ?, ?)", TALK)
+    con.executemany("insert into conversations values (?, ?, ?, ?)", talk)
     cursor = con.execute(quotes.ORACLE_SQL)
     names = [c[0] for c in cursor.description]
     want = [dict(zip(names, r)) for r in cursor.fetchall()]
