@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import random
+import math
+import itertools
 import re
 import zlib
 from collections import Counter
@@ -508,6 +510,66 @@ def brute_counts(text):
     return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered)
 
 
+def brute_mcd(points):
+    """Count, mean and covariance of the subset of 75 % with the smallest floored determinant, of all subsets."""
+    floor = np.diag(np.square(quality_rules.FLOOR))
+    best = None
+    for subset in itertools.combinations(range(len(points)), math.ceil(quality_rules.COVER * len(points))):
+        own = points[list(subset)]
+        scatter = np.cov(own.T, bias=True) * quality_rules.CONSISTENCY
+        size = np.linalg.slogdet(scatter + floor)[1]
+        if best is None or size < best[0] - 1e-12:
+            best = (size, len(own), own.mean(axis=0), scatter)
+    return best[1:]
+
+
+def combined(own, wider):
+    n, mean, scatter = own
+    share, apart = n / (n + quality_rules.PRIOR), mean - wider[1]
+    mixed = share * scatter + (1 - share) * wider[2] + share * (1 - share) * np.outer(apart, apart)
+    return n, share * mean + (1 - share) * wider[1], mixed
+
+
+def test_outliers_match_brute_force(spark):
+    """All subsets are tried for every group, language and the whole; then every distance is compared."""
+    draw = np.random.default_rng(11)
+    scale = np.array([0.2, 0.1, 0.3, 0.2, 0.1])
+    # a quarter of every group lies far off, so the best subset is the rest, at every level
+    groups = {("=a", "=x"): 8, ("=a", "=y"): 4, ("=b", "=x"): 4, ("=b", ""): 1}
+    data = {}
+    for k, n in groups.items():
+        points = draw.normal(size=(n, 5)) * scale * 0.5 + 1.0
+        points[: n // 4] += 30 * scale * (1 + np.arange(n // 4)[:, None])
+        data[k] = points
+    rows = [(*k, *map(float, point)) for k, points in data.items() for point in points]
+    vectors = spark.createDataFrame(rows, "g1 string, g2 string, " + ", ".join(f"x{i} double" for i in range(5)))
+    got = {(r["g1"], r["g2"]): r for r in rows_of(quality_rules._group_estimates(vectors))}
+    assert set(got) == set(groups)
+    top = brute_mcd(np.concatenate(list(data.values())))
+    floor = np.diag(np.square(quality_rules.FLOOR))
+    for k, points in data.items():
+        language = brute_mcd(np.concatenate([v for (g, _), v in data.items() if g == k[0]]))
+        _, mean, scatter = combined(brute_mcd(points), combined(language, top))
+        assert np.allclose([got[k][f"m{i}"] for i in range(5)], mean)
+        factor = np.linalg.cholesky(scatter + floor)
+        assert np.allclose([got[k][f"l{i}_{j}"] for i in range(5) for j in range(i + 1)], factor[np.tril_indices(5)])
+        far = np.square(np.linalg.solve(factor, (points - mean).T)).sum(axis=0) > quality_rules.CUTOFF
+        assert far.tolist() == [i < len(points) // 4 for i in range(len(points))]
+
+
+def test_small_groups_reject_outliers(spark):
+    """A source of three documents has its own verdicts, as has a table of a few documents."""
+    clean = lambda k: " ".join(f"word{(i * 7 + k) % 211} und" for i in range(40 + k % 9))
+    junk = " ".join(f"##{i}## $$|%%" for i in range(60))
+    rows = [(k, clean(k), "de", "big", 0) for k in range(60)]
+    rows += [(100, clean(3), "de", "small", 0), (101, clean(5), "de", "small", 0), (102, junk, "de", "small", 0)]
+    kept = {r["doc_id"]: r["kept"] for r in rows_of(quality_rules.judge(spark.createDataFrame(rows, DOCS)))}
+    assert {k for k, v in kept.items() if not v} == {102}
+    few = spark.createDataFrame([r for r in rows if r[0] >= 55], DOCS)
+    kept = {r["doc_id"]: r["kept"] for r in rows_of(quality_rules.judge(few))}
+    assert {k for k, v in kept.items() if not v} == {102}
+
+
 def test_quality_rules(spark, documents, labels, edge, empty):
     texts = {r["doc_id"]: r["text"] for r in rows_of(documents.select("doc_id", "text"))}
     got = rows_of(quality_rules.judge(documents))

@@ -10,9 +10,12 @@ exceeds ``CUTOFF`` is rejected.
 Each step is one partially aggregated group-by of moments and one of quantile sketches, so a
 source with a third of all rows is summed map-side; estimates stay a table with one row per
 group and are joined back.  Scatter gets a floor per statistic (``FLOOR``): several statistics
-are zero in most clean texts, and a deviation below the floor is never evidence.  Groups with
-fewer than ``LEAST`` documents share one estimate; if that group is smaller still, it rejects
-nothing.
+are zero in most clean texts, and a deviation below the floor is never evidence.
+
+The same estimate is found for every language and for all documents, and a group's estimate is
+combined with its language's, and that with the one of all, as in a conjugate update: the wider
+one counts as ``PRIOR`` documents.  A group of a few documents so has nearly its language's
+estimate and one of thousands its own, by one rule at every size.
 """
 
 from __future__ import annotations
@@ -32,8 +35,11 @@ STATISTICS = ("word_length", "symbols", "lines", "repeats", "capitals")
 FLOOR = (0.08, 0.06, 0.15, 0.10, 0.06)
 COVER = 0.75
 STEPS = 4
-LEAST = 40
+#: Documents that the wider estimate counts as.
+PRIOR = 40.0
 SPREAD = 32
+#: Stands for all sources of a language, and for all languages.
+ALL = "*"
 #: Squared distance: the chi-square quantile of 5 degrees of freedom at 0.999.
 CUTOFF = 20.5
 #: Consistency of the covariance of the nearest 75 % for normal data in 5 dimensions.
@@ -132,17 +138,29 @@ def _squared_distance(columns: list[Column], prefix: str = "") -> Column:
     return solve(0, [])
 
 
-def _scatter(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Mean, Cholesky factor of the floored covariance, its log-determinant and the row count."""
+def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Row count n, mean m<i> and covariance s<i>_<j> (made consistent) of every group."""
     p = len(STATISTICS)
     x = [F.col(f"x{i}") for i in range(p)]
-    moments = [F.count("*").alias("n")]
-    moments += [F.avg(x[i]).alias(f"m{i}") for i in range(p)]
-    moments += [F.avg(x[i] * x[j]).alias(f"s{i}_{j}") for i in range(p) for j in range(i + 1)]
-    out = rows.groupBy(*keys).agg(*moments)
+    sums = [F.count("*").alias("n")]
+    sums += [F.avg(x[i]).alias(f"m{i}") for i in range(p)]
+    sums += [F.avg(x[i] * x[j]).alias(f"q{i}_{j}") for i in range(p) for j in range(i + 1)]
+    spread = [
+        ((F.col(f"q{i}_{j}") - F.col(f"m{i}") * F.col(f"m{j}")) * CONSISTENCY).alias(f"s{i}_{j}")
+        for i in range(p)
+        for j in range(i + 1)
+    ]
+    return rows.groupBy(*keys).agg(*sums).select(*keys, "n", *(f"m{i}" for i in range(p)), *spread)
+
+
+def _factored(table: DataFrame) -> DataFrame:
+    """``table`` with the Cholesky factor l<i>_<j> of its floored covariance and the factor's
+    log-determinant, size."""
+    p = len(STATISTICS)
+    out = table
     for i in range(p):
         for j in range(i + 1):
-            value = (F.col(f"s{i}_{j}") - F.col(f"m{i}") * F.col(f"m{j}")) * CONSISTENCY
+            value = F.col(f"s{i}_{j}")
             if i == j:
                 value = F.greatest(value, F.lit(0.0)) + FLOOR[i] ** 2
             for k in range(j):
@@ -152,9 +170,26 @@ def _scatter(rows: DataFrame, keys: list[str]) -> DataFrame:
             else:
                 value = value / F.col(f"l{j}_{j}")
             out = out.withColumn(f"l{i}_{j}", value)
-    out = out.withColumn("size", sum((F.log(f"l{i}_{i}") for i in range(p)), F.lit(0.0)))
-    kept = [f"m{i}" for i in range(p)] + [f"l{i}_{j}" for i in range(p) for j in range(i + 1)]
-    return out.select(*keys, "n", "size", *kept)
+    return out.withColumn("size", sum((F.log(f"l{i}_{i}") for i in range(p)), F.lit(0.0)))
+
+
+def _combined(own: DataFrame, wider: DataFrame, keys: list[str]) -> DataFrame:
+    """The moments of ``own`` after ``wider``, whose rows ``keys`` select, counted as ``PRIOR`` documents.
+
+    The mean and covariance of both together, the distance of their means included (the update of
+    a normal-inverse-Wishart prior).  Both have one row per group.
+    """
+    p = len(STATISTICS)
+    names = [f"m{i}" for i in range(p)] + [f"s{i}_{j}" for i in range(p) for j in range(i + 1)]
+    wide = wider.select(*keys, *(F.col(c).alias(f"w_{c}") for c in names))
+    share = F.col("n") / (F.col("n") + PRIOR)
+    apart = [F.col(f"m{i}") - F.col(f"w_m{i}") for i in range(p)]
+    mixed = {c: share * F.col(c) + (1 - share) * F.col(f"w_{c}") for c in names}
+    for i in range(p):
+        for j in range(i + 1):
+            mixed[f"s{i}_{j}"] = mixed[f"s{i}_{j}"] + share * (1 - share) * apart[i] * apart[j]
+    kept = [c for c in own.columns if c not in names]
+    return own.join(wide, keys).select(*kept, *(mixed[c].alias(c) for c in names))
 
 
 def _spread_join(rows: DataFrame, per_group: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -169,7 +204,7 @@ def _spread_join(rows: DataFrame, per_group: DataFrame, keys: list[str], how: st
 
 
 def _estimates(vectors: DataFrame) -> DataFrame:
-    """The winning centre and scatter of every group of ``vectors(g1, g2, x0..)``."""
+    """Moments (n, m<i>, s<i>_<j>) of the winning subset of every group of ``vectors(g1, g2, x0..)``."""
     p = len(STATISTICS)
     keys = ["g1", "g2"]
     x = [F.col(f"x{i}") for i in range(p)]
@@ -200,10 +235,30 @@ def _estimates(vectors: DataFrame) -> DataFrame:
         now = materialize(now, "op6-step")
         limit = now.groupBy(*keyed).agg(F.percentile_approx("d2", COVER, 1000).alias("limit"))
         near = _spread_join(now, limit, keyed).where("d2 <= limit")
-        estimate = materialize(_scatter(near, keyed), "op6-scatter")
+        estimate = materialize(_factored(_moments(near, keyed)), "op6-scatter")
         now = _spread_join(both, estimate, keyed).select(*keyed, *x, _squared_distance(x).alias("d2"))
     best = estimate.groupBy(*keys).agg(F.min(F.struct("size", "start")).alias("best"))
-    return estimate.join(best, keys).where("start = best.start").drop("start", "best", "size", "n")
+    found = estimate.join(best, keys).where("start = best.start")
+    return found.select(*keys, "n", *(c for c in found.columns if c[0] in "ms" and c[1].isdigit()))
+
+
+def _levels(vectors: DataFrame) -> DataFrame:
+    """Every vector in its group, in its language and among all."""
+    levels = [(F.col("g1"), F.col("g2")), (F.col("g1"), F.lit(ALL)), (F.lit(ALL), F.lit(ALL))]
+    groups = F.array(*(F.struct(a.alias("g1"), b.alias("g2")) for a, b in levels))
+    rest = [c for c in vectors.columns if c not in ("g1", "g2")]
+    return vectors.select(F.explode(groups).alias("g"), *rest).select("g.*", *rest)
+
+
+def _group_estimates(vectors: DataFrame) -> DataFrame:
+    """Centre m<i> and Cholesky factor l<i>_<j> of every group, combined with the wider estimates."""
+    found = materialize(_estimates(materialize(_levels(vectors), "op6-vectors")), "op6-estimates")
+    top = found.where((F.col("g1") == ALL) & (F.col("g2") == ALL)).withColumnRenamed("g1", "top")
+    languages = found.where((F.col("g1") != ALL) & (F.col("g2") == ALL)).withColumn("top", F.lit(ALL))
+    languages = _combined(languages, top.drop("g2"), ["top"])
+    groups = _combined(found.where(F.col("g2") != ALL), languages, ["g1"])
+    factored = materialize(_factored(groups), "op6-factors")
+    return factored.select("g1", "g2", *(c for c in factored.columns if c[0] in "ml" and c[1].isdigit()))
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -212,8 +267,7 @@ def judge(docs: DataFrame) -> DataFrame:
 
     Defined results: a null or empty text has zero counts and fails the base rules; null
     languages and sources are groups of their own; repeated rows come back once each; equal
-    distances share a verdict; distance2 is null where the base rules fail or the group has no
-    estimate; an empty table gives an empty result; other columns are ignored.
+    distances share a verdict; distance2 is null where the base rules fail; an empty table gives an empty result; other columns are ignored.
     """
     rows = docs.select(
         "doc_id",
@@ -225,20 +279,11 @@ def judge(docs: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     counted = counted.withColumn("base_failed", failed).withColumn("v", F.array(*_vector()))
     counted = materialize(counted, "op6-counts")
-    sizes = counted.where("not base_failed").groupBy("g1", "g2").agg(F.count("*").alias("members"))
-    small = F.coalesce(F.col("members") < LEAST, F.lit(True))
-    grouped = _spread_join(counted, sizes, ["g1", "g2"], "left").select(
-        *(c for c in counted.columns if c not in ("g1", "g2")),
-        F.when(small, "").otherwise(F.col("g1")).alias("g1"),
-        F.when(small, "<small>").otherwise(F.col("g2")).alias("g2"),
-    )
     x = [F.get("v", i) for i in range(len(STATISTICS))]
-    vectors = grouped.where("not base_failed").select(
+    vectors = counted.where("not base_failed").select(
         "g1", "g2", *(c.alias(f"x{i}") for i, c in enumerate(x))
     )
-    enough = vectors.groupBy("g1", "g2").agg(F.count("*").alias("members")).where(F.col("members") >= LEAST)
-    estimates = _estimates(materialize(vectors, "op6-vectors")).join(enough, ["g1", "g2"], "left_semi")
-    out = _spread_join(grouped, estimates, ["g1", "g2"], "left")
+    out = _spread_join(counted, _group_estimates(vectors), ["g1", "g2"], "left")
     distance = F.when(~F.col("base_failed"), _squared_distance(x))
     out = out.withColumn("distance2", distance)
     return out.select(
