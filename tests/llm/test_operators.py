@@ -291,6 +291,14 @@ def test_quality_classifier(documents, labels, edge, empty):
     assert {r["score"] for r in none} == {0.5}
 
 
+def test_classifier_sample_is_held_once_on_the_driver(documents, labels, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality_classifier, "train", lambda samples: seen.extend(samples) or (None, 0.0))
+    quality_classifier.fit(documents, labels)
+    assert seen and all(ids.dtype == np.uint16 and not ids.flags.owndata for _, ids, _ in seen)
+    assert all(len(ids) == len(weights) and abs(weights.sum() - 1) < 1e-3 for _, ids, weights in seen if len(ids))
+
+
 # -- 3 ------------------------------------------------------------------------------------
 
 
