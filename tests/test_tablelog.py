@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -235,3 +236,37 @@ def test_audit_reads_all_logs(spark, tmp_path):
     got = rows(wh.audit().select("table_name", "load_seq", "rows_loaded", "files_added"))
     assert [g[:3] for g in got] == [("a", 1, 4), ("a", 2, 4), ("a", 3, 4), ("a", 4, 4), ("b", 1, 4), ("b", 2, 4), ("b", 3, 4)]
     assert json.loads(wh.audit().first().table_schema)["type"] == "struct"
+
+
+@pytest.mark.parametrize("disposition", ["merge", "insert_ignore", "delete_insert"])
+def test_large_buckets_are_written_by_several_tasks(spark, tmp_path, monkeypatch, disposition):
+    def states(root):
+        wh = Warehouse(spark, str(tmp_path / root), buckets=2, file_rows=300)
+        rows = spark.range(4000).select("id", F.lit("old").alias("v"))
+        wh.load(rows, "ds", "t", "append", primary_key=["id"])
+        wh.load(rows.where("id % 7 = 0").union(spark.createDataFrame([(None, "x")], "id long, v string")), "ds", "t", "append")
+        gone = spark.range(3000, 3100) if disposition == "delete_insert" else None
+        batch = spark.range(2000, 5000).select("id", F.lit("new").alias("v"))
+        wh.capture_plans = True
+        wh.load(batch, "ds", "t", disposition, delete_keys=gone)
+        plan = dict(wh.plans)[{"merge": "merge buckets", "insert_ignore": "insert buckets"}.get(disposition, "delete-insert buckets")]
+        return wh, wh.state("ds", "t"), plan
+
+    one, before, _ = states("one")
+    monkeypatch.setattr("tidepool.operators.load.TASK_ROWS", 500)
+    many, after, plan = states("many")
+    for n in (1, 2, 3):
+        assert rows(one.read("ds", "t", n).na.fill(-1)) == rows(many.read("ds", "t", n).na.fill(-1))
+    # each load's tasks: the number in a part file's name; ranges of files of a bucket do not overlap
+    by_load = {}
+    for f in after.files.values():
+        by_load.setdefault((f.load_id, f.bucket), []).append(f)
+    assert max(len({f.path.rpartition("part-")[2][:5] for f in own}) for own in by_load.values()) >= 4
+    for own in by_load.values():
+        own = sorted(own, key=lambda f: f.low)
+        assert disposition != "merge" or all(a.high <= b.low for a, b in zip(own, own[1:]))
+    assert len({f.path.rpartition("part-")[2][:5] for f in before.files.values()}) <= 6
+    exchanges = re.findall(r"\) Exchange\n.*\nArguments: (\w+)", plan)  # one a side, whether or not one is broadcast
+    assert set(exchanges) == {"shufflepartitionidpassthrough"} and len(exchanges) >= 2
+    many.compact("ds", "t", file_bytes=1 << 30)
+    assert rows(one.read("ds", "t").na.fill(-1)) == rows(many.read("ds", "t").na.fill(-1))

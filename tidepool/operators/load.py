@@ -15,6 +15,8 @@ after every load until ``vacuum``.
 
 Tables that keyed loads go into are bucketed by ``pmod(xxhash64(key), buckets)``, and inside a
 bucket files are sorted by that hash and cut at ``file_rows``; the log holds each file's range.
+A task sorts and writes one bucket, or of a larger one a slice: an equal range of hashes, of about
+``TASK_BYTES`` and ``TASK_ROWS``.  So that their number is known, batches are staged as they come.
 ``merge``, ``insert_ignore`` and ``delete_insert`` read only the files whose range holds a hash of
 the batch, and rewrite only those.  The number of buckets follows the table's bytes.
 ``compact`` puts small files together.
@@ -32,6 +34,7 @@ import json
 import uuid
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -44,7 +47,7 @@ from pyspark.sql.types import (
 )
 
 from tidepool.operators.tablelog import FOLD, LOG_FILES, SNAPSHOT_EVERY, DataFile, TableLog, TableState
-from tidepool.session import scratch_dir, session_conf
+from tidepool.session import delete_path, scratch_dir, session_conf
 
 # Join on (key, bucket) over inputs hash-partitioned on the bucket alone: no second
 # exchange, and every task holds whole buckets (one output file per bucket).
@@ -55,9 +58,13 @@ BUCKET_LOCAL_JOIN = {"spark__sql__requireAllClusterKeysForCoPartition": "false"}
 DISPOSITIONS = ("append", "replace", "merge", "insert_ignore", "delete_insert")
 KEYED = ("merge", "insert_ignore", "delete_insert")
 BUCKET = "_bucket"
+PART = "__part"
 LOAD = "_load"
 LEAST_BUCKETS = 8
-BUCKET_BYTES = 512 << 20  # Parquet bytes that one task of a merge rewrites
+BUCKET_BYTES = 512 << 20  # Parquet bytes of a bucket
+TASK_BYTES = 16 << 20  # Parquet bytes, and rows, that one task of a keyed load sorts
+TASK_ROWS = 1 << 19
+CELLS = 4  # ranges of hashes a file, in which a merge looks for the batch's keys
 
 FILE_ROWS = 1 << 20  # rows of a file of a bucketed table
 FILE_BYTES = 128 << 20  # what ``compact`` aims at
@@ -114,6 +121,25 @@ def bucket_of(primary_key: tuple[str, ...], buckets: int) -> Column:
     return F.pmod(key_hash(primary_key), F.lit(buckets)).cast("int")
 
 
+def slices_of(buckets: int, size: int, rows: int) -> int:
+    """Slices of a bucket (a power of two), so that a task sorts ``TASK_BYTES`` and ``TASK_ROWS`` at most."""
+    slices = 1
+    while slices * buckets * TASK_BYTES < size or slices * buckets * TASK_ROWS < rows:
+        slices *= 2
+    return slices
+
+
+def deal(df: DataFrame, primary_key: tuple[str, ...], buckets: int, slices: int) -> DataFrame:
+    """A whole bucket in each task, or with ``slices`` an equal range of its hashes: task ``PART``.
+
+    Neighbouring hashes meet in one task, so the ranges of a load's files do not overlap.
+    """
+    if slices == 1:
+        return df.repartition(buckets, BUCKET)
+    top = F.shiftrightunsigned(key_hash(primary_key), 65 - slices.bit_length()).cast("int")
+    return df.withColumn(PART, F.col(BUCKET) * slices + top).repartitionById(buckets * slices, F.col(PART))
+
+
 def load_folder(version: str, load_id: str) -> str:
     return f"{version}/{LOAD}=l-{load_id}"
 
@@ -388,7 +414,8 @@ class Warehouse:
         _, rows = evolve(st.schema, self.read_files(st, files))
         obs = Observation(f"compact_{load_id}")
         if st.buckets:
-            rows = rows.repartition(min(st.buckets, len({f.bucket for f in files})), BUCKET)
+            slices = slices_of(st.buckets, sum(f.bytes for f in files), sum(f.rows for f in files))
+            rows = deal(rows, st.primary_key, st.buckets, slices)
             n = self._write("compact buckets", rows, folder, st.buckets, obs, st.primary_key)
         else:
             # the open cost is what Spark adds to each file's size when it packs them
@@ -427,13 +454,34 @@ class Warehouse:
         """Write a load's folder, a bucket's files sorted by their keys' hash; returns its rows."""
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         if buckets:  # above the count: an empty stage below a sort is dropped, with its metrics
-            df = df.sortWithinPartitions(BUCKET, key_hash(primary_key))
+            df = df.drop(PART).sortWithinPartitions(BUCKET, key_hash(primary_key))
         writer = self._capture(label, df).write.mode("errorifexists")
         if buckets:
             writer = writer.partitionBy(BUCKET).option("maxRecordsPerFile", self.file_rows)
         writer.parquet(path)
         return int(obs.get["rows"])
 
+    def _stage(self, label: str, df: DataFrame, path: str) -> tuple[DataFrame, int, int, list[int]]:
+        """Write a bucketed batch as it comes, without a shuffle: the rows as read again, their
+        number and bytes, and the buckets they are in (at most as many ints)."""
+        obs = Observation(f"batch_{uuid.uuid4().hex[:8]}")
+        rows = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(BUCKET).alias("touched"))
+        self._capture(label, rows).write.parquet(path)
+        fs, jpath = self._fs(path)
+        told = obs.get
+        staged = self.spark.read.schema(df.schema).parquet(path)
+        return staged, int(told["rows"]), fs.getContentSummary(jpath).getLength(), sorted(told["touched"] or [])
+
+    def _write_buckets(self, label, df, path, buckets, obs, primary_key) -> int:
+        """Write a batch into a folder of its own by buckets; its size is known once it is staged."""
+        staging = scratch_dir(self.spark, "bucket-batch")
+        try:
+            staged, rows, size, _ = self._stage(f"stage {label}", df, staging)
+            dealt = deal(staged, primary_key, buckets, slices_of(buckets, size, rows))
+            return self._write(label, dealt, path, buckets, obs, primary_key)
+        finally:
+            delete_path(self.spark, staging)
+
     def _written(
         self, version: str, folder: str, schema: StructType, primary_key: tuple[str, ...], buckets: int | None
     ) -> list[DataFile]:
@@ -555,14 +603,15 @@ class Warehouse:
         read: list[DataFile] = []
         replaced: list[DataFile] = []
         if st is None or disposition in ("replace", "append"):
-            if buckets:  # whole buckets per task: one file per bucket, not per task
-                aligned = aligned.repartition(buckets, BUCKET)
-            rows = self._write(f"write {folder}", aligned, folder, buckets, out_obs, pk)
+            if buckets:
+                rows = self._write_buckets(f"write {folder}", aligned, folder, buckets, out_obs, pk)
+            else:
+                rows = self._write(f"write {folder}", aligned, folder, None, out_obs)
             wrote = True
         else:
             gone = None
             if disposition == "delete_insert" and delete_keys is not None:
-                gone = delete_keys.select(*[_q(k) for k in pk]).distinct()
+                gone = delete_keys.select(*[_q(k) for k in pk])
                 gone = gone.withColumn(BUCKET, bucket_of(pk, buckets))
             reset = st.buckets != buckets or st.primary_key != pk
             rows, wrote, read = self._merge(
@@ -605,13 +654,13 @@ class Warehouse:
         """Write the new rows of the files the batch touches; returns the rows of the batch
         that were loaded, whether a folder was written, and the table's files that were read.
 
-        1. The deduplicated batch is staged (one file per bucket).  The same job
-           observes its row count and the set of buckets it touches (at most
-           ``buckets`` small ints).  Staging also cuts the lineage to the source.
+        1. The deduplicated batch is staged as it comes.  The same job observes its row
+           count and the set of buckets it touches (at most ``buckets`` small ints).
+           Staging also cuts the lineage to the source.
         2. The table's files whose range of hashes holds one of the batch are read and
-           joined with the staged batch; both sides are hash-partitioned on the bucket,
-           so the join on ``(key, bucket)`` needs no further exchange and each task
-           produces whole buckets.  If the number of buckets or the key changes, all rows of the
+           joined with the staged batch; both sides are dealt to buckets, or to slices
+           of buckets where the rows are many, so the join on ``(key, bucket)`` needs no
+           further exchange.  If the number of buckets or the key changes, all rows of the
            table are read and move into their new buckets.
         3. The result goes to the load's own folder.  The files being read are never
            replaced, so retried tasks and concurrent readers see intact input.
@@ -621,40 +670,42 @@ class Warehouse:
             return self._merge_staged(st, schema, batch, disposition, folder, obs, pk, buckets, gone, staging)
         finally:
             for path in staging:
-                fs, jpath = self._fs(path)
-                fs.delete(jpath, True)
+                delete_path(self.spark, path)
 
     def _touched_files(self, st: TableState, keys: list[DataFrame], touched: list[int]) -> list[DataFile]:
         """Live files of the touched buckets whose range of hashes holds that of a key.
 
-        Buckets with one file need no look; else the files' ranges, one row each, are semi-joined
-        with the staged keys of their bucket.
+        Buckets with one file need no look.  Else the hashes of the staged keys are reduced to the
+        least and greatest of each of a few cells a file, and files whose range meets none of these
+        are left out.  What is collected is metadata like the files' ranges: at most one row a key,
+        and twice ``CELLS`` a file where buckets have equally many.
         """
-        buckets = set(touched)
-        files = [f for f in st.files.values() if f.bucket in buckets]
-        if len(files) <= len({f.bucket for f in files}):
+        among = set(touched)
+        files = [f for f in st.files.values() if f.bucket in among]
+        count: dict[int, int] = {}
+        for f in files:
+            count[f.bucket] = count.get(f.bucket, 0) + 1
+        if len(files) <= len(count):
             return files
-        ranges = self.spark.createDataFrame(
-            [(i, f.bucket, f.low, f.high) for i, f in enumerate(files)], f"i int, {BUCKET} int, low long, high long"
-        )
-        hashes = None
+        bits = (CELLS * max(count.values())).bit_length()
+        cells = None
         for part in keys:
-            part = part.select(BUCKET, key_hash(st.primary_key).alias("__h"))
-            hashes = part if hashes is None else hashes.union(part)
-        within = (ranges[BUCKET] == hashes[BUCKET]) & F.col("__h").between(F.col("low"), F.col("high"))
-        return [files[r["i"]] for r in ranges.join(hashes, within, "left_semi").select("i").collect()]
+            part = part.select(BUCKET, key_hash(st.primary_key).alias("h"))
+            cells = part if cells is None else cells.union(part)
+        cells = cells.groupBy(BUCKET, F.shiftright("h", 64 - bits)).agg(F.min("h").alias("low"), F.max("h").alias("high"))
+        found = cells.select(BUCKET, "low", "high").orderBy(BUCKET, "low").toArrow()
+        bucket, low, high = (found.column(c).to_numpy() for c in (BUCKET, "low", "high"))
+        of = {b: slice(*np.searchsorted(bucket, [b, b + 1])) for b in count}
+        out = []
+        for f in files:
+            at = int(np.searchsorted(high[of[f.bucket]], f.low))  # the first cell that ends at or after it
+            if count[f.bucket] == 1 or (at < len(low[of[f.bucket]]) and low[of[f.bucket]][at] <= f.high):
+                out.append(f)
+        return out
 
     def _merge_staged(self, st, schema, batch, disposition, folder, obs, pk, buckets, gone, staging):
         moved = st.buckets != buckets or st.primary_key != pk
-        with_bucket = StructType(list(schema.fields) + [StructField(BUCKET, IntegerType(), True)])
-        batch_obs = Observation(f"batch_{uuid.uuid4().hex[:8]}")
-        staged_batch = batch.repartition(buckets, BUCKET).observe(
-            batch_obs, F.count(F.lit(1)).alias("rows"), F.collect_set(BUCKET).alias("touched")
-        )
-        self._capture("stage merge batch", staged_batch).write.partitionBy(BUCKET).parquet(staging[0])
-        metrics = batch_obs.get
-        batch_rows, touched = int(metrics["rows"]), sorted(metrics["touched"] or [])
-        staged = self.spark.read.schema(with_bucket).parquet(staging[0])
+        staged, batch_rows, size, touched = self._stage("stage merge batch", batch, staging[0])
         keys = [staged]
         if gone is not None:
             gone.write.parquet(staging[1])
@@ -664,7 +715,6 @@ class Warehouse:
             keys.append(gone)
         if not touched and not moved:
             return 0, False, []
-        staged = staged.repartition(buckets, BUCKET)
         if moved:
             files = list(st.files.values())
             current = self.read_files(st).withColumn(BUCKET, bucket_of(pk, buckets))
@@ -672,10 +722,11 @@ class Warehouse:
             files = self._touched_files(st, keys, touched)
             current = self.read_files(st, files).where(F.col(BUCKET).isin(touched))
         _, target = evolve(schema, current)
-        target = target.repartition(buckets, BUCKET)
-        on = [*pk, BUCKET]
+        slices = slices_of(buckets, size + sum(f.bytes for f in files), batch_rows + sum(f.rows for f in files))
+        staged, target = (deal(df, pk, buckets, slices) for df in (staged, target))
+        on = [*pk, BUCKET, *([PART] if slices > 1 else [])]
         if disposition == "insert_ignore":
-            fresh = staged.join(target.select(*on), on, "left_anti")
+            fresh = staged.join(target.select(*on), on, "left_anti").select(*staged.columns)
             if moved:
                 fresh_obs = Observation(f"fresh_{uuid.uuid4().hex[:8]}")
                 fresh = fresh.observe(fresh_obs, F.count(F.lit(1)).alias("rows"))
@@ -684,11 +735,10 @@ class Warehouse:
                 rows = self._write("insert buckets", fresh, folder, buckets, obs, pk)
             return int(fresh_obs.get["rows"]) if moved else rows, True, files
         if disposition == "delete_insert":
-            # keys of the batch (distinct within each bucket partition: no exchange)
-            replaced = staged.select(*on)
+            # keys that come twice do no harm to an anti join
+            kept = target.join(staged.select(*on), on, "left_anti").select(*target.columns)
             if gone is not None:
-                replaced = replaced.unionByName(gone.select(*on).repartition(buckets, BUCKET))
-            kept = target.join(replaced.distinct(), on, "left_anti")
+                kept = kept.join(deal(gone, pk, buckets, slices).select(*on), on, "left_anti").select(*target.columns)
             with session_conf(self.spark, **BUCKET_LOCAL_JOIN):
                 self._write("delete-insert buckets", kept.unionByName(staged), folder, buckets, obs, pk)
             return batch_rows, True, files
