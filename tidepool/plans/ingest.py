@@ -28,7 +28,7 @@ from tidepool.operators.normalize import (
     row_key,
     snake_case,
 )
-from tidepool.session import delete_path
+from tidepool.session import delete_path, scratch_dir
 from tidepool.sources.registry import TableRead, read_source
 from tidepool.spec import SourceSpec
 
@@ -103,9 +103,25 @@ def load_table(
     if cursor:  # incremental: only rows at or after the table's high-water mark
         df = pending_rows(df, warehouse, spec.dataset_name, table, cursor, primary_key)
     keyed_merge = spec.write_disposition == "merge" and bool(primary_key)
+    lists = any(isinstance(f.dataType, ArrayType) for f in df.schema.fields)
+    if not (normalize and keyed_merge and lists):
+        return _load_parts(warehouse, spec, table, read, df, primary_key, order_by, cursor, normalize)
+    # only the winners' lists move; written once, since each of the tables reads them
+    path = scratch_dir(warehouse.spark, "winners")
+    try:
+        dedupe_last(df, primary_key, order_by).write.parquet(path)
+        df = warehouse.spark.read.schema(df.schema).parquet(path)
+        return _load_parts(warehouse, spec, table, read, df, primary_key, order_by, cursor, normalize, deduped=True)
+    finally:
+        delete_path(warehouse.spark, path)
+
+
+def _load_parts(
+    warehouse: Warehouse, spec: SourceSpec, table: str, read: TableRead, df: DataFrame, primary_key: tuple[str, ...],
+    order_by: tuple[str, ...], cursor: str | None, normalize: bool, deduped: bool = False,
+) -> list[LoadResult]:
+    keyed_merge = spec.write_disposition == "merge" and bool(primary_key)
     if normalize and df.columns:
-        if keyed_merge and any(isinstance(f.dataType, ArrayType) for f in df.schema.fields):
-            df = dedupe_last(df, primary_key, order_by)  # only the winners' lists move
         parts = split_tables(table, df, primary_key, flat=True)
     else:
         parts = [TableLoad(table, df, primary_key, False)]
@@ -127,7 +143,7 @@ def load_table(
                 cursor_column=None if part.child else cursor,
                 source=spec.name,
                 buckets=read.buckets,
-                dedupe=not part.child,
+                dedupe=not (part.child or deduped),
                 # lists of incoming parents are replaced whole, empty ones included
                 delete_keys=df.select(incoming.alias(part.primary_key[0])) if part.child and keyed_merge else None,
             )
