@@ -959,3 +959,39 @@ def test_disclosure_is_brute_force(spark, monkeypatch, small):
     for r in spanned.collect():
         found[r.text[r.t.start : r.t.end].lower()] = r.t.disclosure
     assert set(found) == set(want) and all(abs(found[t] - want[t]) < 1e-9 for t in want)
+
+
+def test_packing_holds_a_run_of_a_batch():
+    import pyarrow as pa
+
+    from tidepool.llm import packing
+
+    texts = ["word and word " * 7000] * 8
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts)], names=["doc_id", "text"])
+    out = list(packing._tokenize(None)(iter([batch])))
+    assert max(len(set(x.column("doc_id").to_pylist())) for x in out) * len(texts[0]) <= packing.RUN_CHARS + len(texts[0])
+    pieces = pa.Table.from_batches(out).to_pylist()
+    assert [p["doc_id"] for p in pieces] == sorted(p["doc_id"] for p in pieces)
+    for k in range(8):
+        assert sum(p["length"] for p in pieces if p["doc_id"] == k) == pieces[0]["doc_tokens"]
+
+
+def test_whole_rows_carry_their_text_once(spark):
+    from tidepool.llm.common import row_and_text
+
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    assert docs.select(*row_and_text(docs)).columns == ["doc"]
+    numbers = docs.selectExpr("doc_id", "doc_id AS text")
+    assert dict(numbers.select(*row_and_text(numbers)).dtypes)["text"] == "string"
+
+
+def test_piece_table_stays_sorted():
+    from tidepool.llm.wordtable import PieceTable
+
+    table = PieceTable(100)
+    for keys in ([5, 1, 9], [7, 2], [], [0, 10]):
+        ids = [np.array([k, k + 1][: 1 + k % 2], "<u4").tobytes() for k in keys]
+        table.add(np.array(keys, np.uint64), np.array(keys, np.uint64) * np.uint64(3), ids)
+    assert table.key.tolist() == [0, 1, 2, 5, 7, 9, 10] and (table.check == table.key * np.uint64(3)).all()
+    found = [table.ids[a : a + n].tolist() for a, n in zip(table.start, table.size)]
+    assert found == [[k, k + 1][: 1 + k % 2] for k in table.key.tolist()]

@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.llm.common import _LOWER, held_out, mix64, text_slices, whole_row, word_bounds
+from tidepool.llm.common import _LOWER, held_out, mix64, row_and_text, text_of, text_slices, word_bounds
 
 GRAMS = 1 << 15
 MAX_LANGUAGES = 256
 ROUNDS = 8
 PENALTY = 2.0
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18  # a worker holds about 100 bytes of trigrams for each
 UNDETERMINED = "und"
 SET = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
 
@@ -168,7 +168,7 @@ def _predict(model):
         for batch in batches:
             letters = batch.column("letters").to_pylist()
             names, shares, sets = [], [], []
-            for a, b, data, offsets in text_slices(batch.column("text"), slice_bytes):
+            for a, b, data, offsets in text_slices(text_of(batch), slice_bytes):
                 grams, first, counts = word_grams(data, offsets)
                 if languages and len(first):
                     words = np.add.reduceat(table[grams], first, axis=0)
@@ -226,7 +226,7 @@ def with_language(docs: DataFrame) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(train(docs))
     text = F.col("text").cast("string")
     letters = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
-    rows = docs.select(whole_row(docs), text.alias("text"), letters.alias("letters"))
+    rows = docs.select(*row_and_text(docs), letters.alias("letters"))
     schema = T.StructType.fromDDL(
         "lang_pred string, score double, languages array<struct<lang:string,share:double>>"
     )

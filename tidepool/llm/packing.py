@@ -28,13 +28,15 @@ from pyspark.sql import functions as F
 from tidepool.llm.bpe import Cache, Merges, encode_run, runs_of, vocabulary_path, worker_store
 from tidepool.llm.common import WORD_SPLIT, materialize
 from tidepool.llm.wordtable import PieceTable, word_spans
+from tidepool.session import session_conf
 
 SEQUENCE = 4096
 END_ID = 2
 GROUP = 4096
 CACHE = 200_000
 TABLE = 1_500_000
-RUN_CHARS = 2 << 20
+RUN_CHARS = 1 << 18  # a worker holds about 100 bytes of arrays for each
+BATCH = {"maxRecordsPerBatch": "2000", "maxBytesPerBatch": str(4 << 20)}  # of Arrow: the texts of a worker
 VOCABULARY = "word_bpe_49k.json"
 END_OF_WORD = "</w>"
 PIECES = "doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
@@ -86,10 +88,10 @@ def _tokenize(path: str | None):
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
             texts = [x or "" for x in batch.column("text").to_pylist()]
-            row, start, length, crc, total = [], [], [], [], []
+            keep = [n for n in batch.schema.names if n != "text"]
             for a, b in runs_of(texts, RUN_CHARS):
-                encoded = encoder.encode(texts[a:b])
-                for k, ids in enumerate(encoded, a):
+                row, start, length, crc, total = [], [], [], [], []
+                for k, ids in enumerate(encoder.encode(texts[a:b]), a):
                     ids += end
                     n = len(ids) // 4
                     for at in range(0, n, SEQUENCE):
@@ -99,14 +101,13 @@ def _tokenize(path: str | None):
                         length.append(len(piece) // 4)
                         crc.append(zlib.crc32(piece))
                         total.append(n)
-            keep = [n for n in batch.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(n).take(pa.array(row, pa.int64())) for n in keep),
-                    *(pa.array(x, pa.int64()) for x in (start, length, crc, total)),
-                ],
-                names=[*keep, "start", "length", "ids_crc32", "doc_tokens"],
-            )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(n).take(pa.array(row, pa.int64())) for n in keep),
+                        *(pa.array(x, pa.int64()) for x in (start, length, crc, total)),
+                    ],
+                    names=[*keep, "start", "length", "ids_crc32", "doc_tokens"],
+                )
 
     return run
 
@@ -183,6 +184,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
     schema = PIECES.format(kind=kind)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    pieces = materialize(rows.mapInArrow(_tokenize(vocabulary), schema), "op3-pieces")
+    with session_conf(docs.sparkSession, **{f"spark__sql__execution__arrow__{k}": v for k, v in BATCH.items()}):
+        pieces = materialize(rows.mapInArrow(_tokenize(vocabulary), schema), "op3-pieces")
     tasks = max(1, -(-pieces.count() // (2 * GROUP)))
     return pieces.repartition(tasks).mapInArrow(_pack, f"{schema}, sequence_id long, offset long")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.llm.common import held_out, mix64, text_slices, whole_row, word_bounds, word_hashes
+from tidepool.llm.common import held_out, mix64, row_and_text, text_of, text_slices, word_bounds, word_hashes
 
 BUCKETS = 1 << 14
 GRAMS = (2, 3, 4)
@@ -149,7 +149,7 @@ def _score(model):
         units = np.rint(per_bucket.astype(np.float64) * (1 << FRACTION)).astype(np.int64)
         for batch in batches:
             scores = []
-            for a, b, data, offsets in text_slices(batch.column("text"), SLICE_BYTES):
+            for a, b, data, offsets in text_slices(text_of(batch), SLICE_BYTES):
                 total, number = np.zeros(b - a, np.int64), np.zeros(b - a, np.int64)
                 for buckets, begin, end in features(data, offsets):
                     sums = np.concatenate([[0], np.cumsum(units[buckets])])
@@ -190,6 +190,6 @@ def accepted(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) ->
     another text have a verdict of their own; no join.  An empty table gives an empty result.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, max_train))
-    rows = docs.select(whole_row(docs), F.col("text").cast("string").alias("text"))
+    rows = docs.select(*row_and_text(docs))
     schema = T.StructType([rows.schema["doc"], T.StructField("score", T.DoubleType())])
     return rows.mapInArrow(_score(model), schema).where(F.col("score") >= THRESHOLD).select("doc.*")

@@ -98,12 +98,13 @@ class PieceTable:
         size = np.array([len(x) // 4 for x in ids], dtype=np.int64)
         start = len(self.ids) + np.cumsum(size) - size
         self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), dtype="<u4")])
-        key = np.concatenate([self.key, key])
+        # only the new ones are sorted; they go between the others
         order = np.argsort(key, kind="stable")
-        self.key = key[order]
-        self.check = np.concatenate([self.check, check])[order]
-        self.start = np.concatenate([self.start, start])[order]
-        self.size = np.concatenate([self.size, size])[order]
+        at = np.searchsorted(self.key, key[order])
+        self.key = np.insert(self.key, at, key[order])
+        self.check = np.insert(self.check, at, check[order])
+        self.start = np.insert(self.start, at, start[order])
+        self.size = np.insert(self.size, at, size[order])
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
