@@ -270,3 +270,30 @@ def test_large_buckets_are_written_by_several_tasks(spark, tmp_path, monkeypatch
     assert set(exchanges) == {"shufflepartitionidpassthrough"} and len(exchanges) >= 2
     many.compact("ds", "t", file_bytes=1 << 30)
     assert rows(one.read("ds", "t").na.fill(-1)) == rows(many.read("ds", "t").na.fill(-1))
+
+
+def test_a_task_writes_a_bounded_number_of_files():
+    from tidepool.operators.load import TASK_FILES, slices_of
+
+    for rows in (900_000, 54_000_000):
+        assert slices_of(4, 0, rows, 200) * 4 * TASK_FILES * 200 >= rows
+    assert slices_of(4, 0, 1000, 200) == 1
+
+
+def test_whole_folders_are_read_around_superseded_files(spark, tmp_path):
+    from tidepool.operators.load import DEAD_NAMES
+
+    wh = Warehouse(spark, str(tmp_path / "wh"), buckets=4, file_rows=50)
+    wh.load(spark.range(2000).selectExpr("id AS k", "1 AS v"), "raw", "t", "merge", primary_key=["k"])
+    wh.load(spark.range(2).selectExpr("id AS k", "2 AS v"), "raw", "t", "merge")
+    wh.load(spark.range(1, 3).selectExpr("id AS k", "3 AS v"), "raw", "t", "merge")
+    st = wh.state("raw", "t")
+    paths, dead = st.paths(None, DEAD_NAMES)
+    assert dead and st.partial_folders() and len(paths) < len(st.files) // 2
+    assert not st.paths()[1] and len(st.paths()[0]) > len(paths)
+    rows = {r.k: r.v for r in wh.read("raw", "t").collect()}
+    assert wh.read("raw", "t").count() == 2000 and rows == {k: {0: 2, 1: 3, 2: 3}.get(k, 1) for k in range(2000)}
+    before = wh.read("raw", "t", load_seq=2).where("v = 2")
+    assert sorted(r.k for r in before.collect()) == [0, 1]
+    wh.vacuum("raw", "t", keep=1)
+    assert wh.read("raw", "t").count() == 2000

@@ -64,6 +64,8 @@ LEAST_BUCKETS = 8
 BUCKET_BYTES = 512 << 20  # Parquet bytes of a bucket
 TASK_BYTES = 16 << 20  # Parquet bytes, and rows, that one task of a keyed load sorts
 TASK_ROWS = 1 << 19
+TASK_FILES = 128  # files that it writes
+DEAD_NAMES = 1000  # superseded files that a read of whole folders leaves out by name
 CELLS = 4  # ranges of hashes a file, in which a merge looks for the batch's keys
 
 FILE_ROWS = 1 << 20  # rows of a file of a bucketed table
@@ -121,10 +123,11 @@ def bucket_of(primary_key: tuple[str, ...], buckets: int) -> Column:
     return F.pmod(key_hash(primary_key), F.lit(buckets)).cast("int")
 
 
-def slices_of(buckets: int, size: int, rows: int) -> int:
-    """Slices of a bucket (a power of two), so that a task sorts ``TASK_BYTES`` and ``TASK_ROWS`` at most."""
-    slices = 1
-    while slices * buckets * TASK_BYTES < size or slices * buckets * TASK_ROWS < rows:
+def slices_of(buckets: int, size: int, rows: int, file_rows: int = FILE_ROWS) -> int:
+    """Slices of a bucket (a power of two), so that a task sorts ``TASK_BYTES`` and ``TASK_ROWS`` at most
+    and cuts them into ``TASK_FILES`` files at most."""
+    slices, most = 1, min(TASK_ROWS, TASK_FILES * file_rows)
+    while slices * buckets * TASK_BYTES < size or slices * buckets * most < rows:
         slices *= 2
     return slices
 
@@ -283,12 +286,15 @@ class Warehouse:
         fields = list(st.schema.fields)
         if st.buckets:
             fields.append(StructField(BUCKET, IntegerType(), True))
-        paths = st.paths(files)
+        paths, dead = st.paths(files, DEAD_NAMES)
         if not paths:
             return self.spark.createDataFrame([], StructType(fields))
         schema = StructType([*fields, StructField(LOAD, StringType(), True)])
-        reader = self.spark.read.schema(schema).option("basePath", st.version_path)
-        return reader.parquet(*paths).drop(LOAD)
+        rows = self.spark.read.schema(schema).option("basePath", st.version_path).parquet(*paths)
+        if dead:  # a filter on files: Spark applies it to what it has listed
+            names = F.substring_index("_metadata.file_path", "/", -1 - dead[0].count("/"))
+            rows = rows.where(~names.isin(dead))
+        return rows.drop(LOAD)
 
     def read(self, dataset: str, table: str, load_seq: int | None = None) -> DataFrame:
         """The table's rows, now or as they were after load ``load_seq`` (until ``vacuum``)."""
@@ -414,7 +420,7 @@ class Warehouse:
         _, rows = evolve(st.schema, self.read_files(st, files))
         obs = Observation(f"compact_{load_id}")
         if st.buckets:
-            slices = slices_of(st.buckets, sum(f.bytes for f in files), sum(f.rows for f in files))
+            slices = slices_of(st.buckets, sum(f.bytes for f in files), sum(f.rows for f in files), self.file_rows)
             rows = deal(rows, st.primary_key, st.buckets, slices)
             n = self._write("compact buckets", rows, folder, st.buckets, obs, st.primary_key)
         else:
@@ -457,6 +463,8 @@ class Warehouse:
             df = df.drop(PART).sortWithinPartitions(BUCKET, key_hash(primary_key))
         writer = self._capture(label, df).write.mode("errorifexists")
         if buckets:
+            # tasks move their own files, instead of the driver all of them; nothing reads the folder before its entry
+            writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
             writer = writer.partitionBy(BUCKET).option("maxRecordsPerFile", self.file_rows)
         writer.parquet(path)
         return int(obs.get["rows"])
@@ -477,7 +485,7 @@ class Warehouse:
         staging = scratch_dir(self.spark, "bucket-batch")
         try:
             staged, rows, size, _ = self._stage(f"stage {label}", df, staging)
-            dealt = deal(staged, primary_key, buckets, slices_of(buckets, size, rows))
+            dealt = deal(staged, primary_key, buckets, slices_of(buckets, size, rows, self.file_rows))
             return self._write(label, dealt, path, buckets, obs, primary_key)
         finally:
             delete_path(self.spark, staging)
@@ -722,7 +730,8 @@ class Warehouse:
             files = self._touched_files(st, keys, touched)
             current = self.read_files(st, files).where(F.col(BUCKET).isin(touched))
         _, target = evolve(schema, current)
-        slices = slices_of(buckets, size + sum(f.bytes for f in files), batch_rows + sum(f.rows for f in files))
+        size, rows = size + sum(f.bytes for f in files), batch_rows + sum(f.rows for f in files)
+        slices = slices_of(buckets, size, rows, self.file_rows)
         staged, target = (deal(df, pk, buckets, slices) for df in (staged, target))
         on = [*pk, BUCKET, *([PART] if slices > 1 else [])]
         if disposition == "insert_ignore":
