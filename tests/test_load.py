@@ -373,3 +373,94 @@ def test_first_merge_refuses_null_keys(spark, tmp_path):
     with pytest.raises(Exception, match="NULL key"):
         wh.load(batch, "ds", "n", "merge", primary_key=["id"])
     assert wh.state("ds", "n") is None
+
+
+def _deep(spark, tmp_path, wh, name, records, write_disposition="merge", key="Id", schema=None):
+    import json
+
+    from tidepool.plans.ingest import ingest
+    from tidepool.spec import parse_source_specs
+
+    (tmp_path / name).mkdir()
+    (tmp_path / name / "a.json").write_text("\n".join(json.dumps(r) for r in records))
+    table = {"name": "t", "file_glob": "*.json", "format": "jsonl", "primary_key": key,
+             "schema": schema or "Id bigint, Code string, Groups array<struct<Name: string, Marks: array<string>>>"}
+    [spec] = parse_source_specs({"version": 1, "sources": [{
+        "name": "deep", "type": "filesystem", "write_disposition": write_disposition,
+        "bucket_url": str(tmp_path / name), "tables": [table]}]})
+    ingest(spark, spec, wh)
+
+
+DEEP = [
+    {"Id": 1, "Code": "a;b", "Groups": [{"Name": "x", "Marks": ["p", "q"]}, {"Name": "y", "Marks": ["r"]}]},
+    {"Id": 22, "Code": "", "Groups": [{"Name": "z", "Marks": []}, {"Name": None, "Marks": ["s", None]}]},
+    {"Id": 3, "Code": "c", "Groups": None},
+]
+DEEP_TABLES = ("t", "t__groups", "t__groups__marks")
+
+
+def _deep_rows(wh, name):
+    df = wh.read("raw_deep", name)
+    return sorted(df.columns), sorted(map(repr, (r.asDict() for r in df.select(*sorted(df.columns)).collect())))
+
+
+@pytest.mark.parametrize("key", ["Id", ["Code", "Id"]])
+def test_merged_lists_are_stored_without_their_keys(spark, tmp_path, key):
+    """Reads give the keys that ``split_tables`` gives; what is stored and shuffled has none."""
+    from tidepool.operators.normalize import flatten
+    from tidepool.plans.ingest import column_name, split_tables
+
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    _deep(spark, tmp_path, wh, "one", DEEP, key=key)
+    shrunk = [{"Id": 1, "Code": "a;b", "Groups": [{"Name": "y", "Marks": ["new"]}]}, {"Id": 22, "Code": "", "Groups": []}]
+    for n, records in enumerate([DEEP, [*shrunk, DEEP[2]]]):
+        if n:
+            _deep(spark, tmp_path, wh, "two", shrunk, key=key)
+        whole = spark.createDataFrame([(r["Id"], r["Code"], r["Groups"]) for r in records],
+            "Id bigint, Code string, Groups array<struct<Name: string, Marks: array<string>>>")
+        named = tuple(column_name(k) for k in ([key] if isinstance(key, str) else key))
+        for part in split_tables("t", flatten(whole), named):
+            expected = sorted(map(repr, (r.asDict() for r in part.df.select(*sorted(part.df.columns)).collect())))
+            assert _deep_rows(wh, part.name) == (sorted(part.df.columns), expected)
+    for name in DEEP_TABLES:
+        stored = wh.state("raw_deep", name).schema.fieldNames()
+        assert not {"_row_key", "_parent_key", "_root_key"} & set(stored), name
+    earlier = wh.read("raw_deep", "t__groups__marks", load_seq=1)
+    assert sorted(r.value or "" for r in earlier.collect()) == ["", "p", "q", "r", "s"]
+
+
+def test_tables_get_their_keys_stored_where_a_load_needs_them(spark, tmp_path):
+    """Another disposition, a key of unsettled text or a catalog entry: same rows, keys in the files."""
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    _deep(spark, tmp_path, wh, "one", DEEP)
+    _deep(spark, tmp_path, wh, "again", DEEP[:1])  # dealt to buckets
+    before = {name: _deep_rows(wh, name) for name in DEEP_TABLES}
+    more = [{"Id": 4, "Code": "d", "Groups": [{"Name": "w", "Marks": ["t"]}]}]
+    _deep(spark, tmp_path, wh, "two", more, "append")
+    for name, n in zip(DEEP_TABLES, (1, 1, 1)):
+        st = wh.state("raw_deep", name)
+        assert st.row_keys is None and "_row_key" in st.schema.fieldNames()
+        columns, found = _deep_rows(wh, name)
+        assert columns == before[name][0] and set(before[name][1]) < set(found) and len(found) == len(before[name][1]) + n
+    _deep(spark, tmp_path, wh, "three", [{"Id": 1, "Code": "a;b", "Groups": []}, {"Id": 4, "Code": "d", "Groups": []}])
+    assert sorted(r.value or "" for r in wh.read("raw_deep", "t__groups__marks").collect()) == ["", "s"]
+
+    other = Warehouse(spark, str(tmp_path / "other"))
+    schema = "Id double, Code string, Groups array<struct<Name: string, Marks: array<string>>>"
+    _deep(spark, tmp_path, other, "four", DEEP, schema=schema)  # the text of a double is not derived again
+    assert all(other.state("raw_deep", name).row_keys is None for name in DEEP_TABLES)
+
+    third = Warehouse(spark, str(tmp_path / "third"))
+    _deep(spark, tmp_path, third, "five", DEEP)
+    _deep(spark, tmp_path, third, "six", DEEP)
+    assert {name: _deep_rows(third, name) for name in DEEP_TABLES} == before
+    try:
+        third.register_table("raw_deep", "t__groups")
+        table = spark.table("raw_deep.t__groups")
+        assert table.select("_row_key").distinct().count() == 4
+        assert _deep_rows(third, "t__groups") == before["t__groups"]
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS raw_deep CASCADE")
+    third.load(spark.createDataFrame([], "n int").select(), "raw_deep", "t__groups__marks", "replace")
+    assert third.read("raw_deep", "t__groups__marks").count() == 0
+    assert third.state("raw_deep", "t__groups__marks").primary_key == ("_root_key",)

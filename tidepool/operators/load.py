@@ -21,6 +21,9 @@ A task sorts and writes one bucket, or of a larger one a slice: an equal range o
 the batch, and rewrite only those.  The number of buckets follows the table's bytes.
 ``compact`` puts small files together.
 
+A table may be stored without the key columns that follow from its other ones (``row_keys``);
+``read`` gives them.  Where a load or a catalog entry can't do without, they are written first.
+
 Row counts come from ``Observation`` metrics of the write job itself -- no second
 pass over the data; the files' ranges from their key columns alone.
 """
@@ -46,6 +49,7 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
+from tidepool.operators.normalize import key_columns, with_keys
 from tidepool.operators.tablelog import FOLD, LOG_FILES, SNAPSHOT_EVERY, DataFile, TableLog, TableState
 from tidepool.session import delete_path, scratch_dir, session_conf
 
@@ -304,8 +308,11 @@ class Warehouse:
             raise LoadError(f"Table does not exist: {dataset}.{table}{after}")
         if load_seq is not None and load_seq < self.state(dataset, table).oldest:
             raise LoadError(f"{dataset}.{table} after load {load_seq} is vacuumed")
-        df = self.read_files(st)
-        return df.drop(BUCKET) if st.buckets else df
+        return self._rows(st)
+
+    def _rows(self, st: TableState) -> DataFrame:
+        df = self.read_files(st).drop(BUCKET) if st.buckets else self.read_files(st)
+        return with_keys(df, st.row_keys) if st.row_keys else df
 
     def _tables(self) -> list[tuple[str, str]]:
         """(dataset, table) of every table (bounded by table count)."""
@@ -339,6 +346,8 @@ class Warehouse:
         st = self.state(dataset, table)
         if st is None:
             raise LoadError(f"Table does not exist: {dataset}.{table}")
+        if st.row_keys:
+            st = self._store_keys(st)
         if partial := set(st.partial_folders()):
             self._compact(st, [f for f in st.files.values() if f.folder in partial], FILE_BYTES)
             st = self.state(dataset, table)
@@ -439,6 +448,25 @@ class Warehouse:
         )
         return LoadResult(load_id, st.dataset, st.table, "compact", n, n, st.version_path)
 
+    def _store_keys(self, st: TableState) -> TableState:
+        """Rewrite a table with the key columns that reads have derived, as a load of its own."""
+        load_id = uuid.uuid4().hex[:16]
+        pk, rows = key_columns(st.row_keys), self._rows(st)
+        version = self._new_version(st.dataset, st.table, load_id)
+        folder = load_folder(version, load_id)
+        obs = Observation(f"keys_{load_id}")
+        if st.buckets:
+            dealt = rows.withColumn(BUCKET, bucket_of(pk, st.buckets))
+            n = self._write_buckets("store keys", dealt, folder, st.buckets, obs, pk)
+        else:
+            n = self._write("store keys", rows, folder, None, obs)
+        self._record(
+            st, load_id=load_id, disposition="replace", version_path=version, rows_in=n, rows_loaded=n,
+            table_schema=rows.schema.json(), primary_key=",".join(pk), row_keys=None, reset=True,
+            files_read=len(st.files), added=self._written(version, folder, rows.schema, pk, st.buckets),
+        )
+        return self.state(st.dataset, st.table)
+
     # -- writes -------------------------------------------------------------------
 
     def _bucket_count(self, st: TableState, given: int | None) -> int:
@@ -524,6 +552,7 @@ class Warehouse:
                 "buckets": st.buckets,
                 "cursor_column": st.cursor_column,
                 "cursor_max": st.cursor_max,
+                "row_keys": st.row_keys,
             }
         entry |= fields
         kept = 0 if st is None or entry["reset"] else len(st.files) - len(entry["removed"])
@@ -549,6 +578,7 @@ class Warehouse:
         dedupe: bool = True,
         delete_keys: DataFrame | None = None,
         batch: tuple[str, int] | None = None,
+        row_keys: dict | None = None,
     ) -> LoadResult:
         """Load ``df`` into ``dataset.table``.
 
@@ -560,6 +590,8 @@ class Warehouse:
         parent turn it off so that all elements of a parent move together.
         ``delete_keys`` (delete_insert) are keys whose stored rows go although the batch
         has no rows for them.  ``batch`` is (stream, batch number) of a load from a stream.
+        ``row_keys``: ``df`` holds the columns that its keys derive from (``normalize.with_keys``)
+        instead of the keys; the table has to be new or stored in the same way.
         """
         if disposition not in DISPOSITIONS:
             raise LoadError(f"write_disposition must be one of {', '.join(DISPOSITIONS)}")
@@ -568,11 +600,19 @@ class Warehouse:
             if known is None or disposition != "replace":
                 path = known.version_path if known is not None else ""
                 return LoadResult("", dataset, table, disposition, 0, 0, path)
-            df = self.spark.createDataFrame([], known.schema)
+            df = self.spark.createDataFrame([], self._rows(known).schema)
         pk = tuple(primary_key or ())
         st = self.state(dataset, table)
-        if st is not None and st.primary_key and (not pk or disposition == "append"):
-            pk = st.primary_key  # an append does not deal the table anew
+        stored_key = () if st is None else st.primary_key
+        if st is not None and st.row_keys != row_keys:
+            if st.row_keys:
+                stored_key = key_columns(st.row_keys)
+            if disposition != "replace":
+                if row_keys:
+                    raise LoadError(f"{dataset}.{table} is not stored by {', '.join(row_keys['root'])}")
+                st = self._store_keys(st)
+        if st is not None and stored_key and (not pk or disposition == "append"):
+            pk = stored_key  # an append does not deal the table anew
         if disposition in KEYED and not pk:
             raise LoadError(f"{disposition} into {dataset}.{table} needs a primary_key")
 
@@ -619,7 +659,7 @@ class Warehouse:
         else:
             gone = None
             if disposition == "delete_insert" and delete_keys is not None:
-                gone = delete_keys.select(*[_q(k) for k in pk])
+                gone = delete_keys.select(*[_q(k).cast(schema[k].dataType).alias(k) for k in pk])
                 gone = gone.withColumn(BUCKET, bucket_of(pk, buckets))
             reset = st.buckets != buckets or st.primary_key != pk
             rows, wrote, read = self._merge(
@@ -647,6 +687,7 @@ class Warehouse:
             cursor_column=cursor_column,
             cursor_max=cursor_max,
             files_read=len(read),
+            row_keys=row_keys,
             reset=reset,
             removed=[f.path for f in replaced],
             added=self._written(version, folder, schema, pk, buckets) if wrote else [],

@@ -19,6 +19,8 @@ NESTING_SEPARATOR = "__"
 CHILD_INDEX = "_idx"
 CHILD_VALUE = "value"
 ROW_KEY = "_row_key"
+PARENT_KEY = "_parent_key"
+ROOT_KEY = "_root_key"
 
 
 class NameCollisionError(ValueError):
@@ -95,12 +97,47 @@ def parse_json_column(df: DataFrame, column: str, schema: StructType | str | Non
 
 def row_key(*cols: Column | str) -> Column:
     """Deterministic key from values (never from partition ids)."""
-    parts = []
-    for c in cols:  # length-prefixed, so that no two lists of values read the same
-        value = (F.col(c) if isinstance(c, str) else c).cast("string")
-        framed = F.concat(F.length(value).cast("string"), F.lit(":"), value, F.lit(";"))
-        parts.append(F.coalesce(framed, F.lit("N;")))
-    return F.sha2(F.concat(*parts), 256)
+    return F.sha2(F.concat(*[_framed(c) for c in cols]), 256)
+
+
+def _framed(c: Column | str) -> Column:
+    """Length-prefixed, so that no two lists of values read the same."""
+    value = (F.col(c) if isinstance(c, str) else c).cast("string")
+    framed = F.concat(F.length(value).cast("string"), F.lit(":"), value, F.lit(";"))
+    return F.coalesce(framed, F.lit("N;"))
+
+
+def key_columns(keys: dict) -> tuple[str, ...]:
+    """The key of a table as :func:`with_keys` gives it."""
+    if not keys["child"]:
+        return tuple(keys["root"])
+    return (ROOT_KEY,) if keys["at"] else (PARENT_KEY,)
+
+
+def with_keys(df: DataFrame, keys: dict) -> DataFrame:
+    """Key columns of a table that is stored without them.
+
+    ``keys``: the columns with the outermost parent's primary key (``root``), and in a child table those
+    with the positions of the rows between (``at``, outermost first).  ``row_key`` of them is what
+    :func:`child_table` would have stored, level by level; the columns named in ``keys`` are left out.
+    """
+    root = row_key(*[F.col(f"`{c}`") for c in keys["root"]])
+    if not keys["child"]:
+        return df.withColumn(ROW_KEY, root)
+
+    def below(key: Column, at: str) -> Column:  # row_key(key, at), of a key known to have 64 characters
+        return F.sha2(F.concat(F.lit("64:"), key, F.lit(";"), _framed(at)), 256)
+
+    parent = root
+    for at in keys["at"]:
+        parent = below(parent, at)
+    stored = {*keys["root"], *keys["at"]}
+    return df.select(
+        parent.alias(PARENT_KEY),
+        *([root.alias(ROOT_KEY)] if keys["at"] else []),
+        *[F.col(f"`{c}`") for c in df.columns if c not in stored],
+        below(parent, CHILD_INDEX).alias(ROW_KEY),
+    )
 
 
 def child_table(

@@ -8,6 +8,9 @@ flattened to ``parent__child`` columns, and every list column moved to a child t
 (``_root_key``).  Child tables follow the parent's disposition; for a merged parent
 all elements of each incoming parent, at every depth, replace the stored ones
 (delete-insert by that key), so a list that shrinks leaves no stale elements behind.
+
+Merged tables are stored and moved by what their keys derive from -- the outermost parent's primary
+key and positions in lists -- not by the keys of 64 characters, which reads of them derive again.
 """
 
 from __future__ import annotations
@@ -16,12 +19,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, BooleanType, DateType, IntegralType, StringType
 
 from tidepool.operators.incremental import pending_rows
 from tidepool.operators.load import LoadResult, Warehouse, dedupe_last
 from tidepool.operators.normalize import (
+    CHILD_INDEX,
     NESTING_SEPARATOR,
+    PARENT_KEY,
+    ROOT_KEY,
     ROW_KEY,
     child_table,
     flatten,
@@ -32,8 +38,6 @@ from tidepool.session import delete_path, scratch_dir
 from tidepool.sources.registry import TableRead, read_source
 from tidepool.spec import SourceSpec
 
-PARENT_KEY = "_parent_key"
-ROOT_KEY = "_root_key"
 CHILD_DISPOSITION = {
     "append": "append",
     "replace": "replace",
@@ -56,6 +60,7 @@ class TableLoad:
     df: DataFrame
     primary_key: tuple[str, ...]
     child: bool
+    row_keys: dict | None = None
 
 
 def column_name(path: str) -> str:
@@ -92,6 +97,34 @@ def split_tables(
     return out
 
 
+def split_positions(
+    name: str, df: DataFrame, root: tuple[str, ...], at: tuple[str, ...] = (), child: bool = False
+) -> list[TableLoad]:
+    """The tables of :func:`split_tables`, in its order, with the columns that their keys derive from
+    instead of the keys (``normalize.with_keys``).  No normalized name starts like these columns'."""
+    lists = [f.name for f in df.schema.fields if isinstance(f.dataType, ArrayType)]
+    out = [TableLoad(name, df.drop(*lists), root, child, {"root": [*root], "at": [*at], "child": child})]
+    below = tuple(f"__root_{i}" for i in range(len(root)))
+    place = (*at, f"__at_{len(at)}") if child else ()
+    for col in lists:
+        parent = df.select(
+            *[F.col(f"`{k}`").alias(b) for k, b in zip(root, below)],
+            *[F.col(CHILD_INDEX if a == place[-1] else a).alias(a) for a in place],
+            F.col(f"`{col}`"),
+        )
+        rows = child_table(parent, [*below, *place], col)
+        out += split_positions(f"{name}__{col}", rows.select(*rows.columns[:-1]), below, place, True)
+    return out
+
+
+def _derivable(df: DataFrame, primary_key: tuple[str, ...]) -> bool:
+    """Whether the keys can be derived again: from values whose text no setting changes."""
+    if {ROW_KEY, PARENT_KEY, ROOT_KEY} & set(df.columns):
+        return False
+    types = [df.schema[k].dataType for k in primary_key]
+    return all(isinstance(t, (IntegralType, BooleanType, DateType)) or t == StringType() for t in types)
+
+
 def load_table(
     warehouse: Warehouse, spec: SourceSpec, table: str, read: TableRead, normalize: bool = True
 ) -> list[LoadResult]:
@@ -125,10 +158,20 @@ def _load_parts(
         parts = split_tables(table, df, primary_key, flat=True)
     else:
         parts = [TableLoad(table, df, primary_key, False)]
+    stored = parts
+    if keyed_merge and len(parts) > 1 and not warehouse.catalog and _derivable(df, primary_key):
+        stored = split_positions(table, df, primary_key)
     results = []
-    if keyed_merge:
-        incoming = row_key(*[F.col(f"`{k}`") for k in primary_key])
-    for part in parts:
+    for part, short in zip(parts, stored, strict=True):
+        st = warehouse.state(spec.dataset_name, part.name)
+        if st is None or st.row_keys == short.row_keys:  # a table keeps the form it has
+            part = short
+        delete_keys = None
+        if part.child and keyed_merge:  # lists of incoming parents are replaced whole, empty ones included
+            named = [F.col(f"`{k}`") for k in primary_key]
+            if not part.row_keys:
+                named = [row_key(*named)]
+            delete_keys = df.select(*[c.alias(k) for c, k in zip(named, part.primary_key, strict=True)])
         disposition = spec.write_disposition
         if part.child:
             disposition = CHILD_DISPOSITION[disposition]
@@ -144,8 +187,8 @@ def _load_parts(
                 source=spec.name,
                 buckets=read.buckets,
                 dedupe=not (part.child or deduped),
-                # lists of incoming parents are replaced whole, empty ones included
-                delete_keys=df.select(incoming.alias(part.primary_key[0])) if part.child and keyed_merge else None,
+                delete_keys=delete_keys,
+                row_keys=part.row_keys,
             )
         )
     return results

@@ -583,13 +583,19 @@ def _child_spec(root: str):
     return spec
 
 
+def _bytes(key: str):
+    """A key's digest: half as long as its text to shuffle."""
+    return F.unhex(F.col(key))
+
+
 def _ingest_lists(spark, batches):
     wh = _wh(spark)
     for batch in batches:
         dest = landing.land_jsonl(batch, scratch_dir(spark, "lists"))
         ingest(spark, _child_spec(dest), wh)
-    parents = wh.read("raw_lists", "parents").select("order_id", F.col("_row_key").alias("_parent_key"))
-    return wh.read("raw_lists", "parents__tags").join(parents, "_parent_key").select("order_id", "_idx", "value")
+    parents = wh.read("raw_lists", "parents").select("order_id", _bytes("_row_key").alias("parent"))
+    tags = wh.read("raw_lists", "parents__tags").select(_bytes("_parent_key").alias("parent"), "_idx", "value")
+    return tags.join(parents, "parent").select("order_id", "_idx", "value")
 
 
 def _tagged(spark, d, version: int, tags):
@@ -640,15 +646,16 @@ def q_ingest_grandchildren_shrink(spark, d):
         ingest(spark, spec, wh)
     tables = ("orders", "orders__groups", "orders__groups__parts", "orders__groups__parts__marks")
     orders, groups, parts, marks = (wh.read("raw_deep", t) for t in tables)
-    orders = orders.select("order_id", F.col("_row_key").alias("root"))
-    groups = groups.select("name", F.col("_row_key").alias("group"))
-    parts = parts.select(F.col("_parent_key").alias("group"), F.col("_row_key").alias("part"))
+    orders = orders.select("order_id", _bytes("_row_key").alias("root"))
+    groups = groups.select("name", _bytes("_row_key").alias("group"))
+    parts = parts.select(_bytes("_parent_key").alias("group"), _bytes("_row_key").alias("part"))
     marks = marks.select(
-        F.col("_root_key").alias("root"), F.col("_parent_key").alias("part"), F.col("_idx").alias("position"), "value"
+        _bytes("_root_key").alias("root"), _bytes("_parent_key").alias("part"), F.col("_idx").alias("position"), "value"
     )
     # left joins: an element whose parents are gone would show as NULL
+    named = parts.join(groups, "group", "left").select("part", "name")
     return (
-        marks.join(parts, "part", "left").join(groups, "group", "left").join(orders, "root", "left")
+        marks.join(named, "part", "left").join(orders, "root", "left")
         .select("order_id", "name", "position", "value")
     )
 
