@@ -297,3 +297,57 @@ def test_whole_folders_are_read_around_superseded_files(spark, tmp_path):
     assert sorted(r.k for r in before.collect()) == [0, 1]
     wh.vacuum("raw", "t", keep=1)
     assert wh.read("raw", "t").count() == 2000
+
+
+def log_replay(spark, tmp_path, monkeypatch, rows):
+    """``load_log_replay`` over ``rows`` as orders: its result and its warehouse."""
+    from tidepool.plans import scenarios
+
+    made = []
+
+    class Kept(Warehouse):
+        def __init__(self, *args, **settings):
+            super().__init__(*args, **settings)
+            made.append(self)
+
+    monkeypatch.setattr(scenarios, "Warehouse", Kept)
+    orders = rows.selectExpr("id AS o_orderkey", "id % 9 AS o_custkey", "id + 0.25D AS o_totalprice", "TIMESTAMP_NTZ'2026-01-01' AS o_orderdate")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    result = scenarios.q_load_log_replay(spark, str(tmp_path))
+    return sorted(tuple(r) for r in result.select("load_seq", "n", "order_ids", "cents").collect()), made[0]
+
+
+def replayed(ids):
+    out = []
+    for n in range(1, 10):
+        live = [i for i in ids if (i % 6 < n if n < 9 else i % 3 == 0)]
+        amounts = [100 * i + 25 + 100 * (n in (7, 8) and i % 2 == 0) for i in live]
+        out += [(n, len(live), sum(live), sum(amounts))] if live else []
+    return out
+
+
+def test_log_replay_compacts_between_its_merge_and_its_replace(spark, tmp_path, monkeypatch):
+    got, wh = log_replay(spark, tmp_path, monkeypatch, spark.range(600))
+    assert got == replayed(range(600))
+    told = sorted(wh.audit().collect(), key=lambda e: e.load_seq)
+    assert [e.disposition for e in told] == [*["append"] * 6, "merge", "compact", "replace"]
+    compaction = told[7]
+    assert compaction.rows_loaded == 600 and compaction.files_read == compaction.files_removed == told[6].files_live
+    assert compaction.files_added == compaction.files_live == 2 < told[6].files_live  # one file a bucket
+    assert rows(wh.read("raw", "orders", 7)) == rows(wh.read("raw", "orders", 8)) and wh.read("raw", "orders", 8).count() == 600
+    assert not set(wh.state("raw", "orders", 7).files) & set(wh.state("raw", "orders", 8).files)
+
+
+@pytest.mark.parametrize("ids", [[], [0], [0, 0, 6], [1, 2, 3]])
+def test_log_replay_of_a_table_with_little_to_compact(spark, tmp_path, monkeypatch, ids):
+    got, _ = log_replay(spark, tmp_path, monkeypatch, spark.createDataFrame([(i,) for i in ids], "id long"))
+    assert got == replayed(ids)
+
+
+def test_append_of_no_rows_is_a_load_of_its_own(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"), buckets=2)
+    wh.load(spark.range(20), "ds", "t", "append", primary_key=["id"])
+    before = wh.state("ds", "t")
+    assert wh.load(spark.range(20).limit(0), "ds", "t", "append").rows_loaded == 0
+    after = wh.state("ds", "t")
+    assert (after.load_seq, after.files) == (2, before.files) and wh.read("ds", "t", load_seq=1).count() == 20

@@ -31,6 +31,7 @@ SECOND_BATCH_START = "1997-01-01"
 THIRD_BATCH_START = "1999-01-01"
 PARAM_SEGMENT = "BUILDING"
 LOG_BATCHES = 6
+SMALL_FILE_ROWS = 1 << 16  # well below what a task of a compaction writes
 
 
 # -- scans --------------------------------------------------------------------------
@@ -332,17 +333,28 @@ def q_mart_materialized(spark, d):
 
 
 def q_load_log_replay(spark, d):
-    """Appends, a merge, a compaction and a replace; then the table as it was after each of them."""
+    """Appends, a merge, a compaction and a replace; then the table as it was after each of them.
+
+    The merge cuts its files at a 64th of the table's rows, so that the compaction has small files to put together.
+    """
     o = _orders(spark, d)
-    wh = Warehouse(spark, scratch_dir(spark, "warehouse"), buckets=2, snapshot_every=3, fold=4)
+    log = {"buckets": 2, "snapshot_every": 3, "fold": 4}
+    wh = Warehouse(spark, scratch_dir(spark, "warehouse"), **log)
     for k in range(LOG_BATCHES):
         wh.load(o.where(F.col("order_id") % LOG_BATCHES == k), "raw", "orders", "append", primary_key=["order_id"])
-    wh.load(o.where("order_id % 2 = 0").withColumn("amount", F.col("amount") + 1), "raw", "orders", "merge")
-    wh.load(o.limit(0), "raw", "orders", "append")
+    rows = sum(f.rows for f in wh.state("raw", "orders").files.values())
+    small = Warehouse(spark, wh.root, file_rows=min(max(rows // 64, 1), SMALL_FILE_ROWS), **log)
+    small.load(o.where("order_id % 2 = 0").withColumn("amount", F.col("amount") + 1), "raw", "orders", "merge")
+    merged = wh.state("raw", "orders")
+    wh.compact("raw", "orders")  # of one file a bucket there is nothing to put together, and no load of its own
+    compacted = wh.state("raw", "orders")
+    if compacted.load_seq > merged.load_seq and len(compacted.files) >= len(merged.files):
+        raise RuntimeError("the compaction left as many files as it found")
     wh.load(o.where("order_id % 3 = 0"), "raw", "orders", "replace")
+    after = [*range(1, merged.load_seq + 1), compacted.load_seq, wh.state("raw", "orders").load_seq]
     states = None
-    for n in range(1, LOG_BATCHES + 4):
-        one = wh.read("raw", "orders", load_seq=n).withColumn("load_seq", F.lit(n).cast("long"))
+    for n, seq in enumerate(after, 1):
+        one = wh.read("raw", "orders", load_seq=seq).withColumn("load_seq", F.lit(n).cast("long"))
         states = one if states is None else states.unionByName(one)
     cents = F.sum(F.round(F.col("amount") * 100).cast("long"))
     return states.groupBy("load_seq").agg(
